@@ -14,6 +14,7 @@ from storyloom.functions.fuzzy import block_text, containment, content_text, dum
 from storyloom.functions.text import gap_seconds, strip
 from storyloom.operators.cleaning import output_message, tool_ids, tool_use_ids
 from storyloom.operators.ordering import global_index
+from storyloom.plans.lineage import cut
 
 LOOK, GAP, LEAST, SHORT = 49, 7200, 0.9, 20
 
@@ -67,12 +68,12 @@ def links(matched: DataFrame, part: str | None = None) -> DataFrame:
 
 def follow(link: DataFrame, most: int = 64) -> DataFrame:
     """(root, id, depth): chains from their first record. Links lead forward, so doubling the known paths ends in log2 rounds."""
+    link = cut(link)
     steps = link.select(F.col("b_id").alias("id"), F.col("a_id").alias("up"), F.lit(1).cast("long").alias("depth"))
-    has_dir = _checkpointed(link)
     for _ in range(most):
         nxt = steps.alias("s").join(steps.select(F.col("id").alias("_id"), F.col("up").alias("_up"), F.col("depth").alias("_d")), F.col("s.up") == F.col("_id"), "left")
         nxt = nxt.select("id", F.coalesce("_up", "up").alias("up"), (F.col("depth") + F.coalesce("_d", F.lit(0))).alias("depth"), F.col("_up").isNotNull().alias("moved"))
-        nxt = nxt.checkpoint() if has_dir else nxt
+        nxt = cut(nxt)
         if nxt.where("moved").isEmpty():
             break
         steps = nxt.drop("moved")
@@ -80,14 +81,6 @@ def follow(link: DataFrame, most: int = 64) -> DataFrame:
     return steps.select(F.col("up").alias("root"), "id", "depth").unionByName(heads.select(F.col("id").alias("root"), "id", F.lit(0).cast("long").alias("depth")))
 
 
-def _checkpointed(df: DataFrame) -> bool:
-    spark = df.sparkSession
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if base and not spark.sparkContext.getCheckpointDir():
-        spark.sparkContext.setCheckpointDir(base)
-    return bool(spark.sparkContext.getCheckpointDir())
-
-
 def chain_stats(chains: DataFrame) -> DataFrame:
     """(root, length, delete_count) of chains of more than one record."""
     return chains.groupBy("root").agg(F.count("*").alias("length")).where("length > 1").withColumn("delete_count", F.col("length") - 1)

@@ -93,17 +93,22 @@ def thin_boundaries(bounds: Column | str, gap: int = 5, keep_last: bool = True)
     return F.when(F.size(b) > 1, F.array_append(inner, last)).otherwise(thin)
 
 
-def merge_short(lines: Column | str, bounds: Column | str, least: int = 2000) -> Column:
-    """Boundaries whose scenes have at least ``least`` stripped characters; a short last scene joins the one before."""
-    x = F.col(lines) if isinstance(lines, str) else lines
-    b = F.col(bounds) if isinstance(bounds, str) else bounds
-    size = lambda s, e: F.length(strip(F.array_join(F.slice(x, s, F.greatest(F.lit(0), e - s)), "\n")))
-    first, last = F.element_at(b, 1), F.element_at(b, -1)
+def _scene_size(lines: Column, start: Column, end: Column) -> Column:
+    return F.length(strip(F.array_join(F.slice(lines, start, F.greatest(F.lit(0), end - start)), "\n")))
+
+
+def long_scenes(lines: str, bounds: str, least: int = 2000) -> Column:
+    """Inner boundaries whose scenes have at least ``least`` stripped characters, behind the first one."""
+    x, b = F.col(lines), F.col(bounds)
     inner = F.slice(b, F.lit(2), F.greatest(F.lit(0), F.size(b) - 2))
-    kept = F.aggregate(inner, F.array(first), lambda a, v: F.when(size(F.element_at(a, -1), v) >= least, F.array_append(a, v)).otherwise(a))
-    pop = (F.size(kept) > 1) & (size(F.element_at(kept, -1), last) < least)
-    kept = F.when(pop, F.slice(kept, F.lit(1), F.size(kept) - 1)).otherwise(kept)
-    return F.when(F.size(b) > 1, F.array_append(kept, last)).otherwise(b)
+    return F.aggregate(inner, F.slice(b, 1, 1), lambda a, v: F.when(_scene_size(x, F.element_at(a, -1), v) >= least, F.array_append(a, v)).otherwise(a))
+
+
+def merge_last(lines: str, kept: str, bounds: str, least: int = 2000) -> Column:
+    """``kept`` and the end mark; a short last scene joins the one before."""
+    k, end = F.col(kept), F.element_at(F.col(bounds), -1)
+    pop = (F.size(k) > 1) & (_scene_size(F.col(lines), F.element_at(k, -1), end) < least)
+    return F.when(F.size(bounds) > 1, F.array_append(F.when(pop, F.slice(k, F.lit(1), F.size(k) - 1)).otherwise(k), end)).otherwise(F.col(bounds))
 
 
 def scenes(rows: DataFrame, doc: str, bounds: str = "bounds", text: str = "text") -> DataFrame:

@@ -5,18 +5,21 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from storyloom.plans.lineage import cut
+
 
 def global_index(rows: DataFrame, order: str | list[str], name: str = "idx") -> DataFrame:
     """``rows`` with their place from 0 in the given order.
 
     Range partitioning sorts in parallel; each range counts on its own, and the counts of the ranges - one row per
-    partition - are summed and joined back. Only ties in all order columns are in no fixed order.
+    partition - are summed and joined back. The ranges are kept first: range bounds are sampled, so computing them twice
+    could give different ones. Only ties in all order columns are in no fixed order.
     """
     keys = [order] if isinstance(order, str) else order
     n = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     ranged = rows.repartitionByRange(n, *keys).withColumn("_part", F.spark_partition_id())
-    local = ranged.withColumn("_n", F.row_number().over(Window.partitionBy("_part").orderBy(*keys)))
-    sizes = ranged.groupBy("_part").agg(F.count("*").alias("_size"))
+    local = cut(ranged.withColumn("_n", F.row_number().over(Window.partitionBy("_part").orderBy(*keys))))
+    sizes = local.groupBy("_part").agg(F.count("*").alias("_size"))
     before = sizes.select("_part", (F.sum("_size").over(Window.orderBy("_part")) - F.col("_size")).alias("_base"))
     return local.join(F.broadcast(before), "_part").withColumn(name, (F.col("_base") + F.col("_n") - 1).cast("long")).drop("_part", "_n", "_base")
 

@@ -137,7 +137,8 @@ class RuleModel:
         return {"summary": x["text"][: x["size"]]}
 
     def _speaker_labels(self, x: dict) -> Any:
-        return {"speakers": [{"line_number": i + 1, "speaker": m[1]} for i, line in enumerate(x["lines"]) if (m := re.match(r"(\w+)[:：]", line))]}
+        spoken = ((i + 1, next((c for c in x["characters"] if c in line), None)) for i, line in enumerate(x["lines"]))
+        return {"speakers": [{"line_number": i, "speaker": c} for i, c in spoken if c]}
 
     def _task_description(self, x: dict) -> Any:
         return f"Mode {x['mode']}: the user is {x['user_role']}."

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from storyloom.functions.fuzzy import quote_pieces
 from storyloom.functions.text import split_dialogue, strip
 from storyloom.operators import characters, chunking, mapping, messages, ordering, relational, state
+from storyloom.plans.lineage import cut
 from storyloom.plans.modelcalls import CATEGORIES, LanguageModel, RuleModel, call_rows, parse_reply, summarise_once, system_prompt_or_canned
 from storyloom.sources import readers, writers
 
@@ -31,9 +32,11 @@ def segment_scenes(docs: DataFrame, doc: str = "doc_id", text: str = "text", mod
     bounds = asked.groupBy(doc).agg(F.flatten(F.collect_list(inside)).alias("b"))
     joined = base.join(bounds, doc)
     ends = F.array(F.lit(1), (F.size(F.split(text, "\n")) + 1).cast("int"))
-    thin = chunking.thin_boundaries(F.array_sort(F.array_distinct(F.concat(F.col("b"), ends))), gap, keep_last)
-    merged = chunking.merge_short(F.split(F.col(text), "\n"), thin, least) if least > 0 else thin
-    return chunking.scenes(joined.withColumn("bounds", merged), doc, "bounds", text)
+    # one column per step: expressions that are used more than once are then computed once
+    rows = joined.withColumn("_all", F.array_sort(F.array_distinct(F.concat(F.col("b"), ends)))).withColumn("bounds", chunking.thin_boundaries("_all", gap, keep_last))
+    if least > 0:
+        rows = rows.withColumn("_lines", F.split(F.col(text), "\n")).withColumn("_kept", chunking.long_scenes("_lines", "bounds", least)).withColumn("bounds", chunking.merge_last("_lines", "_kept", "bounds", least))
+    return chunking.scenes(rows, doc, "bounds", text)
 
 
 def consolidate_characters(segments: DataFrame, model: LanguageModel = RULES, book: str = "book", stem: str = "stem", text: str = "text") -> tuple[DataFrame, DataFrame]:
@@ -42,7 +45,7 @@ def consolidate_characters(segments: DataFrame, model: LanguageModel = RULES, bo
     parts = chunks.select(book, stem, F.posexplode(F.arrays_zip(F.split(F.col(text), "\n").alias("line"), F.col("_ids").alias("chunk"))).alias("pos", "z"))
     packed = parts.groupBy(book, stem, F.col("z.chunk").alias("chunk")).agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("pos", "z.line"))), lambda x: x["line"]), "\n").alias("text"))
     reply = F.from_json("reply", "characters array<array<string>>, character_frequencies array<map<string,int>>, is_first_person boolean, first_person_name string")
-    asked = call_rows(packed, model, "characters", ["text"]).withColumn("r", reply)
+    asked = cut(call_rows(packed, model, "characters", ["text"]).withColumn("r", reply))  # asked once, used for names and points of view
     mentions = asked.select(book, F.col(stem).alias("segment"), "chunk", "r", F.posexplode("r.characters").alias("pos", "names"))
     mentions = mentions.select(book, "segment", (F.col("chunk") * 100000 + F.col("pos")).alias("pos"), "names", F.get("r.character_frequencies", F.col("pos")).alias("freqs"))
     groups = characters.name_groups(mentions, book)
@@ -50,7 +53,7 @@ def consolidate_characters(segments: DataFrame, model: LanguageModel = RULES, bo
     formal = F.from_json("reply", "name string, alias array<string>")
     named = call_rows(listed, model, "formal_name", ["names"]).withColumn("f", formal)
     name = F.when(F.array_contains("names", F.col("f.name")), F.col("f.name")).otherwise(F.get("names", F.lit(0)))
-    chars = named.withColumn("name", name).select(book, "name", F.filter("names", lambda n: n != F.col("name")).alias("alias"), "frequencies", "consecutive_over_limit")
+    chars = cut(named.withColumn("name", name).select(book, "name", F.filter("names", lambda n: n != F.col("name")).alias("alias"), "frequencies", "consecutive_over_limit"))
     pov = asked.groupBy(book, F.col(stem).alias("segment")).agg(F.bool_or("r.is_first_person").alias("is_first_person"), F.max_by(F.nullif("r.first_person_name", F.lit("")), F.when(F.coalesce("r.first_person_name", F.lit("")) != "", F.col("chunk"))).alias("first_person_name"))
     filled = characters.pov_fill(pov, book, "segment").withColumnRenamed("pov", "pov_name")
     alias = chars.select(book, F.col("name").alias("formal"), F.explode(F.array_append("alias", F.col("name"))).alias("alias"))
@@ -278,11 +281,11 @@ def run_step(step: str, *inputs: DataFrame, **settings: Any) -> Any:
 
 
 def run_story_pipeline(spark: SparkSession, texts: DataFrame, mode: str = "paraphrase", least: int = 0) -> DataFrame:
-    """From (book, text) to reasoning variants: all steps in one plan."""
-    cut = run_step("1_1", texts.withColumnRenamed("book", "doc_id"), least=least)
-    seg = cut.select(F.col("doc_id").cast("string").alias("book"), F.col("scene_id").alias("stem"), F.col("content").alias("text"))
-    chars, people = run_step("1_2", seg)
-    facts = run_step("1_3", seg, people, chars)
-    world, cards = run_step("1_4", facts, people, chars)
-    talk = run_step("1_5", seg, people, facts, chars)
-    return run_step("2_2", run_step("2_1", talk, people, world, cards, mode=mode))
+    """From (book, text) to reasoning variants; each step's result is kept for the next ones."""
+    scenes = run_step("1_1", texts.withColumnRenamed("book", "doc_id"), least=least)
+    seg = cut(scenes.select(F.col("doc_id").cast("string").alias("book"), F.col("scene_id").alias("stem"), F.col("content").alias("text")))
+    chars, people = (cut(x) for x in run_step("1_2", seg))
+    facts = cut(run_step("1_3", seg, people, chars))
+    world, cards = (cut(x) for x in run_step("1_4", facts, people, chars))
+    talk = cut(run_step("1_5", seg, people, facts, chars))
+    return run_step("2_2", cut(run_step("2_1", talk, people, world, cards, mode=mode)))

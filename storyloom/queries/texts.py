@@ -84,7 +84,7 @@ def _bounded(spark: SparkSession, d: str) -> DataFrame:
     raw = F.transform("ls", lambda x, i: F.when(F.length(x) % 4 == 0, (i + 1).cast("string")).otherwise("x"))
     ends = F.array(F.lit(1), (F.size("ls") + 1).cast("int"))
     b = F.array_sort(F.array_distinct(F.concat(ch.valid_boundaries(raw), ends)))
-    return rows.withColumn("bounds", ch.thin_boundaries(b, 3))
+    return rows.withColumn("all", b).withColumn("bounds", ch.thin_boundaries("all", 3))
 
 
 @query(_STARTS + "SELECT doc_id, CAST(i - 1 AS BIGINT) AS n, CAST(k[i] AS INTEGER) AS line FROM (SELECT doc_id, k, unnest(range(1, len(k) + 1)) AS i FROM k)")
@@ -102,7 +102,8 @@ def scenes(spark: SparkSession, d: str) -> DataFrame:
 @query()
 def scenes_merged(spark: SparkSession, d: str) -> DataFrame:
     rows = _bounded(spark, d)
-    return ch.scenes(rows.withColumn("bounds", ch.merge_short("ls", "bounds", 500)), "doc_id")
+    kept = rows.withColumn("kept", ch.long_scenes("ls", "bounds", 500))
+    return ch.scenes(kept.withColumn("bounds", ch.merge_last("ls", "kept", "bounds", 500)), "doc_id")
 
 
 @query()
@@ -125,8 +126,7 @@ SELECT doc_id, string_agg(s, chr(10) ORDER BY i, o, k) AS text FROM u WHERE n >=
 def split_dialogue(spark: SparkSession, d: str) -> DataFrame:
     """Documents rewritten with quotes, those with three segments or more (shorter ones need look-ahead, which the SQL lacks)."""
     rows = table(spark, d, "documents").where("text is not null and text <> ''").select("doc_id", F.expr(_QUOTED).alias("t"))
-    out = rows.select("doc_id", tx.split_dialogue("t").alias("text"), F.size(F.split("t", r"[“「][^\n]*?[”」]", -1)).alias("parts"))
-    return out.where(F.size(F.split("text", "\n")) >= 3).select("doc_id", "text") if False else _three(rows).select("doc_id", "text")
+    return _three(rows)
 
 
 def _three(rows: DataFrame) -> DataFrame:

@@ -1,41 +1,34 @@
-"""Fixed schemas, declared once."""
+"""Fixed schemas, declared once, as DDL text (it needs no session to be imported)."""
 
 from __future__ import annotations
 
-from pyspark.sql import types as T
-
-
-def _s(ddl: str) -> T.StructType:
-    return T.StructType.fromDDL(ddl)
-
-
-MESSAGE = _s("role string, content string, reasoning string, reasoning_content string")
-CHATML_ROW = _s("messages array<struct<role: string, content: string, reasoning: string, reasoning_content: string>>")
-TEXT_ROW = _s("text string")
-SCENE = _s("scene_id string, source_file string, start_line int, end_line int, content string, char_count int")
-CHARACTER = _s("name string, alias array<string>, frequencies map<string, int>, consecutive_over_limit int")
-SEGMENT_CHARACTERS = _s("is_pov boolean, pov_name string, characters array<string>")
-FACTS = _s("environment_facts array<string>, character_facts array<struct<name: string, facts: array<string>, representative_quote: string>>, summary string")
-DIALOGUE = _s("context_summary string, messages array<struct<speaker: string, content: string>>")
+MESSAGE = "role string, content string, reasoning string, reasoning_content string"
+CHATML_ROW = "messages array<struct<role: string, content: string, reasoning: string, reasoning_content: string>>"
+TEXT_ROW = "text string"
+SCENE = "scene_id string, source_file string, start_line int, end_line int, content string, char_count int"
+CHARACTER = "name string, alias array<string>, frequencies map<string, int>, consecutive_over_limit int"
+SEGMENT_CHARACTERS = "is_pov boolean, pov_name string, characters array<string>"
+FACTS = "environment_facts array<string>, character_facts array<struct<name: string, facts: array<string>, representative_quote: string>>, summary string"
+DIALOGUE = "context_summary string, messages array<struct<speaker: string, content: string>>"
 STATUS_FIELDS = ("health", "mood", "location", "hair", "makeup", "accessories", "posture", "outerwear", "top", "bottom", "socks", "shoes")
-DATA_BLOCK = _s(
+DATA_BLOCK = (
     "dataType string, line_count int, content string, speaker string, actor string, target string, character string, "
     f"updates struct<{', '.join(f'{f}: string' for f in STATUS_FIELDS)}>, opinion string, new_event string, item_name string, action string, new_state string, new_scene string"
 )
-SCENE_FILE = _s("start_line int, end_line int, plot_summary string, character_states map<string, string>, character_relationships map<string, string>, character_items map<string, string>, data_blocks array<struct<dataType: string, content: string>>")
-CHARACTER_CARD = _s(
+SCENE_FILE = "start_line int, end_line int, plot_summary string, character_states map<string, string>, character_relationships map<string, string>, character_items map<string, string>, data_blocks array<struct<dataType: string, content: string>>"
+CHARACTER_CARD = (
     "profile struct<name: string, identity: string, impression: string>, personality struct<keywords: array<string>, logic: string, ethics: string>, "
     "linguistic_fingerprint struct<tone: string, habit: string, address: string>, knowledge_boundary struct<known: array<string>, bias: string>, sample_dialogue array<string>"
 )
-NOVEL_ANNOTATION = _s(f"worldview string, character_cards array<{CHARACTER_CARD.simpleString()}>, unknown boolean")
-CATALOG = _s("Uid string, Title string, tags string")
-RECORD = _s("id string, type string, name string, timestamp string, depth int, input string, output string, metadata string, created_at string")
-ANNOTATION_SCHEMA = _s("id bigint, name string, created_at string")
-SCHEMA_FIELD = _s("id bigint, schema_id bigint, name string, label string, type string, options string, order_idx int")
-QUEUE = _s("id bigint, name string, schema_id bigint, created_at string")
-QUEUE_ITEM = _s("id bigint, queue_id bigint, record_id string, status string, created_at string")
-ANNOTATION = _s("id bigint, queue_item_id bigint, values string, updated_at string")
-DATASET = _s("id bigint, name string, created_at string")
-DATASET_ITEM = _s("id bigint, dataset_id bigint, record_id string, source string, queue_item_id bigint")
-TOOL_CALLS = T.ArrayType(_s("id string, function struct<name: string, arguments: string>"))
-CHECKPOINT = _s("current_line int, processed_scenes int, state_data string")
+NOVEL_ANNOTATION = f"worldview string, character_cards array<struct<{CHARACTER_CARD}>>, unknown boolean"
+CATALOG = "Uid string, Title string, tags string"
+RECORD = "id string, type string, name string, timestamp string, depth int, input string, output string, metadata string, created_at string"
+ANNOTATION_SCHEMA = "id bigint, name string, created_at string"
+SCHEMA_FIELD = "id bigint, schema_id bigint, name string, label string, type string, options string, order_idx int"
+QUEUE = "id bigint, name string, schema_id bigint, created_at string"
+QUEUE_ITEM = "id bigint, queue_id bigint, record_id string, status string, created_at string"
+ANNOTATION = "id bigint, queue_item_id bigint, values string, updated_at string"
+DATASET = "id bigint, name string, created_at string"
+DATASET_ITEM = "id bigint, dataset_id bigint, record_id string, source string, queue_item_id bigint"
+TOOL_CALLS = "array<struct<id: string, function: struct<name: string, arguments: string>>>"
+CHECKPOINT = "current_line int, processed_scenes int, state_data string"

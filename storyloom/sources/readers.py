@@ -13,16 +13,12 @@ from storyloom.schemas import CHATML_ROW, TEXT_ROW
 CORRUPT = "_corrupt_record"
 
 
-def read_jsonl(spark: SparkSession, path: str | list[str], schema: T.StructType = TEXT_ROW, recursive: bool = False, suffix: str | None = None) -> tuple[DataFrame, DataFrame]:
+def read_jsonl(spark: SparkSession, path: str | list[str], schema: str = TEXT_ROW, recursive: bool = False, suffix: str | None = None) -> tuple[DataFrame, DataFrame]:
     """(rows, rejects): blank lines are skipped, malformed ones go to the rejects with their file."""
-    reader = spark.read.schema(T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType())])).option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", CORRUPT)
-    reader = reader.option("recursiveFileLookup", str(recursive).lower())
-    if suffix:
-        reader = reader.option("pathGlobFilter", f"*{suffix}")
     # read as text first: rejects then need no cache of a parsed scan
     text = spark.read.option("recursiveFileLookup", str(recursive).lower())
     text = (text.option("pathGlobFilter", f"*{suffix}") if suffix else text).text(path).where(F.trim("value") != "")
-    parsed = text.withColumn("r", F.from_json("value", T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType())]), {"columnNameOfCorruptRecord": CORRUPT}))
+    parsed = text.withColumn("r", F.from_json("value", f"{schema}, {CORRUPT} string", {"columnNameOfCorruptRecord": CORRUPT}))
     good = parsed.where(f"r.{CORRUPT} is null").select("r.*").drop(CORRUPT)
     bad = parsed.where(f"r.{CORRUPT} is not null").select(F.col("_metadata.file_name").alias("file"), F.col("value").alias("line"))
     return good, bad
@@ -54,7 +50,7 @@ def _named(files: DataFrame, suffix: str) -> DataFrame:
     return files.select(at.alias("path"), F.regexp_extract(at, r"([^/]+)/[^/]+$", 1).alias("book"), F.col("_metadata.file_name").alias("file"), F.regexp_replace(F.col("_metadata.file_name"), suffix.replace(".", r"\.") + "$", "").alias("stem"), *[c for c in files.columns])
 
 
-def read_json_documents(spark: SparkSession, path: str, schema: T.StructType, suffix: str) -> DataFrame:
+def read_json_documents(spark: SparkSession, path: str, schema: str, suffix: str) -> DataFrame:
     """One JSON document per file behind path, book, file and stem; unreadable ones have null fields."""
     files = spark.read.schema(schema).option("multiLine", True).option("recursiveFileLookup", "true").option("pathGlobFilter", f"*{suffix}").json(path)
     return _named(files, suffix)

@@ -13,7 +13,7 @@ from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 from pyspark.sql.streaming.query import StreamingQuery
 
 
-def read_jsonl_stream(spark: SparkSession, path: str, schema: T.StructType, files_per_trigger: int | None = None) -> DataFrame:
+def read_jsonl_stream(spark: SparkSession, path: str, schema: str, files_per_trigger: int | None = None) -> DataFrame:
     reader = spark.readStream.schema(schema)
     return (reader.option("maxFilesPerTrigger", files_per_trigger) if files_per_trigger else reader).json(path)
 
