@@ -4,7 +4,7 @@ A page becomes a line of tokens: words, each scoring +1, and tags, each scoring
 pages: those that mark their content with an ``article`` or ``main`` element, at most ``FIT_PAGES`` of
 them (the smallest hashes of their ids); a tag that occurs mostly outside the marked content costs up to
 ``COST`` words, one that occurs inside it little. Elements that hold no content (menus, forms, scripts, comments, ...) are
-one costly token without words. One scan finds the best-scoring region, and its words, blocks in order, are the text.
+one token without words, weighted like a tag. One scan finds the best-scoring region, and its words, blocks in order, are the text.
 
 Defined results: null or empty html gives an empty text; unclosed or cut-off markup ends at the page's end; an unclosed
 element without content ends at the next heading or content element; ties go to the earliest, longest region; repeated rows are
@@ -27,7 +27,7 @@ FIT_PAGES = 400
 FIT_BYTES = 65_536
 COST = 20.0
 LEAST = 0.05
-BARRIER = 4.0
+BARRIER = 1.0
 
 # fixed values: element names of the HTML standard, by role
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -112,8 +112,9 @@ def fit_weights(pages: list[str]) -> dict[str, float]:
     for page in pages:
         depth = 0
         for kind, value in parse(page):
-            if kind != "tag":
+            if kind == "text":
                 continue
+            value = value if kind == "tag" else f"!{value}"
             if value in CONTENT:
                 depth += 1
             if value.lstrip("/") in CONTENT or not depth:
@@ -139,7 +140,7 @@ def extract(page: str | None, weights: dict[str, float]) -> str:
         elif kind == "tag":
             score = weights.get(value, DEFAULT_INLINE if value.lstrip("/") in INLINE else DEFAULT_BLOCK)
         else:
-            score = -BARRIER
+            score = weights.get(f"!{value}", -BARRIER)
         if run <= 0:
             run, head = 0.0, i
         run += score

@@ -6,7 +6,7 @@ words of letters, digits, ``_`` and ``-`` with a digit. Labelers of three sorts
 hyphenated word, a plain number). Votes are counted by pattern over all documents - a table bounded by the number of vote and
 feature combinations - from which expectation-maximisation estimates each labeler's reliability and each pattern's
 probability; a naive Bayes span classifier over the span's own features is trained with those probabilities, and
-spans it gives at least ``THRESHOLD`` are added. Added spans never replace or overlap base spans.
+spans it gives at least ``THRESHOLD`` are added. Added spans never replace base spans and never lie inside one.
 
 Positions come from one pass: gaps and matches alternate, so starts are sums of lengths. Patterns are possessive or
 anchored at the start of their character run, so long runs take linear time and no recursion.
@@ -161,7 +161,7 @@ def with_spans(docs: DataFrame, text: str, model: tuple[float, list[dict[int, fl
     base = with_base(docs, text).withColumn("_secret", matches(text, "secret"))
     tagged = [f"transform(_{k}, x -> named_struct('s', x.s, 'k', {i}, 'e', x.e))" for i, k in enumerate(KINDS[:4])]
     base = base.withColumn("_base", F.expr(f"array_sort(concat({', '.join(tagged)}))"))
-    clear = "not exists(_base, b -> b.s < x.e and x.s < b.e)"
+    clear = "not exists(_base, b -> b.s <= x.s and x.e <= b.e)"
     added = f"transform(filter(_secret, x -> {secret_test(model, 'x.m')} and {clear}), x -> named_struct('s', x.s, 'k', 4, 'e', x.e))"
     return base.withColumn("_spans", F.expr(f"array_sort(concat(_base, {added}))"))
 
