@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from storyloom.functions.arrays import explode_once
 from storyloom.functions.text import strip
 
 _STATE = "named_struct('size', 0L, 'chunk', 0, 'ids', cast(array() as array<int>))"
@@ -42,7 +43,7 @@ def pack_lines(rows: DataFrame, doc: str, ids: Column, text: str = "text") -> Da
     """(doc, chunk, content, n_lines) from chunk numbers of the text's lines."""
     z = F.arrays_zip(F.split(F.col(text), "\n").alias("line"), ids.alias("chunk"))
     return (
-        rows.select(doc, F.posexplode(z).alias("pos", "z")).groupBy(doc, F.col("z.chunk").alias("chunk"))
+        explode_once(rows, z, doc, value="z").groupBy(doc, F.col("z.chunk").alias("chunk"))
         .agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("pos", "z.line"))), lambda v: v["line"]), "\n").alias("content"), F.count("*").alias("n_lines"))
     )
 
@@ -114,9 +115,10 @@ def merge_last(lines: str, kept: str, bounds: str, least: int = 2000) -> Column:
 def scenes(rows: DataFrame, doc: str, bounds: str = "bounds", text: str = "text") -> DataFrame:
     """(doc, scene_id, start_line, end_line, content, char_count) from boundaries (first lines, and the line behind the end)."""
     lines = F.split(F.col(text), "\n")
-    cut = rows.select(doc, lines.alias("_lines"), F.col(bounds).alias("_b")).where(F.size("_b") > 1)
-    each = cut.select(doc, "_lines", "_b", F.posexplode(F.slice("_b", F.lit(1), F.size("_b") - 1)).alias("_i", "start_line"))
-    each = each.withColumn("end_line", F.element_at("_b", F.col("_i") + 2) - 1).where("start_line <= end_line")
+    cut = rows.select(doc, lines.alias("_lines"), F.col(bounds).alias("_b"))
+    each = explode_once(cut, F.slice("_b", F.lit(1), F.greatest(F.lit(0), F.size("_b") - 1)), doc, "_lines", "_b", pos="_i", value="start_line")
+    # coalesce: else the filter implies that the boundaries are not null, and that is pushed down with the fold that makes them
+    each = each.withColumn("end_line", F.coalesce(F.try_element_at("_b", F.col("_i") + 2), F.lit(0)) - 1).where("start_line <= end_line")
     each = each.withColumn("content", strip(F.array_join(F.slice("_lines", F.col("start_line"), F.col("end_line") - F.col("start_line") + 1), "\n"))).where("content <> ''")
     name = F.format_string("%s_%03d", F.col(doc).cast("string"), F.col("_i"))
     return each.select(doc, name.alias("scene_id"), F.col("start_line").cast("int").alias("start_line"), F.col("end_line").cast("int").alias("end_line"), "content", F.length("content").alias("char_count"))
@@ -146,7 +148,7 @@ def byte_shards(rows: DataFrame, size: Column, key: str, order: str, shard_bytes
         go = F.struct(F.when(new, r["_size"]).otherwise(a["cur"] + r["_size"]).alias("cur"), (a["all"] + r["_size"]).alias("all"), shard.alias("shard"), F.array_append(a["out"], F.struct(r[order].cast("long").alias(order), shard.alias("shard"))).alias("out"))
         return go if total_bytes is None else F.when(a["all"] >= total_bytes, a).otherwise(go)
 
-    return listed.select(key, F.explode(F.aggregate("x", zero, step, lambda a: a["out"])).alias("o")).select(key, f"o.{order}", "o.shard")
+    return explode_once(listed, F.aggregate("x", zero, step, lambda a: a["out"]), key, value="o").select(key, f"o.{order}", "o.shard")
 
 
 def sequence_numbers(rows: DataFrame, part: str, order: str, name: str = "n") -> DataFrame:

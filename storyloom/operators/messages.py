@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from storyloom.functions.arrays import explode_once
 from storyloom.functions.text import clean_lines, split_lines, strip, unquote
 
 MSG = "array<struct<role:string,content:string>>"
@@ -150,7 +151,8 @@ def batch_ids(messages: Column | str, min_chars: int) -> Column:
 def paraphrase(rows: DataFrame, doc: str, messages: str = "messages", min_chars: int = 500, users: int | None = 2) -> DataFrame:
     """(doc, pos, role, content): each batch as one user message (its first ``users`` user messages, unquoted; all if None)
     and one assistant message with everything in it. A batch without user messages has no user part."""
-    batched = rows.select(doc, F.explode(F.arrays_zip(F.col(messages).alias("m"), batch_ids(messages, min_chars).alias("b"), F.sequence(F.lit(0), F.size(messages) - 1).alias("i"))).alias("z")).select(doc, F.col("z.b").alias("batch"), F.col("z.i").alias("pos"), "z.m.role", "z.m.content")
+    zipped = F.arrays_zip(F.col(messages).alias("m"), batch_ids(messages, min_chars).alias("b"))
+    batched = explode_once(rows, zipped, doc, value="z").select(doc, F.col("z.b").alias("batch"), "pos", "z.m.role", "z.m.content")
     own = F.array_sort(F.collect_list(F.when(F.col("role") == "user", F.struct("pos", unquote("content").alias("v")))))
     own = own if users is None else F.slice(own, 1, users)
     per = batched.groupBy(doc, "batch").agg(own.alias("u"), ordered_join("content").alias("everything"))
@@ -197,7 +199,7 @@ def progressive_reasoning(messages: Column | str) -> Column:
 def reasoning_variants(rows: DataFrame, doc: str, messages: str = "messages") -> DataFrame:
     """(doc, variant, messages): variant 0 is without reasoning, then one per assistant message. Documents without messages or a user message are left out."""
     fit = rows.where((F.size(messages) > 0) & F.exists(messages, lambda x: x["role"] == "user"))
-    return fit.select(doc, F.posexplode(F.concat(F.array(without_reasoning(messages)), progressive_reasoning(messages))).alias("variant", "messages"))
+    return explode_once(fit, F.concat(F.array(without_reasoning(messages)), progressive_reasoning(messages)), doc, pos="variant", value="messages")
 
 
 # --- text to messages ---------------------------------------------------------------------------------------------
@@ -205,7 +207,7 @@ def reasoning_variants(rows: DataFrame, doc: str, messages: str = "messages") ->
 
 def text_lines(rows: DataFrame, doc: str, text: str = "text") -> DataFrame:
     """(doc, pos, line): stripped lines that are not blank. Documents without any disappear."""
-    return rows.where(strip(F.coalesce(F.col(text), F.lit(""))) != "").select(doc, F.posexplode(clean_lines(text)).alias("pos", "line"))
+    return explode_once(rows, clean_lines(text), doc, value="line")
 
 
 def system_prompt(task: Column, world: Column, profiles: Column, context: Column) -> Column:

@@ -10,6 +10,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from storyloom.functions.arrays import explode_once
 from storyloom.functions.fuzzy import quote_pieces
 from storyloom.functions.text import split_dialogue, strip
 from storyloom.operators import characters, chunking, mapping, messages, ordering, relational, state
@@ -24,7 +25,7 @@ def segment_scenes(docs: DataFrame, doc: str = "doc_id", text: str = "text", mod
     """Scenes of each document: chunks of lines, scene changes per chunk, boundaries thinned and merged, then cut."""
     base = docs.select(doc, text).where(F.col(text).isNotNull())
     lines = base.withColumn("_lines", F.split(text, "\n")).withColumn("_ids", chunking.line_chunks("_lines", chunk))
-    per = lines.select(doc, F.posexplode(F.arrays_zip(F.col("_lines").alias("line"), F.col("_ids").alias("chunk"))).alias("pos", "z")).groupBy(doc, F.col("z.chunk").alias("chunk"))
+    per = explode_once(lines, F.arrays_zip(F.col("_lines").alias("line"), F.col("_ids").alias("chunk")), doc, value="z").groupBy(doc, F.col("z.chunk").alias("chunk"))
     per = per.agg(F.min("pos").alias("p0"), F.transform(F.array_sort(F.collect_list(F.struct("pos", "z.line"))), lambda x: x["line"]).alias("lines")).withColumn("first_line", F.col("p0") + 1)
     asked = call_rows(per.select(doc, "chunk", "first_line", "lines"), model, "scene_changes", ["first_line", "lines"])
     found = F.from_json("reply", "scene_changes array<string>")["scene_changes"]
@@ -42,7 +43,7 @@ def segment_scenes(docs: DataFrame, doc: str = "doc_id", text: str = "text", mod
 def consolidate_characters(segments: DataFrame, model: LanguageModel = RULES, book: str = "book", stem: str = "stem", text: str = "text") -> tuple[DataFrame, DataFrame]:
     """(characters, segment characters) of books: names per chunk, groups, formal names, points of view."""
     chunks = segments.select(book, stem, text).withColumn("_ids", chunking.line_chunks_loose(text, 2000))
-    parts = chunks.select(book, stem, F.posexplode(F.arrays_zip(F.split(F.col(text), "\n").alias("line"), F.col("_ids").alias("chunk"))).alias("pos", "z"))
+    parts = explode_once(chunks, F.arrays_zip(F.split(F.col(text), "\n").alias("line"), F.col("_ids").alias("chunk")), book, stem, value="z")
     packed = parts.groupBy(book, stem, F.col("z.chunk").alias("chunk")).agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("pos", "z.line"))), lambda x: x["line"]), "\n").alias("text"))
     reply = F.from_json("reply", "characters array<array<string>>, character_frequencies array<map<string,int>>, is_first_person boolean, first_person_name string")
     asked = cut(call_rows(packed, model, "characters", ["text"]).withColumn("r", reply))  # asked once, used for names and points of view

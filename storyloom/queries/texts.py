@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from storyloom.functions import fuzzy
+from storyloom.functions.arrays import explode_once
 from storyloom.functions import text as tx
 from storyloom.operators import chunking as ch
 from storyloom.operators import ordering as od
@@ -62,13 +63,13 @@ o AS (SELECT doc_id, list_filter(list_transform(list_append(s.out, s.buf), lambd
 SELECT doc_id, CAST(i - 1 AS BIGINT) AS n, o[i] AS segment FROM (SELECT doc_id, o, unnest(range(1, len(o) + 1)) AS i FROM o)""")
 def split_segments(spark: SparkSession, d: str) -> DataFrame:
     rows = table(spark, d, "documents").where("text is not null")
-    return rows.select("doc_id", F.posexplode(ch.split_segments("text", 600, 600)).alias("n", "segment")).withColumn("n", F.col("n").cast("long"))
+    return explode_once(rows, ch.split_segments("text", 600, 600), "doc_id", pos="n", value="segment").withColumn("n", F.col("n").cast("long"))
 
 
 @query()
 def split_segments_random(spark: SparkSession, d: str) -> DataFrame:
     rows = table(spark, d, "documents").where("text is not null")
-    return rows.select("doc_id", F.posexplode(ch.split_segments("text", 2000, 4000, "doc_id", 7)).alias("n", "segment"))
+    return explode_once(rows, ch.split_segments("text", 2000, 4000, "doc_id", 7), "doc_id", pos="n", value="segment")
 
 
 _STARTS = r"""WITH a AS (SELECT doc_id, string_split(text, chr(10)) AS ls FROM documents WHERE text IS NOT NULL),
@@ -89,7 +90,7 @@ def _bounded(spark: SparkSession, d: str) -> DataFrame:
 
 @query(_STARTS + "SELECT doc_id, CAST(i - 1 AS BIGINT) AS n, CAST(k[i] AS INTEGER) AS line FROM (SELECT doc_id, k, unnest(range(1, len(k) + 1)) AS i FROM k)")
 def scene_boundaries(spark: SparkSession, d: str) -> DataFrame:
-    return _bounded(spark, d).select("doc_id", F.posexplode("bounds").alias("n", "line")).withColumn("n", F.col("n").cast("long"))
+    return explode_once(_bounded(spark, d), F.col("bounds"), "doc_id", pos="n", value="line").withColumn("n", F.col("n").cast("long"))
 
 
 @query(_STARTS + r""", e AS (SELECT doc_id, ls, i - 1 AS n, k[i] AS s, k[i + 1] - 1 AS e FROM (SELECT doc_id, ls, k, unnest(range(1, len(k))) AS i FROM k)),
