@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import gc
 import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -30,6 +32,21 @@ def new_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark).rstrip('/')}/storyloom-{name}-{uuid.uuid4().hex}"
 
 
+def bounded_sample(rows: DataFrame, key: str, most: int) -> DataFrame:
+    """At most ``most`` rows by the hash of ``key``; all if there are no more. Rows are taken where they are read, so no task or driver sorts or gathers more than these."""
+    n = rows.count()
+    if n > most:
+        share = int(0.9 * most / n * (1 << 31))
+        rows = rows.where(F.pmod(F.xxhash64(key), F.lit(1 << 31)) < share)
+    return rows.limit(most)
+
+
+def release(spark: SparkSession) -> None:
+    """Let go of the shuffle files of finished jobs. Spark removes them when the driver's garbage is collected, which may otherwise take long."""
+    gc.collect()
+    spark._jvm.System.gc()
+
+
 def delete_on_exit(spark: SparkSession, path: str) -> None:
     jvm = spark._jvm
     p = jvm.org.apache.hadoop.fs.Path(path)

@@ -24,17 +24,17 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from storyloom.llm.runtime import write_table
+from storyloom.llm.runtime import release, write_table
 from storyloom.llm.vectext import GRAM, GRAM2, Words, chunks, mix, record, sliding_argmin
 
-_RUNS = pa.schema([("doc_id", pa.int64()), ("tkey", pa.int64()), ("s0", pa.int32()), ("n", pa.int32()), ("seed", pa.int64()), ("ctx", pa.int64())])
+_RUNS = pa.schema([("doc_id", pa.int64()), ("tkey", pa.int64()), ("s0", pa.int32()), ("n", pa.int32()), ("times", pa.int32()), ("seed", pa.int64()), ("ctx", pa.int64())])
 _WINDOWS = pa.schema([("doc_id", pa.int64()), ("tkey", pa.int64()), ("s0", pa.int32()), ("sure", pa.bool_()), ("x1", pa.int64()), ("x2", pa.int64())])
 
 
 def runs_of(words: Words, min_words: int, seed_words: int) -> dict[str, np.ndarray]:
-    """The runs of a batch: row, first window (word offset in its row), number of windows, seed and context hash."""
+    """The runs of a batch: row, first window (word offset in its row), number of windows, times it comes in a row, seed and context hash."""
     m = len(words.hash) - min_words + 1
-    none = {k: np.zeros(0, np.int64) for k in ("doc", "s0", "n", "seed", "ctx")}
+    none = {k: np.zeros(0, np.int64) for k in ("doc", "s0", "n", "times", "seed", "ctx")}
     if m <= 0:
         return none
     at = np.flatnonzero(words.doc[:m] == words.doc[min_words - 1 :])
@@ -52,7 +52,13 @@ def runs_of(words: Words, min_words: int, seed_words: int) -> dict[str, np.ndarr
     n = np.diff(np.append(head, len(at)))
     s = at[head]
     ctx = mix(GRAM2.slices(GRAM2.prefix(words.hash), s, s + n + min_words - 1))
-    return {"doc": words.doc[s], "s0": s - words.first[words.doc[s]], "n": n, "seed": seed[head], "ctx": ctx}
+    # periodic text: neighbouring runs with one context count as one row
+    lead = np.ones(len(s), bool)
+    lead[1:] = (s[1:] != s[:-1] + n[:-1]) | (ctx[1:] != ctx[:-1]) | (n[1:] != n[:-1]) | (seed[head][1:] != seed[head][:-1])
+    at = np.flatnonzero(lead)
+    times = np.diff(np.append(at, len(s)))
+    s = s[at]
+    return {"doc": words.doc[s], "s0": s - words.first[words.doc[s]], "n": n[at], "times": times, "seed": seed[head][at], "ctx": ctx[at]}
 
 
 def _emit_runs(min_words: int, seed_words: int):
@@ -60,7 +66,7 @@ def _emit_runs(min_words: int, seed_words: int):
         for b in chunks(batches):
             r = runs_of(Words(b.column("text")), min_words, seed_words)
             rows = pa.array(r["doc"])
-            yield record(_RUNS, doc_id=b.column("doc_id").take(rows), tkey=b.column("tkey").take(rows), s0=r["s0"].astype(np.int32), n=r["n"].astype(np.int32), seed=r["seed"].astype(np.uint64).view(np.int64), ctx=r["ctx"].astype(np.uint64).view(np.int64))
+            yield record(_RUNS, doc_id=b.column("doc_id").take(rows), tkey=b.column("tkey").take(rows), s0=r["s0"].astype(np.int32), n=r["n"].astype(np.int32), times=r["times"].astype(np.int32), seed=r["seed"].astype(np.uint64).view(np.int64), ctx=r["ctx"].astype(np.uint64).view(np.int64))
 
     return emit
 
@@ -97,10 +103,10 @@ def covered(n_words: int, spans: list[tuple[int, int]]) -> np.ndarray:
 
 def _keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     text = F.col(text_col).cast("string")
-    return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(text).alias("tkey"), text.alias("text"))
+    return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.hash(text).cast("long").alias("tkey"), text.alias("text"))
 
 
-def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_words: int = 35, seed_words: int = 10) -> DataFrame:
+def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_words: int = 35, seed_words: int = 6) -> DataFrame:
     """(doc_id, tkey, text, spans): each row with the word spans [from, to) of its windows that start elsewhere too.
 
     ``tkey`` tells rows with one id but different texts apart.
@@ -108,24 +114,25 @@ def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     if not 0 < seed_words <= min_words:
         raise ValueError("seed_words must be from 1 to min_words")
     keyed = _keyed(docs, id_col, text_col)
-    ddl = "doc_id long, tkey long, s0 int, n int, seed long, ctx long"
+    ddl = "doc_id long, tkey long, s0 int, n int, times int, seed long, ctx long"
     runs = write_table(keyed.where("text is not null").mapInArrow(_emit_runs(min_words, seed_words), ddl), "runs")
-    again = runs.groupBy("seed").agg(F.count("*").alias("places")).where("places > 1").select("seed")
+    # tables, so that both sides of the joins are plain shuffles, which Spark splits where a key is hot
+    again = write_table(runs.groupBy("seed").agg(F.sum("times").alias("places")).where("places > 1").select("seed"), "again")
     cand = write_table(runs.join(again, "seed"), "seeded")
-    classes = cand.groupBy("seed", "ctx").agg(F.count("*").alias("copies"), F.min(F.struct("doc_id", "tkey", "s0", "n")).alias("one"))
+    classes = write_table(cand.groupBy("seed", "ctx").agg(F.sum("times").alias("copies"), F.min(F.struct("doc_id", "tkey", "s0", "n")).alias("one")), "classes")
+    release(docs.sparkSession)
     many = classes.groupBy("seed").agg(F.count("*").alias("kinds")).where("kinds > 1").select("seed")
     sure = cand.join(classes.where("copies > 1").select("seed", "ctx"), ["seed", "ctx"])
-    spans = sure.select("doc_id", "tkey", F.col("s0").alias("a"), (F.col("s0") + F.col("n") + (min_words - 1)).alias("b"))
+    spans = sure.select("doc_id", "tkey", F.col("s0").alias("a"), (F.col("s0") + F.col("n") * F.col("times") + (min_words - 1)).alias("b"))
     extend = classes.join(many, "seed").select("one.*", (F.col("copies") > 1).alias("sure")).groupBy("doc_id", "tkey").agg(F.collect_list(F.struct("s0", "n", "sure")).alias("runs"))
     same = lambda a, b: a["doc_id"].eqNullSafe(b["doc_id"]) & (a["tkey"] == b["tkey"])
-    solid = keyed.where("text is not null")
-    windows = solid.join(extend, same(solid, extend)).select(solid["doc_id"], solid["tkey"], "text", "runs").mapInArrow(_emit_windows(min_words), "doc_id long, tkey long, s0 int, sure boolean, x1 long, x2 long")
+    # the same unfiltered texts as in the last join, so that one exchange of them serves all
+    windows = keyed.join(extend, same(keyed, extend)).select(keyed["doc_id"], keyed["tkey"], "text", "runs").mapInArrow(_emit_windows(min_words), "doc_id long, tkey long, s0 int, sure boolean, x1 long, x2 long")
     # a window of a run whose context is unique comes once; those of repeated rows come with ``sure``
     hits = windows.groupBy("x1", "x2").agg(F.count("*").alias("places"), F.max("sure").alias("sure")).where("places > 1 or sure").select("x1", "x2")
     more = windows.where("not sure").join(hits, ["x1", "x2"]).select("doc_id", "tkey", F.col("s0").alias("a"), (F.col("s0") + min_words).alias("b"))
     per_doc = spans.unionByName(more).groupBy("doc_id", "tkey").agg(F.collect_set(F.struct("a", "b")).alias("spans"))
-    whole = keyed
-    return whole.join(per_doc, same(whole, per_doc), "left").select(whole["doc_id"], whole["tkey"], "text", "spans")
+    return keyed.join(per_doc, same(keyed, per_doc), "left").select(keyed["doc_id"], keyed["tkey"], "text", "spans")
 
 
 def _apply(with_text: bool):
@@ -147,7 +154,7 @@ def _apply(with_text: bool):
     return emit
 
 
-def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_words: int = 35, seed_words: int = 10, with_text: bool = True) -> DataFrame:
+def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_words: int = 35, seed_words: int = 6, with_text: bool = True) -> DataFrame:
     """(doc_id, n_words, n_removed, kept_sha256[, kept_text]) for each row of ``docs``."""
     spans = repeated_spans(docs, id_col, text_col, min_words, seed_words)
     ddl = "doc_id long, tkey long, n_words long, n_removed long, kept_sha256 string" + ", kept_text string" * with_text
