@@ -2,7 +2,7 @@
 
 A page becomes a line of tokens: words, each scoring +1, and tags, each scoring negative. Tag weights are learned from labelled
 pages: those that mark their content with an ``article`` or ``main`` element, at most ``FIT_PAGES`` of
-them (the smallest hashes of their ids); a tag that occurs mostly outside the marked content costs up to
+them, chosen by the hashes of their ids; a tag that occurs mostly outside the marked content costs up to
 ``COST`` words, one that occurs inside it little. Elements that hold no content (menus, forms, scripts, comments, ...) are
 one token without words, weighted like a tag. One scan finds the best-scoring region, and its words, blocks in order, are the text.
 
@@ -21,6 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from storyloom.llm.runtime import bounded_sample
 from storyloom.llm.vectext import record
 
 FIT_PAGES = 400
@@ -158,7 +159,7 @@ def extract(page: str | None, weights: dict[str, float]) -> str:
 def sample_pages(pages: DataFrame, id_col: str, html_col: str, rows: int = FIT_PAGES) -> list[str]:
     """At most ``rows`` labelled pages of at most ``FIT_BYTES`` characters."""
     marked = pages.where(F.col(html_col).rlike("(?i)<(article|main)[\\s>]") & (F.length(html_col) <= FIT_BYTES))
-    return [r[0] for r in marked.orderBy(F.xxhash64(id_col), html_col).select(html_col).limit(rows).collect()]
+    return [r[0] for r in bounded_sample(marked.select(id_col, html_col), id_col, rows).select(html_col).collect()]
 
 
 def main_text(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html", weights: dict[str, float] | None = None) -> DataFrame:
