@@ -18,8 +18,8 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates: the one with the smallest id. Different texts with a null id stay."""
-    gone = neardup.near_duplicates(docs).where("not kept").select(F.col("doc_id").alias("gone"))
+    """One document of each group of near duplicates (five words, similarity 0.8 or more): the one with the smallest id. Different texts with a null id stay."""
+    gone = neardup.near_duplicates(docs, percent=80).where("not kept").select(F.col("doc_id").alias("gone"))
     return docs.join(gone.distinct(), F.col("doc_id") == F.col("gone"), "left_anti").dropDuplicates(["doc_id", "text"]).select(*COLUMNS)
 
 

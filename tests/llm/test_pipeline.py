@@ -36,6 +36,22 @@ def test_one_document_of_each_group_stays(stages):
     assert {r.doc_id for r in stages["near_dedup"].collect()} == {d for d, _, _, kept in brute.near_duplicates(rows) if kept}
 
 
+def test_pairs_at_four_fifths_are_near_duplicates(spark):
+    words = [f"w{i}" for i in range(204)]
+    near = [*words[:20], "and", *words[21:60], "there", *words[61:100], "also", *words[101:140], "here", *words[141:]]
+    far = [*near[:170], "too", *near[171:]]
+    share = lambda a, b: len(brute.shingles(a) & brute.shingles(b)) / len(brute.shingles(a) | brute.shingles(b))
+    texts = [" ".join(w) for w in (words, near, [f"x{w}" for w in words], [f"x{w}" for w in far])]
+    assert 0.8 <= share(texts[0], texts[1]) < 0.85 and share(texts[2], texts[3]) < 0.8
+    docs = spark.createDataFrame([(i, t, "en", "s", len(t)) for i, t in enumerate(texts)], "doc_id long, text string, lang string, source string, n_chars long")
+    assert {r.doc_id for r in cp.near_dedup(spark, docs, DATA).collect()} == {0, 2, 3}
+
+
+def test_the_stage_is_the_brute_force_at_four_fifths(stages):
+    rows = [(r.doc_id, r.text) for r in stages["quality_rules"].collect()]
+    assert {r.doc_id for r in stages["near_dedup"].collect()} == {d for d, _, _, kept in brute.near_duplicates(rows, percent=80) if kept}
+
+
 def test_leaks_go(spark, stages):
     items = spark.read.parquet(f"{DATA}/benchmark.parquet").collect()
     left = " ".join(" ".join(r.text.split()) for r in stages["decontamination"].collect())
