@@ -208,6 +208,25 @@ def test_bands_reject_repetitive_and_incompressible(spark):
     assert all(got[i][1] for i in range(3))
 
 
+def test_short_random_texts_are_incompressible(spark):
+    rng = random.Random(8)
+    signs = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789"
+    sizes = range(200, 1001, 20)
+    block = lambda n: "".join(rng.choice(signs + "+/") for _ in range(n))
+    mixed = lambda n: " ".join("".join(rng.choice(signs) for _ in range(rng.randint(3, 10))) for _ in range(n))[:n]
+    noise = [(i, f(n)) for i, (n, f) in enumerate((n, f) for n in sizes for f in (block, mixed))]
+    vocab = [prose(rng, 1) + str(rng.randrange(999)) for _ in range(800)]
+    good = [(1000 + i, prose(rng, rng.randint(25, 90), vocab)) for i in range(600)]
+    docs = frame(spark, [*noise, *good])
+    labels = spark.createDataFrame([(i, 1, 0) for i, _ in good], "doc_id long, quality int, toxic int")
+    for known in (None, labels):
+        kept = {r.doc_id for r in quality.quality_report(docs, known).where("kept").collect()}
+        assert not kept & {i for i, _ in noise}
+        assert len(kept & {i for i, _ in good}) > 0.98 * len(good)
+    high = [b[2] for b in quality.fit_bands(docs, labels)[0]]
+    assert any(h < b[2] for h, b in zip(high, quality.BANDS, strict=True)) and all(h <= b[2] for h, b in zip(high, quality.BANDS, strict=True))
+
+
 def benchmark(rng, n=12):
     return [(i, prose(rng, rng.randint(14, 40), [f"{a}{b}" for a in WORDS for b in "klmnop"])) for i in range(n)]
 
