@@ -227,6 +227,22 @@ def test_short_random_texts_are_incompressible(spark):
     assert any(h < b[2] for h, b in zip(high, quality.BANDS, strict=True)) and all(h <= b[2] for h, b in zip(high, quality.BANDS, strict=True))
 
 
+def test_the_end_of_a_text_is_judged_like_its_start(spark):
+    rng = random.Random(9)
+    signs = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789"
+    vocab = [prose(rng, 1) + str(rng.randrange(999)) for _ in range(800)]
+    good = [prose(rng, 2000, vocab)[: quality.CHUNK] for _ in range(2)]
+    junk = " ".join("".join(rng.choice(signs) for _ in range(rng.randint(3, 10))) for _ in range(2000))[: quality.CHUNK - 6]
+    texts = [good[0] + junk, junk + good[0], good[0] + good[1][:4000], good[0], good[0][:-1]]
+    got = {r.doc_id: r for r in quality.quality_report(frame(spark, [*enumerate(texts)])).collect()}
+    assert [got[i].kept for i in range(5)] == [False, False, True, True, True]
+    assert got[0].max_chunk > quality.CHUNK_BAND[1]
+    assert got[3].min_chunk == got[3].max_chunk and got[4].min_chunk is None
+    for n in (0, 4095, 4096, 4097, 8191, 8192, 8193, 20000):
+        seen = {j for i in quality.chunk_starts(n) for j in range(i, i + quality.CHUNK)}
+        assert seen == (set(range(n)) if n >= quality.CHUNK else set())
+
+
 def benchmark(rng, n=12):
     return [(i, prose(rng, rng.randint(14, 40), [f"{a}{b}" for a in WORDS for b in "klmnop"])) for i in range(n)]
 
