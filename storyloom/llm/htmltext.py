@@ -4,10 +4,11 @@ A page becomes a line of tokens: words, each scoring +1, and tags, each scoring
 pages: those that mark their content with an ``article`` or ``main`` element, at most ``FIT_PAGES`` of
 them, chosen by the hashes of their ids; a tag that occurs mostly outside the marked content costs up to
 ``COST`` words, one that occurs inside it little. Elements that hold no content (menus, forms, scripts, comments, ...) are
-one token without words, weighted like a tag. One scan finds the best-scoring region, and its words, blocks in order, are the text.
+one token without words, weighted like a tag; so are the opening tags of drawings, formulas and media, whose text counts. One scan finds the best-scoring region, and its words, blocks in order, are the text.
 
 Defined results: null or empty html gives an empty text; unclosed or cut-off markup ends at the page's end; an unclosed
-element without content ends at the next heading or content element; ties go to the earliest, longest region; repeated rows are
+element without content ends at the next heading or content element, an unclosed select at the next tag that is not its own, an
+unclosed svg or math at the next HTML tag; ties go to the earliest, longest region; repeated rows are
 extracted each.
 """
 
@@ -33,13 +34,18 @@ BARRIER = 1.0
 # fixed values: element names of the HTML standard, by role
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark nobr q s samp small span strike strong sub sup time tt u var wbr".split())
-RAW = "script|style|noscript|template|textarea|title|iframe|object|svg|math|canvas|audio|video|select"
+RAW = "script|style|noscript|template|textarea|title|iframe"
+FOREIGN = frozenset("svg math".split())
+EMBEDDED = FOREIGN | frozenset("object canvas audio video".split())
+IN_SELECT = frozenset("option optgroup hr".split())
 EMPTY = frozenset("head nav header footer aside form menu dialog button fieldset figure".split()) - {"figure"}
 CONTENT = frozenset("article main".split())
+# what ends an unclosed svg or math
+HTML = EMPTY | CONTENT | frozenset("html body section address b big blockquote br center code dd details div dl dt em embed figcaption figure h1 h2 h3 h4 h5 h6 hr i img li meta nobr ol p pre ruby s small span strong strike sub summary sup table tbody td tfoot th thead tr tt u ul var font object canvas audio video select".split())
 # fixed values: parts of class, id and role names that mark elements without content
 MARKS = re.compile(r"(?:^|[^a-z])(?:ads?|advert\w*|sponsor\w*|promo\w*|banner|nav\w*|menu\w*|breadcrumbs?|sidebar|side-bar|widget|footer|header|masthead|cookies?|consent|notice|alert|popup|modal|newsletter|subscribe|share|sharing|social|related|recommend\w*|comments?|disqus|replies|respond|login|signup|search|toolbar|pagination|pager|tags?|hidden|skip|complementary|contentinfo|navigation|dialog)(?:$|[^a-z])")
 
-_TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<(" + RAW + r""")(?=[\s/>])(?:[^>"']|"[^"]*"|'[^']*')*>.*?(?:</\1\s*>|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>"']|"[^"]*"|'[^']*')*)>|</?[a-zA-Z][^<>]*(?:>|\Z)""", re.S | re.I)
+_TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<(" + RAW + r""")(?=[\s/>])((?:[^>"']|"[^"]*"|'[^']*')*)>.*?(?:</\1\s*>|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>"']|"[^"]*"|'[^']*')*)>|</?[a-zA-Z][^<>]*(?:>|\Z)""", re.S | re.I)
 _NAMED = re.compile(r"""\b(?:class|id|role)\s*=\s*("[^"]*"|'[^']*'|[^\s>]+)""", re.I)
 _HIDDEN = re.compile(r"""(?:^|\s)hidden(?:\s|=|/|$)|aria-hidden\s*=\s*["']?true|display\s*:\s*none""", re.I)
 _KEEP = re.compile(r"(?:^|[^a-z])(?:article|post|entry|story|main|content)(?:-?(?:body|content|text))?(?:$|[^a-z])")
@@ -60,13 +66,23 @@ def _is_empty(name: str, attrs: str) -> bool:
 def parse(page: str) -> list[tuple[str, str]]:
     """(kind, value) in page order: "text" with its characters, "tag" with name or /name, "empty" for what holds no content."""
     flat: list[tuple[str, str, str]] = []
-    at = 0
-    for m in _TOKEN.finditer(page):
+    at = foreign = 0
+    while m := _TOKEN.search(page, at):
         if m.start() > at:
             flat.append(("text", page[at : m.start()], ""))
         at = m.end()
-        if m[3]:
-            flat.append(("close" if m[2] else "open", m[3].lower(), m[4]))
+        if m[4]:
+            name, attrs = m[4].lower(), m[5]
+            if name in FOREIGN:
+                foreign = max(0, foreign - 1) if m[3] else foreign + (not attrs.endswith("/"))
+            elif foreign and name not in HTML:
+                flat.append(("text", " ", ""))  # parts of a drawing or formula weigh nothing
+                continue
+            else:
+                foreign = 0
+            flat.append(("close" if m[3] else "open", name, attrs))
+        elif m[1] and foreign and m[2].endswith("/"):
+            at = m.end(2) + 1
         elif m[1]:
             flat.append(("empty", m[1].lower(), ""))
     if at < len(page):
@@ -80,17 +96,20 @@ def parse(page: str) -> list[tuple[str, str]]:
             out.append(("empty", value))
             i = ends(i)
             continue
-        out.append((kind, value) if kind in ("text", "empty") else ("tag", "/" * (kind == "close") + value))
+        if kind in ("open", "close") and value in EMBEDDED:
+            out.append(("empty", value) if kind == "open" else ("text", " "))
+        else:
+            out.append((kind, value) if kind in ("text", "empty") else ("tag", "/" * (kind == "close") + value))
         i += 1
     return out
 
 
 def _ends(flat: list[tuple[str, str, str]]):
-    """Where the element opened at i ends: after its closing tag, or else before the next heading or content element."""
+    """Where the element opened at i ends: after its closing tag, or else before the next heading or content element (a select: before the next tag that is not its own)."""
     partner: dict[int, int] = {}
     open_at: dict[str, list[int]] = {}
-    for i, (kind, name, _) in enumerate(flat):
-        if kind == "open":
+    for i, (kind, name, attrs) in enumerate(flat):
+        if kind == "open" and not (name in FOREIGN and attrs.endswith("/")):
             open_at.setdefault(name, []).append(i)
         elif kind == "close" and open_at.get(name):
             partner[open_at[name].pop()] = i
@@ -99,7 +118,10 @@ def _ends(flat: list[tuple[str, str, str]]):
         if i in partner:
             return partner[i] + 1
         for j in range(i + 1, len(flat)):
-            if flat[j][0] == "open" and (flat[j][1] in CONTENT or flat[j][1] == "h1" or (flat[i][1] == "head" and flat[j][1] == "body")):
+            if flat[i][1] == "select":
+                if flat[j][0] in ("open", "close") and flat[j][1] not in IN_SELECT:
+                    return j
+            elif flat[j][0] == "open" and (flat[j][1] in CONTENT or flat[j][1] == "h1" or (flat[i][1] == "head" and flat[j][1] == "body")):
                 return j
         return len(flat)
 

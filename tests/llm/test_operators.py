@@ -348,6 +348,31 @@ def test_html(spark):
     assert htmltext.main_text(df.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize(
+    ("middle", "shown"),
+    [
+        ('<svg class="i"/>', ""),
+        ("<math />", ""),
+        ('<svg class="nav"><svg/><title/><path d="M0 0"></svg>', ""),
+        ("<svg><g><path>", ""),
+        ("<math><mi>x</mi><mo>=</mo><mn>2</mn></math>", "x = 2"),
+        ("<svg>" + "<path/>" * 90 + "<text>label</text></svg>", "label"),
+        ("<video controls><source src=x>", ""),
+        ("<object data=x><p>fallback</p></object>", "fallback"),
+        ("<audio>", ""),
+        ("<canvas>", ""),
+        ("<select><option>red<option>blue", ""),
+        ("<select><option>red</option></select>", ""),
+        ("<script>var a = '<p>';</script><style>p {}</style>", ""),
+        ("<template><p>later</p></template><iframe src=x></iframe>", ""),
+    ],
+)
+def test_html_after_drawings_formulas_and_media(middle, shown):
+    first, second = "one two three four five six seven", "eight nine ten eleven twelve thirteen fourteen"
+    page = f"<html><body><article><p>{first}</p>{middle}<p>{second}</p></article><footer>end</footer></body></html>"
+    assert htmltext.extract(page, {}) == " ".join(f"{first} {shown} {second}".split())
+
+
 def test_html_on_pages_it_was_not_fitted_on(spark):
     pages = [r.html for r in spark.read.parquet("/root/testdata/sf0.001/pages.parquet").collect()]
     weights = htmltext.fit_weights(pages[:10])
