@@ -14,7 +14,7 @@ where their estimate lies five standard deviations below the limit.
 
 Defined results: text without words, empty or null, has no shingles and links with nothing; fewer words than
 a shingle count as one shingle; rows with a null id are kept and link with nothing (component null); a repeated row
-(one id twice) is one node, and both rows get its component.
+(one id twice) is one node, and both rows get its component; so do one id's different texts, each with the links of its own words.
 """
 
 from __future__ import annotations
@@ -33,7 +33,7 @@ from storyloom.llm.runtime import write_table
 from storyloom.llm.vectext import GRAM, U, Words, chunks, mix, record, stream
 
 _SKETCH = pa.schema([("doc_id", pa.int64()), ("digest", pa.binary()), ("n_shingles", pa.int64()), ("bands", pa.list_(pa.int64()))])
-_SETS = pa.schema([("doc_id", pa.int64()), ("shingles", pa.binary())])
+_SETS = pa.schema([("doc_id", pa.int64()), ("skey", pa.binary()), ("shingles", pa.binary())])
 
 
 def shingle_sets(words: Words, k: int) -> tuple[np.ndarray, np.ndarray]:
@@ -91,7 +91,8 @@ def _sets(k: int):
         for batch in chunks(batches):
             row, h = shingle_sets(Words(batch.column("text"), lower=True), k)
             edge = np.searchsorted(row, np.arange(batch.num_rows + 1))
-            yield record(_SETS, doc_id=batch.column("doc_id"), shingles=pa.array([h[s:e].tobytes() for s, e in zip(edge[:-1], edge[1:], strict=True)], pa.binary()))
+            sets = [h[s:e].tobytes() for s, e in zip(edge[:-1], edge[1:], strict=True)]
+            yield record(_SETS, doc_id=batch.column("doc_id"), skey=pa.array([hashlib.blake2b(x, digest_size=16).digest() for x in sets], pa.binary()), shingles=pa.array(sets, pa.binary()))
 
     return emit
 
@@ -160,11 +161,17 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     sizes = near.groupBy("grp").agg(F.count("*").alias("n"))
     placed = near.join(sizes, "grp").select("doc_id", "grp", F.ceil(F.col("n") / block).cast("int").alias("blocks"))
     placed = placed.withColumn("block", F.pmod(F.xxhash64("doc_id"), F.col("blocks")).cast("int"))
-    sets = src.join(placed.select("doc_id"), "doc_id").mapInArrow(_sets(shingle), "doc_id long, shingles binary").groupBy("doc_id").agg(F.min("shingles").alias("shingles"))
+    sets = src.join(placed.select("doc_id"), "doc_id").mapInArrow(_sets(shingle), "doc_id long, skey binary, shingles binary")
+    # a set for each different text of an id, none for a text without shingles
+    sets = sets.where("octet_length(shingles) > 0").groupBy("doc_id", "skey").agg(F.min("shingles").alias("shingles"))
     pairs = F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda o: F.struct(F.least("block", o).alias("lo"), F.greatest("block", o).alias("hi")))
     tasks = sets.join(placed, "doc_id").select("doc_id", "shingles", "block", "grp", F.explode(pairs).alias("p"))
     links = tasks.groupBy("grp", "p").applyInPandas(_confirm(percent), "a long, b long")
-    comps = connected_components(links)
+    # an id with several texts also links the smallest ids of their exact copies
+    named = sketch.where("digest is not null and doc_id is not null").select("doc_id", "digest")
+    several = named.groupBy("doc_id").agg(F.min("digest").alias("x"), F.max("digest").alias("y")).where("x <> y").select("doc_id")
+    own = named.join(several, "doc_id").join(alike, "digest").where("doc_id <> rep").select(F.col("doc_id").alias("a"), F.col("rep").alias("b"))
+    comps = connected_components(links.unionByName(own))
     comps = alike.join(comps, F.col("rep") == F.col("node"), "left").select("digest", F.coalesce("component", "rep").alias("c"))
     linked = F.when(F.col("digest").isNull(), F.col("doc_id")).when(F.col("doc_id").isNotNull(), F.col("c"))
     out = sketch.join(comps, "digest", "left").select("doc_id", "n_shingles", linked.alias("component_id"))

@@ -96,6 +96,27 @@ def test_near_duplicates_in_a_large_group_with_blocks(spark):
     assert key((r.doc_id, r.n_shingles, r.component_id, r.kept) for r in got) == key(brute.near_duplicates(rows))
 
 
+def test_near_duplicates_of_ids_with_several_texts(spark):
+    rng = random.Random(12)
+    near = lambda t: " ".join("edited" if i == 30 else w for i, w in enumerate(t.split(" ")))
+    a, b, c, d, e, f, g, h = (prose(rng, 150) for _ in range(8))
+    rows = [(10, a), (10, b), (11, near(a)), (12, near(b)), (20, c), (20, None), (21, near(c)), (30, d), (30, ""), (31, near(d)), (40, e), (41, e), (41, f), (42, near(f)), (50, g), (51, g), (60, h), (61, h), (61, g), (61, None)]
+    got = neardup.near_duplicates(frame(spark, rows)).collect()
+    want = brute.near_duplicates(rows)
+    assert key((r.doc_id, r.n_shingles, r.component_id, r.kept) for r in got) == key(want)
+    assert {(10, 10), (11, 10), (12, 10), (21, 20), (31, 30), (42, 40), (61, 50)} <= {(i, k) for i, _, k, _ in want}
+
+
+def test_sets_of_one_id_stay_apart(spark):
+    rng = random.Random(13)
+    for _ in range(3):
+        texts = [prose(rng, 120) for _ in range(6)]
+        near = [" ".join(w if i != 40 else "edited" for i, w in enumerate(t.split(" "))) for t in texts]
+        rows = [(1, t) for t in texts] + [(2 + i, t) for i, t in enumerate(near)]
+        got = neardup.near_duplicates(frame(spark, rows)).collect()
+        assert {r.component_id for r in got} == {1}
+
+
 def test_components(spark):
     rng = random.Random(8)
     edges = [(rng.randrange(300), rng.randrange(300)) for _ in range(220)] + [(i, i + 1) for i in range(400, 460)]
