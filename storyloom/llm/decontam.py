@@ -1,7 +1,7 @@
 """Operator 6: benchmark decontamination by the q-gram lemma.
 
 A passage is a window of ``window`` characters of an item (the whole item if it is shorter) at every ``stride``-th
-start, and its last one. A document holds it if some stretch of the document is within ``edits`` single-character edits
+start (each one by default), and its last one. A document holds it if some stretch of the document is within ``edits`` single-character edits
 of it. Texts are compared lower-cased (A-Z) with white space as one space.
 
 An alignment within the budget keeps at least window + 1 - q * (edits + 1) of the window's q-grams, all on
@@ -199,7 +199,7 @@ def _search(holder, filtering: bool, text_col: str):
     return emit
 
 
-def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text: str = "text", window: int = 64, stride: int = 4, block_bytes: int = 8 << 20) -> DataFrame:
+def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text: str = "text", window: int = 64, stride: int = 1, block_bytes: int = 8 << 20) -> DataFrame:
     """(doc_id, item_id, edits, start, end, n_windows): each document and item that share a passage; start and end bound it in the normalised text."""
     spark = docs.sparkSession
     src = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
@@ -211,7 +211,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
     return out if out is not None else spark.createDataFrame([], DDL)
 
 
-def decontaminate(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", item_col: str = "item_id", item_text: str = "text", window: int = 64, stride: int = 4, block_bytes: int = 8 << 20) -> DataFrame:
+def decontaminate(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", item_col: str = "item_id", item_text: str = "text", window: int = 64, stride: int = 1, block_bytes: int = 8 << 20) -> DataFrame:
     """The rows of ``docs`` that hold no passage, with all their columns."""
     for items in _blocks(benchmark, item_col, item_text, block_bytes):
         holder = docs.sparkSession.sparkContext.broadcast((items, window, stride))

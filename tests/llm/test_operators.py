@@ -268,6 +268,21 @@ def benchmark(rng, n=12):
     return [(i, prose(rng, rng.randint(14, 40), [f"{a}{b}" for a in WORDS for b in "klmnop"])) for i in range(n)]
 
 
+def test_passages_at_any_start(spark):
+    rng = random.Random(14)
+    letters = lambda n, of: "".join(rng.choice(of) for _ in range(n))
+    item = letters(200, "abcdefghijkl")
+    texts = []
+    for start in range(60, 72):
+        cut = list(item[start : start + 64])
+        for k in (12, 25, 38, 51):
+            cut[k] = "z"
+        texts.append(letters(100, "mnopqrst") + "".join(cut) + letters(100, "mnopqrst"))
+    got = decontam.contaminated(frame(spark, [*enumerate(texts)]), spark.createDataFrame([(7, item)], "item_id long, text string")).collect()
+    assert sorted((r.doc_id, r.item_id, r.edits) for r in got) == [(i, 7, 4) for i in range(12)]
+    assert decontam.decontaminate(frame(spark, [*enumerate(texts)]), spark.createDataFrame([(7, item)], "item_id long, text string")).count() == 0
+
+
 def test_decontamination(spark, rows, none):
     rng = random.Random(11)
     items = [*benchmark(rng), (90, None), (91, ""), (92, "short")]
