@@ -18,9 +18,17 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates (five words, similarity 0.8 or more): the one with the smallest id. Different texts with a null id stay."""
-    gone = neardup.near_duplicates(docs, percent=80).where("not kept").select(F.col("doc_id").alias("gone"))
-    return docs.join(gone.distinct(), F.col("doc_id") == F.col("gone"), "left_anti").dropDuplicates(["doc_id", "text"]).select(*COLUMNS)
+    """One document of each group of near duplicates (five words, similarity 0.8 or more): the one with the smallest id, once if its row is repeated.
+
+    An id that has several texts keeps each of them if it is its group's smallest. Rows with a null id stay.
+    """
+    gone = neardup.near_duplicates(docs, percent=80).where("not kept").select(F.col("doc_id").alias("gone")).distinct()
+    again = docs.groupBy("doc_id").count().where("count > 1").select(F.col("doc_id").alias("again"))
+    kept = docs.join(gone, F.col("doc_id") == F.col("gone"), "left_anti").select(*COLUMNS)
+    # only rows whose id is repeated meet by their texts
+    once = kept.join(again, F.col("doc_id") == F.col("again"), "left_anti")
+    repeated = kept.join(again, F.col("doc_id") == F.col("again"), "left_semi").dropDuplicates(["doc_id", "text"])
+    return once.unionByName(repeated)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -1,38 +1,54 @@
-"""Connected components by alternating large-star and small-star steps, each written to the shared folder."""
+"""Connected components by alternating large-star and small-star steps over tables in the shared folder.
+
+Edges go from a larger to a smaller node. The large star of an edge's smaller end is read from a table of each node's smallest
+neighbour, so that the join is one between two tables, which Spark splits where a node has very many edges. A
+round's tables are deleted once the next round is written.
+"""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
-from storyloom.llm.runtime import write_table
-
-
-def _large_star(edges: DataFrame) -> DataFrame:
-    """Each node links its larger neighbours to the smallest of its neighbours and itself."""
-    both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-    least = both.groupBy("u").agg(F.least(F.col("u"), F.min("v")).alias("m"))
-    return both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct()
+from storyloom.llm.runtime import new_path, remove, write_table
 
 
 def _small_star(edges: DataFrame) -> DataFrame:
-    """Each node links its smaller neighbours and itself to the smallest of them. Edges come as u > v."""
+    """Each node links its smaller neighbours and itself to the smallest of them."""
     least = edges.groupBy("u").agg(F.min("v").alias("m"))
     joined = edges.join(least, "u")
     return joined.select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(least.select("u", F.col("m").alias("v"))).where("u <> v").distinct()
 
 
+def _large_star(edges: DataFrame, least: DataFrame) -> DataFrame:
+    """Each node links its larger neighbours to the smallest of its neighbours and itself; ``least``: (x, m), the smallest neighbour of nodes that have a smaller one."""
+    return edges.join(least, edges["v"] == least["x"], "left").select("u", F.coalesce("m", "v").alias("v")).distinct()
+
+
+def _written(edges: DataFrame, path: str) -> tuple[DataFrame, tuple]:
+    """The edges as a table, with their number and a sum of their hashes, taken while they are written."""
+    seen = Observation()
+    table = write_table(edges.observe(seen, F.count(F.lit(1)).alias("n"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")).alias("h")), "edges", path)
+    return table, (seen.get["n"], seen.get["h"])
+
+
 def connected_components(edges: DataFrame, a: str = "a", b: str = "b", most_rounds: int = 60) -> DataFrame:
     """(node, component) for every node of an edge; the component is its smallest node. Loops and nulls are ignored."""
-    cur = write_table(edges.where(f"{a} <> {b}").select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).distinct(), "edges")
-    mark = None
+    spark = edges.sparkSession
+    path = new_path(spark, "edges")
+    cur, mark = _written(edges.where(f"{a} <> {b}").select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).distinct(), path)
     for _ in range(most_rounds):
-        nxt = write_table(_small_star(_large_star(cur)), "edges")
-        now = nxt.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
-        cur = nxt
+        if not mark[0]:
+            break
+        side, after = new_path(spark, "least"), new_path(spark, "edges")
+        least = write_table(cur.groupBy(F.col("u").alias("x")).agg(F.min("v").alias("m")), "least", side)
+        nxt, now = _written(_small_star(_large_star(cur, least)), after)
+        remove(spark, side)
         if now == mark:
+            remove(spark, after)
             break
-        mark = now
+        remove(spark, path)
+        cur, path, mark = nxt, after, now
     else:
         raise RuntimeError("components did not settle")
     return cur.groupBy(F.col("u").alias("node")).agg(F.min("v").alias("component")).unionByName(cur.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct())

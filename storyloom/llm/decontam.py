@@ -24,6 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from storyloom.llm.runtime import source
 from storyloom.llm.vectext import LOWER, SPACE, Poly, U, chunks, flat, record, stream
 
 Q = 10
@@ -202,7 +203,7 @@ def _search(holder, filtering: bool, text_col: str):
 def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text: str = "text", window: int = 64, stride: int = 1, block_bytes: int = 8 << 20) -> DataFrame:
     """(doc_id, item_id, edits, start, end, n_windows): each document and item that share a passage; start and end bound it in the normalised text."""
     spark = docs.sparkSession
-    src = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
+    src = source(docs, doc_id=(id_col, "long"), text=(text_col, "string"))
     out = None
     for items in _blocks(benchmark, item_col, item_text, block_bytes):
         holder = spark.sparkContext.broadcast((items, window, stride))

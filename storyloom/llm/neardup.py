@@ -1,17 +1,20 @@
 """Operator 2: MinHash near-dedup with banding, signature verification, exact confirmation and components.
 
-1. Texts with one normal form (lower-cased words) collapse to their smallest id, so a group of thousands of exact
-   copies goes on as one text.
-2. Each text has ``bands * rows`` minima of universal (multiply-shift) hashes over its distinct shingles, one bucket a band. Texts
-   that share a bucket with others form candidate groups (components of the member-to-smallest-member edges:
-   as many edges as members, never pairs).
-3. Inside a candidate group texts meet in blocks: each task holds two blocks of at most ``block`` texts, checks
-   signatures, confirms links on full shingle sets, and returns only a spanning forest.
-4. Alternating large-star and small-star joins the forests.
+1. Texts with one normal form (lower-cased words) collapse to one node, so a group of thousands of exact copies goes on as one text.
+2. Each text has ``bands * rows`` minima of universal (multiply-shift) hashes over its distinct shingles, one bucket a
+   band. Each member of a bucket is held against the bucket's smallest member on full shingle sets - as many edges as members, never pairs -
+   and what links collapses by alternating large-star and small-star.
+3. Buckets whose members now lie in one component are done. In the others, members of different components meet: members
+   of like size only (cells of neighbouring size classes), dealt by hash into blocks of about ``block`` texts, each task holding two
+   blocks. A pair is looked at in its first shared bucket only, its signature is checked, the link is confirmed on full sets,
+   and a task returns a spanning forest.
+4. Large-star and small-star join the components that these links connect.
 
 With 40 bands of 6 rows a pair at similarity 0.85 is missed with a chance under 1e-8. Signatures drop a pair only
 where their estimate lies five standard deviations below the limit.
 
+All joins are between tables, so Spark can split them where a bucket, a text or a component is hot.
+
 Defined results: text without words, empty or null, has no shingles and links with nothing; fewer words than
 a shingle count as one shingle; rows with a null id are kept and link with nothing (component null); a repeated row
 (one id twice) is one node, and both rows get its component; so do one id's different texts, each with the links of its own words.
@@ -20,6 +23,7 @@ a shingle count as one shingle; rows with a null id are kept and link with nothi
 from __future__ import annotations
 
 import hashlib
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -29,11 +33,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from storyloom.llm.components import connected_components
-from storyloom.llm.runtime import write_table
+from storyloom.llm.runtime import source, write_table
 from storyloom.llm.vectext import GRAM, U, Words, chunks, mix, record, stream
 
 _SKETCH = pa.schema([("doc_id", pa.int64()), ("digest", pa.binary()), ("n_shingles", pa.int64()), ("bands", pa.list_(pa.int64()))])
-_SETS = pa.schema([("doc_id", pa.int64()), ("skey", pa.binary()), ("shingles", pa.binary())])
+_SETS = pa.schema([("digest", pa.binary()), ("shingles", pa.list_(pa.int64()))])
 
 
 def shingle_sets(words: Words, k: int) -> tuple[np.ndarray, np.ndarray]:
@@ -63,6 +67,12 @@ def signatures(row: np.ndarray, h: np.ndarray, n_hashes: int) -> tuple[np.ndarra
     return rows, out
 
 
+def digests(w: Words) -> list[bytes | None]:
+    """A 128-bit digest of each row's words; null without words."""
+    raw, first, last = w.buf.tobytes(), w.first[:-1], w.first[1:]
+    return [hashlib.blake2b(b" ".join(raw[w.start[f] : w.end[t - 1]].split()), digest_size=16).digest() if t > f else None for f, t in zip(first, last, strict=True)]
+
+
 def _sketch(k: int, bands: int, rows_each: int):
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in chunks(batches):
@@ -76,8 +86,7 @@ def _sketch(k: int, bands: int, rows_each: int):
                 for i in range(rows_each):
                     acc = mix(acc ^ sig[:, j * rows_each + i].astype(U)) * U(0x9E3779B97F4A7C15)
                 keys[:, j] = acc.view(np.int64)
-            raw, first, last = w.buf.tobytes(), w.first[:-1], w.first[1:]
-            digest = [hashlib.blake2b(b" ".join(raw[w.start[f] : w.end[t - 1]].split()), digest_size=16).digest() if t > f else None for f, t in zip(first, last, strict=True)]
+            digest = digests(w)
             n = np.bincount(row, minlength=batch.num_rows)
             ends = np.concatenate([[0], np.cumsum(n > 0)]) * bands
             lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(keys.ravel()))
@@ -89,10 +98,10 @@ def _sketch(k: int, bands: int, rows_each: int):
 def _sets(k: int):
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in chunks(batches):
-            row, h = shingle_sets(Words(batch.column("text"), lower=True), k)
+            w = Words(batch.column("text"), lower=True)
+            row, h = shingle_sets(w, k)
             edge = np.searchsorted(row, np.arange(batch.num_rows + 1))
-            sets = [h[s:e].tobytes() for s, e in zip(edge[:-1], edge[1:], strict=True)]
-            yield record(_SETS, doc_id=batch.column("doc_id"), skey=pa.array([hashlib.blake2b(x, digest_size=16).digest() for x in sets], pa.binary()), shingles=pa.array(sets, pa.binary()))
+            yield record(_SETS, digest=pa.array(digests(w), pa.binary()), shingles=pa.ListArray.from_arrays(pa.array(edge, pa.int32()), pa.array(h.view(np.int64))))
 
     return emit
 
@@ -113,66 +122,96 @@ class Forest:
         return x != y
 
 
-def links_in_block(ids: list[int], sets: list[np.ndarray], side: list[int], percent: int, n_hashes: int = 128) -> list[tuple[int, int]]:
-    """A spanning forest of the links among texts of a task; where it has two blocks, of those between them only."""
-    n = len(ids)
-    _, sig = signatures(np.repeat(np.arange(n), [len(s) for s in sets]), np.concatenate(sets) if n else np.zeros(0, U), n_hashes)
+def links_in_block(frame: pd.DataFrame, percent: int, n_hashes: int = 128) -> list[tuple[bytes, bytes]]:
+    """A spanning forest over the components of a task's texts: links of texts of different components that share ``key`` as their first bucket;
+    where there are two blocks, between them only; never between two texts of the upper size class."""
+    sets = [np.asarray(x).view(U) for x in frame["shingles"]]
+    bands = np.stack(frame["bands"].to_list())
+    key, block, upper, comp = (frame[c].to_numpy() for c in ("key", "block", "upper", "comp"))
+    n = len(sets)
+    _, sig = signatures(np.repeat(np.arange(n), [len(s) for s in sets]), np.concatenate(sets), n_hashes)
     size = np.array([len(s) for s in sets])
     least = max(0.0, percent / 100 - 5 * (percent / 100 * (1 - percent / 100) / n_hashes) ** 0.5)
-    two = len(set(side)) > 1
-    where = np.asarray(side)
-    forest, out = Forest(n), []
+    two = len(set(block)) > 1
+    number = {c: i for i, c in enumerate(dict.fromkeys(comp))}
+    part = np.array([number[c] for c in comp])
+    forest, out = Forest(len(number)), []
     for i in range(n - 1):
         other = np.arange(i + 1, n)
+        other = other[(part[other] != part[i]) & ~(upper[other] & upper[i])]
         if two:
-            other = other[where[other] != where[i]]
+            other = other[block[other] != block[i]]
         lo, hi = np.minimum(size[other], size[i]), np.maximum(size[other], size[i])
         other = other[100 * lo >= percent * hi]
+        if len(other):
+            shared = bands[other] == bands[i]
+            other = other[bands[i][shared.argmax(axis=1)] == key[0]]
         if len(other):
             other = other[(sig[other] == sig[i]).mean(axis=1) >= least]
         for j in other:
-            if forest.find(i) == forest.find(int(j)):
+            if forest.find(part[i]) == forest.find(part[j]):
                 continue
             both = len(np.intersect1d(sets[i], sets[j], assume_unique=True))
             if 100 * both >= percent * (size[i] + size[j] - both):
-                forest.join(i, int(j))
-                out.append((ids[i], ids[j]))
+                forest.join(part[i], part[j])
+                out.append((comp[i], comp[j]))
     return out
 
 
 def _confirm(percent: int):
     def emit(pdf: pd.DataFrame) -> pd.DataFrame:
-        found = links_in_block(pdf["doc_id"].tolist(), [np.frombuffer(x, U) for x in pdf["shingles"]], pdf["block"].tolist(), percent)
-        return pd.DataFrame(found, columns=["a", "b"]).astype("int64")
+        return pd.DataFrame(links_in_block(pdf, percent), columns=["a", "b"])
 
     return emit
 
 
+def _star_links(heads: DataFrame, members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """(a, b): members that link with their bucket's smallest member."""
+    stars = members.join(heads, "key").where("digest <> head").where(f"100 * least(n, head_n) >= {percent} * greatest(n, head_n)").select("digest", "head").distinct()
+    first = write_table(stars.join(sets, "digest").select("digest", "head", F.col("shingles").alias("x")), "stars")
+    both = first.join(sets.select(F.col("digest").alias("head"), F.col("shingles").alias("y")), "head").withColumn("both", F.size(F.array_intersect("x", "y")))
+    return both.where(f"100 * both >= {percent} * (size(x) + size(y) - both)").select(F.col("digest").alias("a"), F.col("head").alias("b"))
+
+
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = 85, shingle: int = 5, bands: int = 40, rows: int = 6, block: int = 128) -> DataFrame:
     """(doc_id, n_shingles, component_id, kept) for each row of ``docs``."""
-    src = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
+    src = source(docs, doc_id=(id_col, "long"), text=(text_col, "string"))
     sketch = write_table(src.mapInArrow(_sketch(shingle, bands, rows), "doc_id long, digest binary, n_shingles long, bands array<long>"), "sketch")
-    alike = sketch.where("digest is not null and doc_id is not null").groupBy("digest").agg(F.min("doc_id").alias("rep"))
-    one = sketch.where("digest is not null and doc_id is not null").groupBy("digest").agg(F.min_by(F.struct("doc_id", "bands"), "doc_id").alias("x")).select(F.col("x.doc_id").alias("rep"), F.col("x.bands").alias("bands"))
-    members = one.select("rep", F.posexplode("bands").alias("band", "key"))
-    heads = members.groupBy("band", "key").agg(F.min("rep").alias("head"), F.count("*").alias("n")).where("n > 1").select("band", "key", "head")
-    near = connected_components(members.join(heads, ["band", "key"]).where("rep <> head").select(F.col("rep").alias("a"), F.col("head").alias("b")))
-    near = write_table(near.select(F.col("node").alias("doc_id"), F.col("component").alias("grp")), "groups")
-    sizes = near.groupBy("grp").agg(F.count("*").alias("n"))
-    placed = near.join(sizes, "grp").select("doc_id", "grp", F.ceil(F.col("n") / block).cast("int").alias("blocks"))
-    placed = placed.withColumn("block", F.pmod(F.xxhash64("doc_id"), F.col("blocks")).cast("int"))
-    sets = src.join(placed.select("doc_id"), "doc_id").mapInArrow(_sets(shingle), "doc_id long, skey binary, shingles binary")
-    # a set for each different text of an id, none for a text without shingles
-    sets = sets.where("octet_length(shingles) > 0").groupBy("doc_id", "skey").agg(F.min("shingles").alias("shingles"))
+    named = sketch.where("digest is not null and doc_id is not null")
+    one = write_table(named.groupBy("digest").agg(F.min("doc_id").alias("rep"), F.first("n_shingles").alias("n"), F.first("bands").alias("bands")), "texts")
+    members = one.select("digest", "n", F.explode("bands").alias("key"))
+    least = F.min(F.struct("digest", "n"))
+    heads = members.groupBy("key").agg(least.alias("x"), F.count("*").alias("size")).where("size > 1").select("key", F.col("x.digest").alias("head"), F.col("x.n").alias("head_n"))
+    heads = write_table(heads, "heads")
+    shared = write_table(members.join(heads.select("key"), "key"), "members")
+    reps = shared.select("digest").distinct().join(one.select("digest", "rep"), "digest").select(F.col("rep").alias("doc_id")).distinct()
+    # an id's other texts come along, and repeated rows; one set for each text
+    sets = src.join(reps, "doc_id", "left_semi").mapInArrow(_sets(shingle), "digest binary, shingles array<long>")
+    sets = write_table(sets.where("size(shingles) > 0").groupBy("digest").agg(F.first("shingles").alias("shingles")), "sets")
+    near = write_table(connected_components(_star_links(heads, shared, sets, percent)), "near")
+
+    comp = F.coalesce("component", "digest").alias("comp")
+    placed = write_table(shared.join(near, F.col("digest") == F.col("node"), "left").select("key", "digest", "n", comp), "placed")
+    unlike = F.min("comp") < F.max("comp")
+    still = placed.groupBy("key").agg(unlike.alias("open")).where("open").select("key")
+    step = 1.001 * math.log(100 / percent) if percent < 100 else 1e-9
+    size_class = F.floor(F.log(F.col("n")) / step)
+    # cell c compares texts of size class c with each other and with those of class c + 1
+    cells = write_table(placed.join(still, "key").select("*", F.explode(F.array(F.struct(size_class.alias("cell"), F.lit(False).alias("upper")), F.struct((size_class - 1).alias("cell"), F.lit(True).alias("upper")))).alias("x")).select("key", "digest", "comp", "x.*"), "cells")
+    sizes = write_table(cells.groupBy("key", "cell").agg(F.count("*").alias("size"), unlike.alias("open")).where("open").select("key", "cell", F.ceil(F.col("size") / block).cast("int").alias("blocks")), "sizes")
+    dealt = cells.join(sizes, ["key", "cell"]).withColumn("block", F.pmod(F.xxhash64("digest"), F.col("blocks")).cast("int"))
     pairs = F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda o: F.struct(F.least("block", o).alias("lo"), F.greatest("block", o).alias("hi")))
-    tasks = sets.join(placed, "doc_id").select("doc_id", "shingles", "block", "grp", F.explode(pairs).alias("p"))
-    links = tasks.groupBy("grp", "p").applyInPandas(_confirm(percent), "a long, b long")
-    # an id with several texts also links the smallest ids of their exact copies
-    named = sketch.where("digest is not null and doc_id is not null").select("doc_id", "digest")
+    tasks = dealt.join(sets, "digest").join(one.select("digest", "bands"), "digest").select("key", "cell", F.explode(pairs).alias("p"), "block", "upper", "comp", "shingles", "bands")
+    links = tasks.groupBy("key", "cell", "p").applyInPandas(_confirm(percent), "a binary, b binary")
+
+    where = write_table(one.select("digest", "rep").join(near, F.col("digest") == F.col("node"), "left").select("digest", "rep", comp), "where")
+    # an id with several texts links the components of all of them
     several = named.groupBy("doc_id").agg(F.min("digest").alias("x"), F.max("digest").alias("y")).where("x <> y").select("doc_id")
-    own = named.join(several, "doc_id").join(alike, "digest").where("doc_id <> rep").select(F.col("doc_id").alias("a"), F.col("rep").alias("b"))
-    comps = connected_components(links.unionByName(own))
-    comps = alike.join(comps, F.col("rep") == F.col("node"), "left").select("digest", F.coalesce("component", "rep").alias("c"))
-    linked = F.when(F.col("digest").isNull(), F.col("doc_id")).when(F.col("doc_id").isNotNull(), F.col("c"))
-    out = sketch.join(comps, "digest", "left").select("doc_id", "n_shingles", linked.alias("component_id"))
+    own = write_table(named.select("doc_id", "digest").join(several, "doc_id").join(where.select("digest", "comp"), "digest").select("doc_id", "comp").distinct(), "own")
+    own = own.join(own.groupBy("doc_id").agg(F.min("comp").alias("b")), "doc_id").select(F.col("comp").alias("a"), "b")
+    wide = connected_components(links.unionByName(own))
+    joined = write_table(where.join(wide, F.col("comp") == F.col("node"), "left").select("digest", "rep", F.coalesce("component", "comp").alias("comp")), "joined")
+    least_id = write_table(joined.groupBy("comp").agg(F.min("rep").alias("component_id")), "least")
+    named_by = write_table(joined.join(least_id, "comp").select("digest", "component_id"), "named")
+    out = sketch.join(named_by, "digest", "left").select("doc_id", "n_shingles", F.when(F.col("digest").isNull(), F.col("doc_id")).when(F.col("doc_id").isNotNull(), F.col("component_id")).alias("component_id"))
     return out.withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))

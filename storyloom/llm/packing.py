@@ -24,7 +24,8 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from storyloom.llm.pretok import Encoder
+from storyloom.llm.pretok import encoder
+from storyloom.llm.runtime import source
 from storyloom.llm.vectext import chunks, record
 
 DDL = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
@@ -81,7 +82,7 @@ def windows_for(lengths: list[int], capacity: int) -> list[list[int]]:
 
 def _pack(path: str, length: int, piece: int, windows: int, end_id: int):
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder(path)
+        enc = encoder(path)
         serial = TaskContext.get().partitionId() << 33
         rest: list[tuple] = []
         held = 0
@@ -103,7 +104,7 @@ def _pack(path: str, length: int, piece: int, windows: int, end_id: int):
             return record(_OUT, **{f.name: list(c) for f, c in zip(_OUT, cols, strict=True)})
 
         for b in chunks(batches):
-            ids, count = encoder.encode(b.column("text"))
+            ids, count = enc.encode(b.column("text"))
             edge = np.concatenate([[0], np.cumsum(count)])
             rows: list[tuple] = []
             for i, doc in enumerate(b.column("doc_id").to_pylist()):
@@ -130,5 +131,5 @@ def pack(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_col:
     """One row per piece: (doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset)."""
     if not 0 < piece <= length:
         raise ValueError("piece must be from 1 to length")
-    src = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
+    src = source(docs, doc_id=(id_col, "long"), text=(text_col, "string"))
     return src.mapInArrow(_pack(tokenizer_path, length, piece, windows, end_id), DDL)

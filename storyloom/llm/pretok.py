@@ -6,7 +6,6 @@ operations; any other text, and one with a special token's string, goes to the l
 
 from __future__ import annotations
 
-import json
 import unicodedata
 from collections.abc import Callable
 
@@ -114,7 +113,7 @@ class Tokens:
             self.start, self.end, self.doc = self.start[keep], self.end[keep], self.doc[keep]
         self.chars = cp
         self.rows = n
-        self.hash = _CHARS.slices(_CHARS.prefix(_VALUES[cp]), self.start, self.end)
+        self.hash = _CHARS.slices_of(_VALUES, cp, self.start, self.end)
 
     def letters(self, which: np.ndarray) -> list[str]:
         """The byte letters of some pre-tokens."""
@@ -127,9 +126,9 @@ class Tokens:
 
 
 class Cache:
-    """A direct-mapped table from hash to an array of numbers, of bounded size. ``make``: a pre-token's byte letters to numbers."""
+    """A direct-mapped table from hash to an array of numbers, of bounded size (some 9 MB). ``make``: a pre-token's byte letters to numbers."""
 
-    def __init__(self, make: Callable[[str], list[int]], slots: int = 1 << 21, pool: int = 12 << 20) -> None:
+    def __init__(self, make: Callable[[str], list[int]], slots: int = 1 << 18, pool: int = 1 << 20) -> None:
         self.make, self.mask, self.room = make, U(slots - 1), pool
         self.key, self.at, self.size = np.zeros(slots, U), np.zeros(slots, np.int64), np.zeros(slots, np.int32)
         self.pool, self.used = np.zeros(1 << 16, np.uint32), 0
@@ -162,16 +161,25 @@ class Cache:
         return at, size
 
 
+_ENCODERS: dict[str, Encoder] = {}
+
+
+def encoder(path: str) -> Encoder:
+    """This worker's encoder for a vocabulary: the file is read once, and only the last vocabulary's encoder is kept."""
+    if path not in _ENCODERS:
+        _ENCODERS.clear()
+        _ENCODERS[path] = Encoder(path)
+    return _ENCODERS[path]
+
+
 class Encoder:
     """Ids of whole texts as ``tokenizers`` gives them with add_special_tokens=False."""
 
     def __init__(self, path: str) -> None:
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
 
         self.tok = Tokenizer.from_file(path)
-        with open(path) as f:
-            spec = json.load(f)
-        self.words_only = spec["pre_tokenizer"]["type"] != "ByteLevel"
+        self.words_only = not isinstance(self.tok.pre_tokenizer, pre_tokenizers.ByteLevel)
         tokenize = self.tok.model.tokenize
         self.cache = Cache(lambda w: [t.id for t in tokenize(w)])
 

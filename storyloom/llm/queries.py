@@ -47,7 +47,6 @@ def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op7_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = runtime.new_path(spark, "ids")
-    runtime.delete_on_exit(spark, path)
     tokenout.write_token_ids(_table(spark, sf_dir, "documents"), path, vocabulary("byte_bpe_50k.json"))
     return tokenout.manifest(spark, path)
 

@@ -1,35 +1,33 @@
-"""Shared-folder tables, so that lineage is cut by files every executor can reach."""
+"""What the operators share: tables in the shared folder, batches of bounded size, bounded samples for fits."""
 
 from __future__ import annotations
 
-import gc
-import tempfile
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from storyloom.plans.lineage import cut, new_path, remove, shared_dir
+
+__all__ = ["BATCH_ROWS", "bounded_sample", "new_path", "remove", "shared_dir", "source", "write_table"]
+
+#: rows that travel to a Python worker at once; Spark's own limit is of 10,000 rows, whatever their length
+BATCH_ROWS = 256
+
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder in ``spark.checkpoint.dir``; a local one of our own only where that is unset (tests)."""
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        base = "file://" + tempfile.mkdtemp(prefix="storyloom-")
-        spark.conf.set("spark.checkpoint.dir", base)
-    return base
+def source(rows: DataFrame, **columns: tuple[str, str]) -> DataFrame:
+    """``rows`` as just these columns: name = (column, type). Lowers the session's Arrow batch to ``BATCH_ROWS``, so that a worker's memory does not follow the length of texts."""
+    small_batches(rows.sparkSession)
+    return rows.select(*[F.col(c).cast(kind).alias(name) for name, (c, kind) in columns.items()])
 
 
-def write_table(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` as Parquet in the shared folder and read it back. Removed when the application ends."""
-    spark = df.sparkSession
-    path = f"{shared_dir(spark).rstrip('/')}/storyloom-{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    delete_on_exit(spark, path)
-    return spark.read.schema(df.schema).parquet(path)
+def small_batches(spark: SparkSession) -> None:
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if int(spark.conf.get(key)) > BATCH_ROWS or int(spark.conf.get(key)) <= 0:
+        spark.conf.set(key, str(BATCH_ROWS))
 
 
-def new_path(spark: SparkSession, name: str) -> str:
-    return f"{shared_dir(spark).rstrip('/')}/storyloom-{name}-{uuid.uuid4().hex}"
+def write_table(df: DataFrame, name: str, path: str | None = None) -> DataFrame:
+    """Write ``df`` as Parquet in the shared folder and read it back. Removed when the application ends, or by ``remove``."""
+    return cut(df, name, path)
 
 
 def bounded_sample(rows: DataFrame, key: str, most: int) -> DataFrame:
@@ -39,15 +37,3 @@ def bounded_sample(rows: DataFrame, key: str, most: int) -> DataFrame:
         share = int(0.9 * most / n * (1 << 31))
         rows = rows.where(F.pmod(F.xxhash64(key), F.lit(1 << 31)) < share)
     return rows.limit(most)
-
-
-def release(spark: SparkSession) -> None:
-    """Let go of the shuffle files of finished jobs. Spark removes them when the driver's garbage is collected, which may otherwise take long."""
-    gc.collect()
-    spark._jvm.System.gc()
-
-
-def delete_on_exit(spark: SparkSession, path: str) -> None:
-    jvm = spark._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    p.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(p)

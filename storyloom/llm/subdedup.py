@@ -24,11 +24,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from storyloom.llm.runtime import release, write_table
+from storyloom.llm.runtime import small_batches, write_table
 from storyloom.llm.vectext import GRAM, GRAM2, Words, chunks, mix, record, sliding_argmin
 
-_RUNS = pa.schema([("doc_id", pa.int64()), ("tkey", pa.int64()), ("s0", pa.int32()), ("n", pa.int32()), ("times", pa.int32()), ("seed", pa.int64()), ("ctx", pa.int64())])
-_WINDOWS = pa.schema([("doc_id", pa.int64()), ("tkey", pa.int64()), ("s0", pa.int32()), ("sure", pa.bool_()), ("x1", pa.int64()), ("x2", pa.int64())])
+_RUNS = pa.schema([("doc_id", pa.int64()), ("tkey", pa.binary()), ("s0", pa.int32()), ("n", pa.int32()), ("times", pa.int32()), ("seed", pa.int64()), ("ctx", pa.int64())])
+_WINDOWS = pa.schema([("doc_id", pa.int64()), ("tkey", pa.binary()), ("s0", pa.int32()), ("sure", pa.bool_()), ("x1", pa.int64()), ("x2", pa.int64())])
 
 
 def runs_of(words: Words, min_words: int, seed_words: int) -> dict[str, np.ndarray]:
@@ -102,8 +102,9 @@ def covered(n_words: int, spans: list[tuple[int, int]]) -> np.ndarray:
 
 
 def _keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    small_batches(docs.sparkSession)
     text = F.col(text_col).cast("string")
-    return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.hash(text).cast("long").alias("tkey"), text.alias("text"))
+    return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.unhex(F.md5(text.cast("binary"))).alias("tkey"), text.alias("text"))
 
 
 def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_words: int = 35, seed_words: int = 6) -> DataFrame:
@@ -114,20 +115,19 @@ def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     if not 0 < seed_words <= min_words:
         raise ValueError("seed_words must be from 1 to min_words")
     keyed = _keyed(docs, id_col, text_col)
-    ddl = "doc_id long, tkey long, s0 int, n int, times int, seed long, ctx long"
+    ddl = "doc_id long, tkey binary, s0 int, n int, times int, seed long, ctx long"
     runs = write_table(keyed.where("text is not null").mapInArrow(_emit_runs(min_words, seed_words), ddl), "runs")
     # tables, so that both sides of the joins are plain shuffles, which Spark splits where a key is hot
     again = write_table(runs.groupBy("seed").agg(F.sum("times").alias("places")).where("places > 1").select("seed"), "again")
     cand = write_table(runs.join(again, "seed"), "seeded")
     classes = write_table(cand.groupBy("seed", "ctx").agg(F.sum("times").alias("copies"), F.min(F.struct("doc_id", "tkey", "s0", "n")).alias("one")), "classes")
-    release(docs.sparkSession)
-    many = classes.groupBy("seed").agg(F.count("*").alias("kinds")).where("kinds > 1").select("seed")
+    many = write_table(classes.groupBy("seed").agg(F.count("*").alias("kinds")).where("kinds > 1").select("seed"), "many")
     sure = cand.join(classes.where("copies > 1").select("seed", "ctx"), ["seed", "ctx"])
     spans = sure.select("doc_id", "tkey", F.col("s0").alias("a"), (F.col("s0") + F.col("n") * F.col("times") + (min_words - 1)).alias("b"))
     extend = classes.join(many, "seed").select("one.*", (F.col("copies") > 1).alias("sure")).groupBy("doc_id", "tkey").agg(F.collect_list(F.struct("s0", "n", "sure")).alias("runs"))
-    same = lambda a, b: a["doc_id"].eqNullSafe(b["doc_id"]) & (a["tkey"] == b["tkey"])
+    same = lambda a, b: a["doc_id"].eqNullSafe(b["doc_id"]) & a["tkey"].eqNullSafe(b["tkey"])
     # the same unfiltered texts as in the last join, so that one exchange of them serves all
-    windows = keyed.join(extend, same(keyed, extend)).select(keyed["doc_id"], keyed["tkey"], "text", "runs").mapInArrow(_emit_windows(min_words), "doc_id long, tkey long, s0 int, sure boolean, x1 long, x2 long")
+    windows = keyed.join(extend, same(keyed, extend)).select(keyed["doc_id"], keyed["tkey"], "text", "runs").mapInArrow(_emit_windows(min_words), "doc_id long, tkey binary, s0 int, sure boolean, x1 long, x2 long")
     # a window of a run whose context is unique comes once; those of repeated rows come with ``sure``
     hits = windows.groupBy("x1", "x2").agg(F.count("*").alias("places"), F.max("sure").alias("sure")).where("places > 1 or sure").select("x1", "x2")
     more = windows.where("not sure").join(hits, ["x1", "x2"]).select("doc_id", "tkey", F.col("s0").alias("a"), (F.col("s0") + min_words).alias("b"))
@@ -136,7 +136,7 @@ def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
 
 
 def _apply(with_text: bool):
-    out = pa.schema([("doc_id", pa.int64()), ("tkey", pa.int64()), ("n_words", pa.int64()), ("n_removed", pa.int64()), ("kept_sha256", pa.string())] + [("kept_text", pa.string())] * with_text)
+    out = pa.schema([("doc_id", pa.int64()), ("tkey", pa.binary()), ("n_words", pa.int64()), ("n_removed", pa.int64()), ("kept_sha256", pa.string())] + [("kept_text", pa.string())] * with_text)
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in chunks(batches):
@@ -157,5 +157,5 @@ def _apply(with_text: bool):
 def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_words: int = 35, seed_words: int = 6, with_text: bool = True) -> DataFrame:
     """(doc_id, n_words, n_removed, kept_sha256[, kept_text]) for each row of ``docs``."""
     spans = repeated_spans(docs, id_col, text_col, min_words, seed_words)
-    ddl = "doc_id long, tkey long, n_words long, n_removed long, kept_sha256 string" + ", kept_text string" * with_text
+    ddl = "doc_id long, tkey binary, n_words long, n_removed long, kept_sha256 string" + ", kept_text string" * with_text
     return spans.mapInArrow(_apply(with_text), ddl).drop("tkey")

@@ -20,6 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from storyloom.llm.pretok import Cache, Tokens
+from storyloom.llm.runtime import source
 from storyloom.llm.vectext import chunks, record
 
 _OUT = pa.schema([("doc_id", pa.int64()), ("n_bytes", pa.int64()), ("n_tokens", pa.int64()), ("over_limit", pa.bool_())])
@@ -93,7 +94,7 @@ def counts(path: str, column: pa.Array) -> np.ndarray:
     """Token counts of a text column."""
     if path not in _MERGERS:
         m = Merger(path)
-        _MERGERS[path] = m, Cache(lambda w: [m.count(w)], slots=1 << 20, pool=3 << 20)
+        _MERGERS[path] = m, Cache(lambda w: [m.count(w)])
     merger, cache = _MERGERS[path]
     t = Tokens(column, merger.words_only)
     at, _ = cache.find(t)
@@ -113,5 +114,5 @@ def token_counts(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", t
             size = np.array([len((x.as_py() or "").encode()) for x in text], np.int64)
             yield record(_OUT, doc_id=b.column("doc_id"), n_bytes=size, n_tokens=n, over_limit=n > limit)
 
-    src = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
+    src = source(docs, doc_id=(id_col, "long"), text=(text_col, "string"))
     return src.mapInArrow(emit, "doc_id long, n_bytes long, n_tokens long, over_limit boolean")

@@ -20,7 +20,8 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from storyloom.llm.pretok import Encoder
+from storyloom.llm.pretok import encoder
+from storyloom.llm.runtime import source
 from storyloom.llm.vectext import chunks, record
 
 FILE_DDL = "doc_id long, part int, local_start long, n_tokens long, ids array<int>"
@@ -30,9 +31,9 @@ _READ = pa.schema([("doc_id", pa.int64()), ("part", pa.int32()), ("local_start",
 
 def _encode(path: str, end_id: int):
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, part, at = Encoder(path), TaskContext.get().partitionId(), 0
+        enc, part, at = encoder(path), TaskContext.get().partitionId(), 0
         for b in chunks(batches):
-            ids, count = encoder.encode(b.column("text"))
+            ids, count = enc.encode(b.column("text"))
             n = count + 1
             ends = np.cumsum(n)
             out = np.empty(int(ends[-1]), np.int32)
@@ -50,7 +51,7 @@ def write_token_ids(docs: DataFrame, path: str, tokenizer_path: str, id_col: str
     """Encode and write all rows to ``path``."""
     spark = docs.sparkSession
     n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    src = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
+    src = source(docs, doc_id=(id_col, "long"), text=(text_col, "string"))
     ordered = src.repartitionByRange(n, "doc_id").sortWithinPartitions("doc_id", "text")
     writer = ordered.mapInArrow(_encode(tokenizer_path, end_id), FILE_DDL).write
     options = {"orc.bloom.filter.columns": "doc_id", "orc.bloom.filter.fpp": "0.01", "orc.create.index": "true", "orc.row.index.stride": str(stride), "orc.stripe.size": str(64 << 20), "compression": "zstd"}

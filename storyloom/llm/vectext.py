@@ -11,7 +11,10 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 
-CHUNK_BYTES = 2 << 20
+#: text handled at once; a longer text is a chunk of its own
+CHUNK_BYTES = 256 << 10
+#: entries of the tables of low and high powers; together they reach every place in an Arrow string
+BLOCK, HIGH = 1 << 14, 1 << 17
 U = np.uint64
 SPACE = np.zeros(256, bool)
 SPACE[[9, 10, 11, 12, 13, 32]] = True
@@ -28,36 +31,60 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> U(31))
 
 
+def _powers(base: int, step: int, n: int) -> np.ndarray:
+    p = np.full(n, pow(base, step, 1 << 64), U)
+    p[0] = 1
+    return np.multiply.accumulate(p)
+
+
 def stream(seed: int, n: int) -> np.ndarray:
     """n pseudo-random 64-bit words."""
     return mix(np.arange(1, n + 1, dtype=U) * U(0x9E3779B97F4A7C15) + U(seed))
 
 
 class Poly:
-    """Hashes of all slices of a sequence from one prefix sum, modulo 2**64."""
+    """Hashes of all slices of a sequence from one prefix sum, modulo 2**64.
+
+    Powers come from two tables of fixed size, for the low and the high bits of a place, so nothing kept grows with a text.
+    """
 
     def __init__(self, seed: int) -> None:
-        self.base = int(stream(seed, 1)[0]) | 1
-        self.inverse = pow(self.base, -1, 1 << 64)
-        self.up = np.ones(1, U)
-        self.down = np.ones(1, U)
-
-    def _grow(self, n: int) -> None:
-        if len(self.up) < n:
-            size = max(n, 1 << 16)
-            for name, b in (("up", self.base), ("down", self.inverse)):
-                p = np.full(size, b, U)
-                p[0] = 1
-                setattr(self, name, np.multiply.accumulate(p))
+        base = int(stream(seed, 1)[0]) | 1
+        inverse = pow(base, -1, 1 << 64)
+        self.up, self.down = _powers(base, 1, BLOCK), _powers(inverse, 1, BLOCK)
+        self.up_high, self.down_high = _powers(base, BLOCK, HIGH), _powers(inverse, BLOCK, HIGH)
 
     def prefix(self, values: np.ndarray) -> np.ndarray:
-        self._grow(len(values) + 1)
+        """Sums before each place (and the whole) of values times powers."""
         out = np.zeros(len(values) + 1, U)
-        np.cumsum(values * self.up[: len(values)], out=out[1:])
+        for s in range(0, len(values), BLOCK):
+            part = values[s : s + BLOCK]
+            np.cumsum(part * (self.up[: len(part)] * self.up_high[s // BLOCK]), out=out[s + 1 : s + 1 + len(part)])
+            out[s + 1 : s + 1 + len(part)] += out[s]
         return out
 
+    def finish(self, before: np.ndarray, after: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+        """Hashes of slices from the sums before their start and their end."""
+        return mix((after - before) * (self.down[start & (BLOCK - 1)] * self.down_high[start // BLOCK]) + (end - start).astype(U) * U(0xD6E8FEB86659FD93))
+
     def slices(self, prefix: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
-        return mix((prefix[end] - prefix[start]) * self.down[start] + (end - start).astype(U) * U(0xD6E8FEB86659FD93))
+        return self.finish(prefix[start], prefix[end], start, end)
+
+    def slices_of(self, table: np.ndarray, codes: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+        """``slices`` over ``table[codes]`` for ascending, disjoint slices, one block of codes in memory at a time."""
+        before, after, total = np.empty(len(start), U), np.empty(len(end), U), U(0)
+        sums = np.zeros(BLOCK + 1, U)
+        for s in range(0, len(codes), BLOCK):
+            part = table[codes[s : s + BLOCK]]
+            n = len(part)
+            np.cumsum(part * (self.up[:n] * self.up_high[s // BLOCK]), out=sums[1 : n + 1])
+            sums[1 : n + 1] += total
+            sums[0] = total
+            for at, out in ((start, before), (end, after)):
+                lo, hi = np.searchsorted(at, (s, s + n + (s + n == len(codes))))
+                out[lo:hi] = sums[at[lo:hi] - s]
+            total = sums[n]
+        return self.finish(before, after, start, end)
 
 
 BYTES = stream(11, 256)
@@ -115,8 +142,7 @@ class Words:
         self.first = np.searchsorted(self.start, off)
         self.count = np.diff(self.first)
         self.doc = np.repeat(np.arange(len(off) - 1), self.count)
-        pre = WORD.prefix(BYTES[buf])
-        self.hash = WORD.slices(pre, self.start, self.end)
+        self.hash = WORD.slices_of(BYTES, buf, self.start, self.end)
 
     def grams(self, n: int, poly: Poly = GRAM) -> tuple[np.ndarray, np.ndarray]:
         """Start word and hash of each run of n words inside one row."""
