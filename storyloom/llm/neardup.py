@@ -4,7 +4,7 @@
 2. Each text has ``bands * rows`` minima of universal (multiply-shift) hashes over its distinct shingles, one bucket a
    band. Each member of a bucket is held against the bucket's smallest member on full shingle sets - as many edges as members, never pairs -
    and what links collapses by alternating large-star and small-star.
-3. Buckets whose members now lie in one component are done. In the others, members of different components meet: members
+3. Buckets whose other members now lie in one component are done. In the rest, members of different components meet: members
    of like size only (cells of neighbouring size classes), dealt by hash into blocks of about ``block`` texts, each task holding two
    blocks. A pair is looked at in its first shared bucket only, its signature is checked, the link is confirmed on full sets,
    and a task returns a spanning forest.
@@ -129,7 +129,7 @@ def links_in_block(frame: pd.DataFrame, percent: int, n_hashes: int = 128) -> li
     bands = np.stack(frame["bands"].to_list())
     key, block, upper, comp = (frame[c].to_numpy() for c in ("key", "block", "upper", "comp"))
     n = len(sets)
-    _, sig = signatures(np.repeat(np.arange(n), [len(s) for s in sets]), np.concatenate(sets), n_hashes)
+    sig = None
     size = np.array([len(s) for s in sets])
     least = max(0.0, percent / 100 - 5 * (percent / 100 * (1 - percent / 100) / n_hashes) ** 0.5)
     two = len(set(block)) > 1
@@ -147,6 +147,8 @@ def links_in_block(frame: pd.DataFrame, percent: int, n_hashes: int = 128) -> li
             shared = bands[other] == bands[i]
             other = other[bands[i][shared.argmax(axis=1)] == key[0]]
         if len(other):
+            if sig is None:
+                _, sig = signatures(np.repeat(np.arange(n), [len(s) for s in sets]), np.concatenate(sets), n_hashes)
             other = other[(sig[other] == sig[i]).mean(axis=1) >= least]
         for j in other:
             if forest.find(part[i]) == forest.find(part[j]):
@@ -181,7 +183,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     one = write_table(named.groupBy("digest").agg(F.min("doc_id").alias("rep"), F.first("n_shingles").alias("n"), F.first("bands").alias("bands")), "texts")
     members = one.select("digest", "n", F.explode("bands").alias("key"))
     least = F.min(F.struct("digest", "n"))
-    heads = members.groupBy("key").agg(least.alias("x"), F.count("*").alias("size")).where("size > 1").select("key", F.col("x.digest").alias("head"), F.col("x.n").alias("head_n"))
+    heads = members.groupBy("key").agg(least.alias("x"), F.count("*").alias("size")).where("size > 1").select("key", F.col("x.digest").alias("head"), F.col("x.n").alias("head_n"), "size")
     heads = write_table(heads, "heads")
     shared = write_table(members.join(heads.select("key"), "key"), "members")
     reps = shared.select("digest").distinct().join(one.select("digest", "rep"), "digest").select(F.col("rep").alias("doc_id")).distinct()
@@ -191,7 +193,9 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     near = write_table(connected_components(_star_links(heads, shared, sets, percent)), "near")
 
     comp = F.coalesce("component", "digest").alias("comp")
-    placed = write_table(shared.join(near, F.col("digest") == F.col("node"), "left").select("key", "digest", "n", comp), "placed")
+    # pairs with a bucket's smallest member are done
+    rest = shared.join(heads.where("size > 2"), "key").where("digest <> head").select("key", "digest", "n")
+    placed = write_table(rest.join(near, F.col("digest") == F.col("node"), "left").select("key", "digest", "n", comp), "placed")
     unlike = F.min("comp") < F.max("comp")
     still = placed.groupBy("key").agg(unlike.alias("open")).where("open").select("key")
     step = 1.001 * math.log(100 / percent) if percent < 100 else 1e-9
