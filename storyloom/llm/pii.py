@@ -2,14 +2,15 @@
 
 Base kinds (email, ip, card, phone) are patterns with checks. Candidates for one more kind, ``secret`` (keys and tokens), are
 words of letters, digits, ``_`` and ``-`` with a digit. Labelers of three sorts vote on each: patterns
-(known key shapes, long hexadecimal), gazetteers (known prefixes) and context (a naming word before, quotes around, a
-hyphenated word, a plain number). Votes are counted by pattern over all documents - a table bounded by the number of vote and
+(known key shapes, long hexadecimal), gazetteers (key prefixes, names of encodings, ciphers and platforms) and context (a naming word
+before, the end of a sentence before). Votes are counted by pattern over all documents - a table bounded by the number of vote and
 feature combinations - from which expectation-maximisation estimates each labeler's reliability and each pattern's
 probability; a naive Bayes span classifier over the span's own features is trained with those probabilities, and
 spans it gives at least ``THRESHOLD`` are added. Added spans never replace base spans and never lie inside one.
 
-Positions come from one pass: gaps and matches alternate, so starts are sums of lengths. Patterns are possessive or
-anchored at the start of their character run, so long runs take linear time and no recursion.
+All work is linear in a text's length. Gaps and matches alternate, so starts are running sums of lengths; running sums and maxima are folded in
+blocks, since a fold that appends copies its array each time; text is put together from pieces of bounded blocks. Patterns are
+possessive or anchored at the start of their character run, so long runs take linear time and no recursion.
 
 Defined results: null counts as empty; repeated rows are searched each; an empty table gives no rows; other columns, whatever their names, are
 ignored by ``find`` and kept by ``redact``.
@@ -28,7 +29,8 @@ THRESHOLD = 0.9
 PATTERNS = {
     "email": r"(?:(?<![A-Za-z0-9._%+-])|\G)[A-Za-z0-9._%+-]++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++",
     "ip": r"(?:(?<![0-9])|\G)[0-9]++(?:\.[0-9]++){3}",
-    "card": r"[0-9]++(?:[\x20-][0-9]++)*+",
+    # only runs of 12 digits or more can pass; from a shorter run's later digits there are fewer still
+    "card": r"(?=[0-9](?:[\x20-]?[0-9]){11})[0-9]++(?:[\x20-][0-9]++)*+",
     "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
     "secret": r"(?<![A-Za-z0-9_-])(?=[A-Za-z_-]*+[0-9])[A-Za-z0-9_-]{12,}+",
 }
@@ -49,20 +51,38 @@ def _quoted(s: str) -> str:
     return "r'" + s + "'" if "'" not in s else '"' + s.replace("\\", "\\\\") + '"'
 
 
+BLOCK, PIECE = 64, 4096
+
+
+def let(value: str, name: str, body: str) -> str:
+    """``body`` with ``name`` bound to a value that is computed once."""
+    return f"transform(array({value}), {name} -> {body})[0]"
+
+
+def running(values: str, combine: str, level: int = 0) -> str:
+    """For each element of an int array what ``combine`` of those before it (and 0) gives; {a} and {b} stand for the two operands. Longer arrays go by blocks of ``BLOCK``."""
+    x, y, z, n = (f"{v}{level}" for v in "xyzn")
+    fold = f"aggregate({{v}}, named_struct('at', {{init}}, 'out', cast(array() as array<int>)), (a, v) -> named_struct('at', {combine.format(a='a.at', b='v')}, 'out', array_append(a.out, a.at)), a -> a.out)"
+    if level == 3:
+        return fold.format(v=values, init="0")
+    parts = f"transform(sequence(0, (size({x}) - 1) div {BLOCK}), {n} -> slice({x}, {n} * {BLOCK} + 1, {BLOCK}))"
+    whole = f"transform({y}, b -> aggregate(b, 0, (a, v) -> {combine.format(a='a', b='v')}))"
+    blocks = let(parts, y, let(running(whole, combine, level + 1), z, f"flatten(transform({y}, (b, i) -> {fold.format(v='b', init=f'{z}[i]')}))"))
+    return let(values, x, f"case when size({x}) <= {BLOCK} then {fold.format(v=x, init='0')} else {blocks} end")
+
+
 def matches(text: str, kind: str) -> Column:
-    """array<struct<s, e, m>>: valid matches of a kind in column ``text``, in code points."""
-    p = _quoted(PATTERNS[kind])
-    valid = _VALID[kind].format(m="x.m")
-    fold = (
-        f"aggregate(arrays_zip(split({text}, {p}, -1) as g, regexp_extract_all({text}, {p}, 0) as m),"
-        " named_struct('at', 0, 'out', cast(array() as array<struct<s:int,e:int,m:string>>)),"
-        f" (a, x) -> named_struct('at', a.at + length(x.g) + coalesce(length(x.m), 0),"
-        f" 'out', case when x.m is not null and {valid} then array_append(a.out, named_struct('s', a.at + length(x.g), 'e', a.at + length(x.g) + length(x.m), 'm', x.m)) else a.out end),"
-        " a -> a.out)"
-    )
-    fold = fold.replace(f"split({text}, {p}, -1) as g, regexp_extract_all({text}, {p}, 0) as m", f"split({text}, {p}, -1), regexp_extract_all({text}, {p}, 0)").replace("x.g", "x.`0`").replace("x.m", "x.`1`")
-    needs = _NEEDS[kind].format(t=text)
-    return F.expr(f"case when {needs} and {text} rlike '[0-9@]' then {fold} else cast(array() as array<struct<s:int,e:int,m:string>>) end")
+    """array<struct<s, e, m, b>>: valid matches of a kind in column ``text``, in code points; for secrets b is what stands before, up to 24 characters from the last match on."""
+    p, secret = _quoted(PATTERNS[kind]), kind == "secret"
+    before = "right(concat(coalesce(get(m, i - 1), ''), g[i]), 24)" if secret else "''"
+    size = "length({})" if secret else "{}"
+    gaps = f"split({text}, {p}, -1)" if secret else f"transform(split({text}, {p}, -1), g -> length(g))"
+    steps = f"zip_with(g, m, (a, b) -> {size.format('a')} + coalesce(length(b), 0))"
+    head = f"at[i] + {size.format('g[i]')}"
+    spans = f"filter(transform(m, (x, i) -> named_struct('s', {head}, 'e', {head} + length(x), 'm', x, 'b', {before})), x -> {_VALID[kind].format(m='x.m')})"
+    none = "cast(array() as array<struct<s:int,e:int,m:string,b:string>>)"
+    found = let(f"regexp_extract_all({text}, {p}, 0)", "m", f"case when size(m) = 0 then {none} else {let(gaps, 'g', let(running(steps, '{a} + {b}'), 'at', spans))} end")
+    return F.expr(f"case when {_NEEDS[kind].format(t=text)} and {text} rlike '[0-9@]' then {found} else {none} end")
 
 
 def with_base(docs: DataFrame, text: str) -> DataFrame:
@@ -70,12 +90,16 @@ def with_base(docs: DataFrame, text: str) -> DataFrame:
     return docs.withColumns({f"_{k}": matches(text, k) for k in KINDS[:4]})
 
 
+# gazetteers: how keys of known services begin; encodings, ciphers, digests, protocols and platforms that hold digits; words that name a key
+KEY_PREFIXES = ("AKIA", "ASIA", "ghp_", "gho_", "ghs_", "github_pat_", "glpat-", "sk-", "sk_live_", "sk_test_", "pk-", "pk_live_", "rk_live_", "xoxb-", "xoxp-", "xoxa-", "AIza", "ya29", "eyJ", "hf_", "npm_", "dop_v1_", "SG_", "shpat_")
+KNOWN_WORDS = ("aes-?(128|192|256)", "base(16|32|58|64)", "blake2", "chacha20", "curve25519", "ed25519", "ecdsa", "hmac-sha", "ipv[46]", "iso-?8859", "iso-?[0-9]{4,5}", "md5", "rfc-?[0-9]", "rsa-?(1024|2048|4096)", "secp(192|224|256|384|521)", "sha-?(1|2|3|224|256|384|512)", "utf-?(8|16|32)", "windows-?[0-9]", "x86_64", "amd64", "arm64", "aarch64", "covid-?19")
+NAMING_WORDS = ("token", "secret", "key", "password", "passwd", "auth", "bearer", "credential")
 # labelers: 1 votes for a secret, 0 against, null abstains
 _LABELERS = {
     "shape": "case when m rlike '^[A-Z]{4}[A-Z0-9]{16}$' or m rlike '^[0-9a-f]{32,}$' then 1 when m rlike '^[0-9-]+$' then 0 end",
     "hex": "case when m rlike '^[0-9a-fA-F]{24,}$' then 1 when length(m) < 16 then 0 end",
-    "prefix": "case when m rlike '^(AKIA|ASIA|ghp_|gho_|glpat-|sk-|pk-|xox[bp]-|AIza|eyJ)' then 1 end",
-    "named": "case when before rlike '(?i)(token|secret|key|password|passwd|auth|bearer|credential)[a-z_]*[ ]*[=:]?[ ]*[\"]?$' then 1 when before rlike '[.,;:!?][ ]*$' then 0 end",
+    "known": f"case when m rlike '^({'|'.join(KEY_PREFIXES)})' then 1 when lower(m) rlike '^({'|'.join(KNOWN_WORDS)})' then 0 end",
+    "named": f"case when before rlike '(?i)({'|'.join(NAMING_WORDS)})[a-z_]*[ ]*[=:]?[ ]*[\"]?$' then 1 when before rlike '[.,;:!?][ ]*$' then 0 end",
     "mixed": "case when m rlike '[0-9][A-Za-z]+[0-9]+[A-Za-z]+[0-9]' then 1 when m rlike '^[a-z]+-[a-z0-9-]+$' or m rlike '^[A-Za-z]+[0-9]{1,4}$' or m rlike '^[0-9-]+$' then 0 end",
 }
 _FEATURES = {
@@ -88,8 +112,8 @@ _FEATURES = {
 
 def candidates(docs: DataFrame, text: str) -> DataFrame:
     """One row per candidate span, with votes v_* and features f_*."""
-    spans = docs.select(F.col(text).alias("_t"), F.explode(matches(text, "secret")).alias("_c"))
-    spans = spans.select(F.col("_c.m").alias("m"), F.expr("substring(_t, greatest(1, _c.s - 23), least(24, _c.s))").alias("before"))
+    spans = docs.select(F.explode(matches(text, "secret")).alias("_c"))
+    spans = spans.select(F.col("_c.m").alias("m"), F.col("_c.b").alias("before"))
     return spans.selectExpr(*[f"{e} as v_{k}" for k, e in _LABELERS.items()], *[f"cast({e} as int) as f_{k}" for k, e in _FEATURES.items()])
 
 
@@ -161,9 +185,12 @@ def with_spans(docs: DataFrame, text: str, model: tuple[float, list[dict[int, fl
     base = with_base(docs, text).withColumn("_secret", matches(text, "secret"))
     tagged = [f"transform(_{k}, x -> named_struct('s', x.s, 'k', {i}, 'e', x.e))" for i, k in enumerate(KINDS[:4])]
     base = base.withColumn("_base", F.expr(f"array_sort(concat({', '.join(tagged)}))"))
-    clear = "not exists(_base, b -> b.s <= x.s and x.e <= b.e)"
-    added = f"transform(filter(_secret, x -> {secret_test(model, 'x.m')} and {clear}), x -> named_struct('s', x.s, 'k', 4, 'e', x.e))"
-    return base.withColumn("_spans", F.expr(f"array_sort(concat(_base, {added}))"))
+    added = f"transform(filter(_secret, x -> {secret_test(model, 'x.m')}), x -> named_struct('s', x.s, 'k', 4, 'e', x.e))"
+    base = base.withColumn("_all", F.expr(f"array_sort(concat(_base, {added}))"))
+    # base spans of one start come first, so an added span lies inside one if the furthest end of those before reaches its own
+    reach = running("transform(_all, x -> case when x.k < 4 then x.e else 0 end)", "greatest({a}, {b})")
+    clear = let(reach, "r", "filter(transform(_all, (x, i) -> named_struct('x', x, 'r', r[i])), y -> y.x.k < 4 or y.r < y.x.e)")
+    return base.withColumn("_spans", F.expr(f"case when size(_secret) = 0 then _base else transform({clear}, y -> y.x) end"))
 
 
 def _line(spans: str) -> Column:
@@ -189,10 +216,15 @@ def redact(docs: DataFrame, text_col: str = "text", model: tuple[float, list[dic
     src = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("_text"))
     got = with_spans(src, "_text", model)
     names = ", ".join(f"'[{k.upper()}]'" for k in KINDS)
-    clean = (
-        "case when size(_spans) = 0 then _text else aggregate(_spans, named_struct('at', 0, 'out', ''),"
-        f" (a, x) -> case when x.s < a.at then named_struct('at', greatest(a.at, x.e), 'out', a.out) else named_struct('at', x.e, 'out', concat(a.out, substring(_text, a.at + 1, x.s - a.at), element_at(array({names}), x.k + 1))) end,"
-        " a -> concat(a.out, substring(_text, a.at + 1))) end"
+    reach = running("transform(_spans, x -> x.e)", "greatest({a}, {b})")
+    part = lambda f, t: (
+        f"case when {f} div {PIECE} = {t} div {PIECE} then substring(p[{f} div {PIECE}], {f} % {PIECE} + 1, {t} - {f})"
+        f" else concat(substring(p[{f} div {PIECE}], {f} % {PIECE} + 1), array_join(slice(p, {f} div {PIECE} + 2, {t} div {PIECE} - {f} div {PIECE} - 1), ''), substring(coalesce(get(p, {t} div {PIECE}), ''), 1, {t} % {PIECE})) end"
     )
+    # a span that starts inside an earlier one only moves on where the text goes on
+    heads = "filter(transform(_spans, (x, i) -> named_struct('f', r[i], 's', x.s, 'k', x.k)), y -> y.f <= y.s)"
+    shown = f"array_join(transform({heads}, y -> concat({part('y.f', 'y.s')}, element_at(array({names}), y.k + 1))), '')"
+    rest = let("greatest(r[size(r) - 1], _spans[size(r) - 1].e)", "z", f"case when z >= length(_text) then '' else {part('z', 'length(_text)')} end")
+    clean = f"case when size(_spans) = 0 then _text else {let(f'regexp_extract_all(_text, {chr(39)}(?s).{{1,{PIECE}}}{chr(39)}, 0)', 'p', let(reach, 'r', f'concat({shown}, {rest})'))} end"
     new = F.when(F.col(f"_row.`{text_col}`").isNull(), F.lit(None).cast("string")).otherwise(F.expr(clean))
     return got.select(*[new.alias(c) if c == text_col else F.col(f"_row.`{c}`").alias(c) for c in docs.columns])
