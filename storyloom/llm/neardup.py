@@ -6,8 +6,8 @@
    and what links collapses by alternating large-star and small-star.
 3. Buckets whose other members now lie in one component are done. In the rest, members of different components meet: members
    of like size only (cells of neighbouring size classes), dealt by hash into blocks of about ``block`` texts, each task holding two
-   blocks. A pair is looked at in its first shared bucket only, its signature is checked, the link is confirmed on full sets,
-   and a task returns a spanning forest.
+   blocks. A pair is looked at in its first shared bucket only. Signatures come first; texts that they leave a partner bring their full sets,
+   links are confirmed on these, and a task returns a spanning forest.
 4. Large-star and small-star join the components that these links connect.
 
 With 40 bands of 6 rows a pair at similarity 0.85 is missed with a chance under 1e-8. Signatures drop a pair only
@@ -36,7 +36,9 @@ from storyloom.llm.components import connected_components
 from storyloom.llm.runtime import source, write_table
 from storyloom.llm.vectext import GRAM, U, Words, chunks, mix, record, stream
 
-_SKETCH = pa.schema([("doc_id", pa.int64()), ("digest", pa.binary()), ("n_shingles", pa.int64()), ("bands", pa.list_(pa.int64()))])
+#: minima of which the low byte is kept as a text's signature
+SIGNATURE = 128
+_SKETCH = pa.schema([("doc_id", pa.int64()), ("digest", pa.binary()), ("n_shingles", pa.int64()), ("bands", pa.list_(pa.int64())), ("sig", pa.binary())])
 _SETS = pa.schema([("digest", pa.binary()), ("shingles", pa.list_(pa.int64()))])
 
 
@@ -90,7 +92,9 @@ def _sketch(k: int, bands: int, rows_each: int):
             n = np.bincount(row, minlength=batch.num_rows)
             ends = np.concatenate([[0], np.cumsum(n > 0)]) * bands
             lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(keys.ravel()))
-            yield record(_SKETCH, doc_id=batch.column("doc_id"), digest=pa.array(digest, pa.binary()), n_shingles=n.astype(np.int64), bands=lists)
+            low = np.ascontiguousarray(sig[:, :SIGNATURE].astype(np.uint8))
+            small = dict(zip(who.tolist(), (x.tobytes() for x in low), strict=True))
+            yield record(_SKETCH, doc_id=batch.column("doc_id"), digest=pa.array(digest, pa.binary()), n_shingles=n.astype(np.int64), bands=lists, sig=pa.array([small.get(i) for i in range(batch.num_rows)], pa.binary()))
 
     return emit
 
@@ -122,22 +126,17 @@ class Forest:
         return x != y
 
 
-def links_in_block(frame: pd.DataFrame, percent: int, n_hashes: int = 128) -> list[tuple[bytes, bytes]]:
-    """A spanning forest over the components of a task's texts: links of texts of different components that share ``key`` as their first bucket;
-    where there are two blocks, between them only; never between two texts of the upper size class."""
-    sets = [np.asarray(x).view(U) for x in frame["shingles"]]
+def likely(frame: pd.DataFrame, percent: int) -> Iterator[tuple[int, np.ndarray]]:
+    """Each text of a task with the later ones that it may link with: of another component, in the other block where there are two, not both of the upper
+    size class, of a size that allows it, with ``key`` as the first shared bucket, and with signatures within five deviations."""
     bands = np.stack(frame["bands"].to_list())
-    key, block, upper, comp = (frame[c].to_numpy() for c in ("key", "block", "upper", "comp"))
-    n = len(sets)
-    sig = None
-    size = np.array([len(s) for s in sets])
-    least = max(0.0, percent / 100 - 5 * (percent / 100 * (1 - percent / 100) / n_hashes) ** 0.5)
+    sig = np.frombuffer(b"".join(frame["sig"]), np.uint8).reshape(len(frame), -1)
+    key, block, upper, comp, size = (frame[c].to_numpy() for c in ("key", "block", "upper", "comp", "n"))
+    part = pd.factorize(comp)[0]
+    least = max(0.0, percent / 100 - 5 * (percent / 100 * (1 - percent / 100) / sig.shape[1]) ** 0.5)
     two = len(set(block)) > 1
-    number = {c: i for i, c in enumerate(dict.fromkeys(comp))}
-    part = np.array([number[c] for c in comp])
-    forest, out = Forest(len(number)), []
-    for i in range(n - 1):
-        other = np.arange(i + 1, n)
+    for i in range(len(frame) - 1):
+        other = np.arange(i + 1, len(frame))
         other = other[(part[other] != part[i]) & ~(upper[other] & upper[i])]
         if two:
             other = other[block[other] != block[i]]
@@ -147,19 +146,43 @@ def links_in_block(frame: pd.DataFrame, percent: int, n_hashes: int = 128) -> li
             shared = bands[other] == bands[i]
             other = other[bands[i][shared.argmax(axis=1)] == key[0]]
         if len(other):
-            if sig is None:
-                _, sig = signatures(np.repeat(np.arange(n), [len(s) for s in sets]), np.concatenate(sets), n_hashes)
             other = other[(sig[other] == sig[i]).mean(axis=1) >= least]
+        if len(other):
+            yield i, other
+
+
+def links_in_block(frame: pd.DataFrame, percent: int) -> list[tuple[bytes, bytes]]:
+    """A spanning forest, over the components of a task's texts, of links confirmed on full sets."""
+    sets = [np.asarray(x) for x in frame["shingles"]]
+    part, names = pd.factorize(frame["comp"].to_numpy())
+    forest, out = Forest(len(names)), []
+    for i, other in likely(frame, percent):
         for j in other:
             if forest.find(part[i]) == forest.find(part[j]):
                 continue
             both = len(np.intersect1d(sets[i], sets[j], assume_unique=True))
-            if 100 * both >= percent * (size[i] + size[j] - both):
+            if 100 * both >= percent * (len(sets[i]) + len(sets[j]) - both):
                 forest.join(part[i], part[j])
-                out.append((comp[i], comp[j]))
+                out.append((names[part[i]], names[part[j]]))
     return out
 
 
+_TASK = "key long, cell long, lo int, hi int, digest binary, n long, block int, upper boolean, comp binary, bands array<long>, sig binary"
+
+
+def _plausible(percent: int):
+    """The texts of a task that may link with another one; the rest need no sets."""
+
+    def emit(pdf: pd.DataFrame) -> pd.DataFrame:
+        stay = np.zeros(len(pdf), bool)
+        for i, other in likely(pdf, percent):
+            stay[i] = True
+            stay[other] = True
+        return pdf[stay]
+
+    return emit
+
+
 def _confirm(percent: int):
     def emit(pdf: pd.DataFrame) -> pd.DataFrame:
         return pd.DataFrame(links_in_block(pdf, percent), columns=["a", "b"])
@@ -178,9 +201,9 @@ def _star_links(heads: DataFrame, members: DataFrame, sets: DataFrame, percent:
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = 85, shingle: int = 5, bands: int = 40, rows: int = 6, block: int = 128) -> DataFrame:
     """(doc_id, n_shingles, component_id, kept) for each row of ``docs``."""
     src = source(docs, doc_id=(id_col, "long"), text=(text_col, "string"))
-    sketch = write_table(src.mapInArrow(_sketch(shingle, bands, rows), "doc_id long, digest binary, n_shingles long, bands array<long>"), "sketch")
+    sketch = write_table(src.mapInArrow(_sketch(shingle, bands, rows), "doc_id long, digest binary, n_shingles long, bands array<long>, sig binary"), "sketch")
     named = sketch.where("digest is not null and doc_id is not null")
-    one = write_table(named.groupBy("digest").agg(F.min("doc_id").alias("rep"), F.first("n_shingles").alias("n"), F.first("bands").alias("bands")), "texts")
+    one = write_table(named.groupBy("digest").agg(F.min("doc_id").alias("rep"), F.first("n_shingles").alias("n"), F.first("bands").alias("bands"), F.first("sig").alias("sig")), "texts")
     members = one.select("digest", "n", F.explode("bands").alias("key"))
     least = F.min(F.struct("digest", "n"))
     heads = members.groupBy("key").agg(least.alias("x"), F.count("*").alias("size")).where("size > 1").select("key", F.col("x.digest").alias("head"), F.col("x.n").alias("head_n"), "size")
@@ -205,8 +228,9 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     sizes = write_table(cells.groupBy("key", "cell").agg(F.count("*").alias("size"), unlike.alias("open")).where("open").select("key", "cell", F.ceil(F.col("size") / block).cast("int").alias("blocks")), "sizes")
     dealt = cells.join(sizes, ["key", "cell"]).withColumn("block", F.pmod(F.xxhash64("digest"), F.col("blocks")).cast("int"))
     pairs = F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda o: F.struct(F.least("block", o).alias("lo"), F.greatest("block", o).alias("hi")))
-    tasks = dealt.join(sets, "digest").join(one.select("digest", "bands"), "digest").select("key", "cell", F.explode(pairs).alias("p"), "block", "upper", "comp", "shingles", "bands")
-    links = tasks.groupBy("key", "cell", "p").applyInPandas(_confirm(percent), "a binary, b binary")
+    tasks = dealt.join(one.select("digest", "n", "bands", "sig"), "digest").select("key", "cell", F.explode(pairs).alias("p"), "digest", "n", "block", "upper", "comp", "bands", "sig").select("key", "cell", "p.*", "digest", "n", "block", "upper", "comp", "bands", "sig")
+    tasks = write_table(tasks.groupBy("key", "cell", "lo", "hi").applyInPandas(_plausible(percent), _TASK), "plausible")
+    links = tasks.join(sets, "digest").groupBy("key", "cell", "lo", "hi").applyInPandas(_confirm(percent), "a binary, b binary")
 
     where = write_table(one.select("digest", "rep").join(near, F.col("digest") == F.col("node"), "left").select("digest", "rep", comp), "where")
     # an id with several texts links the components of all of them

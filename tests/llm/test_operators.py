@@ -1,4 +1,5 @@
 import random
+import tracemalloc
 import zlib
 
 import numpy as np
@@ -283,6 +284,49 @@ def test_passages_at_any_start(spark):
     assert decontam.decontaminate(frame(spark, [*enumerate(texts)]), spark.createDataFrame([(7, item)], "item_id long, text string")).count() == 0
 
 
+def test_passages_of_any_alphabet_and_period():
+    rng = random.Random(21)
+    letters = lambda n, of: "".join(rng.choice(of) for _ in range(n))
+    plain = lambda x: decontam.normal(*decontam.flat(pa.array([x])))[0].tobytes()
+    for _ in range(12):
+        of = rng.choice(["ab", "abcdef", "-= ", "abcdefghijklmnop"])
+        items = [letters(rng.randint(5, 300), of) for _ in range(4)] + ["-" * rng.randint(20, 900), "=-" * rng.randint(20, 400)]
+        texts = []
+        for _ in range(10):
+            item = rng.choice(items)
+            at = rng.randrange(len(item))
+            cut = list(item[at : at + rng.randint(40, 120)])
+            for _ in range(rng.randint(0, 6)):
+                q = rng.randrange(len(cut) + 1)
+                cut[q : q + rng.randint(0, 1)] = rng.choice(["", "z"])
+            texts.append(letters(rng.randint(0, 200), "uvwxyz" + of) + "".join(cut) + letters(rng.randint(0, 200), "uvwxyz"))
+        known = [(j, x) for j, x in enumerate(plain(i).strip() for i in items) if len(x) >= decontam.Q]
+        index = decontam.Index([([j], x) for j, x in known], 64)
+        want = {(i, j) for i, t in enumerate(map(plain, texts)) for j, x in known for n in [min(64, len(x))] if any(brute.within(x[s : s + n], t, decontam.budget(n)) for s in range(len(x) - n + 1))}
+        assert {(g[0], index.ids[g[1]][0]) for g in index.search(pa.array(texts))} == want
+
+
+def test_long_repetitions_take_little_memory():
+    tracemalloc.start()
+    index = decontam.Index([([1], b"-" * 10_000), ([2], b"=-" * 3000)], 64)
+    got = index.search(pa.array(["-" * 100_000, "x" + "-" * 700_000 + "=-" * 200, "ab " * 50_000]))
+    assert tracemalloc.get_traced_memory()[1] < 300 << 20
+    tracemalloc.stop()
+    assert [(r, index.ids[i], e) for r, i, e, *_ in got] == [(0, [1], 0), (1, [1], 0), (1, [2], 0)]
+    assert all(0 <= g[3] < g[4] for g in got) and got[0][4] <= 100_000
+
+
+def test_items_without_an_id_and_other_columns(spark):
+    rng = random.Random(22)
+    text = prose(rng, 60)
+    bench = spark.createDataFrame([(None, text, 1, "x"), (-1, text, 2, "y"), (3, text, 3, "z"), (3, text, 3, "z")], "item_id long, text string, doc_id long, edits string")
+    docs = frame(spark, [(1, f"a b c {text}"), (None, text), (2, prose(rng, 60)), (1, f"a b c {text}")])
+    got = sorted(((r.doc_id or 0, r.item_id) for r in decontam.contaminated(docs, bench).collect()), key=repr)
+    assert got == sorted([(i, j) for i in (0, 1, 1) for j in (None, -1, 3, 3)], key=repr)
+    kept = decontam.decontaminate(docs, bench)
+    assert kept.columns == docs.columns and [r.doc_id for r in kept.collect()] == [2]
+
+
 def test_decontamination(spark, rows, none):
     rng = random.Random(11)
     items = [*benchmark(rng), (90, None), (91, ""), (92, "short")]
@@ -309,13 +353,14 @@ def test_decontamination(spark, rows, none):
             if len(item) < decontam.Q or not text:
                 continue
             size = min(64, len(item))
-            starts = {*range(0, len(item) - size + 1, 4), len(item) - size}
-            if any(brute.within(item[s : s + size], text, decontam.budget(size)) for s in starts):
+            if any(brute.within(item[s : s + size], text, decontam.budget(size)) for s in range(len(item) - size + 1)):
                 want.add((d, i))
     got = {(r.doc_id, r.item_id) for r in decontam.contaminated(frame(spark, table), bench).collect()}
     assert got == want
     assert len(want) >= 18
-    assert {(r.doc_id, r.item_id) for r in decontam.contaminated(frame(spark, table), bench, block_bytes=400).collect()} == want
+    for group in (400, 2000):  # several blocks, behind the bit tables of several groups
+        assert {(r.doc_id, r.item_id) for r in decontam.contaminated(frame(spark, table), bench, block_bytes=400, group_bytes=group).collect()} == want
+        assert {r.doc_id for r in decontam.decontaminate(frame(spark, table), bench, block_bytes=400, group_bytes=group).collect()} == {d for d, _ in table} - {d for d, _ in want}
     kept = decontam.decontaminate(frame(spark, table), bench)
     assert {r.doc_id for r in kept.collect()} == {d for d, _ in table} - {d for d, _ in want}
     assert decontam.contaminated(none, bench).count() == 0
@@ -448,6 +493,34 @@ def test_secrets_are_added_and_base_spans_stay(spark):
     assert all(red[i] == rows[i][1] for i in range(2, 300, 3))
 
 
+def test_long_texts_with_very_many_spans(spark):
+    rng = random.Random(31)
+    kinds = ["number {0} and so on", "mail a{0}.b@c-d.org now", "at 10.2.{1}.7 é", "card 4111 1111 1111 1111, or 4111111111111112", "+1 (988) 555-2485", 'token = "{2:040x}"', "üöä 日本 😀", "x{0:015d}@mail.de"]
+    text = lambda n: " ".join(rng.choice(kinds).format(i, i % 300, rng.getrandbits(160)) for i in range(n))
+    rows = [(i, text(n)) for i, n in enumerate([1, 5, 64, 65, 300, 4097, 40_000])]
+    docs = frame(spark, rows)
+    model = pii.train(docs.select("doc_id", F.col("text").alias("_text")), "_text")
+    got = {r.doc_id: r for r in pii.find(docs, model=model).collect()}
+    red = {r.doc_id: r.text for r in pii.redact(docs, model=model).collect()}
+    for i, t in rows:
+        assert (got[i].n_email, got[i].n_ip, got[i].n_card, got[i].n_phone, got[i].base_sha256) == brute.personal(t)
+        out, at = [], 0
+        for kind, a, b in (x.split(":") for x in got[i].spans.split(",") if x):
+            if int(a) >= at:
+                out += [t[at : int(a)], f"[{kind.upper()}]"]
+            at = max(at, int(b))
+        assert red[i] == "".join(out) + t[at:]
+
+
+@pytest.mark.parametrize("size", [0, 1, 63, 64, 65, 4096, 4097, 300_000])
+def test_running_sums_and_maxima(spark, size):
+    values = [(i * 7919) % 101 for i in range(size)]
+    df = spark.createDataFrame([(values,)], "v array<int>")
+    sums, tops = df.selectExpr(pii.running("v", "{a} + {b}"), pii.running("v", "greatest({a}, {b})")).first()
+    want = np.concatenate([[0], np.cumsum(values)])[:-1].tolist() if values else []
+    assert sums == want and tops == (np.concatenate([[0], np.maximum.accumulate(values)])[:-1].tolist() if values else [])
+
+
 def test_expectation_maximisation_finds_the_unreliable_labeler():
     rng = random.Random(5)
     counts = {}
