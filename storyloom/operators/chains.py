@@ -6,13 +6,16 @@ A record's output should reappear among a later record's messages. Candidates li
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from storyloom.functions.fuzzy import block_text, containment, content_text, dump, load, similarity, tool_call_ids
+from storyloom.functions.blocks import at, content_text, filled, items, output_message, says
+from storyloom.functions.fuzzy import alike, nearly
 from storyloom.functions.text import gap_seconds, strip
-from storyloom.operators.cleaning import output_message, tool_ids, tool_use_ids
+from storyloom.operators.cleaning import tool_ids, tool_use_ids
 from storyloom.operators.ordering import global_index
 from storyloom.plans.lineage import cut
 
@@ -46,8 +49,7 @@ def matches(cand: DataFrame, exact: bool = False) -> DataFrame:
     turns = base.where("not _tool and _text <> ''").select("i", "j", "_text", F.explode(spoken).alias("m")).select("i", "j", "_text", strip(content_text(F.col("m.content"))).alias("_said")).where("_said <> ''")
     brief = turns.where(F.length("_text") < SHORT).where(F.contains("_said", F.col("_text"))).select("i", "j")
     same = turns.where((F.length("_text") >= SHORT) & (F.col("_text") == F.col("_said"))).select("i", "j")
-    # no block sum can reach the limit if the character sets differ too much, but lengths do not bound containment: all others are compared
-    other = turns.where((F.length("_text") >= SHORT) & (F.col("_text") != F.col("_said"))).where(similarity("_text", "_said") >= LEAST).select("i", "j")
+    other = turns.where((F.length("_text") >= SHORT) & (F.col("_text") != F.col("_said"))).where(nearly(LEAST)("_text", "_said")).select("i", "j")
     found = brief.unionAll(same).unionAll(other).distinct().withColumn("_hit", F.lit(True))
     return base.join(found, ["i", "j"], "left").withColumn("hit", F.col("_tool") | F.coalesce("_hit", F.lit(False))).drop("_text", "_tool", "_hit")
 
@@ -86,38 +88,43 @@ def chain_stats(chains: DataFrame) -> DataFrame:
     return chains.groupBy("root").agg(F.count("*").alias("length")).where("length > 1").withColumn("delete_count", F.col("length") - 1)
 
 
-def _merge(rows: list[tuple]) -> tuple[str, str]:
-    """Input and output JSON of a chain given as (depth, input, output) rows."""
-    docs = [(load(i).get("messages", []), load(o) if o else {}) for _, i, o in sorted(rows)]
-    docs = [(m, o if isinstance(o, dict) else {}) for m, o in docs]
-    messages = list(docs[-1][0])
-    if (last := output_message(docs[-1][1])) is not None:
-        messages.append(last)
-    for _, out in docs[:-1]:
-        text = block_text(out.get("content")).strip() if out.get("content") else ""
-        if tool_call_ids(out) or not text:
-            continue
-        for k, m in enumerate(messages):
-            said = block_text(m.get("content")).strip() if m.get("role") == "assistant" else ""
-            if said and containment(said, text) >= LEAST:
-                if len(text) > len(said):
-                    messages[k] = {"role": "assistant", "content": out["content"]}
-                break
-    return dump({"messages": messages}), sorted(rows)[-1][2]
+def places(turns: list[str], answers: list[str], least: float = LEAST) -> list[int]:
+    """For each turn the number of the answer that takes its place, or -1. Each answer meets the first turn that is nearly the same, as it reads by then, and takes its place if it is longer."""
+    now, taken = list(turns), [-1] * len(turns)
+    for n, answer in enumerate(answers):
+        j = next((j for j, said in enumerate(now) if answer and said and alike(said, answer, least)), None)
+        if j is not None and len(answer) > len(now[j]):
+            now[j], taken[j] = answer, n
+    return taken
 
 
-def merge_chains(records: DataFrame, chains: DataFrame) -> DataFrame:
-    """(id, timestamp, metadata, input, output, merged): one record per chain; the first record's id, time and metadata, the last one's output."""
+def _placed(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    for f in frames:
+        yield f.assign(place=[places(list(t), [x["answer"] for x in e[:-1]]) for t, e in zip(f["said"], f["each"], strict=True)]).drop(columns="said")
 
-    def one(pdf: pd.DataFrame) -> pd.DataFrame:
-        rows = list(zip(pdf["depth"], pdf["input"], pdf["output"], strict=True))
-        first = pdf.sort_values("depth").iloc[0]
-        inp, out = _merge(rows)
-        return pd.DataFrame([(first["root"], first["timestamp"], first["metadata"], inp, out, len(pdf))], columns=["id", "timestamp", "metadata", "input", "output", "merged"])
 
-    long = chain_stats(chains).select("root")
-    rows = chains.join(long, "root", "left_semi").join(records.select("id", "timestamp", "metadata", "input", "output"), "id")
-    return rows.groupBy("root").applyInPandas(one, "id string, timestamp string, metadata string, input string, output string, merged bigint")
+def merge_chains(records: DataFrame, chains: DataFrame) -> DataFrame:
+    """(id, timestamp, metadata, input, output, merged): one record per chain; the first record's id, time and metadata, the last one's output.
+
+    The messages are the last record's and its answer's. Where an earlier record's answer says more than the turn it became, its content stands there.
+    """
+    rows = chains.join(chain_stats(chains).select("root"), "root", "left_semi").join(records.select("id", "timestamp", "metadata", "input", "output"), "id")
+    output = F.try_parse_json("output")
+    # an answer that calls tools is in the later messages as blocks and takes no one's place
+    answer = F.when(filled(F.col("_out"), "$.tool_calls"), F.lit("")).otherwise(strip(content_text(at(F.col("_out"), "$.content"))))
+    long = rows.withColumn("_out", output).select("root", "depth", "timestamp", "metadata", "input", "output", answer.alias("answer"), at(F.col("_out"), "$.content", "variant").alias("content"))
+    first = F.min_by(F.struct("timestamp", "metadata"), "depth").alias("first")
+    last = F.max_by(F.struct("input", "output"), "depth").alias("last")
+    each = F.array_sort(F.collect_list(F.struct("depth", "answer", F.to_json("content").alias("content")))).alias("each")
+    one = long.groupBy("root").agg(first, last, each, F.count("*").alias("merged"))
+    # variants stay in the JVM: the texts go to Python, and the turns are read again behind it
+    turns = lambda: F.concat(items(F.try_parse_json("input"), "$.messages"), F.filter(F.array(output_message("output")), lambda m: m.isNotNull()))
+    one = one.select(F.col("root").alias("id"), "first.timestamp", "first.metadata", "last.input", "last.output", "each", "merged")
+    said = F.transform(turns(), lambda m: F.when(at(m, "$.role") == "assistant", strip(content_text(at(m, "$.content")))).otherwise(""))
+    kinds = ", ".join(f"{c} {t}" for c, t in one.dtypes)
+    one = one.withColumn("said", said).mapInPandas(_placed, f"{kinds}, place array<int>")
+    merged = F.transform(turns(), lambda m, j: F.when(F.get("place", j) < 0, m).otherwise(says(F.parse_json(F.get("each", F.get("place", j))["content"]))))
+    return one.select("id", "timestamp", "metadata", F.to_json(F.struct(merged.alias("messages"))).alias("input"), "output", "merged")
 
 
 def apply_merge(records: DataFrame, merged: DataFrame, chains: DataFrame) -> DataFrame:

@@ -1,12 +1,13 @@
 """Hand-written cases of the operators' rules."""
 
+import json
 import random
 from difflib import SequenceMatcher
 
 import pytest
 from pyspark.sql import functions as F
 
-from storyloom.functions import fuzzy
+from storyloom.functions import blocks, fuzzy
 from storyloom.functions import text as tx
 from storyloom.operators import chains, characters, chunking, cleaning, mapping, messages, ordering, relational, state
 from storyloom.plans import modelcalls, steps
@@ -145,25 +146,73 @@ def test_byte_shards(spark):
 
 
 def test_containment_and_repeats():
-    assert fuzzy.containment("", "x") == 1.0
-    assert fuzzy.containment("x", "") == 0.0
+    assert fuzzy.shared_share("", "x") == 1.0
+    assert fuzzy.shared_share("x", "") == 0.0
     a, b = "the quick fox", "so the quick brown fox ran"
-    assert fuzzy.containment(a, b) == sum(m.size for m in SequenceMatcher(None, a, b).get_matching_blocks()) / len(a)
+    assert fuzzy.shared_share(a, b) == sum(m.size for m in SequenceMatcher(None, a, b).get_matching_blocks()) / len(a)
     assert fuzzy.repeated_intervals("say: never open the door now", ["never open the door"]) == [(5, 24)]
-
-
-def test_dedup_and_merge_system():
-    msgs = [{"role": "system", "content": "Always answer in French."}, {"role": "user", "content": "hi"}, {"role": "system", "content": "Always answer in French. Be kind."}]
-    out, changed = cleaning.dedup_system(msgs)
-    assert changed and out[2]["content"] == "Be kind."
-    assert cleaning.dedup_system(msgs[:2]) == (msgs[:2], False)
-    out, changed = cleaning.merge_system([msgs[0], msgs[2], msgs[1]])
-    assert changed and [m["role"] for m in out] == ["system", "user"]
-
-
-@pytest.mark.parametrize(("value", "empty"), [(None, True), ("", True), (" ", True), ("null", True), ('" "', True), ("[]", False), ("{}", True), ('{"content":"x"}', False), ('{"content":[{"text":""}]}', True), ('{"tool_calls":[{}]}', False), ('{"function_call":{"name":"f"}}', False), ("not json", False)])
-def test_output_is_empty(value, empty):
-    assert fuzzy.output_is_empty(value) is empty
+    rng = random.Random(3)
+    for _ in range(300):
+        a, b = ("".join(rng.choice("abcde ") for _ in range(rng.randint(0, 30))) for _ in range(2))
+        assert fuzzy.alike(a, b, 0.7) is (fuzzy.shared_share(a, b) >= 0.7)
+
+
+def rewritten(spark, messages, rule):
+    df = spark.createDataFrame([("r", json.dumps({"model": "m", "messages": messages}))], "id string, input string")
+    row = cleaning.rewrite_messages(df, rule).first()
+    doc = json.loads(row.input)
+    assert doc["model"] == "m"
+    return doc["messages"], row.changed, row.removed
+
+
+def test_dedup_and_merge_system(spark):
+    msgs = [{"role": "system", "content": "Always answer in French."}, {"role": "user", "content": "hi"}, {"role": "system", "content": "Always answer in French. Be kind.", "x": 1}]
+    assert rewritten(spark, msgs, cleaning.dedup_system) == ([*msgs[:2], {"role": "system", "content": "Be kind.", "x": 1}], True, 0)
+    assert rewritten(spark, msgs[:2], cleaning.dedup_system) == (msgs[:2], False, 0)
+    assert rewritten(spark, [*msgs[:2], msgs[0]], cleaning.dedup_system) == (msgs[:2], True, 1)
+    blocks = {"role": "system", "content": [{"type": "text", "text": "a"}, "b", {"type": "tool_result", "content": "c"}]}
+    assert rewritten(spark, [msgs[0], blocks, msgs[1]], cleaning.merge_system) == ([{"role": "system", "content": "Always answer in French.\na\nb\nc"}, msgs[1]], True, 1)
+    empty = {"role": "system", "content": ""}
+    assert rewritten(spark, [msgs[1], empty, empty, msgs[1]], cleaning.merge_system) == ([msgs[1], empty, msgs[1]], True, 1)
+    odd = spark.createDataFrame([("a", None), ("b", "no json"), ("c", "[]"), ("d", '{"messages": []}')], "id string, input string")
+    assert sorted((r.id, r.input, r.changed, r.removed) for r in cleaning.rewrite_messages(odd, cleaning.dedup_system).collect()) == [("a", None, False, 0), ("b", "no json", False, 0), ("c", "[]", False, 0), ("d", '{"messages": []}', False, 0)]
+
+
+def test_content_text(spark):
+    for text, want in [(None, ""), ("", ""), ("plain", "plain"), ("[not json", "[not json"), ('"q"', "q"), ('[{"type":"text","text":"a"},"b",{"type":"image"},{"type":"tool_result","content":"c"}]', "a\nb\nc"), ("[]", "")]:
+        assert one(spark, blocks.content_text("t"), t=text) == want
+
+
+def test_assistant_content(spark):
+    for messages_, want in [([], False), ([{"role": "user", "content": "x"}], False), ([{"role": "assistant", "content": " "}], False), ([{"role": "assistant", "content": "x"}], True), ([{"role": "assistant", "content": [{"type": "tool_use"}]}], True), ([{"role": "assistant", "content": [{"type": "text", "text": " "}]}], False)]:
+        assert one(spark, blocks.has_assistant_content("t"), t=json.dumps({"messages": messages_})) is want
+    assert one(spark, blocks.has_assistant_content("t"), t=None) is False
+
+
+def test_output_as_message(spark):
+    get = lambda o: (lambda x: json.loads(x) if x else None)(one(spark, F.to_json(blocks.output_message("t")), t=json.dumps(o)))
+    assert get({"content": "hi"}) == {"role": "assistant", "content": "hi"}
+    assert get({"content": ""}) is None
+    call = {"id": "1", "function": {"name": "f", "arguments": '{"a": 1}'}}
+    assert get({"content": "hi", "tool_calls": [call, {"function": {"arguments": "{bad"}}]}) == {"role": "assistant", "content": [{"type": "text", "text": "hi"}, {"type": "tool_use", "id": "1", "name": "f", "input": {"a": 1}}, {"type": "tool_use", "id": "", "name": "", "input": "{bad"}]}
+
+
+def test_chain_merge_keeps_the_longer_answer(spark):
+    user = lambda t: {"role": "user", "content": t}
+    bot = lambda t: {"role": "assistant", "content": t}
+    full = "The answer to the question is forty-two, as everybody knows by now."
+    docs = [("r1", [user("q")], {"content": full + " More of it."}), ("r2", [user("q"), bot(full), user("w")], {"content": "second"}), ("r3", [user("q"), bot(full), user("w"), bot("second"), user("v")], {"content": "third"})]
+    records = spark.createDataFrame([(i, f"t{i}", "{}", json.dumps({"messages": m}), json.dumps(o)) for i, m, o in docs], "id string, timestamp string, metadata string, input string, output string")
+    chain = spark.createDataFrame([("r1", "r1", 0), ("r1", "r2", 1), ("r1", "r3", 2)], "root string, id string, depth long")
+    row = chains.merge_chains(records, chain).first()
+    assert (row.id, row.timestamp, row.merged, json.loads(row.output)) == ("r1", "tr1", 3, {"content": "third"})
+    assert json.loads(row.input)["messages"] == [user("q"), bot(full + " More of it."), user("w"), bot("second"), user("v"), bot("third")]
+    assert chains.places(["", "abcdefghij", "abcdefghijk"], ["abcdefghijkl", "abcdefghijklm"]) == [-1, 1, -1]
+
+
+@pytest.mark.parametrize(("value", "empty"), [(None, True), ("", True), (" ", True), ("null", True), ('" "', True), ("[]", False), ("{}", True), ('{"content":"x"}', False), ('{"content":[{"text":""}]}', True), ('{"content":[{"text":"a"}]}', False), ('{"tool_calls":[{}]}', False), ('{"tool_calls":[]}', True), ('{"function_call":{"name":"f"}}', False), ('{"content":"a\nb"}', False), ("not json", False)])
+def test_output_is_empty(spark, value, empty):
+    assert one(spark, blocks.is_output_empty("t"), t=value) is empty
 
 
 def test_fix_json():
