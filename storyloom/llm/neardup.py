@@ -4,11 +4,15 @@
 2. Each text has ``bands * rows`` minima of universal (multiply-shift) hashes over its distinct shingles, one bucket a
    band. Each member of a bucket is held against the bucket's smallest member on full shingle sets - as many edges as members, never pairs -
    and what links collapses by alternating large-star and small-star.
-3. Buckets whose other members now lie in one component are done. In the rest, members of different components meet: members
-   of like size only (cells of neighbouring size classes), dealt by hash into blocks of about ``block`` texts, each task holding two
-   blocks. A pair is looked at in its first shared bucket only. Signatures come first; texts that they leave a partner bring their full sets,
-   links are confirmed on these, and a task returns a spanning forest.
-4. Large-star and small-star join the components that these links connect.
+3. Buckets whose members now lie in one component are done. In the others each member is held against a member that
+   the bucket's hash picks, ``PIVOTS`` times, and what links collapses again: a large group of near copies becomes one component this way, with
+   edges as many as members.
+4. In the buckets that are still open, members of different components meet by their signatures, each pair in its first shared bucket
+   only: members of like size (cells of neighbouring size classes), those of the cell's main component with the rest, and the rest with
+   each other, dealt by hash into blocks of about ``SIGNED`` texts, two blocks a task. A task returns a spanning forest of the pairs
+   that may link. These forests make groups, which meet once more in the same way, now in blocks of about ``block`` texts with their full sets; links
+   are confirmed, and a task returns a spanning forest of them.
+5. Large-star and small-star join the components that these links connect.
 
 With 40 bands of 6 rows a pair at similarity 0.85 is missed with a chance under 1e-8. Signatures drop a pair only
 where their estimate lies five standard deviations below the limit.
@@ -36,6 +40,10 @@ from storyloom.llm.components import connected_components
 from storyloom.llm.runtime import source, write_table
 from storyloom.llm.vectext import GRAM, U, Words, chunks, mix, record, stream
 
+#: rounds in which the members of open buckets meet one that their bucket picks
+PIVOTS = 1
+#: texts of a block that meet by their signatures
+SIGNED = 1024
 #: minima of which the low byte is kept as a text's signature
 SIGNATURE = 128
 _SKETCH = pa.schema([("doc_id", pa.int64()), ("digest", pa.binary()), ("n_shingles", pa.int64()), ("bands", pa.list_(pa.int64())), ("sig", pa.binary())])
@@ -126,14 +134,32 @@ class Forest:
         return x != y
 
 
+def least_share(percent: int, n: int = SIGNATURE) -> float:
+    """The share of equal minima that a pair at the limit falls short of once in millions."""
+    return max(0.0, percent / 100 - 5 * (percent / 100 * (1 - percent / 100) / n) ** 0.5)
+
+
+def _similar(percent: int):
+    """Pairs whose signatures allow a link."""
+
+    def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            x, y = (np.frombuffer(b"".join(b.column(c).to_pylist()), np.uint8).reshape(b.num_rows, -1) for c in ("sig", "p_sig"))
+            stay = (x == y).mean(axis=1) >= least_share(percent) if b.num_rows else np.zeros(0, bool)
+            yield b.select(["digest", "p"]).filter(pa.array(stay, pa.bool_()))
+
+    return emit
+
+
 def likely(frame: pd.DataFrame, percent: int) -> Iterator[tuple[int, np.ndarray]]:
     """Each text of a task with the later ones that it may link with: of another component, in the other block where there are two, not both of the upper
-    size class, of a size that allows it, with ``key`` as the first shared bucket, and with signatures within five deviations."""
+    size class, of a size that allows it, with a shared bucket (where there is a ``key``, with that as the first one), and with signatures within five deviations."""
     bands = np.stack(frame["bands"].to_list())
     sig = np.frombuffer(b"".join(frame["sig"]), np.uint8).reshape(len(frame), -1)
-    key, block, upper, comp, size = (frame[c].to_numpy() for c in ("key", "block", "upper", "comp", "n"))
+    block, upper, comp, size = (frame[c].to_numpy() for c in ("block", "upper", "comp", "n"))
+    key = frame["key"].to_numpy()[0] if "key" in frame else None
     part = pd.factorize(comp)[0]
-    least = max(0.0, percent / 100 - 5 * (percent / 100 * (1 - percent / 100) / sig.shape[1]) ** 0.5)
+    least = least_share(percent)
     two = len(set(block)) > 1
     for i in range(len(frame) - 1):
         other = np.arange(i + 1, len(frame))
@@ -142,11 +168,12 @@ def likely(frame: pd.DataFrame, percent: int) -> Iterator[tuple[int, np.ndarray]
             other = other[block[other] != block[i]]
         lo, hi = np.minimum(size[other], size[i]), np.maximum(size[other], size[i])
         other = other[100 * lo >= percent * hi]
-        if len(other):
-            shared = bands[other] == bands[i]
-            other = other[bands[i][shared.argmax(axis=1)] == key[0]]
         if len(other):
             other = other[(sig[other] == sig[i]).mean(axis=1) >= least]
+        if len(other):
+            shared = bands[other] == bands[i]
+            first = bands[i][shared.argmax(axis=1)]
+            other = other[shared.any(axis=1) if key is None else first == key]
         if len(other):
             yield i, other
 
@@ -167,18 +194,14 @@ def links_in_block(frame: pd.DataFrame, percent: int) -> list[tuple[bytes, bytes
     return out
 
 
-_TASK = "key long, cell long, lo int, hi int, digest binary, n long, block int, upper boolean, comp binary, bands array<long>, sig binary"
-
-
-def _plausible(percent: int):
-    """The texts of a task that may link with another one; the rest need no sets."""
+def _candidates(percent: int):
+    """A spanning forest, over a task's texts, of the pairs that may link."""
 
     def emit(pdf: pd.DataFrame) -> pd.DataFrame:
-        stay = np.zeros(len(pdf), bool)
+        names, forest, out = pdf["digest"].to_numpy(), Forest(len(pdf)), []
         for i, other in likely(pdf, percent):
-            stay[i] = True
-            stay[other] = True
-        return pdf[stay]
+            out += [(names[i], names[j]) for j in other if forest.join(i, int(j))]
+        return pd.DataFrame(out, columns=["a", "b"])
 
     return emit
 
@@ -190,12 +213,44 @@ def _confirm(percent: int):
     return emit
 
 
-def _star_links(heads: DataFrame, members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """(a, b): members that link with their bucket's smallest member."""
-    stars = members.join(heads, "key").where("digest <> head").where(f"100 * least(n, head_n) >= {percent} * greatest(n, head_n)").select("digest", "head").distinct()
-    first = write_table(stars.join(sets, "digest").select("digest", "head", F.col("shingles").alias("x")), "stars")
-    both = first.join(sets.select(F.col("digest").alias("head"), F.col("shingles").alias("y")), "head").withColumn("both", F.size(F.array_intersect("x", "y")))
-    return both.where(f"100 * both >= {percent} * (size(x) + size(y) - both)").select(F.col("digest").alias("a"), F.col("head").alias("b"))
+def _tasks(rows: DataFrame, key: str, percent: int, block: int) -> DataFrame:
+    """``rows`` (key, digest, n, comp) dealt to tasks: with ``cell``, ``upper``, ``block`` and a task's blocks ``lo`` and ``hi``."""
+    step = 1.001 * math.log(100 / percent) if percent < 100 else 1e-9
+    size_class = F.floor(F.log(F.col("n")) / step)
+    # cell c compares texts of size class c with each other and with those of class c + 1
+    two = F.array(F.struct(size_class.alias("cell"), F.lit(False).alias("upper")), F.struct((size_class - 1).alias("cell"), F.lit(True).alias("upper")))
+    cells = write_table(rows.select(key, "digest", "comp", "n", F.explode(two).alias("x")).select(key, "digest", "comp", "n", "x.*"), "cells")
+    each = cells.groupBy(key, "cell", "comp").agg(F.count("*").alias("size"))
+    sizes = each.groupBy(key, "cell").agg(F.max(F.struct("size", "comp")).alias("main"), F.sum("size").alias("all")).where("all > main.size")
+    sizes = write_table(sizes.select(key, "cell", F.col("main.comp").alias("main"), F.ceil(F.col("main.size") / block).cast("int").alias("main_blocks"), F.ceil((F.col("all") - F.col("main.size")) / block).cast("int").alias("rest_blocks")), "sizes")
+    dealt = cells.join(sizes, [key, "cell"]).withColumn("is_main", F.expr("comp = main"))
+    dealt = dealt.withColumn("block", F.expr("case when is_main then rest_blocks + pmod(xxhash64(digest), main_blocks) else pmod(xxhash64(digest), rest_blocks) end").cast("int"))
+    # the rest meets all blocks, the main component's blocks meet the rest's
+    pairs = F.expr("transform(sequence(0, case when is_main then rest_blocks - 1 else rest_blocks + main_blocks - 1 end), o -> named_struct('lo', least(block, o), 'hi', greatest(block, o)))")
+    return dealt.select(key, "cell", "digest", "comp", "n", "upper", "block", F.explode(pairs).alias("p")).select(key, "cell", "digest", "comp", "n", "upper", "block", "p.*")
+
+
+def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """(a, b): the pairs (digest, p) that link on full sets."""
+    first = write_table(pairs.join(sets, "digest").select("digest", "p", F.col("shingles").alias("x")), "pairs")
+    both = first.join(sets.select(F.col("digest").alias("p"), F.col("shingles").alias("y")), "p").withColumn("both", F.size(F.array_intersect("x", "y")))
+    return both.where(f"100 * both >= {percent} * (size(x) + size(y) - both)").select(F.col("digest").alias("a"), F.col("p").alias("b"))
+
+
+def _open(members: DataFrame, near: DataFrame) -> DataFrame:
+    """(key, digest, n, comp): members of buckets that hold several components."""
+    placed = write_table(members.join(near, F.col("digest") == F.col("node"), "left").select("key", "digest", "n", F.coalesce("component", "digest").alias("comp")), "placed")
+    several = placed.groupBy("key").agg((F.min("comp") < F.max("comp")).alias("open")).where("open").select("key")
+    return write_table(placed.join(write_table(several, "open"), "key"), "members")
+
+
+def _pivot_links(members: DataFrame, one: DataFrame, sets: DataFrame, percent: int, seed: int) -> DataFrame:
+    """(a, b): members that link with the one of another component that their bucket picks."""
+    pick = F.min(F.struct(F.xxhash64("digest", "key", F.lit(seed)).alias("h"), F.col("digest").alias("p"), F.col("n").alias("p_n"), F.col("comp").alias("p_comp")))
+    picked = write_table(members.groupBy("key").agg(pick.alias("x")).select("key", "x.*").drop("h"), "picked")
+    pairs = members.join(picked, "key").where("comp <> p_comp").where(f"100 * least(n, p_n) >= {percent} * greatest(n, p_n)").select("digest", "p").distinct()
+    signed = pairs.join(one.select("digest", "sig"), "digest").join(one.select(F.col("digest").alias("p"), F.col("sig").alias("p_sig")), "p")
+    return _confirmed(write_table(signed.mapInArrow(_similar(percent), "digest binary, p binary"), "similar"), sets, percent)
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = 85, shingle: int = 5, bands: int = 40, rows: int = 6, block: int = 128) -> DataFrame:
@@ -213,24 +268,22 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     # an id's other texts come along, and repeated rows; one set for each text
     sets = src.join(reps, "doc_id", "left_semi").mapInArrow(_sets(shingle), "digest binary, shingles array<long>")
     sets = write_table(sets.where("size(shingles) > 0").groupBy("digest").agg(F.first("shingles").alias("shingles")), "sets")
-    near = write_table(connected_components(_star_links(heads, shared, sets, percent)), "near")
+    stars = shared.join(heads, "key").where("digest <> head").where(f"100 * least(n, head_n) >= {percent} * greatest(n, head_n)").select("digest", F.col("head").alias("p")).distinct()
+    near = write_table(connected_components(_confirmed(stars, sets, percent)), "near")
+    # pairs with a bucket's smallest member are done
+    left = _open(shared.join(heads.where("size > 2"), "key").where("digest <> head").select("key", "digest", "n"), near)
+    for seed in range(PIVOTS):
+        more = _pivot_links(left, one, sets, percent, seed)
+        near = write_table(connected_components(more.unionByName(near.select(F.col("node").alias("a"), F.col("component").alias("b")))), "near")
+        left = _open(left.drop("comp"), near)
 
     comp = F.coalesce("component", "digest").alias("comp")
-    # pairs with a bucket's smallest member are done
-    rest = shared.join(heads.where("size > 2"), "key").where("digest <> head").select("key", "digest", "n")
-    placed = write_table(rest.join(near, F.col("digest") == F.col("node"), "left").select("key", "digest", "n", comp), "placed")
-    unlike = F.min("comp") < F.max("comp")
-    still = placed.groupBy("key").agg(unlike.alias("open")).where("open").select("key")
-    step = 1.001 * math.log(100 / percent) if percent < 100 else 1e-9
-    size_class = F.floor(F.log(F.col("n")) / step)
-    # cell c compares texts of size class c with each other and with those of class c + 1
-    cells = write_table(placed.join(still, "key").select("*", F.explode(F.array(F.struct(size_class.alias("cell"), F.lit(False).alias("upper")), F.struct((size_class - 1).alias("cell"), F.lit(True).alias("upper")))).alias("x")).select("key", "digest", "comp", "x.*"), "cells")
-    sizes = write_table(cells.groupBy("key", "cell").agg(F.count("*").alias("size"), unlike.alias("open")).where("open").select("key", "cell", F.ceil(F.col("size") / block).cast("int").alias("blocks")), "sizes")
-    dealt = cells.join(sizes, ["key", "cell"]).withColumn("block", F.pmod(F.xxhash64("digest"), F.col("blocks")).cast("int"))
-    pairs = F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda o: F.struct(F.least("block", o).alias("lo"), F.greatest("block", o).alias("hi")))
-    tasks = dealt.join(one.select("digest", "n", "bands", "sig"), "digest").select("key", "cell", F.explode(pairs).alias("p"), "digest", "n", "block", "upper", "comp", "bands", "sig").select("key", "cell", "p.*", "digest", "n", "block", "upper", "comp", "bands", "sig")
-    tasks = write_table(tasks.groupBy("key", "cell", "lo", "hi").applyInPandas(_plausible(percent), _TASK), "plausible")
-    links = tasks.join(sets, "digest").groupBy("key", "cell", "lo", "hi").applyInPandas(_confirm(percent), "a binary, b binary")
+    marks = one.select("digest", "bands", "sig")
+    likely_pairs = _tasks(left, "key", percent, SIGNED).join(marks, "digest").groupBy("key", "cell", "lo", "hi").applyInPandas(_candidates(percent), "a binary, b binary")
+    groups = connected_components(likely_pairs).select(F.col("node").alias("digest"), F.col("component").alias("grp"))
+    groups = groups.join(near.withColumnRenamed("component", "_c"), F.col("digest") == F.col("node"), "left").join(one.select("digest", "n"), "digest").select("grp", "digest", "n", F.coalesce("_c", "digest").alias("comp"))
+    tasks = _tasks(write_table(groups, "groups"), "grp", percent, block).join(marks, "digest").join(sets, "digest")
+    links = tasks.groupBy("grp", "cell", "lo", "hi").applyInPandas(_confirm(percent), "a binary, b binary")
 
     where = write_table(one.select("digest", "rep").join(near, F.col("digest") == F.col("node"), "left").select("digest", "rep", comp), "where")
     # an id with several texts links the components of all of them
