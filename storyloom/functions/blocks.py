@@ -5,17 +5,10 @@ Contents are kept as text: JSON where they are blocks, anything else as it is.
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from storyloom.functions.text import col, strip
-
-
-def let(value: Column, body: Callable[[Column], Column]) -> Column:
-    """``body`` of a value that is computed once."""
-    return F.transform(F.array(value), body)[0]
+from storyloom.functions.text import col, let, strip
 
 
 def parsed(c: Column | str) -> Column:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -33,27 +35,33 @@ def _texts(pieces: Column, narration: Column) -> Column:
     return F.transform(F.filter(pieces, lambda x: x != ""), lambda x: F.struct(narration.alias("narration"), x.alias("s")))
 
 
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value that is computed once."""
+    return F.transform(F.array(value), body)[0]
+
+
 def split_dialogue(c: Column | str) -> Column:
     """Quoted speech on lines of its own, narration cut after ellipses; with under three lines narration is also cut after sentences."""
     text = col(c)
     quote = r"[“「][^\n]*?[”」]"
-    told = F.split(text, quote, -1)
-    said = F.regexp_extract_all(text, F.lit(f"({quote})"), F.lit(0))
 
     def narration(part: Column) -> Column:
         lines = F.split(F.regexp_replace(part, r"(\.{3,}|。{3,})", "$1\n"), "\n")
         return _texts(F.transform(F.transform(lines, strip), lambda x: F.regexp_replace(x, "。{2,}", "。")), F.lit(True))
 
-    pairs = F.transform(told, lambda t, i: F.concat(narration(t), _texts(F.array(strip(F.coalesce(F.get(said, i), F.lit("")))), F.lit(False))))
-    segments = F.flatten(pairs)
+    def pieces(x: Column) -> Column:
+        return F.flatten(F.transform(x["told"], lambda t, i: F.concat(narration(t), _texts(F.array(strip(F.coalesce(F.get(x["said"], i), F.lit("")))), F.lit(False)))))
 
     def sentences(x: Column) -> Column:
         cut = F.split(F.regexp_replace(x["s"], r"([。！!])(?![\"”」]|$)", "$1\n"), "\n")
         return F.when(x["narration"], F.filter(F.transform(cut, strip), lambda y: y != "")).otherwise(F.array(x["s"]))
 
-    few = F.flatten(F.transform(segments, sentences))
-    lines = F.when(F.size(segments) < 3, few).otherwise(F.transform(segments, lambda x: x["s"]))
-    return F.when(F.coalesce(text, F.lit("")) == "", F.lit("")).otherwise(F.array_join(lines, "\n"))
+    def lines(x: Column) -> Column:
+        return F.array_join(F.when(F.size(x) < 3, F.flatten(F.transform(x, sentences))).otherwise(F.transform(x, lambda y: y["s"])), "\n")
+
+    # told and said, and the pieces made of them, are bound: in a lambda they would be computed again for each element
+    parts = F.struct(F.split(text, quote, -1).alias("told"), F.regexp_extract_all(text, F.lit(f"({quote})"), F.lit(0)).alias("said"))
+    return F.when(F.coalesce(text, F.lit("")) == "", F.lit("")).otherwise(let(let(parts, pieces), lines))
 
 
 def unquote(c: Column | str, curly: bool = False) -> Column:

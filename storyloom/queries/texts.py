@@ -116,30 +116,31 @@ def scene_segmentation(spark: SparkSession, d: str) -> DataFrame:
 _QUOTED = "replace(replace(replace(text, ', ', '。'), '. ', '「'), ' the ', '」')"
 
 
-@query(rf"""WITH q AS (SELECT doc_id, {_QUOTED} AS t FROM documents WHERE text IS NOT NULL AND text <> ''),
-p AS (SELECT doc_id, t, regexp_split_to_array(t, '[“「][^\n]*?[”」]') AS told, regexp_extract_all(t, '[“「][^\n]*?[”」]') AS said FROM q),
-n AS (SELECT doc_id, i, 0 AS o, unnest(list_filter(list_transform(string_split(regexp_replace(told[i], '(\.{{3,}}|。{{3,}})', '\1' || chr(10), 'g'), chr(10)),
-   lambda x: regexp_replace(regexp_replace(x, '^\s+|\s+$', '', 'g'), '。{{2,}}', '。', 'g')), lambda x: x <> '')) AS s, generate_subscripts(list_filter(list_transform(string_split(regexp_replace(told[i], '(\.{{3,}}|。{{3,}})', '\1' || chr(10), 'g'), chr(10)),
-   lambda x: regexp_replace(x, '^\s+|\s+$', '', 'g')), lambda x: x <> ''), 1) AS k FROM (SELECT doc_id, told, unnest(range(1, len(told) + 1)) AS i FROM p)),
+_SPLIT = rf"""WITH q AS (SELECT doc_id, {_QUOTED} AS t FROM documents),
+p AS (SELECT doc_id, regexp_split_to_array(t, '[“「][^\n]*?[”」]') AS told, regexp_extract_all(t, '[“「][^\n]*?[”」]') AS said FROM q WHERE t <> ''),
+l AS (SELECT doc_id, i, list_filter(list_transform(string_split(regexp_replace(told[i], '(\.{{3,}}|。{{3,}})', '\1' || chr(10), 'g'), chr(10)),
+   lambda x: regexp_replace(regexp_replace(x, '^\s+|\s+$', '', 'g'), '。{{2,}}', '。', 'g')), lambda x: x <> '') AS x FROM (SELECT doc_id, told, unnest(range(1, len(told) + 1)) AS i FROM p)),
+n AS (SELECT doc_id, i, 0 AS o, unnest(x) AS s, generate_subscripts(x, 1) AS k FROM l),
 d AS (SELECT doc_id, i, 1 AS o, said[i] AS s, 1 AS k FROM (SELECT doc_id, said, unnest(range(1, len(said) + 1)) AS i FROM p)),
-u AS (SELECT *, count(*) OVER (PARTITION BY doc_id) AS n FROM (SELECT * FROM n UNION ALL SELECT * FROM d))
-SELECT doc_id, string_agg(s, chr(10) ORDER BY i, o, k) AS text FROM u WHERE n >= 3 GROUP BY doc_id""")
-def split_dialogue(spark: SparkSession, d: str) -> DataFrame:
-    """Documents rewritten with quotes, those with three segments or more (shorter ones need look-ahead, which the SQL lacks)."""
-    rows = table(spark, d, "documents").where("text is not null and text <> ''").select("doc_id", F.expr(_QUOTED).alias("t"))
-    return _three(rows)
+u AS (SELECT *, count(*) OVER (PARTITION BY doc_id) AS n FROM (SELECT * FROM n UNION ALL SELECT * FROM d)),
+f AS (SELECT doc_id, i, o, k, array_to_string(CASE WHEN n >= 3 OR o = 1 THEN [s] ELSE list_filter(list_transform(string_split(regexp_replace(regexp_replace(regexp_replace(s,
+   '([。！!])', '\1' || chr(10), 'g'), '([。！!])\n(["”」])', '\1\2', 'g'), '([。！!])\n$', '\1'), chr(10)), lambda x: regexp_replace(x, '^\s+|\s+$', '', 'g')), lambda x: x <> '') END, chr(10)) AS s FROM u),
+r AS (SELECT doc_id, string_agg(s, chr(10) ORDER BY i, o, k) AS text FROM f GROUP BY doc_id)
+SELECT q.doc_id, coalesce(r.text, '') AS text FROM q LEFT JOIN r USING (doc_id)"""
 
 
-def _three(rows: DataFrame) -> DataFrame:
-    told = F.split("t", r"[“「][^\n]*?[”」]", -1)
-    said = F.size(F.regexp_extract_all("t", F.lit(r"([“「][^\n]*?[”」])"), F.lit(0)))
-    narr = F.aggregate(F.transform(told, lambda x: F.size(F.filter(F.transform(F.split(F.regexp_replace(x, r"(\.{3,}|。{3,})", "$1\n"), "\n"), tx.strip), lambda y: y != ""))), F.lit(0), lambda a, b: a + b)
-    return rows.where(said + narr >= 3).select("doc_id", tx.split_dialogue("t").alias("text"))
+@query(_SPLIT)
+def split_dialogue(spark: SparkSession, d: str) -> DataFrame:
+    """All documents, rewritten with quotes."""
+    rows = table(spark, d, "documents").select("doc_id", F.expr(_QUOTED).alias("t"))
+    return rows.select("doc_id", tx.split_dialogue("t").alias("text"))
 
 
-@query()
+@query(_SPLIT.replace("FROM documents", "FROM (SELECT doc_id, '他说。' || text || '！\"完了。\"。。。' AS text FROM documents)"))
 def split_dialogue_all(spark: SparkSession, d: str) -> DataFrame:
-    rows = table(spark, d, "documents").select("doc_id", F.expr(_QUOTED).alias("t"))
+    """All documents with a sentence before and quotes and an ellipsis behind."""
+    text = F.concat(F.lit("他说。"), "text", F.lit("！\"完了。\"。。。"))
+    rows = table(spark, d, "documents").select("doc_id", text.alias("text")).select("doc_id", F.expr(_QUOTED).alias("t"))
     return rows.select("doc_id", tx.split_dialogue("t").alias("text"))
 
 
