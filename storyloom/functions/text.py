@@ -140,11 +140,11 @@ def options_list(c: Column | str) -> Column:
     return F.filter(F.transform(F.split(col(c), ","), strip), lambda x: x != "")
 
 
-def natural_key(c: Column | str, width: int = 20) -> Column:
-    """A sort key: digit runs by value, the rest in lower case."""
+def natural_key(c: Column | str) -> Column:
+    """A sort key: digit runs by value (their length comes first), the rest in lower case."""
     parts = F.regexp_extract_all(F.lower(col(c)), F.lit(r"[0-9]+|[^0-9]+"), F.lit(0))
-    padded = F.transform(parts, lambda x: F.when(x.rlike("^[0-9]+$"), F.lpad(F.regexp_replace(x, "^0+(?=.)", ""), width, "0")).otherwise(x))
-    return F.array_join(padded, "")
+    digits = lambda x: F.regexp_replace(x, "^0+(?=.)", "")
+    return F.array_join(F.transform(parts, lambda x: F.when(x.rlike("^[0-9]+$"), F.concat(F.lit("0"), F.lpad(F.length(digits(x)).cast("string"), 9, "0"), digits(x))).otherwise(x)), "")
 
 
 def display_time(c: Column | str) -> Column:

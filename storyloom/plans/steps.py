@@ -7,7 +7,7 @@ from dataclasses import dataclass, field
 from typing import Any
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from storyloom.functions.arrays import explode_once
@@ -48,7 +48,7 @@ def consolidate_characters(segments: DataFrame, model: LanguageModel = RULES, bo
     reply = F.from_json("reply", "characters array<array<string>>, character_frequencies array<map<string,int>>, is_first_person boolean, first_person_name string")
     asked = cut(call_rows(packed, model, "characters", ["text"]).withColumn("r", reply))  # asked once, used for names and points of view
     mentions = asked.select(book, F.col(stem).alias("segment"), "chunk", "r", F.posexplode("r.characters").alias("pos", "names"))
-    mentions = mentions.select(book, "segment", (F.col("chunk") * 100000 + F.col("pos")).alias("pos"), "names", F.get("r.character_frequencies", F.col("pos")).alias("freqs"))
+    mentions = mentions.select(book, "segment", F.struct("chunk", "pos").alias("pos"), "names", F.get("r.character_frequencies", F.col("pos")).alias("freqs"))
     groups = characters.name_groups(mentions, book)
     listed = groups.groupBy(book, "grp").agg(F.array_sort(F.collect_list("name")).alias("names"), F.map_from_entries(F.array_sort(F.collect_list(F.struct("name", "freq")))).alias("frequencies"), F.max("over").alias("consecutive_over_limit"))
     formal = F.from_json("reply", "name string, alias array<string>")
@@ -136,8 +136,6 @@ def to_chatml(dialogue: DataFrame, people: DataFrame, world: DataFrame, cards: D
     merged = messages.merge_adjacent_roles(messages.assign_roles(long, F.col("user_role")), "k")
     talk = messages.convert(messages.to_arrays(merged, "k"), "k", mode, min_chars).select("k.*", (F.col("pos") + 1).alias("pos"), "role", "content")
     whole = prompt.select("book", "stem", F.lit(0).cast("long").alias("pos"), F.lit("system").alias("role"), "content").unionByName(talk)
-    from pyspark.sql import Window
-
     before = Window.partitionBy("book", "stem").orderBy("pos").rowsBetween(Window.unboundedPreceding, -1)
     told = whole.withColumn("history", F.array_join(F.collect_list("content").over(before), "\n"))
     reasoned = call_rows(told.where("role = 'assistant'"), model, "reasoning", ["history", "content"])
@@ -235,9 +233,23 @@ def convert_dataset(rows: DataFrame, path: str, name: str, order: str, start: in
 def fetch_dataset(rows: DataFrame, name: str, key: str, shard_bytes: int = 10_000_000, seed: int = 3252, lanes: int = 64) -> DataFrame:
     """Mapped rows in shuffled order with byte-bounded shards. Rows are dealt to ``lanes`` by hash, each lane filling shards of its own."""
     mapped = mapping.map_rows(rows, name, keep=(key,)).withColumn("lane", F.pmod(F.xxhash64(F.lit(seed), key), F.lit(lanes)))
-    sized = mapped.withColumn("_size", writers.row_bytes(mapped.drop(key, "lane"))).withColumn("_rank", F.xxhash64(F.lit(seed + 1), key))
-    shards = chunking.byte_shards(sized, F.col("_size"), "lane", "_rank", shard_bytes)
-    return sized.join(shards, ["lane", "_rank"]).drop("_size", "_rank")
+    sized = mapped.withColumn("_size", writers.row_bytes(mapped.drop(key, "lane")))
+    # a row's own number in its lane: keys may repeat
+    ranked = cut(sized.withColumn("_rank", F.row_number().over(Window.partitionBy("lane").orderBy(F.xxhash64(F.lit(seed + 1), key), key)).cast("long")))
+    shards = chunking.byte_shards(ranked, F.col("_size"), "lane", "_rank", shard_bytes)
+    return ranked.join(shards, ["lane", "_rank"]).drop("_size", "_rank")
+
+
+def process_rows(rows: DataFrame, process: Callable[[dict], dict | None]) -> DataFrame:
+    """``rows`` through a function of a row as a dictionary; None leaves the row out."""
+    names = rows.columns
+
+    def apply(frames):
+        for f in frames:
+            done = [r for r in map(process, f.to_dict("records")) if r is not None]
+            yield pd.DataFrame([[r.get(n) for n in names] for r in done], columns=names)
+
+    return rows.mapInPandas(apply, rows.schema)
 
 
 def split_dialogue_rows(rows: DataFrame, text: str = "text") -> DataFrame:

@@ -36,11 +36,11 @@ def records(spark: SparkSession, d: str) -> DataFrame:
 
 _ANN = """q AS (SELECT DISTINCT CAST(substr(source, 4) AS BIGINT) AS id, source AS name, CAST(substr(source, 4) AS BIGINT) % 3 AS schema_id FROM documents),
 s AS (SELECT CAST(i AS BIGINT) AS id, 'schema' || i AS name FROM range(0, 2) t(i)),
-qi AS (SELECT d.doc_id AS id, CAST(substr(d.source, 4) AS BIGINT) AS queue_id, CAST(d.doc_id AS VARCHAR) AS record_id, CASE WHEN l.doc_id IS NULL THEN 'pending' ELSE 'annotated' END AS status FROM documents d LEFT JOIN labels l USING (doc_id) WHERE d.doc_id % 4 <> 0),
+qi AS (SELECT d.doc_id AS id, CAST(substr(d.source, 4) AS BIGINT) AS queue_id, CAST(d.doc_id AS VARCHAR) AS record_id, CASE WHEN l.doc_id IS NULL THEN 'pending' ELSE 'annotated' END AS status FROM documents d LEFT JOIN labels l USING (doc_id)),
 an AS (SELECT doc_id AS queue_item_id, '{"quality":' || quality || ',"toxic":' || toxic || '}' AS vals FROM labels),
 r AS (SELECT CAST(doc_id AS VARCHAR) AS id, lang AS name, text AS input, source AS metadata FROM documents),
 ds AS (SELECT CAST(i AS BIGINT) AS id, 'set ' || i AS name FROM range(0, 8) t(i)),
-di AS (SELECT doc_id AS id, doc_id % 7 AS dataset_id, CAST(doc_id AS VARCHAR) AS record_id, CASE WHEN doc_id % 3 = 0 THEN 'annotated' ELSE 'raw' END AS source, doc_id AS queue_item_id FROM documents WHERE doc_id % 2 = 0)"""
+di AS (SELECT doc_id AS id, doc_id % 7 AS dataset_id, CAST(doc_id AS VARCHAR) AS record_id, CASE WHEN doc_id % 3 = 0 THEN 'annotated' ELSE 'raw' END AS source, doc_id AS queue_item_id FROM documents)"""
 
 
 class Tables:
@@ -51,13 +51,13 @@ class Tables:
         src = F.substring("source", 4, 9).cast("long")
         self.queues = docs.select(src.alias("id"), F.col("source").alias("name"), (src % 3).alias("schema_id")).distinct()
         self.schemas = spark.range(2).select("id", F.concat(F.lit("schema"), F.col("id").cast("string")).alias("name"))
-        marked = docs.where("doc_id % 4 <> 0").join(labels.select("doc_id", F.lit(True).alias("has")), "doc_id", "left")
+        marked = docs.join(labels.select("doc_id", F.lit(True).alias("has")), "doc_id", "left")
         self.queue_items = marked.select(F.col("doc_id").alias("id"), src.alias("queue_id"), F.col("doc_id").cast("string").alias("record_id"), F.when(F.col("has"), "annotated").otherwise("pending").alias("status"))
         self.annotations = labels.select(F.col("doc_id").alias("queue_item_id"), F.format_string('{"quality":%d,"toxic":%d}', "quality", "toxic").alias("values"))
         self.records = docs.select(F.col("doc_id").cast("string").alias("id"), F.col("lang").alias("name"), F.col("text").alias("input"), F.col("source").alias("metadata"))
         self.datasets = spark.range(8).select("id", F.concat(F.lit("set "), F.col("id").cast("string")).alias("name"))
         kind = F.when(F.col("doc_id") % 3 == 0, "annotated").otherwise("raw")
-        self.dataset_items = docs.where("doc_id % 2 = 0").select(F.col("doc_id").alias("id"), (F.col("doc_id") % 7).alias("dataset_id"), F.col("doc_id").cast("string").alias("record_id"), kind.alias("source"), F.col("doc_id").alias("queue_item_id"))
+        self.dataset_items = docs.select(F.col("doc_id").alias("id"), (F.col("doc_id") % 7).alias("dataset_id"), F.col("doc_id").cast("string").alias("record_id"), kind.alias("source"), F.col("doc_id").alias("queue_item_id"))
 
 
 @query(f"WITH {_REC} SELECT id, name, timestamp FROM rec ORDER BY timestamp DESC, id LIMIT 50 OFFSET 100")

@@ -110,10 +110,15 @@ def user_role(spark: SparkSession, d: str) -> DataFrame:
     return ca.resolve_user_role(seg, top).select("doc_id", "user_role")
 
 
-@query()
+_SCENES = """WITH f AS (SELECT source AS book, printf('%06d', doc_id) AS stem, text, row_number() OVER (PARTITION BY source ORDER BY printf('%06d', doc_id)) AS n FROM documents WHERE text IS NOT NULL)
+SELECT book, 'Anna' AS name, '角色名：Anna，别称：A' || chr(10) || '其他主要角色：无' || chr(10) || string_agg(chr(10) || 'Scene ' || n || ':' || chr(10) || '环境：' || chr(10) || '-' || text || chr(10) || chr(10) || '行为：' || chr(10) || '-' || stem || chr(10) || chr(10) || '典型台词：Hm', chr(10) ORDER BY n) AS text FROM f GROUP BY book"""
+
+
+@query(_SCENES)
 def character_scenes(spark: SparkSession, d: str) -> DataFrame:
-    seg = table(spark, d, "documents").where("text is not null").select(F.col("source").alias("book"), F.format_string("%06d", "doc_id").alias("stem"), F.substring("text", 1, 400).alias("text"))
-    facts = seg.select("book", "stem", F.array(F.substring("text", 1, 10)).alias("environment_facts"), F.array(F.struct(F.lit("Anna").alias("name"), F.array("stem").alias("facts"), F.lit("Hm").alias("representative_quote"))).alias("character_facts"))
+    """A book a source, a scene a document, its whole text as the setting."""
+    seg = table(spark, d, "documents").where("text is not null").select(F.col("source").alias("book"), F.format_string("%06d", "doc_id").alias("stem"), "text")
+    facts = seg.select("book", "stem", F.array("text").alias("environment_facts"), F.array(F.struct(F.lit("Anna").alias("name"), F.array("stem").alias("facts"), F.lit("Hm").alias("representative_quote"))).alias("character_facts"))
     main = seg.select("book").distinct().select("book", F.lit("Anna").alias("name"), F.array(F.lit("A")).alias("aliases"), F.array().cast("array<string>").alias("others"))
     return ca.scene_blocks(facts, main)
 

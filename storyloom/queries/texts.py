@@ -171,7 +171,7 @@ def keyword_file_order(spark: SparkSession, d: str) -> DataFrame:
     return od.keyword_order(table(spark, d, "documents").select("doc_id", "source"), ["1", "2", "9"], "source")
 
 
-@query(r"""SELECT page_id, url, array_to_string(list_transform(regexp_extract_all(lower(url), '[0-9]+|[^0-9]+'), lambda x: CASE WHEN regexp_matches(x, '^[0-9]+$') THEN lpad(CASE WHEN ltrim(x, '0') = '' THEN '0' ELSE ltrim(x, '0') END, 20, '0') ELSE x END), '') AS k FROM pages""")
+@query(r"""SELECT page_id, url, array_to_string(list_transform(regexp_extract_all(lower(url), '[0-9]+|[^0-9]+'), lambda x: CASE WHEN regexp_matches(x, '^[0-9]+$') THEN '0' || lpad(CAST(length(CASE WHEN ltrim(x, '0') = '' THEN '0' ELSE ltrim(x, '0') END) AS VARCHAR), 9, '0') || CASE WHEN ltrim(x, '0') = '' THEN '0' ELSE ltrim(x, '0') END ELSE x END), '') AS k FROM pages""")
 def natural_sort(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "pages").select("page_id", "url", tx.natural_key("url").alias("k")).orderBy("k", "page_id")
 
