@@ -1,111 +1,219 @@
 """Operator 9: main text by the maximum-scoring contiguous region.
 
-A page becomes a line of tokens: words, each scoring +1, and tags, each scoring negative. Tag weights are learned from labelled
-pages: those that mark their content with an ``article`` or ``main`` element, at most ``FIT_PAGES`` of
-them, chosen by the hashes of their ids; a tag that occurs mostly outside the marked content costs up to
-``COST`` words, one that occurs inside it little. Elements that hold no content (menus, forms, scripts, comments, ...) are
-one token without words, weighted like a tag; so are the opening tags of drawings, formulas and media, whose text counts. One scan finds the best-scoring region, and its words, blocks in order, are the text.
+A page becomes a line of tokens: words, each scoring +1, and tags, each scoring negative. Weights are learned from labelled
+pages: those that mark their content with an ``article`` or ``main`` element, among the ``FIT_PAGES`` or so that the
+hashes of their ids choose; they are counted where they are read, and only counts of tags and words reach the driver. What occurs mostly
+outside the marked content costs up to ``COST`` words, what occurs inside it little. This holds for tag names and for the words in ``class``,
+``id`` and ``role``; fixed lists of words count as a few sightings, which the pages outvote. An element whose words together speak for the outside
+is one token without words, and so are, by syntax, scripts, styles, forms, comments, hidden elements and those that the HTML
+standard gives a role beside the content (a content element's own header is content); the text of drawings, formulas and media counts. One scan finds the best-scoring region, and its words, blocks in order, are the text.
+
+Pages are read in one pass, whatever their quotes: what the search for a tag's end has seen once is remembered.
 
 Defined results: null or empty html gives an empty text; unclosed or cut-off markup ends at the page's end; an unclosed
 element without content ends at the next heading or content element, an unclosed select at the next tag that is not its own, an
 unclosed svg or math at the next HTML tag; ties go to the earliest, longest region; repeated rows are
-extracted each.
+extracted each; pages with a null id are not used for the fit.
 """
 
 from __future__ import annotations
 
 import html as entities
+import math
 import re
+from bisect import bisect_left
+from collections import Counter
 from collections.abc import Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from storyloom.llm.runtime import bounded_sample
+from storyloom.llm.runtime import source
 from storyloom.llm.vectext import record
 
-FIT_PAGES = 400
-FIT_BYTES = 65_536
+FIT_PAGES = 1000
 COST = 20.0
 LEAST = 0.05
+#: what an element without content costs at most
 BARRIER = 1.0
+#: odds from which on an element is taken to lie outside the content
+ODDS = 4.0
+#: sightings that an entry of the fixed lists counts for, and what a sighting inside counts against the outside's list: labels mark regions, which hold adverts too
+SEEN, WITHIN = 8, 0.25
 
 # fixed values: element names of the HTML standard, by role
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark nobr q s samp small span strike strong sub sup time tt u var wbr".split())
-RAW = "script|style|noscript|template|textarea|title|iframe"
+RAW = frozenset("script style noscript template textarea title iframe".split())
 FOREIGN = frozenset("svg math".split())
 EMBEDDED = FOREIGN | frozenset("object canvas audio video".split())
 IN_SELECT = frozenset("option optgroup hr".split())
-EMPTY = frozenset("head nav header footer aside form menu dialog button fieldset figure".split()) - {"figure"}
+FORMS = frozenset("head form select button fieldset".split())
+BESIDE = frozenset("nav header footer aside menu dialog".split())
 CONTENT = frozenset("article main".split())
 # what ends an unclosed svg or math
-HTML = EMPTY | CONTENT | frozenset("html body section address b big blockquote br center code dd details div dl dt em embed figcaption figure h1 h2 h3 h4 h5 h6 hr i img li meta nobr ol p pre ruby s small span strong strike sub summary sup table tbody td tfoot th thead tr tt u ul var font object canvas audio video select".split())
-# fixed values: parts of class, id and role names that mark elements without content
-MARKS = re.compile(r"(?:^|[^a-z])(?:ads?|advert\w*|sponsor\w*|promo\w*|banner|nav\w*|menu\w*|breadcrumbs?|sidebar|side-bar|widget|footer|header|masthead|cookies?|consent|notice|alert|popup|modal|newsletter|subscribe|share|sharing|social|related|recommend\w*|comments?|disqus|replies|respond|login|signup|search|toolbar|pagination|pager|tags?|hidden|skip|complementary|contentinfo|navigation|dialog)(?:$|[^a-z])")
+HTML = FORMS | BESIDE | CONTENT | frozenset("html body section address b big blockquote br center code dd details div dl dt em embed figcaption figure h1 h2 h3 h4 h5 h6 hr i img li meta nobr ol p pre ruby s small span strong strike sub summary sup table tbody td tfoot th thead tr tt u ul var font object canvas audio video".split())
+# fixed values: words in class, id and role that speak for the outside (a star: and words that begin so) and for the content
+OUTSIDE = "ad ads advert* sponsor* promo* banner* nav* menu* breadcrumb* sidebar* widget* footer* header masthead cookie* consent* notice* alert* popup* modal* newsletter* subscri* share sharing social related recommend* comment* disqus replies respond login signup search toolbar* pagination pager tag tags skip complementary contentinfo dialog".split()
+INSIDE = "article post entry story main content".split()
 
-_TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<(" + RAW + r""")(?=[\s/>])((?:[^>"']|"[^"]*"|'[^']*')*)>.*?(?:</\1\s*>|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>"']|"[^"]*"|'[^']*')*)>|</?[a-zA-Z][^<>]*(?:>|\Z)""", re.S | re.I)
+_START = re.compile(r"<(?:!--|[!?]|/?[a-zA-Z])")
+_NAME = re.compile(r"<(/?)([a-zA-Z][^\s/>]*)")
+# attributes without < or > in them, so that a failed try ends at the next of these
+_PLAIN = re.compile(r"""(?:[^<>"']++|"[^"<>]*"|'[^'<>]*')*+>""")
+_SPECIAL = re.compile(r"""[>"']""")
 _NAMED = re.compile(r"""\b(?:class|id|role)\s*=\s*("[^"]*"|'[^']*'|[^\s>]+)""", re.I)
+_WORDS = re.compile("[a-z]{2,24}")
 _HIDDEN = re.compile(r"""(?:^|\s)hidden(?:\s|=|/|$)|aria-hidden\s*=\s*["']?true|display\s*:\s*none""", re.I)
-_KEEP = re.compile(r"(?:^|[^a-z])(?:article|post|entry|story|main|content)(?:-?(?:body|content|text))?(?:$|[^a-z])")
+_CLOSE = {name: re.compile(rf"</{name}\s*>", re.I) for name in RAW}
+
+
+class TagEnds:
+    """Where the tags of a page end: at the first ``>`` outside quotes. Each quote is looked at once, whatever the tags' number."""
+
+    def __init__(self, page: str) -> None:
+        self.page = page
+        self.special: list[int] | None = None
+        self.known: dict[int, int] = {}
+
+    def find(self, at: int) -> int:
+        """Place of the ``>`` for attributes that start at ``at``; -1 without one."""
+        if m := _PLAIN.match(self.page, at):
+            return m.end() - 1
+        if self.special is None:
+            self.special = [m.start() for m in _SPECIAL.finditer(self.page)]
+        way: list[int] = []
+        end = -1
+        i = bisect_left(self.special, at)
+        while i < len(self.special):
+            p = self.special[i]
+            if self.page[p] == ">":
+                end = p
+                break
+            if p in self.known:
+                end = self.known[p]
+                break
+            way.append(p)
+            close = self.page.find(self.page[p], p + 1)
+            if close < 0:
+                break
+            i = bisect_left(self.special, close + 1)
+        self.known.update(dict.fromkeys(way, end))
+        return end
+
+
+def scan(page: str) -> list[tuple[str, str, str]]:
+    """(kind, value, attributes) in page order: "text", "open", "close", and "empty" for what syntax leaves without content."""
+    out: list[tuple[str, str, str]] = []
+    ends = TagEnds(page)
+    at = done = foreign = 0
+    while m := _START.search(page, at):
+        if m.start() > done:
+            out.append(("text", page[done : m.start()], ""))
+        if m[0] == "<!--":
+            end = page.find("-->", m.end())
+            at = done = len(page) if end < 0 else end + 3
+            continue
+        if m[0] in ("<!", "<?"):
+            end = page.find(">", m.end())
+            at = done = len(page) if end < 0 else end + 1
+            continue
+        tag = _NAME.match(page, m.start())
+        name = tag[2].lower()
+        end = ends.find(tag.end())
+        if end < 0:
+            # never closed: up to the next tag or the page's end, without content
+            after = re.compile("[<>]").search(page, tag.end())
+            at = done = len(page) if after is None else after.start() + (after[0] == ">")
+            continue
+        attrs = page[tag.end() : end]
+        at = done = end + 1
+        if name in RAW and not tag[1]:
+            if not (foreign and attrs.endswith("/")):
+                close = _CLOSE[name].search(page, at)
+                at = done = len(page) if close is None else close.end()
+                out.append(("empty", name, ""))
+            continue
+        if name in FOREIGN:
+            foreign = max(0, foreign - 1) if tag[1] else foreign + (not attrs.endswith("/"))
+        elif foreign and name not in HTML:
+            out.append(("text", " ", ""))  # parts of a drawing or formula weigh nothing
+            continue
+        else:
+            foreign = 0
+        out.append(("close" if tag[1] else "open", name, attrs))
+    if done < len(page):
+        out.append(("text", page[done:], ""))
+    return out
 
 
-def _is_empty(name: str, attrs: str) -> bool:
-    """Whether an element holds no content, by its name and attributes."""
-    if name in EMPTY or name in ("select", "textarea"):
+def class_words(attrs: str) -> list[str]:
+    """The words in class, id and role."""
+    return _WORDS.findall(" ".join(_NAMED.findall(attrs)).lower()) if attrs else []
+
+
+def _listed(word: str) -> int:
+    """1 for words of the outside, -1 for the content's, else 0."""
+    return -1 if word in _INSIDE else int(word in _OUTSIDE or word.startswith(_BEGIN))
+
+
+_INSIDE, _OUTSIDE = frozenset(INSIDE), frozenset(w for w in OUTSIDE if w[-1] != "*")
+_BEGIN = tuple(w[:-1] for w in OUTSIDE if w[-1] == "*")
+
+
+def cost(inside: float, outside: float) -> float:
+    return -(LEAST + COST * outside / (inside + outside + 1))
+
+
+def _odds(key: str, listed: int, weights: dict[str, float]) -> float:
+    """Log odds that something is outside: from its learned weight, else from the lists."""
+    w = weights.get(key)
+    if w is None:
+        if not listed:
+            return 0.0
+        w = cost(SEEN * (listed < 0), SEEN * (listed > 0))
+    share = min(0.98, max(0.02, (-w - LEAST) / COST))
+    return math.log(share / (1 - share))
+
+
+def is_outside(name: str, attrs: str, weights: dict[str, float], inside: bool = False) -> bool:
+    """Whether an element is one token without words: by syntax, or because its words speak for the outside. A content element's own header is content."""
+    if name in FORMS:
         return True
-    if name in CONTENT or name in ("html", "body") or not attrs:
+    if name in CONTENT or name in ("html", "body"):
         return False
-    if _HIDDEN.search(attrs):
+    if attrs and _HIDDEN.search(attrs):
         return True
-    marks = " ".join(m.strip("\"'") for m in _NAMED.findall(attrs)).lower().replace("_", "-")
-    return bool(marks) and bool(MARKS.search(marks)) and not _KEEP.search(marks)
-
-
-def parse(page: str) -> list[tuple[str, str]]:
-    """(kind, value) in page order: "text" with its characters, "tag" with name or /name, "empty" for what holds no content."""
-    flat: list[tuple[str, str, str]] = []
-    at = foreign = 0
-    while m := _TOKEN.search(page, at):
-        if m.start() > at:
-            flat.append(("text", page[at : m.start()], ""))
-        at = m.end()
-        if m[4]:
-            name, attrs = m[4].lower(), m[5]
-            if name in FOREIGN:
-                foreign = max(0, foreign - 1) if m[3] else foreign + (not attrs.endswith("/"))
-            elif foreign and name not in HTML:
-                flat.append(("text", " ", ""))  # parts of a drawing or formula weigh nothing
-                continue
-            else:
-                foreign = 0
-            flat.append(("close" if m[3] else "open", name, attrs))
-        elif m[1] and foreign and m[2].endswith("/"):
-            at = m.end(2) + 1
-        elif m[1]:
-            flat.append(("empty", m[1].lower(), ""))
-    if at < len(page):
-        flat.append(("text", page[at:], ""))
+    if name in BESIDE and not (inside and name == "header"):
+        return True
+    return sum(_odds(f".{w}", _listed(w), weights) for w in dict.fromkeys(class_words(attrs))) >= math.log(ODDS)
+
+
+def parse(page: str, weights: dict[str, float]) -> list[tuple[str, str, str]]:
+    """(kind, value, attributes) in page order: "text" with its characters, "tag" with name or /name, "empty" for what holds no content."""
+    flat = scan(page)
     ends = _ends(flat)
-    out: list[tuple[str, str]] = []
-    i = 0
+    out: list[tuple[str, str, str]] = []
+    i = depth = 0
     while i < len(flat):
         kind, value, attrs = flat[i]
-        if kind == "open" and value not in VOID and not attrs.endswith("/") and _is_empty(value, attrs):
-            out.append(("empty", value))
+        if value in CONTENT and kind in ("open", "close"):
+            depth = max(0, depth + (1 if kind == "open" else -1))
+        if kind == "open" and value not in VOID and not attrs.endswith("/") and is_outside(value, attrs, weights, depth > 0):
+            out.append(("empty", value, attrs))
             i = ends(i)
             continue
         if kind in ("open", "close") and value in EMBEDDED:
-            out.append(("empty", value) if kind == "open" else ("text", " "))
+            out.append(("empty", value, attrs) if kind == "open" else ("text", " ", ""))
         else:
-            out.append((kind, value) if kind in ("text", "empty") else ("tag", "/" * (kind == "close") + value))
+            out.append((kind, value, attrs) if kind in ("text", "empty") else ("tag", "/" * (kind == "close") + value, attrs))
         i += 1
     return out
 
 
-def _ends(flat: list[tuple[str, str, str]]):
-    """Where the element opened at i ends: after its closing tag, or else before the next heading or content element (a select: before the next tag that is not its own)."""
+def _partners(flat: list[tuple[str, str, str]]) -> dict[int, int]:
+    """Closing tag of each opening one that has it."""
     partner: dict[int, int] = {}
     open_at: dict[str, list[int]] = {}
     for i, (kind, name, attrs) in enumerate(flat):
@@ -113,64 +221,104 @@ def _ends(flat: list[tuple[str, str, str]]):
             open_at.setdefault(name, []).append(i)
         elif kind == "close" and open_at.get(name):
             partner[open_at[name].pop()] = i
+    return partner
+
+
+def _ends(flat: list[tuple[str, str, str]]):
+    """Where the element opened at i ends: after its closing tag, or else before the next heading or content element (a select: before the next tag that is not its own)."""
+    partner = _partners(flat)
+    stops = [j for j, (kind, name, _) in enumerate(flat) if kind == "open" and (name in CONTENT or name in ("h1", "body"))]
 
     def end(i: int) -> int:
         if i in partner:
             return partner[i] + 1
-        for j in range(i + 1, len(flat)):
-            if flat[i][1] == "select":
-                if flat[j][0] in ("open", "close") and flat[j][1] not in IN_SELECT:
-                    return j
-            elif flat[j][0] == "open" and (flat[j][1] in CONTENT or flat[j][1] == "h1" or (flat[i][1] == "head" and flat[j][1] == "body")):
+        if flat[i][1] == "select":
+            return next((j for j in range(i + 1, len(flat)) if flat[j][0] in ("open", "close") and flat[j][1] not in IN_SELECT), len(flat))
+        for j in stops[bisect_left(stops, i + 1) :]:
+            if flat[j][1] != "body" or flat[i][1] == "head":
                 return j
         return len(flat)
 
     return end
 
 
+def sightings(page: str) -> Counter:
+    """(key, inside?) counts of a labelled page: class words (.) of elements, and the tags and elements without content (!) that the fixed lists
+    alone leave in its line of tokens. What encloses the content is not counted as outside."""
+    flat = scan(page)
+    partner = _partners(flat)
+    content = [(i, partner.get(i, len(flat))) for i, (kind, name, _) in enumerate(flat) if kind == "open" and name in CONTENT]
+    out: Counter = Counter()
+    if not content:
+        return out
+    last = -1
+    for i, (kind, name, attrs) in enumerate(flat):
+        if kind != "open":
+            continue
+        if name in CONTENT:
+            last = max(last, partner.get(i, len(flat)))
+            continue
+        inside = i < last
+        if not inside and any(i < a and b <= partner.get(i, len(flat)) for a, b in content):
+            continue
+        for w in {*class_words(attrs)}:
+            out[f".{w}", inside] += 1
+    depth = 0
+    for kind, value, _ in parse(page, {}):
+        if kind == "text":
+            continue
+        if value in CONTENT:
+            depth += 1
+        key = value if kind == "tag" else f"!{value}"
+        out[key, depth > 0 and value.lstrip("/") not in CONTENT] += 1
+        if value[:1] == "/" and value[1:] in CONTENT:
+            depth = max(0, depth - 1)
+    return out
+
+
+def weights_of(counts: dict[tuple[str, bool], int]) -> dict[str, float]:
+    """A (negative) weight for each tag and word; the fixed lists count as ``SEEN`` sightings."""
+    out = {}
+    for key in {k for k, _ in counts}:
+        listed = _listed(key[1:]) if key[0] == "." else 0
+        out[key] = cost((WITHIN if listed > 0 else 1) * counts.get((key, True), 0) + SEEN * (listed < 0), counts.get((key, False), 0) + SEEN * (listed > 0))
+    return out
+
+
 def fit_weights(pages: list[str]) -> dict[str, float]:
-    """A (negative) weight for each tag of the labelled pages."""
-    inside: dict[str, int] = {}
-    outside: dict[str, int] = {}
-    for page in pages:
-        depth = 0
-        for kind, value in parse(page):
-            if kind == "text":
-                continue
-            value = value if kind == "tag" else f"!{value}"
-            if value in CONTENT:
-                depth += 1
-            if value.lstrip("/") in CONTENT or not depth:
-                outside[value] = outside.get(value, 0) + 1
-            else:
-                inside[value] = inside.get(value, 0) + 1
-            if value[:1] == "/" and value[1:] in CONTENT:
-                depth = max(0, depth - 1)
-    return {t: -(LEAST + COST * outside.get(t, 0) / (inside.get(t, 0) + outside.get(t, 0) + 1)) for t in {*inside, *outside}}
-
-
-#: what a tag costs that no labelled page has: block tags more than inline ones
-DEFAULT_BLOCK, DEFAULT_INLINE = -1.0, -LEAST
+    """``weights_of`` some pages."""
+    return weights_of(sum((sightings(p) for p in pages), Counter()))
+
+
+#: what a tag costs that no labelled page has: little for inline tags and those that text is set in, more for items and links, most for other blocks
+TEXTUAL = INLINE | frozenset("h1 h2 h3 h4 h5 h6 p br hr img blockquote pre figure figcaption table caption thead tbody tr wbr".split())
+ITEMS = frozenset("a li td th dt dd ul ol dl".split())
+
+
+def default(name: str) -> float:
+    return -0.6 if name == "a" else -0.3 if name in ITEMS else -LEAST if name in TEXTUAL else -1.0
 
 
 def extract(page: str | None, weights: dict[str, float]) -> str:
     """The best region's text."""
-    tokens = parse(page or "")
+    tokens = parse(page or "", weights)
     best, best_at, run, head = 0.0, (0, 0), 0.0, 0
-    for i, (kind, value) in enumerate(tokens):
+    for i, (kind, value, attrs) in enumerate(tokens):
         if kind == "text":
             score = float(len(entities.unescape(value).split()))
         elif kind == "tag":
-            score = weights.get(value, DEFAULT_INLINE if value.lstrip("/") in INLINE else DEFAULT_BLOCK)
+            score = w if (w := weights.get(value)) is not None else default(value.lstrip("/"))
+            if attrs and value not in INLINE:
+                score = min([score, *(w for x in class_words(attrs) if (w := weights.get(f".{x}")) is not None and w < -COST / 2)])
         else:
-            score = weights.get(f"!{value}", -BARRIER)
+            score = max(-BARRIER, weights.get(f"!{value}", -BARRIER))
         if run <= 0:
             run, head = 0.0, i
         run += score
         if run > best:
             best, best_at = run, (head, i + 1)
     parts = []
-    for kind, value in tokens[best_at[0] : best_at[1]]:
+    for kind, value, _ in tokens[best_at[0] : best_at[1]]:
         if kind == "text":
             parts.append(entities.unescape(value))
         elif kind == "empty" or value.lstrip("/") not in INLINE:
@@ -178,23 +326,32 @@ def extract(page: str | None, weights: dict[str, float]) -> str:
     return " ".join("".join(parts).split())
 
 
-def sample_pages(pages: DataFrame, id_col: str, html_col: str, rows: int = FIT_PAGES) -> list[str]:
-    """At most ``rows`` labelled pages of at most ``FIT_BYTES`` characters."""
-    marked = pages.where(F.col(html_col).rlike("(?i)<(article|main)[\\s>]") & (F.length(html_col) <= FIT_BYTES))
-    return [r[0] for r in bounded_sample(marked.select(id_col, html_col), id_col, rows).select(html_col).collect()]
+def learn(pages: DataFrame, rows: int = FIT_PAGES) -> dict[str, float]:
+    """Weights from the labelled ones among about ``rows`` pages by the hashes of their ids; counted by the executors."""
+    share = min(1.0, rows / max(1, pages.count()))
+    chosen = pages.where(F.col("page_id").isNotNull() & (F.pmod(F.xxhash64("page_id"), F.lit(1 << 31)) < int(share * (1 << 31))))
+
+    def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total: Counter = Counter()
+        for b in batches:
+            for x in b.column("html"):
+                total.update(sightings(x.as_py()))
+        yield pa.RecordBatch.from_pydict({"key": [k for k, _ in total], "inside": [i for _, i in total], "n": list(total.values())}, schema=pa.schema([("key", pa.string()), ("inside", pa.bool_()), ("n", pa.int64())]))
+
+    marked = chosen.where(F.col("html").rlike("(?i)<(article|main)[\\s>]")).select("html")
+    counts = marked.mapInArrow(emit, "key string, inside boolean, n long").groupBy("key", "inside").agg(F.sum("n").alias("n")).collect()
+    return weights_of({(r["key"], r["inside"]): r["n"] for r in counts})
 
 
 def main_text(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html", weights: dict[str, float] | None = None) -> DataFrame:
     """(page_id, url, text, n_chars) for each page."""
-    src = pages.select(F.col(id_col).cast("long").alias("page_id"), F.col(url_col).cast("string").alias("url"), F.col(html_col).cast("string").alias("html"))
-    w = weights if weights is not None else fit_weights(sample_pages(src, "page_id", "html"))
+    src = source(pages, page_id=(id_col, "long"), url=(url_col, "string"), html=(html_col, "string"))
+    w = weights if weights is not None else learn(src)
     out = pa.schema([("page_id", pa.int64()), ("url", pa.string()), ("text", pa.string()), ("n_chars", pa.int64())])
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            for i in range(0, b.num_rows, 500):
-                part = b.slice(i, 500)
-                texts = [extract(x.as_py(), w) for x in part.column("html")]
-                yield record(out, page_id=part.column("page_id"), url=part.column("url"), text=texts, n_chars=[len(t) for t in texts])
+            texts = [extract(x.as_py(), w) for x in b.column("html")]
+            yield record(out, page_id=b.column("page_id"), url=b.column("url"), text=texts, n_chars=[len(t) for t in texts])
 
     return src.mapInArrow(emit, "page_id long, url string, text string, n_chars long")
