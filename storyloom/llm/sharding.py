@@ -6,7 +6,7 @@ gives the shard, in constant time. The table's size is a parameter, not a functi
 shard moves few slots. The data path is DataFrame functions only.
 
 Defined results: a null key goes to the slot of the hash of the empty string; repeated keys go to one shard; other
-columns are kept by ``place``, whose own columns replace columns of the same names.
+columns are kept by ``place``, whose own columns replace columns of the same names; a key of such a name is refused.
 """
 
 from __future__ import annotations
@@ -54,6 +54,8 @@ def slot_of(key: str, size: int):
 
 
 def place(rows: DataFrame, key: str = "doc_id", shards: int = 64, size: int = 65537) -> DataFrame:
-    """``rows`` with their slot and shard."""
+    """``rows`` with their slot and shard. The key can't be named like one of these."""
+    if key in ("slot", "shard"):
+        raise ValueError("the key column would be replaced: rename it")
     keyed = rows.withColumn("slot", slot_of(key, size))
     return keyed.drop("shard").join(F.broadcast(table_frame(rows.sparkSession, shards, size)), "slot")

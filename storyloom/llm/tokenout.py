@@ -47,14 +47,23 @@ def _encode(path: str, end_id: int):
     return emit
 
 
-def write_token_ids(docs: DataFrame, path: str, tokenizer_path: str, id_col: str = "doc_id", text_col: str = "text", end_id: int = 2, partitions: int | None = None, stride: int = 2000) -> None:
-    """Encode and write all rows to ``path``."""
-    spark = docs.sparkSession
-    n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+#: bytes of input files for one range
+RANGE_BYTES = 128 << 20
+
+
+def ranges(docs: DataFrame) -> int:
+    """How many ranges: by the size that the plan states, and no fewer than the session's shuffle partitions."""
+    size = int(str(docs._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    return max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), min(200_000, -(-size // RANGE_BYTES)))
+
+
+def write_token_ids(docs: DataFrame, path: str, tokenizer_path: str, id_col: str = "doc_id", text_col: str = "text", end_id: int = 2, partitions: int | None = None, stride: int = 2000, stripe_bytes: int = 64 << 20) -> None:
+    """Encode and write all rows to ``path``; a range of documents for each ``RANGE_BYTES`` of input, unless ``partitions`` says otherwise."""
+    n = partitions or ranges(docs)
     src = source(docs, doc_id=(id_col, "long"), text=(text_col, "string"))
-    ordered = src.repartitionByRange(n, "doc_id").sortWithinPartitions("doc_id", "text")
+    ordered = src.repartitionByRange(n, "doc_id", F.substring("text", 1, 32)).sortWithinPartitions("doc_id", "text")
     writer = ordered.mapInArrow(_encode(tokenizer_path, end_id), FILE_DDL).write
-    options = {"orc.bloom.filter.columns": "doc_id", "orc.bloom.filter.fpp": "0.01", "orc.create.index": "true", "orc.row.index.stride": str(stride), "orc.stripe.size": str(64 << 20), "compression": "zstd"}
+    options = {"orc.bloom.filter.columns": "doc_id", "orc.bloom.filter.fpp": "0.01", "orc.create.index": "true", "orc.row.index.stride": str(stride), "orc.stripe.size": str(stripe_bytes), "compression": "zstd"}
     writer.options(**options).orc(path)
 
 

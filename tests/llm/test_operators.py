@@ -1,4 +1,5 @@
 import random
+import time
 import tracemalloc
 import zlib
 
@@ -6,6 +7,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.orc as orc
 import pytest
+import zstandard
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
@@ -219,6 +221,31 @@ def test_quality(docs, rows, none, spark):
     assert key((r.doc_id, r.text) for r in kept.collect()) == key(({r.doc_id: 1 for r in got} and (d, t)) for d, t in rows if any(r.kept and r.doc_id == d and r.n_words == len(brute.words(t)) for r in got))
 
 
+def test_the_verdict_is_the_plain_one(docs, rows, spark):
+    """Whole verdicts, by default and fitted limits, against a loop over texts."""
+    z = zstandard.ZstdCompressor(level=quality.LEVEL, write_content_size=False)
+    share = lambda b: len(z.compress(b)) / len(b)
+    labels = spark.createDataFrame([(d, int(i % 3 > 0), 0) for i, (d, _) in enumerate(rows)] + [(10**6, 1, 0), (None, 1, 0)], "doc_id long, quality int, toxic int")
+
+    def plain(text, bands, chunk):
+        raw = (text or "").encode()
+        if brute.quality(text)[-1]:
+            return False
+        own = [b for b in bands if b[0] <= len(raw)]
+        if own and not own[-1][1] <= share(raw) <= own[-1][2]:
+            return False
+        cuts = [raw[i : i + 4096] for i in range(0, len(raw), 4096)] if len(raw) >= 4096 else []
+        if cuts and len(cuts[-1]) < 4096:
+            cuts[-1] = raw[-4096:]
+        return all(chunk[0] <= share(c) <= chunk[1] for c in cuts)
+
+    for known in (None, labels):
+        bands, chunk = quality.fit_bands(docs, labels, least=5) if known is not None else (quality.BANDS, quality.CHUNK_BAND)
+        got = quality.quality_report(docs, limits=(bands, chunk)).collect()
+        assert key((r.doc_id, r.n_words, r.kept) for r in got) == key((d, len(brute.words(t)), plain(t, bands, chunk)) for d, t in rows)
+    assert bands != quality.BANDS
+
+
 def test_bands_reject_repetitive_and_incompressible(spark):
     rng = random.Random(6)
     noise = " ".join("".join(rng.choice("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/") for _ in range(76)) for _ in range(60))
@@ -383,6 +410,34 @@ def test_token_ids(docs, rows, none, spark, tmp_path):
     assert tokenout.manifest(spark, f"{path}2").count() == 0
 
 
+def test_orc_metadata_prunes(spark, tmp_path):
+    """Stripes, row indexes and Bloom filters are in the files, and a lookup reads few rows by them."""
+    rows = [(3 * i, f"text number {i} of many") for i in range(20_000)]
+    path = f"file://{tmp_path}/ids"
+    tokenout.write_token_ids(spark.createDataFrame(rows, "doc_id long, text string"), path, vocabulary("byte_bpe_50k.json"), partitions=2, stride=1000, stripe_bytes=64 << 10)
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    for one in (tmp_path / "ids").glob("part-*.orc"):
+        reader = jvm.org.apache.orc.OrcFile.createReader(jvm.org.apache.hadoop.fs.Path(str(one)), jvm.org.apache.orc.OrcFile.readerOptions(conf))
+        assert reader.getStripes().size() > 1 and reader.getRowIndexStride() == 1000
+        kinds = {str(s.getKind()) for s in reader.rows().readStripeFooter(reader.getStripes().get(0)).getStreamsList()}
+        assert "ROW_INDEX" in kinds and kinds & {"BLOOM_FILTER", "BLOOM_FILTER_UTF8"}
+        encodings = {str(c.getKind()) for c in reader.rows().readStripeFooter(reader.getStripes().get(0)).getColumnsList()}
+        assert "DIRECT_V2" in encodings  # run-length encoded integers
+
+    def read_for(condition):
+        df = tokenout.read_token_ids(spark, path).where(condition)
+        found = df.count()
+        metrics = df.select("doc_id")
+        metrics.collect()
+        scan = metrics._jdf.queryExecution().executedPlan().collectLeaves().head()
+        return found, scan.metrics().apply("numOutputRows").value()
+
+    found, read = read_for("doc_id = 30000")
+    assert found == 1 and 0 < read <= 1000
+    assert read_for("doc_id = 30001") == (0, 0)  # inside the range, not in the Bloom filter
+    assert read_for("doc_id >= 0") == (20_000, 20_000)
+
+
 def test_sharding(spark, docs, none):
     size, shards = 1009, 10
     table = sharding.lookup_table(shards, size)
@@ -454,6 +509,55 @@ def test_html_after_drawings_formulas_and_media(middle, shown):
     assert htmltext.extract(page, {}) == " ".join(f"{first} {shown} {second}".split())
 
 
+VARIED = [
+    # a blog: content in a div, links inside it, comments behind
+    ("""<html><head><title>t</title></head><body><div id="top-nav" class="navbar"><a href=/>Home</a> <a href=/a>About us and more</a></div><div class="wrapper"><div class="post-body">
+<h1>On rivers</h1><p>The <a href="/r">river</a> runs from the <a href="/h">hills</a> down to the sea, slowly and then at once.</p><div class="advert">Buy boots now, half price today only for you</div>
+<p>It is <em>old</em>, older than the towns on its banks.</p></div><div class="comments"><div class="comment"><p>I love this river so much, thank you for the post about it!</p></div></div></div><div class="footer-links">All rights reserved by the owners of this site</div></body></html>""",
+     "On rivers The river runs from the hills down to the sea, slowly and then at once. It is old, older than the towns on its banks."),
+    # a header inside the article, an aside with a role, a list
+    ("""<body><header role="banner">The Daily Paper of Records</header><main><article><header><h1>Steps to follow</h1></header><ol><li>Open the lid with both of your hands.</li><li>Pour the water in without haste.</li></ol>
+<aside class="related">Read also: how to close a lid</aside><p>That is all there is to it.</p></article></main><footer>(c)</footer></body>""",
+     "Steps to follow Open the lid with both of your hands. Pour the water in without haste. That is all there is to it."),
+    # tables and code, unbalanced quotes, an attribute with a greater-than sign
+    ("""<body><nav><ul><li><a href=x>One</a></li></ul></nav><section><h2 title="a > b">Figures of the year</h2><table><tr><td>alpha</td><td>12</td></tr><tr><td>beta</td><td>34</td></tr></table><p data-x='"'>All of them were counted twice, by two people who did not meet.</p></section>
+<div class=cookie-consent>We value your privacy, accept all cookies or leave</div></body>""",
+     "Figures of the year alpha 12 beta 34 All of them were counted twice, by two people who did not meet."),
+    # no markup but paragraphs
+    ("<p>Only a line &amp; nothing else.", "Only a line & nothing else."),
+    # a form, a script and a hidden element inside the content
+    ("""<body><div class="sidebar"><p>Popular posts of this week for all of our readers</p></div><div class="entry"><p>First things come first, as they say in the old books.</p><form><p>Leave your mail address here</p><input></form>
+<div style="display:none">secret words for machines</div><script>if (a < b) { x("<p>no</p>") }</script><p>Second things come second.</p></div><div class="share-buttons"><a>Share</a> <a>Tweet</a></div></body>""",
+     "First things come first, as they say in the old books. Second things come second."),
+]
+
+
+def test_html_of_other_templates(spark):
+    """Pages of other hands than the tables': without any fit, and with what the tables' pages taught."""
+    fitted = htmltext.fit_weights([r.html for r in spark.read.parquet("/root/testdata/sf0.001/pages.parquet").collect()])
+    for page, text in VARIED:
+        assert htmltext.extract(page, {}) == text
+        assert htmltext.extract(page, fitted) == text
+
+
+def test_class_words_are_learned():
+    page = '<body><div class="zig {0}"><p>{1} this stands outside of it all</p></div><article><div class="zag"><p>{1} inside {1} and more words follow here</p></div></article></body>'
+    weights = htmltext.fit_weights([page.format(f"x{i}", f"word{i}") for i in range(30)])
+    assert weights[".zig"] < -htmltext.COST / 2 < weights[".zag"]
+    other = '<body><div class="zig"><p>one two three four five six seven eight nine ten eleven</p></div><div class="zag"><p>a b c d e f</p></div></body>'
+    assert htmltext.extract(other, weights) == "a b c d e f"
+    # the labelled pages outvote the lists
+    kept = htmltext.fit_weights([f"<article><div class='comment'><p>{i} said</p></div></article>" for i in range(30)])
+    assert not htmltext.is_outside("div", " class='comment'", kept) and htmltext.is_outside("div", " class='comment'", {})
+
+
+def test_html_takes_linear_time():
+    for p in ('<a "', "<a ", '<p x=">" ', '<div class="a<b">', "<a '\"", "<script ", "<select>", "<nav>", "<svg>", "<!--", "<p title='"):
+        began = time.process_time()
+        assert isinstance(htmltext.extract(p * 20_000, {}), str)
+        assert time.process_time() - began < 5
+
+
 def test_html_on_pages_it_was_not_fitted_on(spark):
     pages = [r.html for r in spark.read.parquet("/root/testdata/sf0.001/pages.parquet").collect()]
     weights = htmltext.fit_weights(pages[:10])
