@@ -7,11 +7,12 @@
 3. Buckets whose members now lie in one component are done. In the others each member is held against a member that
    the bucket's hash picks, ``PIVOTS`` times, and what links collapses again: a large group of near copies becomes one component this way, with
    edges as many as members.
-4. In the buckets that are still open, members of different components meet by their signatures, each pair in its first shared bucket
-   only: members of like size (cells of neighbouring size classes), those of the cell's main component with the rest, and the rest with
-   each other, dealt by hash into blocks of about ``SIGNED`` texts, two blocks a task. A task returns a spanning forest of the pairs
-   that may link. These forests make groups, which meet once more in the same way, now in blocks of about ``block`` texts with their full sets; links
-   are confirmed, and a task returns a spanning forest of them.
+4. In the buckets that are still open, members of different components meet by their signatures. Buckets that share members form a
+   group (components of member-to-smallest-member edges); its members meet once, all together, or bucket by bucket, each pair
+   in its first shared bucket only, whichever moves fewer rows. They meet by like size (cells of neighbouring size classes), those of the
+   cell's main component with the rest, and the rest with each other, dealt by hash into blocks of about ``SIGNED`` texts, two blocks a
+   task. A task returns a spanning forest of the pairs that may link. These forests make groups, which meet once more in the same way, now in
+   blocks of about ``block`` texts with their full sets; links are confirmed, and a task returns a spanning forest of them.
 5. Large-star and small-star join the components that these links connect.
 
 With 40 bands of 6 rows a pair at similarity 0.85 is missed with a chance under 1e-8. Signatures drop a pair only
@@ -31,7 +32,6 @@ import math
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -151,83 +151,120 @@ def _similar(percent: int):
     return emit
 
 
-def likely(frame: pd.DataFrame, percent: int) -> Iterator[tuple[int, np.ndarray]]:
-    """Each text of a task with the later ones that it may link with: of another component, in the other block where there are two, not both of the upper
-    size class, of a size that allows it, with a shared bucket (where there is a ``key``, with that as the first one), and with signatures within five deviations."""
-    bands = np.stack(frame["bands"].to_list())
-    sig = np.frombuffer(b"".join(frame["sig"]), np.uint8).reshape(len(frame), -1)
-    block, upper, comp, size = (frame[c].to_numpy() for c in ("block", "upper", "comp", "n"))
-    key = frame["key"].to_numpy()[0] if "key" in frame else None
-    part = pd.factorize(comp)[0]
-    least = least_share(percent)
-    two = len(set(block)) > 1
-    for i in range(len(frame) - 1):
-        other = np.arange(i + 1, len(frame))
-        other = other[(part[other] != part[i]) & ~(upper[other] & upper[i])]
-        if two:
-            other = other[block[other] != block[i]]
-        lo, hi = np.minimum(size[other], size[i]), np.maximum(size[other], size[i])
-        other = other[100 * lo >= percent * hi]
-        if len(other):
-            other = other[(sig[other] == sig[i]).mean(axis=1) >= least]
-        if len(other):
-            shared = bands[other] == bands[i]
-            first = bands[i][shared.argmax(axis=1)]
-            other = other[shared.any(axis=1) if key is None else first == key]
-        if len(other):
-            yield i, other
-
-
-def links_in_block(frame: pd.DataFrame, percent: int) -> list[tuple[bytes, bytes]]:
-    """A spanning forest, over the components of a task's texts, of links confirmed on full sets."""
-    sets = [np.asarray(x) for x in frame["shingles"]]
-    part, names = pd.factorize(frame["comp"].to_numpy())
-    forest, out = Forest(len(names)), []
-    for i, other in likely(frame, percent):
-        for j in other:
-            if forest.find(part[i]) == forest.find(part[j]):
-                continue
-            both = len(np.intersect1d(sets[i], sets[j], assume_unique=True))
-            if 100 * both >= percent * (len(sets[i]) + len(sets[j]) - both):
-                forest.join(part[i], part[j])
-                out.append((names[part[i]], names[part[j]]))
-    return out
-
-
-def _candidates(percent: int):
-    """A spanning forest, over a task's texts, of the pairs that may link."""
+class Rows:
+    """Columns of some tasks' rows as arrays; components are numbered."""
+
+    def __init__(self, table: pa.Table) -> None:
+        get = lambda c: table.column(c).combine_chunks()
+        self.sig = np.frombuffer(b"".join(table.column("sig").to_pylist()), np.uint8).reshape(table.num_rows, -1)
+        self.bands = get("bands").flatten().to_numpy(zero_copy_only=False).reshape(table.num_rows, -1)
+        self.block, self.n = (get(c).to_numpy(zero_copy_only=False) for c in ("block", "n"))
+        self.upper = get("upper").to_numpy(zero_copy_only=False).astype(bool)
+        self.key = get("key")
+        self.names = table.column("comp").to_pylist()
+        number: dict[bytes, int] = {}
+        self.part = np.array([number.setdefault(c, len(number)) for c in self.names], np.int64)
+        self.digest = table.column("digest")
+        self.shingles = get("shingles") if "shingles" in table.column_names else None
+
+    def likely(self, start: int, end: int, percent: int) -> Iterator[tuple[int, np.ndarray]]:
+        """Each text of the task in rows [start, end) with the later ones that it may link with: of another component, in the other block where there
+        are two, not both of the upper size class, of a size that allows it, with signatures within five deviations and with a shared
+        bucket (where there is a ``key``, with that as the first one)."""
+        key = self.key[start].as_py()
+        two = self.block[start:end].min() != self.block[start:end].max()
+        least = least_share(percent)
+        for i in range(start, end - 1):
+            own = slice(i + 1, end)
+            lo, hi = np.minimum(self.n[own], self.n[i]), np.maximum(self.n[own], self.n[i])
+            fit = (self.part[own] != self.part[i]) & (100 * lo >= percent * hi)
+            if self.upper[i]:
+                fit &= ~self.upper[own]
+            if two:
+                fit &= self.block[own] != self.block[i]
+            other = np.flatnonzero(fit) + i + 1
+            if len(other):
+                other = other[(self.sig[other] == self.sig[i]).mean(axis=1) >= least]
+            if len(other):
+                shared = self.bands[other] == self.bands[i]
+                other = other[shared.any(axis=1) if key is None else self.bands[i][shared.argmax(axis=1)] == key]
+            if len(other):
+                yield i, other
+
+    def candidates(self, start: int, end: int, percent: int) -> list[tuple[bytes, bytes]]:
+        """A spanning forest, over the task's texts, of the pairs that may link."""
+        forest = Forest(end - start)
+        return [(self.digest[i].as_py(), self.digest[int(j)].as_py()) for i, other in self.likely(start, end, percent) for j in other if forest.join(i - start, int(j) - start)]
+
+    def links(self, start: int, end: int, percent: int) -> list[tuple[bytes, bytes]]:
+        """A spanning forest, over the components of the task's texts, of links confirmed on full sets."""
+        forest, out, sets = Forest(int(self.part.max()) + 1), [], {}
+
+        def shingles(i: int) -> np.ndarray:
+            if i not in sets:
+                sets[i] = self.shingles[i].values.to_numpy()
+            return sets[i]
+
+        for i, other in self.likely(start, end, percent):
+            for j in map(int, other):
+                if forest.find(self.part[i]) == forest.find(self.part[j]):
+                    continue
+                x, y = shingles(i), shingles(j)
+                both = len(np.intersect1d(x, y, assume_unique=True))
+                if 100 * both >= percent * (len(x) + len(y) - both):
+                    forest.join(self.part[i], self.part[j])
+                    out.append((self.names[i], self.names[j]))
+        return out
+
+
+def _each_task(rows: DataFrame, percent: int, what: str) -> DataFrame:
+    """(a, b) of all tasks: rows of a task come together by their key, and tasks follow each other in a partition, so that small ones cost little."""
 
-    def emit(pdf: pd.DataFrame) -> pd.DataFrame:
-        names, forest, out = pdf["digest"].to_numpy(), Forest(len(pdf)), []
-        for i, other in likely(pdf, percent):
-            out += [(names[i], names[j]) for j in other if forest.join(i, int(j))]
-        return pd.DataFrame(out, columns=["a", "b"])
-
-    return emit
+    def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.RecordBatch] = []
+        schema = pa.schema([("a", pa.binary()), ("b", pa.binary())])
 
+        def done(table: pa.Table) -> pa.RecordBatch:
+            task = np.array(table.column("task").to_pylist(), object)
+            edge = [0, *(np.flatnonzero(task[1:] != task[:-1]) + 1).tolist(), len(task)]
+            r = Rows(table)
+            found = [x for s, e in zip(edge, edge[1:], strict=False) if e - s > 1 for x in getattr(r, what)(s, e, percent)]
+            return pa.RecordBatch.from_arrays([pa.array([x[k] for x in found], pa.binary()) for k in (0, 1)], schema=schema)
 
-def _confirm(percent: int):
-    def emit(pdf: pd.DataFrame) -> pd.DataFrame:
-        return pd.DataFrame(links_in_block(pdf, percent), columns=["a", "b"])
+        for b in batches:
+            if not b.num_rows:
+                continue
+            if held and held[-1].column("task")[-1].as_py() == b.column("task")[b.num_rows - 1].as_py():
+                held.append(b)  # one task goes on through the whole batch
+                continue
+            task = b.column("task").to_pylist()
+            last = next(i for i in range(len(task) - 1, -1, -1) if i == 0 or task[i - 1] != task[-1])
+            held.append(b.slice(0, last))
+            if held := [h for h in held if h.num_rows]:
+                yield done(pa.Table.from_batches(held))
+            held = [b.slice(last)]
+        if held:
+            yield done(pa.Table.from_batches(held))
 
-    return emit
+    keyed = rows.withColumn("task", F.md5(F.concat_ws(":", "place", "cell", "lo", "hi"))).drop("place", "cell", "lo", "hi")
+    return keyed.repartition("task").sortWithinPartitions("task").mapInArrow(emit, "a binary, b binary")
 
 
-def _tasks(rows: DataFrame, key: str, percent: int, block: int) -> DataFrame:
-    """``rows`` (key, digest, n, comp) dealt to tasks: with ``cell``, ``upper``, ``block`` and a task's blocks ``lo`` and ``hi``."""
+def _tasks(rows: DataFrame, percent: int, block: int) -> DataFrame:
+    """``rows`` (place, key, digest, n, comp) dealt to tasks: with ``cell``, ``upper``, ``block`` and a task's blocks ``lo`` and ``hi``."""
     step = 1.001 * math.log(100 / percent) if percent < 100 else 1e-9
     size_class = F.floor(F.log(F.col("n")) / step)
     # cell c compares texts of size class c with each other and with those of class c + 1
     two = F.array(F.struct(size_class.alias("cell"), F.lit(False).alias("upper")), F.struct((size_class - 1).alias("cell"), F.lit(True).alias("upper")))
-    cells = write_table(rows.select(key, "digest", "comp", "n", F.explode(two).alias("x")).select(key, "digest", "comp", "n", "x.*"), "cells")
-    each = cells.groupBy(key, "cell", "comp").agg(F.count("*").alias("size"))
-    sizes = each.groupBy(key, "cell").agg(F.max(F.struct("size", "comp")).alias("main"), F.sum("size").alias("all")).where("all > main.size")
-    sizes = write_table(sizes.select(key, "cell", F.col("main.comp").alias("main"), F.ceil(F.col("main.size") / block).cast("int").alias("main_blocks"), F.ceil((F.col("all") - F.col("main.size")) / block).cast("int").alias("rest_blocks")), "sizes")
-    dealt = cells.join(sizes, [key, "cell"]).withColumn("is_main", F.expr("comp = main"))
+    cells = write_table(rows.select("place", "key", "digest", "comp", "n", F.explode(two).alias("x")).select("place", "key", "digest", "comp", "n", "x.*"), "cells")
+    each = cells.groupBy("place", "cell", "comp").agg(F.count("*").alias("size"))
+    sizes = each.groupBy("place", "cell").agg(F.max(F.struct("size", "comp")).alias("main"), F.sum("size").alias("all")).where("all > main.size")
+    sizes = write_table(sizes.select("place", "cell", F.col("main.comp").alias("main"), F.ceil(F.col("main.size") / block).cast("int").alias("main_blocks"), F.ceil((F.col("all") - F.col("main.size")) / block).cast("int").alias("rest_blocks")), "sizes")
+    dealt = cells.join(sizes, ["place", "cell"]).withColumn("is_main", F.expr("comp = main"))
     dealt = dealt.withColumn("block", F.expr("case when is_main then rest_blocks + pmod(xxhash64(digest), main_blocks) else pmod(xxhash64(digest), rest_blocks) end").cast("int"))
     # the rest meets all blocks, the main component's blocks meet the rest's
     pairs = F.expr("transform(sequence(0, case when is_main then rest_blocks - 1 else rest_blocks + main_blocks - 1 end), o -> named_struct('lo', least(block, o), 'hi', greatest(block, o)))")
-    return dealt.select(key, "cell", "digest", "comp", "n", "upper", "block", F.explode(pairs).alias("p")).select(key, "cell", "digest", "comp", "n", "upper", "block", "p.*")
+    return dealt.select("place", "key", "cell", "digest", "comp", "n", "upper", "block", F.explode(pairs).alias("p")).select("place", "key", "cell", "digest", "comp", "n", "upper", "block", "p.*")
 
 
 def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -244,6 +281,20 @@ def _open(members: DataFrame, near: DataFrame) -> DataFrame:
     return write_table(placed.join(write_table(several, "open"), "key"), "members")
 
 
+def _places(members: DataFrame) -> DataFrame:
+    """(place, key, digest, n, comp): the members of each group of open buckets that share members, once (key null) or once for each bucket, whichever is fewer rows in blocks."""
+    heads = write_table(members.groupBy("key").agg(F.min("digest").alias("head"), F.count("*").alias("size")), "open_heads")
+    grp = write_table(connected_components(members.join(heads, "key").select(F.col("digest").alias("a"), F.col("head").alias("b")).distinct()), "buckets")
+    own = write_table(members.join(grp, F.col("digest") == F.col("node")).select("key", "digest", "n", "comp", F.col("component").alias("grp")), "grouped")
+    once = own.select("grp", "digest", "n", "comp").distinct()
+    blocks = lambda n: F.col(n) * F.ceil(F.col(n) / SIGNED)
+    apart = own.groupBy("grp", "key").agg(F.count("*").alias("m")).groupBy("grp").agg(F.sum(blocks("m")).alias("apart"))
+    together = once.groupBy("grp").agg(F.count("*").alias("m")).select("grp", blocks("m").alias("together"))
+    split = write_table(apart.join(together, "grp").where("apart < together").select(F.col("grp").alias("g")), "split")
+    whole = once.join(split, F.col("grp") == F.col("g"), "left_anti").select(F.hex("grp").alias("place"), F.lit(None).cast("long").alias("key"), "digest", "n", "comp")
+    return whole.unionByName(own.join(split, F.col("grp") == F.col("g"), "left_semi").select(F.concat(F.lit("bucket "), F.col("key").cast("string")).alias("place"), "key", "digest", "n", "comp"))
+
+
 def _pivot_links(members: DataFrame, one: DataFrame, sets: DataFrame, percent: int, seed: int) -> DataFrame:
     """(a, b): members that link with the one of another component that their bucket picks."""
     pick = F.min(F.struct(F.xxhash64("digest", "key", F.lit(seed)).alias("h"), F.col("digest").alias("p"), F.col("n").alias("p_n"), F.col("comp").alias("p_comp")))
@@ -279,11 +330,10 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
     comp = F.coalesce("component", "digest").alias("comp")
     marks = one.select("digest", "bands", "sig")
-    likely_pairs = _tasks(left, "key", percent, SIGNED).join(marks, "digest").groupBy("key", "cell", "lo", "hi").applyInPandas(_candidates(percent), "a binary, b binary")
-    groups = connected_components(likely_pairs).select(F.col("node").alias("digest"), F.col("component").alias("grp"))
-    groups = groups.join(near.withColumnRenamed("component", "_c"), F.col("digest") == F.col("node"), "left").join(one.select("digest", "n"), "digest").select("grp", "digest", "n", F.coalesce("_c", "digest").alias("comp"))
-    tasks = _tasks(write_table(groups, "groups"), "grp", percent, block).join(marks, "digest").join(sets, "digest")
-    links = tasks.groupBy("grp", "cell", "lo", "hi").applyInPandas(_confirm(percent), "a binary, b binary")
+    likely_pairs = _each_task(_tasks(_places(left), percent, SIGNED).join(marks, "digest"), percent, "candidates")
+    groups = connected_components(likely_pairs).select(F.col("node").alias("digest"), F.hex("component").alias("place"), F.lit(None).cast("long").alias("key"))
+    groups = groups.join(near.withColumnRenamed("component", "_c"), F.col("digest") == F.col("node"), "left").join(one.select("digest", "n"), "digest").select("place", "key", "digest", "n", F.coalesce("_c", "digest").alias("comp"))
+    links = _each_task(_tasks(write_table(groups, "groups"), percent, block).join(marks, "digest").join(sets, "digest"), percent, "links")
 
     where = write_table(one.select("digest", "rep").join(near, F.col("digest") == F.col("node"), "left").select("digest", "rep", comp), "where")
     # an id with several texts links the components of all of them
