@@ -1,4 +1,8 @@
-"""The corpus pipeline: quality rules, near-dedup, decontamination, redaction and packing of ``documents``."""
+"""The corpus pipeline: quality rules, near-dedup, decontamination, redaction and packing of ``documents``.
+
+Every stage takes tables of any columns besides those of ``documents`` and gives those of ``documents`` only (the last one pieces); an
+empty table gives an empty one.
+"""
 
 from __future__ import annotations
 
@@ -13,7 +17,7 @@ COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the base rule and the compression bands keep."""
+    """Documents that the base rule and the compression bands keep. Null and empty texts have no words and go; repeated rows are judged each; a null id changes nothing."""
     return quality.quality_filter(docs, spark.read.parquet(f"{sf_dir}/labels.parquet")).select(*COLUMNS)
 
 
@@ -32,17 +36,17 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without a passage of the benchmark."""
+    """Documents without a passage of the benchmark. Null and empty texts hold none and stay; repeated rows and rows with a null id are searched like others."""
     return decontam.decontaminate(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet")).select(*COLUMNS)
 
 
 def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents with personal data replaced by its kind; n_chars follows the text."""
+    """Documents with personal data replaced by its kind; n_chars follows the text. A null text stays null, and its n_chars with it; repeated rows stay repeated."""
     return pii.redact(docs).withColumn("n_chars", F.length("text").cast("long")).select(*COLUMNS)
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces of documents in sequences of at most 2048 ids."""
+    """Pieces of documents in sequences of at most 2048 ids. A null or empty text is the end id alone; repeated rows are packed each."""
     return packing.pack(docs, vocabulary("word_bpe_49k.json"))
 
 

@@ -43,7 +43,7 @@ from storyloom.llm.vectext import GRAM, U, Words, chunks, mix, record, stream
 #: rounds in which the members of open buckets meet one that their bucket picks
 PIVOTS = 1
 #: texts of a block that meet by their signatures
-SIGNED = 1024
+SIGNED = 256
 #: minima of which the low byte is kept as a text's signature
 SIGNATURE = 128
 _SKETCH = pa.schema([("doc_id", pa.int64()), ("digest", pa.binary()), ("n_shingles", pa.int64()), ("bands", pa.list_(pa.int64())), ("sig", pa.binary())])
