@@ -1,42 +1,65 @@
-"""Size-bounded packing of lines, scene boundaries and scenes: ordered folds inside the JVM, one document at a time."""
+"""Size-bounded packing of lines, scene boundaries and scenes: ordered folds inside the JVM, one document at a time; shards are folded as streams."""
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterator
+
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from storyloom.functions.arrays import explode_once
-from storyloom.functions.text import strip
+from storyloom.functions.text import let, strip
+
+BLOCK = 64
+
+
+def _numbered(lines: Column, start: dict[str, Column], step: Callable[[Column, Column], tuple[dict[str, Column], Column]]) -> Column:
+    """A number for each line from a fold. ``step``: the new state's fields and the line's number.
+
+    An append copies its array, so numbers are gathered in blocks of ``BLOCK`` and the blocks' arrays in one of their own: long texts take nearly linear time.
+    """
+    names = list(start)
+    none, nested = F.array().cast("array<int>"), F.array().cast("array<array<int>>")
+
+    def one(a: Column, line: Column) -> Column:
+        state, number = step(a, line)
+        return F.struct(*[state[n].alias(n) for n in names], F.array_append(a["ids"], number).alias("ids"))
 
-_STATE = "named_struct('size', 0L, 'chunk', 0, 'ids', cast(array() as array<int>))"
+    def block(a: Column, part: Column) -> Column:
+        inner = F.aggregate(part, F.struct(*[a[n].alias(n) for n in names], none.alias("ids")), one)
+        return let(inner, lambda x: F.struct(*[x[n].alias(n) for n in names], F.array_append(a["all"], x["ids"]).alias("all")))
+
+    def whole(x: Column) -> Column:
+        parts = F.transform(F.sequence(F.lit(0), F.floor((F.greatest(F.size(x), F.lit(1)) - 1) / BLOCK).cast("int")), lambda b: F.slice(x, b * BLOCK + 1, F.lit(BLOCK)))
+        return F.aggregate(parts, F.struct(*[start[n].alias(n) for n in names], nested.alias("all")), block, lambda a: F.flatten(a["all"]))
+
+    return let(lines, whole)
 
 
 def line_chunks(lines: Column | str, size: int) -> Column:
     """A chunk number for each line: a new chunk where the line and its newline no longer fit."""
-    x = F.col(lines) if isinstance(lines, str) else lines
-    zero = F.struct(F.lit(0).cast("long").alias("size"), F.lit(0).alias("chunk"), F.array().cast("array<int>").alias("ids"))
 
-    def step(a: Column, line: Column) -> Column:
+    def step(a: Column, line: Column) -> tuple[dict[str, Column], Column]:
         n = (F.length(line) + 1).cast("long")
         new = (a["size"] + n > size) & (a["size"] > 0)
         chunk = F.when(new, a["chunk"] + 1).otherwise(a["chunk"])
-        return F.struct(F.when(new, n).otherwise(a["size"] + n).alias("size"), chunk.alias("chunk"), F.array_append(a["ids"], chunk).alias("ids"))
+        return {"size": F.when(new, n).otherwise(a["size"] + n), "chunk": chunk}, chunk
 
-    return F.aggregate(x, zero, step, lambda a: a["ids"])
+    return _numbered(F.col(lines) if isinstance(lines, str) else lines, {"size": F.lit(0).cast("long"), "chunk": F.lit(0)}, step)
 
 
 def line_chunks_loose(text: Column | str, size: int) -> Column:
     """The variant for long texts: one chunk unless the text is longer than ``size``; the newline does not count against the limit when tested or when a chunk opens."""
     t = F.col(text) if isinstance(text, str) else text
-    zero = F.struct(F.lit(0).cast("long").alias("size"), F.lit(0).alias("lines"), F.lit(0).alias("chunk"), F.array().cast("array<int>").alias("ids"))
 
-    def step(a: Column, line: Column) -> Column:
+    def step(a: Column, line: Column) -> tuple[dict[str, Column], Column]:
         n = F.length(line).cast("long")
-        new = (a["size"] + n > size) & (a["lines"] > 0) & (F.length(t) > size)
+        new = (a["size"] + n > size) & (a["lines"] > 0) & (a["total"] > size)
         chunk = F.when(new, a["chunk"] + 1).otherwise(a["chunk"])
-        return F.struct(F.when(new, n).otherwise(a["size"] + n + 1).alias("size"), F.when(new, 1).otherwise(a["lines"] + 1).alias("lines"), chunk.alias("chunk"), F.array_append(a["ids"], chunk).alias("ids"))
+        return {"size": F.when(new, n).otherwise(a["size"] + n + 1), "lines": F.when(new, 1).otherwise(a["lines"] + 1), "chunk": chunk, "total": a["total"]}, chunk
 
-    return F.aggregate(F.split(t, "\n"), zero, step, lambda a: a["ids"])
+    return _numbered(F.split(t, "\n"), {"size": F.lit(0).cast("long"), "lines": F.lit(0), "chunk": F.lit(0), "total": F.length(t)}, step)
 
 
 def pack_lines(rows: DataFrame, doc: str, ids: Column, text: str = "text") -> DataFrame:
@@ -136,19 +159,29 @@ def row_shards(rows: DataFrame, most: int, order: str, name: str = "shard") -> D
 def byte_shards(rows: DataFrame, size: Column, key: str, order: str, shard_bytes: int, total_bytes: int | None = None) -> DataFrame:
     """(key, shard): greedy shards of at most ``shard_bytes`` (a larger row is alone) inside each key, from 1.
 
-    Sizes are folded in order per key. ``total_bytes`` ends a key's output once reached; the row that reaches it still counts.
+    Sizes are folded in order per key: the rows of a key stream by with their sizes only, and no more than a batch is held. ``total_bytes`` ends a key's output once
+    reached; the row that reaches it still counts.
     """
-    sized = rows.select(key, order, size.cast("long").alias("_size"))
-    listed = sized.groupBy(key).agg(F.array_sort(F.collect_list(F.struct(order, "_size"))).alias("x"))
-    zero = F.expr(f"named_struct('cur', 0L, 'all', 0L, 'shard', 1L, 'out', cast(array() as array<struct<{order}:bigint,shard:bigint>>))")
-
-    def step(a: Column, r: Column) -> Column:
-        new = (a["cur"] + r["_size"] > shard_bytes) & (a["cur"] > 0)
-        shard = F.when(new, a["shard"] + 1).otherwise(a["shard"])
-        go = F.struct(F.when(new, r["_size"]).otherwise(a["cur"] + r["_size"]).alias("cur"), (a["all"] + r["_size"]).alias("all"), shard.alias("shard"), F.array_append(a["out"], F.struct(r[order].cast("long").alias(order), shard.alias("shard"))).alias("out"))
-        return go if total_bytes is None else F.when(a["all"] >= total_bytes, a).otherwise(go)
-
-    return explode_once(listed, F.aggregate("x", zero, step, lambda a: a["out"]), key, value="o").select(key, f"o.{order}", "o.shard")
+    sized = rows.select(key, F.col(order).cast("long").alias(order), size.cast("long").alias("_size"))
+
+    def fold(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        at, cur, done, shard = None, 0, 0, 1
+        for f in frames:
+            numbers = []
+            for k, n in zip(f[key], f["_size"], strict=True):
+                if k != at:
+                    at, cur, done, shard = k, 0, 0, 1
+                if total_bytes is not None and done >= total_bytes:
+                    numbers.append(0)
+                    continue
+                if cur + n > shard_bytes and cur > 0:
+                    cur, shard = 0, shard + 1
+                cur, done = cur + n, done + n
+                numbers.append(shard)
+            yield f.assign(shard=numbers).drop(columns="_size")[lambda x: x["shard"] > 0]
+
+    kind = dict(rows.dtypes)[key]
+    return sized.repartition(key).sortWithinPartitions(key, order).mapInPandas(fold, f"{key} {kind}, {order} bigint, shard bigint")
 
 
 def sequence_numbers(rows: DataFrame, part: str, order: str, name: str = "n") -> DataFrame:

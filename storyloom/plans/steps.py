@@ -19,6 +19,8 @@ from storyloom.plans.modelcalls import CATEGORIES, LanguageModel, RuleModel, cal
 from storyloom.sources import readers, writers
 
 RULES = RuleModel()
+#: rows of one lane of a fetched dataset
+LANE_ROWS = 1_000_000
 
 
 def segment_scenes(docs: DataFrame, doc: str = "doc_id", text: str = "text", model: LanguageModel = RULES, chunk: int = 2000, least: int = 2000, gap: int = 5, keep_last: bool = True) -> DataFrame:
@@ -231,7 +233,8 @@ def convert_dataset(rows: DataFrame, path: str, name: str, order: str, start: in
 
 
 def fetch_dataset(rows: DataFrame, name: str, key: str, shard_bytes: int = 10_000_000, seed: int = 3252, lanes: int = 64) -> DataFrame:
-    """Mapped rows in shuffled order with byte-bounded shards. Rows are dealt to ``lanes`` by hash, each lane filling shards of its own."""
+    """Mapped rows in shuffled order with byte-bounded shards. Rows are dealt to lanes by hash, each lane filling shards of its own; there are ``lanes`` of them, and more where a lane would have over ``LANE_ROWS`` rows."""
+    lanes = max(lanes, -(-rows.count() // LANE_ROWS))
     mapped = mapping.map_rows(rows, name, keep=(key,)).withColumn("lane", F.pmod(F.xxhash64(F.lit(seed), key), F.lit(lanes)))
     sized = mapped.withColumn("_size", writers.row_bytes(mapped.drop(key, "lane")))
     # a row's own number in its lane: keys may repeat

@@ -1,17 +1,21 @@
 """Hand-written cases of the operators' rules."""
 
+import http.server
 import json
 import random
+import threading
 from difflib import SequenceMatcher
 
 import pytest
 from pyspark.sql import functions as F
 
+from storyloom import __main__ as main
 from storyloom.functions import blocks, fuzzy
 from storyloom.functions import text as tx
 from storyloom.operators import chains, characters, chunking, cleaning, mapping, messages, ordering, relational, state
-from storyloom.plans import modelcalls, steps
+from storyloom.plans import client, modelcalls, steps
 from storyloom.sources import readers, writers
+from storyloom.streaming import streams
 
 
 def one(spark, expr, **values):
@@ -325,3 +329,94 @@ def test_stream_drains_and_resumes(spark, tmp_path):
         (src / f"{k}.json").write_text(f'{{"text":"t{k}"}}\n')
         streams.drain(streams.read_jsonl_stream(spark, str(src), TEXT_ROW), str(tmp_path / "out"), str(tmp_path / "cp")).awaitTermination(60)
     assert sorted(r.text for r in spark.read.json(str(tmp_path / "out")).collect()) == ["t0", "t1"]
+
+
+class _Stub(http.server.BaseHTTPRequestHandler):
+    """A model's server: fails the first request of a task, streams on demand, and gives back the inputs."""
+
+    seen: list = []
+
+    def do_POST(self):
+        body = json.loads(self.rfile.read(int(self.headers["Content-Length"])))
+        _Stub.seen.append((self.path, self.headers.get("Authorization"), body))
+        said = body["messages"][1]["content"]
+        if "broken" in said or len(_Stub.seen) == 1:
+            self.send_error(400 if "broken" in said else 503)
+            return
+        self.send_response(200)
+        self.end_headers()
+        if body["stream"]:
+            for part in ("a", "b", None):
+                self.wfile.write(b"data: " + json.dumps({"choices": [{"delta": {"content": part} if part else {}}]}).encode() + b"\n\n")
+            self.wfile.write(b"data: [DONE]\n\n")
+        else:
+            self.wfile.write(json.dumps({"choices": [{"message": {"content": said}}]}).encode())
+
+    def log_message(self, *args):
+        pass
+
+
+@pytest.fixture
+def endpoint():
+    server = http.server.ThreadingHTTPServer(("127.0.0.1", 0), _Stub)
+    _Stub.seen = []
+    threading.Thread(target=server.serve_forever, daemon=True).start()
+    yield f"http://127.0.0.1:{server.server_port}/v1"
+    server.shutdown()
+
+
+def test_model_client(spark, endpoint, monkeypatch):
+    monkeypatch.setenv("MODEL_API_KEY", "k")
+    model = client.HttpModel(endpoint, "m", {"world": "Describe the world."}, delay=0)
+    assert json.loads(model("world", {"text": "é"})) == {"text": "é"}
+    assert len(_Stub.seen) == 2  # the first try met a fault of the server
+    path, key, body = _Stub.seen[-1]
+    assert path == "/v1/chat/completions" and key == "Bearer k" and body["model"] == "m" and body["messages"][0]["content"] == "Describe the world."
+    assert list(model.stream("world", {"text": "x"})) == ["a", "b"]
+    with pytest.raises(OSError, match="400"):
+        model("world", {"text": "broken"})
+    assert modelcalls.Retrying(model, tries=1)("world", {"text": "broken"}) is None
+    rows = spark.createDataFrame([(1, "x"), (2, "y")], "id int, text string")
+    got = modelcalls.call_rows(rows, model, "profile", ["text"]).collect()
+    assert {r.id: json.loads(r.reply) for r in got} == {1: {"text": "x"}, 2: {"text": "y"}}
+
+
+def test_dataset_source_streams_and_shuffles(spark, tmp_path):
+    spark.dataSource.register(readers.DatasetSource)
+    for i in range(3):
+        spark.range(i * 100, i * 100 + 100).coalesce(1).write.mode("append").parquet(f"{tmp_path}/data/small/train")
+    load = lambda r, **o: r.format("storyloom_dataset").options(path=f"{tmp_path}/data", subset="small", split="train", columns="id bigint", **o).load()
+    plain = [r.id for r in load(spark.read).collect()]
+    mixed = [r.id for r in load(spark.read, buffer=30, seed=3252).collect()]
+    assert sorted(mixed) == sorted(plain) == list(range(300)) and mixed != plain
+    assert mixed == [r.id for r in load(spark.read, buffer=30, seed=3252).collect()]
+    assert mixed != [r.id for r in load(spark.read, buffer=30, seed=1).collect()]
+    for _ in range(2):  # the second query finds all files read
+        streams.drain(load(spark.readStream, buffer=30), f"{tmp_path}/out", f"{tmp_path}/mark", "parquet").awaitTermination()
+    assert sorted(r.id for r in spark.read.parquet(f"{tmp_path}/out").collect()) == list(range(300))
+
+
+def test_command_line(spark, tmp_path, capsys):
+    assert main.main(["list"]) == 0
+    assert capsys.readouterr().out.splitlines()[0] == "1_1 scene segmentation"
+    spark.createDataFrame([(1, "a\n#b\nc")], "doc_id int, text string").write.parquet(f"{tmp_path}/in")
+    assert main.main(["run", "1_1", "--input", f"{tmp_path}/in", "--output", f"{tmp_path}/out", "--set", "least=0", "--set", "gap=1"]) == 0
+    assert [r.content for r in spark.read.parquet(f"{tmp_path}/out").orderBy("start_line").collect()] == ["a", "#b\nc"]
+    with pytest.raises(SystemExit):
+        main.main(["run", "9_9", "--input", "x", "--output", "y"])
+
+
+def test_tag_vocabulary_golden(spark):
+    rows = spark.createDataFrame([("Test1", "Tag1, Tag2"), ("Test2", "Tag2, Tag3"), ("Test3", None), ("Test4", " ,")], "name string, tags string")
+    assert {r[0] for r in relational.tag_vocabulary(rows).collect()} == {"Tag1", "Tag2", "Tag3"}
+
+
+def test_a_cluster_must_name_its_shared_folder(spark, monkeypatch):
+    from storyloom.plans import lineage
+
+    class Session:
+        conf = type("C", (), {"get": staticmethod(lambda k, d=None: d), "set": staticmethod(lambda k, v: None)})
+        sparkContext = type("S", (), {"master": "spark://host:7077"})
+
+    with pytest.raises(RuntimeError, match="checkpoint"):
+        lineage.shared_dir(Session())

@@ -1,4 +1,4 @@
-"""Every query with SQL gives DuckDB's rows over sf0.001; the others run and give rows of a stable schema."""
+"""Every query with SQL gives DuckDB's rows over sf0.001; the others are in ``test_plain``."""
 
 import decimal
 
@@ -6,6 +6,7 @@ import duckdb
 import pytest
 
 from storyloom import registry
+from tests import test_plain
 
 DATA = "/root/testdata/sf0.001"
 TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()
@@ -37,14 +38,8 @@ def test_same_rows(spark, duck, name):
     assert rows_of(df.select(*cols).collect()) == rows_of(want.select(*[f'"{c}"' for c in cols]).fetchall())
 
 
-#: composed of the others; run by hand
-SLOW = {"story_pipeline"}
-
-
-@pytest.mark.parametrize("name", sorted(set(registry.queries()) - set(registry.oracle_sql()) - SLOW))
-def test_runs(spark, name):
-    df = registry.queries()[name](spark, DATA)
-    assert df.columns and df.count() >= 0
+def test_queries_without_sql_have_plain_tests():
+    assert set(registry.queries()) - set(registry.oracle_sql()) == test_plain.TESTED
 
 
 def test_entry_imports_without_the_optional_part():
