@@ -76,11 +76,23 @@ def chain_stats(spark: SparkSession, d: str) -> DataFrame:
 
 @query()
 def chain_links_fuzzy(spark: SparkSession, d: str) -> DataFrame:
-    """Links by containment, over the global (timestamp, id) order of each conversation's records."""
+    """Links by containment, over the (timestamp, id) order of each conversation's records."""
     parsed = cl.parse_records(trace(spark, d))
     return cn.links(cn.matches(cn.candidates(parsed, part="conv_id")), "conv_id").select("a_id", "b_id")
 
 
+@query("""WITH rec AS (SELECT conv_id, turn AS last, text AS answer, row_number() OVER (ORDER BY turn, conv_id) AS i FROM conversations WHERE role = 'assistant' AND turn > 0),
+m AS (SELECT a.i, b.i AS j, a.conv_id AS ac, a.last AS al, b.conv_id AS bc, b.last AS bl,
+ EXISTS (SELECT 1 FROM conversations c WHERE c.conv_id = b.conv_id AND c.turn < b.last AND c.role = 'assistant' AND (CASE WHEN length(a.answer) < 20 THEN contains(c.text, a.answer) ELSE c.text = a.answer END)) AS hit
+ FROM rec a JOIN rec b ON b.i > a.i AND b.i - a.i <= 49 WHERE a.answer <> ''),
+f AS (SELECT i, ac, al, min(j) AS j, arg_min(bc, j) AS bc, arg_min(bl, j) AS bl FROM m WHERE hit GROUP BY i, ac, al),
+l AS (SELECT *, row_number() OVER (PARTITION BY j ORDER BY i) AS k FROM f)
+SELECT printf('c%06d-%03d', ac, al) AS a_id, printf('c%06d-%03d', bc, bl) AS b_id FROM l WHERE k = 1""")
+def chain_links_global(spark: SparkSession, d: str) -> DataFrame:
+    """Links over the global (timestamp, id) order of all records."""
+    return cn.links(cn.matches(cn.candidates(cl.parse_records(trace(spark, d))), exact=True)).select("a_id", "b_id")
+
+
 @query()
 def chain_merge(spark: SparkSession, d: str) -> DataFrame:
     return cn.merge_chains(trace(spark, d), cn.follow(_links(spark, d)))
