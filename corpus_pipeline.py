@@ -26,9 +26,10 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
     An id that has several texts keeps each of them if it is its group's smallest. Rows with a null id stay.
     """
+    docs = docs.select(*COLUMNS)
     gone = neardup.near_duplicates(docs, percent=80).where("not kept").select(F.col("doc_id").alias("gone")).distinct()
     again = docs.groupBy("doc_id").count().where("count > 1").select(F.col("doc_id").alias("again"))
-    kept = docs.join(gone, F.col("doc_id") == F.col("gone"), "left_anti").select(*COLUMNS)
+    kept = docs.join(gone, F.col("doc_id") == F.col("gone"), "left_anti")
     # only rows whose id is repeated meet by their texts
     once = kept.join(again, F.col("doc_id") == F.col("again"), "left_anti")
     repeated = kept.join(again, F.col("doc_id") == F.col("again"), "left_semi").dropDuplicates(["doc_id", "text"])
