@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from storyloom.llm import decontam, htmltext, neardup, packing, pii, quality, runtime, sharding, subdedup, tokencount, tokenout
+from storyloom.llm import convrepair, decontam, filteraudit, htmltext, neardup, packing, pii, quality, runtime, sharding, simhash, subdedup, tokencount, tokenout
 
 SHARDS, SLOTS = 64, 65537
 
@@ -63,8 +63,23 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.find(_table(spark, sf_dir, "documents"))
 
 
+def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return convrepair.repair(convrepair.damaged(_table(spark, sf_dir, "conversations")))
+
+
+def op12_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filteraudit.audit(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
+def op13_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicates(_table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    own = (op1_substring_dedup, op2_minhash_dedup, op3_packing, op4_token_counts, op5_quality_rules, op6_decontamination, op7_token_ids, op8_sharding, op9_html_text, op10_pii)
+    own = (
+        op1_substring_dedup, op2_minhash_dedup, op3_packing, op4_token_counts, op5_quality_rules, op6_decontamination, op7_token_ids, op8_sharding, op9_html_text, op10_pii,
+        op11_conversation_repair, op12_filter_audit, op13_simhash_dedup,
+    )
     return {f.__name__: f for f in own}
 
 

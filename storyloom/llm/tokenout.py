@@ -54,7 +54,8 @@ RANGE_BYTES = 128 << 20
 def ranges(docs: DataFrame) -> int:
     """How many ranges: by the size that the plan states, and no fewer than the session's shuffle partitions."""
     size = int(str(docs._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    return max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), min(200_000, -(-size // RANGE_BYTES)))
+    known = size if size < 1 << 60 else 0  # rows of an RDD have no size
+    return max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), min(200_000, -(-known // RANGE_BYTES)))
 
 
 def write_token_ids(docs: DataFrame, path: str, tokenizer_path: str, id_col: str = "doc_id", text_col: str = "text", end_id: int = 2, partitions: int | None = None, stride: int = 2000, stripe_bytes: int = 64 << 20) -> None:

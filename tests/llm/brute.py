@@ -4,9 +4,12 @@ from __future__ import annotations
 
 import collections
 import hashlib
+import itertools
 import re
 import zlib
 
+import xxhash
+
 SPACE = re.compile(r"[^\x20\x09-\x0D]+")
 LOWER = {c: c + 32 for c in range(65, 91)}
 
@@ -113,3 +116,135 @@ def within(window, text, edits):
         hn = (hn << 1) & full
         up, down = (hn | ~((eq | down) | hp)) & full, hp & (eq | down)
     return score <= edits
+
+
+def simhashes(text, k=4):
+    w = words((text or "").translate(LOWER))
+    return [" ".join(w[i : i + k]) for i in range(len(w) - k + 1)] if len(w) >= k else ([" ".join(w)] if w else [])
+
+
+def simhash(text, k=4):
+    hashes = [xxhash.xxh64(s.encode(), seed=42).intdigest() for s in simhashes(text, k)]
+    return sum(1 << i for i in range(64) if 2 * sum(h >> i & 1 for h in hashes) > len(hashes))
+
+
+def joined(prints, distance):
+    """The class of each print, by all pairs."""
+    up = list(range(len(prints)))
+
+    def find(x):
+        while up[x] != x:
+            x = up[x]
+        return x
+
+    for i, a in enumerate(prints):
+        for j in range(i):
+            if (a ^ prints[j]).bit_count() <= distance:
+                x, y = find(i), find(j)
+                up[max(x, y)] = min(x, y)
+    return [find(i) for i in range(len(prints))]
+
+
+def simhash_groups(rows, distance=4):
+    """rows with ids, one text an id."""
+    prints = [simhash(t) for _, t in rows]
+    of = joined(prints, distance)
+    least = {}
+    for (doc, _), c in zip(rows, of, strict=True):
+        least[c] = min(doc, least.get(c, doc))
+    return [(doc, f"{p:016x}", least[c]) for (doc, _), p, c in zip(rows, prints, of, strict=True)]
+
+
+def filter_audit(docs, labels):
+    """docs: (doc_id, text, lang); labels: (doc_id, quality, toxic). Each document walked through each order."""
+    least = {}
+    for d, t, _ in docs:
+        if d is not None:
+            least[t or ""] = min(d, least.get(t or "", d))
+    good, toxic = ({x[0] for x in labels if x[k] == 1 and x[0] is not None} for k in (1, 2))
+    out, shapley = collections.Counter(), collections.Counter()
+    orders = ["".join(p) for p in itertools.permutations("ABCDE")]
+    for d, t, lang in docs:
+        t, part = t or "", lang or ""
+        w = words(t)
+        fails = {
+            "A": len(w) < 200, "B": 100 * len(set(w)) < 50 * len(w), "C": 100 * len(re.findall("[A-Z]", t)) > 3 * len(t),
+            "D": bool(re.search(r"[#$%&*|]", t)), "E": d is not None and d > least[t],
+        }
+        for o in orders:
+            gone = False
+            for i, f in enumerate(o):
+                here = out, (part, o, i + 1)
+                hit = fails[f]
+                for name, holds in (("kept", not hit and not gone), ("removed", hit and not gone), ("redundant", hit and gone), ("unique", hit and sum(fails.values()) == 1), ("good", hit and not gone and d in good), ("toxic", hit and not gone and d in toxic)):
+                    here[0][(*here[1], name)] += holds
+                shapley[part, f] += hit and not gone
+                gone |= hit
+    parts = {x[2] or "" for x in docs}
+    names = ("kept", "removed", "redundant", "unique", "good", "toxic")
+    return [(p, o, i + 1, *(out[p, o, i + 1, n] for n in names), shapley[p, o[i]]) for p in parts for o in orders for i in range(5)]
+
+
+def damage(rows):
+    """rows: (conv_id, turn, role, text) in order."""
+    out = []
+    for conv, turn, role, text in rows:
+        conv_s, turn_s, role, text = (" " if x is None else x for x in (conv, turn, role, text))
+        hit = zlib.crc32(f"{conv_s}:{turn_s}".encode()) % 20
+        if hit == 0:
+            continue
+        text = "" if hit == 1 else re.sub("[.!?]", "", text) if hit == 2 else text
+        out += [(conv, turn, "user" if hit == 4 else role, text)] * (2 if hit == 3 else 1)
+    return out
+
+
+def cheapest_edits(rows):
+    """rows: (initial, must go, truncated). Least (cost, audit) by costs in order, and the states met."""
+    import heapq
+
+    heap, done = [(0, "", 0, "")], set()
+    while heap:
+        cost, audit, i, roles = heapq.heappop(heap)
+        last = roles[-1:]
+        if (i, last) in done:
+            continue
+        done.add((i, last))
+        if i == len(rows) and last in ("", "a"):
+            return cost, audit
+        new = "a" if last == "u" else "u"
+        heapq.heappush(heap, (cost + 5, audit + "I", i, roles + new))
+        if i < len(rows):
+            initial, gone, cut = rows[i]
+            heapq.heappush(heap, (cost + 2, audit + "D", i + 1, roles))
+            if not gone:
+                heapq.heappush(heap, (cost + 1 + 5 * cut, audit + "R", i + 1, roles + new))
+                if initial == new or (initial == "s" and not roles):
+                    heapq.heappush(heap, (cost + 5 * cut, audit + "K", i + 1, roles + initial))
+
+
+def conversations(rows):
+    """rows: (conv_id, turn, role, text), damaged already or not, one text a turn; ``ids`` are all that had rows."""
+    out = []
+    for conv in {r[0] for r in rows}:
+        mine = sorted(damage([r for r in rows if r[0] == conv]), key=lambda r: (r[1] is not None, r[1] or 0))
+        seen, kinds, count = set(), [], collections.Counter()
+        for _, _, role, text in mine:
+            w = words(text)
+            kind = "blank" if not w else "duplicate" if (role, text) in seen else "truncated" if w[-1][-1] not in ".!?" else ""
+            seen.add((role, text))
+            count[kind] += 1
+            kinds.append((role[:1], kind in ("blank", "duplicate"), kind == "truncated"))
+        turns = {r[1] for r in mine if r[1] is not None}
+        cost, audit = cheapest_edits(kinds)
+        left, state, todo = [], "", list(mine)
+        for e in audit:
+            _, _, role, text = (None, None, "", "") if e == "I" else todo.pop(0)
+            if e != "D":
+                new = {"u": "assistant"}.get(state, "user")
+                role = role if e == "K" else new
+                state = role[0]
+                left.append(f"{role}:{text}")
+        bad = sum(a[2][:1] + b[2][:1] not in ("su", "ua", "au") for a, b in zip(mine, mine[1:], strict=False))
+        gaps = max(turns) - min(turns) + 1 - len(turns) if turns else 0
+        out.append((conv, gaps, count["blank"], count["duplicate"], count["truncated"], bad, cost, audit, hashlib.sha256("\n".join(left).encode()).hexdigest()))
+    return out
