@@ -35,7 +35,7 @@ docs AS (
 ), cells AS (SELECT part, fails, count(*) AS n, sum(good) AS good, sum(toxic) AS toxic FROM docs GROUP BY part, fails),
 marked AS (
   SELECT part, filter_order, step, f, n, good, toxic, contains(fails, f) AS failed, fails = f AS only_f,
-    len(list_filter(string_split(fails, ''), x -> x <> '' AND contains(earlier, x))) > 0 AS gone
+    length(translate(fails, earlier, '')) < length(fails) AS gone
   FROM cells, steps
 ), counts AS (
   SELECT part, filter_order, step, f, sum(CASE WHEN NOT failed AND NOT gone THEN n ELSE 0 END) AS kept, sum(CASE WHEN failed AND NOT gone THEN n ELSE 0 END) AS removed,
