@@ -13,7 +13,7 @@ from storyloom.operators import relational as rl
 from storyloom.plans import steps
 from storyloom.plans.lineage import new_path
 from storyloom.queries.common import table
-from storyloom.sources import readers, writers
+from storyloom.sources import named, readers, writers
 from storyloom.streaming import streams
 
 QUERIES: dict = {}
@@ -102,14 +102,15 @@ def csv_scan(spark: SparkSession, d: str) -> DataFrame:
 def _item_files(spark: SparkSession, d: str) -> str:
     """One text file for each benchmark item, in a folder of its own."""
     path = new_path(spark, "texts")
-    writers.write_texts(table(spark, d, "benchmark"), path, "text", "item_id")
+    item = F.col("item_id").cast("string")
+    named.write_named(table(spark, d, "benchmark"), path, F.concat(item, F.lit("/item "), item, F.lit("+1%.txt")), "text")
     return path
 
 
-@query("SELECT 'item_id=' || item_id AS book, text || chr(10) AS text, 'part' AS stem FROM benchmark")
+@query("SELECT CAST(item_id AS VARCHAR) AS book, coalesce(text, '') || chr(10) AS text, 'item ' || item_id || '+1%' AS stem FROM benchmark")
 def whole_text_scan(spark: SparkSession, d: str) -> DataFrame:
     """A row a file, with its folder as the book."""
-    return readers.read_whole_text(spark, _item_files(spark, d)).select("book", "text", F.substr("stem", F.lit(1), F.lit(4)).alias("stem"))
+    return readers.read_whole_text(spark, _item_files(spark, d)).select("book", "text", "stem")
 
 
 @query("""WITH l AS (SELECT item_id, string_split_regex(text || chr(10), '\\r\\n|\\r|\\n') AS x FROM benchmark)
@@ -118,12 +119,13 @@ def text_lines_scan(spark: SparkSession, d: str) -> DataFrame:
     return readers.read_text_lines(spark, _item_files(spark, d)).groupBy("line_no", "line").agg(F.count("*").alias("n"))
 
 
-@query("SELECT 'n_nationkey=' || n_nationkey AS book, n_name AS name, [n_name, 'x'] AS alias FROM nation")
+@query("SELECT CAST(n_nationkey AS VARCHAR) AS book, replace(n_name, ' ', '_') AS stem, n_name AS name, [n_name, 'x'] AS alias FROM nation")
 def json_document_scan(spark: SparkSession, d: str) -> DataFrame:
     """A JSON document a file, by folder; a broken one has null fields."""
     path = new_path(spark, "documents")
-    writers.write_by_key(table(spark, d, "nation").select("n_nationkey", F.col("n_name").alias("name"), F.array("n_name", F.lit("x")).alias("alias")), path, "n_nationkey")
-    return readers.read_json_documents(spark, path, "name string, alias array<string>", ".json").select("book", "name", "alias")
+    rows = table(spark, d, "nation").select("n_nationkey", F.replace("n_name", F.lit(" "), F.lit("_")).alias("stem"), F.col("n_name").alias("name"), F.array("n_name", F.lit("x")).alias("alias"))
+    named.write_json_files(rows, path, "n_nationkey", "stem", "_characters.json")
+    return readers.read_json_documents(spark, path, "name string, alias array<string>", "_characters.json").select("book", "stem", "name", "alias")
 
 
 @query("SELECT DISTINCT source AS name, [lang, 'z'] AS alias FROM documents")
@@ -135,11 +137,11 @@ def alias_map_scan(spark: SparkSession, d: str) -> DataFrame:
 
 @query("SELECT r_name AS name, '# ' || r_name || chr(10) || 'text' AS text FROM region")
 def markdown_scan(spark: SparkSession, d: str) -> DataFrame:
-    """Profiles by file name; the table has five rows."""
+    """Profiles by file name."""
     path = new_path(spark, "profiles")
-    for r in table(spark, d, "region").collect():
-        writers.put(spark, f"{path}/book/{r.r_name}.md", f"# {r.r_name}\ntext")
-    return readers.read_markdown(spark, path).select(F.replace("name", F.lit("%20"), F.lit(" ")).alias("name"), "text")
+    rows = table(spark, d, "region").select(F.concat(F.lit("book/"), "r_name", F.lit(".md")).alias("file"), F.concat(F.lit("# "), "r_name", F.lit("\ntext")).alias("text"))
+    named.write_texts(rows, path)
+    return readers.read_markdown(spark, path).select("name", "text")
 
 
 @query("SELECT doc_id, CASE doc_id % 3 WHEN 0 THEN [source, lang] WHEN 1 THEN [lang] ELSE [] END AS names FROM documents")
@@ -211,11 +213,11 @@ def with_pov(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "documents").select("doc_id", ca.with_pov(F.array("source", "lang"), pov).alias("names"))
 
 
-@query("""WITH t AS (SELECT doc_id, list_sort(list_distinct(string_split(left(coalesce(text, ''), 400), ' '))) AS a, list_sort(list_distinct(string_split(source || ' the ' || lang, ' '))) AS b FROM documents)
+@query("""WITH t AS (SELECT doc_id, list_sort(list_distinct(string_split(coalesce(text, ''), ' '))) AS a, list_sort(list_distinct(string_split(source || ' the ' || lang, ' '))) AS b FROM documents)
 SELECT doc_id, len(list_distinct(list_concat(a, b))) AS n_union, len(list_intersect(a, b)) AS n_both, len(a) - len(list_intersect(a, b)) AS n_only FROM t""")
 def name_set_algebra(spark: SparkSession, d: str) -> DataFrame:
     """Union, intersection and difference of name sets."""
-    words = F.split(F.substr(F.coalesce("text", F.lit("")), F.lit(1), F.lit(400)), " ")
+    words = F.split(F.coalesce("text", F.lit("")), " ")
     t = table(spark, d, "documents").select("doc_id", words.alias("a"), F.split(F.concat_ws(" the ", "source", "lang"), " ").alias("b"))
     return t.select("doc_id", F.size(F.array_union("a", "b")).cast("long").alias("n_union"), F.size(F.array_intersect("a", "b")).cast("long").alias("n_both"), F.size(F.array_except("a", "b")).cast("long").alias("n_only"))
 
@@ -238,11 +240,12 @@ def card_markdown(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "nation").select("n_nationkey", tx.character_card_markdown(card).alias("text"))
 
 
-@query("SELECT * FROM (VALUES ('1_1', 'scene segmentation'), ('1_2', 'character consolidation'), ('1_3', 'scene facts'), ('1_4', 'world and character profiles'), ('1_5', 'dialogue annotation'), ('2_1', 'conversion to chats'), ('2_2', 'reasoning variants')) t(id, title)")
+@query("SELECT * FROM (VALUES ('1_1', 'scene segmentation'), ('1_2', 'character consolidation'), ('1_3', 'scene facts'), ('1_4', 'world and character profiles'), ('1_5', 'dialogue annotation'), ('2_1', 'conversion to chats'), ('2_2', 'reasoning variants')) t(id, title), (SELECT count(*) AS n_texts FROM documents WHERE text IS NOT NULL)")
 def list_steps(spark: SparkSession, d: str) -> DataFrame:
-    """The registry's steps in order."""
+    """The registry's steps in order, with the number of texts that the first one takes in."""
     rows = json.dumps([{"id": i, "title": t} for i, t in steps.list_steps()])
-    return spark.range(1).select(F.explode(F.from_json(F.lit(rows), "array<struct<id: string, title: string>>")).alias("x")).select("x.*")
+    texts = table(spark, d, "documents").where("text is not null").agg(F.count("*").alias("n_texts"))
+    return texts.select(F.explode(F.from_json(F.lit(rows), "array<struct<id: string, title: string>>")).alias("x"), "n_texts").select("x.*", "n_texts")
 
 
 @query("SELECT doc_id, upper(text) AS text FROM documents WHERE coalesce(text, '') <> '' AND doc_id % 5 <> 0")

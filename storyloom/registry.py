@@ -7,7 +7,7 @@ from importlib import import_module
 
 from pyspark.sql import DataFrame, SparkSession
 
-MODULES: tuple[str, ...] = ("messages", "texts", "annotation", "records", "stories", "files", "calls")
+MODULES: tuple[str, ...] = ("messages", "texts", "annotation", "records", "stories", "files", "outputs", "calls")
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

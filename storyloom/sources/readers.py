@@ -50,8 +50,10 @@ def read_whole_text(spark: SparkSession, path: str, suffix: str = ".txt", recurs
 
 
 def _named(files: DataFrame, suffix: str) -> DataFrame:
-    at = F.col("_metadata.file_path")
-    return files.select(at.alias("path"), F.regexp_extract(at, r"([^/]+)/[^/]+$", 1).alias("book"), F.col("_metadata.file_name").alias("file"), F.regexp_replace(F.col("_metadata.file_name"), suffix.replace(".", r"\.") + "$", "").alias("stem"), *[c for c in files.columns])
+    # the metadata's address is that of a URI: spaces and percent signs are escaped, plus signs aren't
+    at = F.url_decode(F.replace("_metadata.file_path", F.lit("+"), F.lit("%2B")))
+    file = F.regexp_extract(at, r"([^/]+)$", 1)
+    return files.select(at.alias("path"), F.regexp_extract(at, r"([^/]+)/[^/]+$", 1).alias("book"), file.alias("file"), F.regexp_replace(file, suffix.replace(".", r"\.") + "$", "").alias("stem"), *files.columns)
 
 
 def read_json_documents(spark: SparkSession, path: str, schema: str, suffix: str) -> DataFrame:

@@ -1,4 +1,4 @@
-"""Writers: JSON lines (also sharded), Parquet with metadata, text, Markdown and CSV."""
+"""Writers of folders: JSON lines, Parquet with metadata and CSV. ``named`` writes files under names of their own."""
 
 from __future__ import annotations
 
@@ -7,7 +7,7 @@ import json
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from storyloom.functions.text import character_card_markdown, safe_title
+from storyloom.sources.named import write_train_files
 
 
 def write_jsonl(rows: DataFrame, path: str, nulls: bool = False, mode: str = "overwrite") -> None:
@@ -15,20 +15,17 @@ def write_jsonl(rows: DataFrame, path: str, nulls: bool = False, mode: str = "ov
     rows.write.mode(mode).option("ignoreNullFields", not nulls).json(path)
 
 
-def write_sharded(rows: DataFrame, path: str, shard: str = "shard") -> None:
-    """One folder per shard, by its number."""
-    rows.repartition(shard).write.mode("overwrite").partitionBy(shard).json(path)
-
-
 def row_bytes(rows: DataFrame) -> Column:
     """Size of a row's JSON line, newline included."""
     return (F.octet_length(F.to_json(F.struct(*rows.columns))) + 1).cast("long")
 
 
 def write_dataset(rows: DataFrame, path: str, name: str, files: int | None = None) -> None:
-    """``data`` as Parquet, and ``dataset_info`` and ``metadata`` with the row count and features. ``files=1`` gives a single file."""
-    data = rows.coalesce(files) if files else rows
-    data.write.mode("overwrite").parquet(f"{path}/data")
+    """``data`` as Parquet, and ``dataset_info`` and ``metadata`` with the row count and features. With ``files``, as ``train-00000-of-0000n.parquet``."""
+    if files:
+        write_train_files(rows, f"{path}/data", files, mode="overwrite")
+    else:
+        rows.write.mode("overwrite").parquet(f"{path}/data")
     spark = rows.sparkSession
     n = spark.read.parquet(f"{path}/data").count()
     features = {f.name: f.dataType.simpleString() for f in rows.schema.fields}
@@ -47,15 +44,6 @@ def put(spark: SparkSession, path: str, text: str) -> None:
         out.close()
 
 
-def write_by_key(rows: DataFrame, path: str, *keys: str) -> None:
-    """One folder per key: scenes, facts, dialogues and chats by book and stem."""
-    rows.write.mode("overwrite").partitionBy(*keys).json(path)
-
-
-def write_texts(rows: DataFrame, path: str, text: str = "content", by: str = "scene_id") -> None:
-    rows.select(by, F.col(text).alias("value")).write.mode("overwrite").partitionBy(by).text(path)
-
-
 def scene_texts(rows: DataFrame, order: list[str], text: str = "content", part: str = "book") -> DataFrame:
     """(part, n, content): non-empty scenes numbered from 1 in each part."""
     from pyspark.sql import Window
@@ -69,15 +57,6 @@ def summarised_text(preface: Column, body: Column, summary: Column) -> Column:
     return F.concat(F.lit("##前情提要\n"), preface, F.lit("\n##正文\n"), body, F.lit("\n##总结\n"), summary)
 
 
-def card_files(annotations: DataFrame) -> DataFrame:
-    """(file, text): a Markdown file for each known work's world view and characters. Needs title and a novel annotation."""
-    known = annotations.where("not coalesce(unknown, false)").withColumn("folder", safe_title("title"))
-    world = known.select(F.concat("folder", F.lit("/worldview.md")).alias("file"), F.replace("worldview", F.lit("\\n"), F.lit("\n")).alias("text"))
-    cards = known.select("folder", F.explode("character_cards").alias("c"))
-    cards = cards.select(F.concat("folder", F.lit("/"), safe_title(F.col("c.profile.name")), F.lit(".md")).alias("file"), character_card_markdown(F.col("c")).alias("text"))
-    return world.unionByName(cards)
-
-
 def write_csv(rows: DataFrame, path: str) -> None:
     rows.write.mode("overwrite").option("header", True).option("escape", '"').csv(path)
 
