@@ -1,15 +1,9 @@
-"""Readers: JSON lines, text, JSON documents, CSV, Markdown, book folders, and a bounded dataset source."""
+"""Readers: JSON lines, text, JSON documents, CSV, Markdown and book folders."""
 
 from __future__ import annotations
 
-import random
-from collections.abc import Iterator
-
-import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
-from pyspark.sql.datasource import DataSource, DataSourceReader, DataSourceStreamReader, InputPartition
 
 from storyloom.functions.text import strip
 from storyloom.schemas import CHATML_ROW, TEXT_ROW
@@ -96,89 +90,3 @@ def segments(texts: DataFrame, *companions: DataFrame, key: tuple[str, str] = ("
 def not_done(rows: DataFrame, done: DataFrame, key: list[str]) -> DataFrame:
     """Rows without an output yet."""
     return rows.join(done.select(*key).distinct(), key, "left_anti")
-
-
-class _Parts(InputPartition):
-    def __init__(self, number: int, file: str) -> None:
-        self.number, self.file = number, file
-
-
-def _files(options: dict) -> list[str]:
-    """The Parquet files of the chosen subset and split, in order of their names."""
-    import pyarrow.dataset as ds
-
-    parts = [options["path"].rstrip("/"), *(options[k] for k in ("subset", "split") if options.get(k))]
-    return sorted(ds.dataset("/".join(parts), format="parquet").files)
-
-
-def shuffled(batches: Iterator[pa.RecordBatch], size: int, seed: int) -> Iterator[pa.RecordBatch]:
-    """Batches whose rows pass through a buffer of ``size`` rows: each arrival takes the place of a random row, which goes on. No more than the buffer and a batch are held."""
-    rng, held = random.Random(seed), []
-    for b in batches:
-        out = []
-        for row in b.to_pylist():
-            if len(held) < size:
-                held.append(row)
-            else:
-                i = rng.randrange(size)
-                out.append(held[i])
-                held[i] = row
-        if out:
-            yield pa.RecordBatch.from_pylist(out, schema=b.schema)
-        schema = b.schema
-    rng.shuffle(held)
-    for s in range(0, len(held), 1000):
-        yield pa.RecordBatch.from_pylist(held[s : s + 1000], schema=schema)
-
-
-class _FileReader:
-    """Reads one file a partition; with option ``buffer``, in shuffled order by ``seed`` and the file's number."""
-
-    def __init__(self, schema: T.StructType, options: dict) -> None:
-        self.schema, self.options = schema, options
-
-    def read(self, partition: _Parts) -> Iterator[pa.RecordBatch]:
-        import pyarrow.parquet as pq
-
-        rows = pq.ParquetFile(partition.file).iter_batches(batch_size=1000, columns=self.schema.fieldNames())
-        size = int(self.options.get("buffer", 0))
-        yield from shuffled(rows, size, int(self.options.get("seed", 0)) * 1_000_003 + partition.number) if size > 0 else rows
-
-
-class _HubReader(_FileReader, DataSourceReader):
-    def partitions(self) -> list[InputPartition]:
-        return [_Parts(i, f) for i, f in enumerate(_files(self.options))]
-
-
-class _HubStreamReader(_FileReader, DataSourceStreamReader):
-    """Files in the order of their names; the offset is how many have been read, so a restarted query goes on behind them."""
-
-    def initialOffset(self) -> dict:
-        return {"files": 0}
-
-    def latestOffset(self) -> dict:
-        return {"files": len(_files(self.options))}
-
-    def partitions(self, start: dict, end: dict) -> list[InputPartition]:
-        return [_Parts(i, f) for i, f in enumerate(_files(self.options)) if start["files"] <= i < end["files"]]
-
-    def commit(self, end: dict) -> None:
-        pass
-
-
-class DatasetSource(DataSource):
-    """A dataset by repository id, in batch or as a stream. Without a network it reads the local Parquet copy in option ``path``, of options ``subset`` and ``split``
-    where given; columns in option ``columns`` (DDL); rows shuffled in a bounded buffer with options ``buffer`` (rows) and ``seed``."""
-
-    @classmethod
-    def name(cls) -> str:
-        return "storyloom_dataset"
-
-    def schema(self) -> str:
-        return self.options.get("columns", "text string")
-
-    def reader(self, schema: T.StructType) -> DataSourceReader:
-        return _HubReader(schema, dict(self.options))
-
-    def streamReader(self, schema: T.StructType) -> DataSourceStreamReader:
-        return _HubStreamReader(schema, dict(self.options))

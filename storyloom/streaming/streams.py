@@ -12,6 +12,8 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 from pyspark.sql.streaming.query import StreamingQuery
 
+from storyloom.sources.datasets import DatasetSource
+
 
 def read_jsonl_stream(spark: SparkSession, path: str, schema: str, files_per_trigger: int | None = None) -> DataFrame:
     reader = spark.readStream.schema(schema)
@@ -23,6 +25,23 @@ def drain(stream: DataFrame, path: str, checkpoint: str, fmt: str = "json") -> S
     return stream.writeStream.format(fmt).option("path", path).option("checkpointLocation", checkpoint).trigger(availableNow=True).outputMode("append").start()
 
 
+def drain_bounded(spark: SparkSession, path: str, out: str, checkpoint: str, columns: str, most_bytes: int, fmt: str = "parquet", **options: str) -> list[int]:
+    """A dataset's stream written trigger by trigger until nothing is left; each takes at most ``most_bytes``. Returns the rows of each trigger.
+
+    A trigger of its own run each: a source that bounds itself is asked once a run. What a run has taken is in the log beside the checkpoint, so a drain that was stopped goes on.
+    """
+    spark.dataSource.register(DatasetSource)
+    taken: list[int] = []
+    while True:
+        stream = spark.readStream.format(DatasetSource.name()).options(path=path, columns=columns, log=f"{checkpoint}-taken", bytes=str(most_bytes), **options).load()
+        run = drain(stream, out, checkpoint, fmt)
+        run.awaitTermination()
+        rows = [p["numInputRows"] for p in run.recentProgress if p["sources"][0]["startOffset"] != p["sources"][0]["endOffset"]]
+        if not rows:
+            return taken
+        taken += rows
+
+
 def sessions(events: DataFrame, key: str, ts: str, gap: str = "2 hours", late: str = "10 minutes") -> DataFrame:
     """(key, start, end, n): session windows; they close once the watermark passes them."""
     w = F.session_window(ts, gap)

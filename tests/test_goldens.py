@@ -14,7 +14,7 @@ from storyloom.functions import blocks, fuzzy
 from storyloom.functions import text as tx
 from storyloom.operators import chains, characters, chunking, cleaning, mapping, messages, ordering, relational, state
 from storyloom.plans import client, modelcalls, steps
-from storyloom.sources import readers, writers
+from storyloom.sources import datasets, readers, writers
 from storyloom.streaming import streams
 
 
@@ -314,7 +314,7 @@ def test_files(spark, tmp_path):
 
 
 def test_dataset_source(spark):
-    spark.dataSource.register(readers.DatasetSource)
+    spark.dataSource.register(datasets.DatasetSource)
     got = spark.read.format("storyloom_dataset").option("path", "/root/testdata/sf0.001/benchmark.parquet").option("columns", "item_id bigint, text string").load()
     assert got.count() == 40
 
@@ -382,7 +382,7 @@ def test_model_client(spark, endpoint, monkeypatch):
 
 
 def test_dataset_source_streams_and_shuffles(spark, tmp_path):
-    spark.dataSource.register(readers.DatasetSource)
+    spark.dataSource.register(datasets.DatasetSource)
     for i in range(3):
         spark.range(i * 100, i * 100 + 100).coalesce(1).write.mode("append").parquet(f"{tmp_path}/data/small/train")
     load = lambda r, **o: r.format("storyloom_dataset").options(path=f"{tmp_path}/data", subset="small", split="train", columns="id bigint", **o).load()
