@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -16,11 +17,15 @@ def shared_dir(spark: SparkSession) -> str:
     if not base:
         if not spark.sparkContext.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
-        base = "file://" + tempfile.mkdtemp(prefix="storyloom-")
-        spark.conf.set("spark.checkpoint.dir", base)
+        base = _own_dir()
     return base.rstrip("/")
 
 
+@cache
+def _own_dir() -> str:
+    return "file://" + tempfile.mkdtemp(prefix="storyloom-")
+
+
 def new_path(spark: SparkSession, name: str) -> str:
     """A path in the shared folder, removed when the application ends."""
     path = f"{shared_dir(spark)}/storyloom-{name}-{uuid.uuid4().hex}"

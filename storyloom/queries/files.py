@@ -184,6 +184,19 @@ def stream_resume(spark: SparkSession, d: str) -> DataFrame:
     return spark.read.parquet(out).groupBy("doc_id", "text").agg(F.count("*").alias("n"))
 
 
+@query("SELECT doc_id, text, 1::BIGINT AS n FROM documents")
+def bounded_stream(spark: SparkSession, d: str) -> DataFrame:
+    """A dataset's files drained by triggers of at most half of its bytes; files of earlier names come behind and are read once."""
+    path, out, mark = new_path(spark, "set"), new_path(spark, "out"), new_path(spark, "mark")
+    number = F.pmod("doc_id", F.lit(4))
+    for part, prefix in enumerate(("m", "a")):
+        own = _docs(spark, d).where(F.floor(number / 2) == part)
+        named.write_named(own, path, F.concat(F.lit(prefix), number.cast("string"), F.lit(".parquet")), None, ["doc_id"])
+        size = named.written(spark, path).agg(F.sum("bytes")).first()[0]
+        streams.drain_bounded(spark, path, out, mark, "doc_id bigint, text string", max(1, size // 2))
+    return spark.read.schema("doc_id long, text string").parquet(out).groupBy("doc_id", "text").agg(F.count("*").alias("n"))
+
+
 @query("SELECT 'done' AS stage, count(*) AS progress FROM conversations")
 def stream_progress(spark: SparkSession, d: str) -> DataFrame:
     """What the events of a drained stream add up to."""

@@ -8,7 +8,9 @@ from pyspark.sql import functions as F
 from storyloom.operators import characters as ca
 from storyloom.operators import state as st
 from storyloom.plans import steps
+from storyloom.plans.lineage import new_path
 from storyloom.queries.common import SQL_LINES, doc_lines, table, turns
+from storyloom.streaming import folds
 
 QUERIES: dict = {}
 SQL: dict[str, str] = {}
@@ -145,8 +147,11 @@ def status_history(spark: SparkSession, d: str) -> DataFrame:
 
 @query(f"WITH {_E} SELECT user_id % 10 AS story, 'u' || user_id AS \"character\", event_type AS target, arg_max(mood, event_id) FILTER (mood IS NOT NULL) AS opinion, coalesce(string_agg(place, '|' ORDER BY event_id) FILTER (place IS NOT NULL), '') AS events FROM e GROUP BY ALL")
 def relationship_fold(spark: SparkSession, d: str) -> DataFrame:
-    rows = _events(spark, d).select("event_id", (F.col("user_id") % 10).alias("story"), F.concat(F.lit("u"), F.col("user_id").cast("string")).alias("character"), F.col("event_type").alias("target"), F.col("mood").alias("opinion"), F.col("place").alias("new_event"))
-    return st.relationship_fold(rows, ["story"], "event_id").withColumn("events", F.array_join("events", "|"))
+    return st.relationship_fold(_relations(spark, d), ["story"], "event_id").withColumn("events", F.array_join("events", "|"))
+
+
+def _relations(spark: SparkSession, d: str) -> DataFrame:
+    return _events(spark, d).select("event_id", (F.col("user_id") % 10).alias("story"), F.concat(F.lit("u"), F.col("user_id").cast("string")).alias("character"), F.col("event_type").alias("target"), F.col("mood").alias("opinion"), F.col("place").alias("new_event"))
 
 
 @query("""WITH e AS (SELECT event_id, user_id, 'i' || event_id % 5 AS item, CASE event_id % 7 WHEN 0 THEN 'remove' WHEN 1 THEN 'add' WHEN 2 THEN 'add' ELSE 'modify' END AS act, CASE WHEN event_id % 2 = 0 THEN 's' || event_id ELSE '' END AS ns FROM events),
@@ -154,9 +159,12 @@ a AS (SELECT user_id, item, list({'act': act, 'ns': ns} ORDER BY event_id) AS op
 f AS (SELECT user_id, item, list_reduce(ops, lambda s, x: CASE WHEN x.act = 'remove' THEN {'held': false, 'state': ''} WHEN NOT s.held THEN {'held': true, 'state': x.ns} WHEN x.act = 'modify' AND x.ns <> '' THEN {'held': true, 'state': x.ns} ELSE s END, {'held': false, 'state': ''}) AS s FROM a)
 SELECT user_id AS story, 'c' AS "character", item AS item_name, s.state AS state FROM f WHERE s.held""")
 def item_fold(spark: SparkSession, d: str) -> DataFrame:
+    return st.item_fold(_item_updates(spark, d), ["story"], "event_id")
+
+
+def _item_updates(spark: SparkSession, d: str) -> DataFrame:
     m = F.col("event_id") % 7
-    rows = table(spark, d, "events").select("event_id", F.col("user_id").alias("story"), F.lit("c").alias("character"), F.concat(F.lit("i"), (F.col("event_id") % 5).cast("string")).alias("item_name"), F.when(m == 0, "remove").when(m <= 2, "add").otherwise("modify").alias("action"), F.when(F.col("event_id") % 2 == 0, F.concat(F.lit("s"), F.col("event_id").cast("string"))).otherwise("").alias("new_state"))
-    return st.item_fold(rows, ["story"], "event_id")
+    return table(spark, d, "events").select("event_id", F.col("user_id").alias("story"), F.lit("c").alias("character"), F.concat(F.lit("i"), (F.col("event_id") % 5).cast("string")).alias("item_name"), F.when(m == 0, "remove").when(m <= 2, "add").otherwise("modify").alias("action"), F.when(F.col("event_id") % 2 == 0, F.concat(F.lit("s"), F.col("event_id").cast("string"))).otherwise("").alias("new_state"))
 
 
 _B = "b AS (SELECT user_id, event_id, CASE WHEN event_id % 6 = 0 THEN 'scene_change' WHEN event_id % 6 < 4 THEN 'status_update' ELSE 'dialogue' END AS kind, event_id % 4 AS lc FROM events)"
@@ -222,3 +230,29 @@ def story_pipeline(spark: SparkSession, d: str) -> DataFrame:
     books = turns(spark, d).groupBy(F.col("conv_id").alias("book")).agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("pos", "content"))), lambda x: x["content"]), "\n").alias("text"))
     out = steps.run_story_pipeline(spark, books, least=200)
     return out.select("book", "stem", "variant", F.size("messages").alias("n"))
+
+
+def _in_parts(spark: SparkSession, rows: DataFrame, fold, n: int = 3) -> tuple[SparkSession, str]:
+    """A stream over files that come in ``n`` parts, drained and restarted after each; the session that reads its state, and its checkpoint."""
+    source, mark, own = new_path(spark, "updates"), new_path(spark, "state"), folds.session(spark)
+    for part in range(n):
+        rows.where(F.pmod(F.xxhash64("event_id"), F.lit(n)) == part).write.mode("append").parquet(source)
+        folds.drain(fold(own.readStream.schema(rows.schema).parquet(source)), mark).awaitTermination()
+    return own, mark
+
+
+@query(f"WITH {_E} SELECT user_id % 10 AS story, 'u' || user_id AS \"character\", event_type AS target, arg_max(mood, event_id) FILTER (mood IS NOT NULL) AS opinion, coalesce(string_agg(place, '|' ORDER BY event_id) FILTER (place IS NOT NULL), '') AS events FROM e GROUP BY ALL")
+def relationship_stream(spark: SparkSession, d: str) -> DataFrame:
+    """Relationships kept by a stream that is restarted twice, taken back from its state store."""
+    own, mark = _in_parts(spark, _relations(spark, d), lambda b: folds.relationship_stream(b, ["story"], "event_id"))
+    return folds.relationships(folds.relationships_of(own, mark, ["story"])).withColumn("events", F.array_join("events", "|"))
+
+
+@query("""WITH e AS (SELECT event_id, user_id, 'i' || event_id % 5 AS item, CASE event_id % 7 WHEN 0 THEN 'remove' WHEN 1 THEN 'add' WHEN 2 THEN 'add' ELSE 'modify' END AS act, CASE WHEN event_id % 2 = 0 THEN 's' || event_id ELSE '' END AS ns FROM events),
+a AS (SELECT user_id, item, list({'act': act, 'ns': ns} ORDER BY event_id) AS ops FROM e GROUP BY user_id, item),
+f AS (SELECT user_id, item, list_reduce(ops, lambda s, x: CASE WHEN x.act = 'remove' THEN {'held': false, 'state': ''} WHEN NOT s.held THEN {'held': true, 'state': x.ns} WHEN x.act = 'modify' AND x.ns <> '' THEN {'held': true, 'state': x.ns} ELSE s END, {'held': false, 'state': ''}) AS s FROM a)
+SELECT user_id AS story, 'c' AS "character", item AS item_name, s.state AS state FROM f WHERE s.held""")
+def item_stream(spark: SparkSession, d: str) -> DataFrame:
+    """Items kept by a stream that is restarted twice, taken back from its state store."""
+    own, mark = _in_parts(spark, _item_updates(spark, d), lambda b: folds.item_stream(b, ["story"], "event_id"))
+    return folds.items(folds.items_of(own, mark, ["story"]), ["story"])

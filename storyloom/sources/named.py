@@ -196,13 +196,13 @@ def write_named(rows: DataFrame, path: str, file: Column | str, value: Column |
     A file is written by one task; its rows stream by. Give no file more than one task should write.
     """
     name = F.col(file) if isinstance(file, str) else file
-    keys = {f"_order{i}": F.col(c) for i, c in enumerate(order or [])}
-    if value is None:
-        named, options = rows.withColumn("_file", name).withColumns(keys).withColumn("file", F.col("_file")).drop("_file"), {"kind": "parquet", **options}
-        kept = ["file", *[c for c in rows.columns if c != "file"]]
+    keys = {f"__order{i}": F.col(c) for i, c in enumerate(order or [])}
+    if value is None:  # a column ``file`` of the rows' own gives way to the name
+        content, options = [F.col(c) for c in rows.columns if c != "file"], {"kind": "parquet", **options}
     else:
-        named = rows.select(name.alias("file"), (F.col(value) if isinstance(value, str) else value).cast("string").alias("value"), *[c.alias(k) for k, c in keys.items()])
-        kept = ["file", "value"]
+        content = [(F.col(value) if isinstance(value, str) else value).cast("string").alias("value")]
+    named = rows.select(name.alias("file"), *content, *[c.alias(k) for k, c in keys.items()])
+    kept = [c for c in named.columns if c not in keys]
     rows.sparkSession.dataSource.register(NamedFiles)
     named.repartition("file").sortWithinPartitions("file", *keys).select(*kept).write.format(FORMAT).mode(mode).options(path=path, **options).save()
 

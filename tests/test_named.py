@@ -120,3 +120,9 @@ def test_tasks_that_fail_leave_no_half_file(tmp_path, failures, fine):
     assert files(out) == want and [p.name for p in out.iterdir() if p.is_dir()] == []
     if fine:
         assert "lost" in run.stderr
+
+
+def test_columns_of_clashing_names(spark, tmp_path):
+    rows = spark.createDataFrame([(1, "a", "own", "x", 5), (2, "b", "own", "y", 4)], "id int, value string, file string, _file string, _order0 int")
+    named.write_named(rows, str(tmp_path), F.concat("value", F.lit(".parquet")), None, ["id"])
+    assert sorted(map(tuple, spark.read.parquet(str(tmp_path)).select("id", "value", "_file").collect())) == [(1, "a", "x"), (2, "b", "y")]
