@@ -39,6 +39,10 @@ LEAST = 0.05
 BARRIER = 1.0
 #: odds from which on an element is taken to lie outside the content
 ODDS = 4.0
+#: what entering a quiet element costs at most
+BRIDGE = 10
+#: words of a small element; the part of a page's words that a list's word may take away; the share of linked words that makes a list of links
+SMALL, PART, LINKS = 40, 0.34, 0.6
 #: sightings that an entry of the fixed lists counts for, and what a sighting inside counts against the outside's list: labels mark regions, which hold adverts too
 SEEN, WITHIN = 8, 0.25
 
@@ -50,11 +54,14 @@ FOREIGN = frozenset("svg math".split())
 EMBEDDED = FOREIGN | frozenset("object canvas audio video".split())
 IN_SELECT = frozenset("option optgroup hr".split())
 FORMS = frozenset("head form select button fieldset".split())
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 BESIDE = frozenset("nav header footer aside menu dialog".split())
 CONTENT = frozenset("article main".split())
 # what ends an unclosed svg or math
 HTML = FORMS | BESIDE | CONTENT | frozenset("html body section address b big blockquote br center code dd details div dl dt em embed figcaption figure h1 h2 h3 h4 h5 h6 hr i img li meta nobr ol p pre ruby s small span strong strike sub summary sup table tbody td tfoot th thead tr tt u ul var font object canvas audio video".split())
 # fixed values: words in class, id and role that speak for the outside (a star: and words that begin so) and for the content
+#: these say little inside a content element, where a section's header or a notice that the article is about may have them
+VAGUE = "header notice* alert* related recommend* tag tags search social share sharing toolbar* widget* banner* dialog".split()
 OUTSIDE = "ad ads advert* sponsor* promo* banner* nav* menu* breadcrumb* sidebar* widget* footer* header masthead cookie* consent* notice* alert* popup* modal* newsletter* subscri* share sharing social related recommend* comment* disqus replies respond login signup search toolbar* pagination pager tag tags skip complementary contentinfo dialog".split()
 INSIDE = "article post entry story main content".split()
 
@@ -160,10 +167,11 @@ def _listed(word: str) -> int:
 
 _INSIDE, _OUTSIDE = frozenset(INSIDE), frozenset(w for w in OUTSIDE if w[-1] != "*")
 _BEGIN = tuple(w[:-1] for w in OUTSIDE if w[-1] == "*")
+_VAGUE, _VAGUE_BEGIN = frozenset(w for w in VAGUE if w[-1] != "*"), tuple(w[:-1] for w in VAGUE if w[-1] == "*")
 
 
-def cost(inside: float, outside: float) -> float:
-    return -(LEAST + COST * outside / (inside + outside + 1))
+def cost(inside: float, outside: float, doubt: float = 1) -> float:
+    return -(LEAST + COST * outside / (inside + outside + doubt))
 
 
 def _odds(key: str, listed: int, weights: dict[str, float]) -> float:
@@ -177,37 +185,86 @@ def _odds(key: str, listed: int, weights: dict[str, float]) -> float:
     return math.log(share / (1 - share))
 
 
-def is_outside(name: str, attrs: str, weights: dict[str, float], inside: bool = False) -> bool:
-    """Whether an element is one token without words: by syntax, or because its words speak for the outside. A content element's own header is content."""
+class Sizes:
+    """Words, words in links and headings of any stretch of a page's tokens."""
+
+    def __init__(self, flat: list[tuple[str, str, str]]) -> None:
+        self.words, self.linked, self.headings = [0], [0], [0]
+        links = 0
+        for kind, value, _ in flat:
+            if value == "a" and kind in ("open", "close"):
+                links = int(kind == "open")
+            n = len(value.split()) if kind == "text" else 0
+            self.words.append(self.words[-1] + n)
+            self.linked.append(self.linked[-1] + n * links)
+            self.headings.append(self.headings[-1] + (kind == "open" and value in HEADINGS))
+
+    def of(self, i: int, end: int) -> tuple[int, int, int]:
+        return tuple(x[end] - x[i] for x in (self.words, self.linked, self.headings))
+
+
+OUT, QUIET, PLAIN = "out", "quiet", ""
+
+
+def judged(name: str, attrs: str, weights: dict[str, float], inside: bool = False, size: tuple[int, int, int, int] = (0, 0, 0, 0)) -> str:
+    """``OUT`` for an element that is one token without words, ``QUIET`` for one whose words score nothing, else ``PLAIN``. A content element's own header is content.
+
+    ``size``: words, words in links and headings of the element, and the words of the page.
+    """
     if name in FORMS:
-        return True
+        return OUT
     if name in CONTENT or name in ("html", "body"):
-        return False
+        return PLAIN
     if attrs and _HIDDEN.search(attrs):
-        return True
+        return OUT
     if name in BESIDE and not (inside and name == "header"):
-        return True
-    return sum(_odds(f".{w}", _listed(w), weights) for w in dict.fromkeys(class_words(attrs))) >= math.log(ODDS)
+        return OUT
+    words = [*dict.fromkeys(class_words(attrs))]
+    if sum(_odds(f".{w}", _listed(w), weights) for w in words) < math.log(ODDS):
+        return PLAIN
+    seen = [w for w in words if f".{w}" in weights]
+    if sum(_odds(f".{w}", 0, weights) for w in seen) >= math.log(ODDS):
+        return OUT
+    n, linked, headings, page = size
+    vague = not any(_listed(w) > 0 and not (w in _VAGUE or w.startswith(_VAGUE_BEGIN)) for w in words)
+    if linked > LINKS * n or not n:
+        return OUT
+    if inside and vague:
+        return PLAIN
+    small = n <= SMALL if headings or vague else n <= page * PART
+    return OUT if small and not (vague and headings) else QUIET
 
 
 def parse(page: str, weights: dict[str, float]) -> list[tuple[str, str, str]]:
-    """(kind, value, attributes) in page order: "text" with its characters, "tag" with name or /name, "empty" for what holds no content."""
+    """(kind, value, attributes) in page order: "text" with its characters ("mute" where they score nothing), "tag" with name or /name, "quiet" with what entering costs, "empty" for what holds no content."""
     flat = scan(page)
     ends = _ends(flat)
+    sizes = None
     out: list[tuple[str, str, str]] = []
-    i = depth = 0
+    i = depth = quiet = 0
     while i < len(flat):
         kind, value, attrs = flat[i]
         if value in CONTENT and kind in ("open", "close"):
             depth = max(0, depth + (1 if kind == "open" else -1))
-        if kind == "open" and value not in VOID and not attrs.endswith("/") and is_outside(value, attrs, weights, depth > 0):
-            out.append(("empty", value, attrs))
-            i = ends(i)
-            continue
+        if kind == "open" and value not in VOID and not attrs.endswith("/"):
+            size = (0, 0, 0, 0)
+            if attrs and any(_listed(w) > 0 for w in class_words(attrs)):
+                sizes = sizes or Sizes(flat)
+                size = (*sizes.of(i, ends(i)), sizes.words[-1])
+            found = judged(value, attrs, weights, depth > 0, size)
+            if found == OUT:
+                out.append(("empty", value, attrs))
+                i = ends(i)
+                continue
+            if found == QUIET and i >= quiet:
+                quiet = ends(i)
+                out.append(("quiet", str(min(BRIDGE, size[0])), ""))
         if kind in ("open", "close") and value in EMBEDDED:
             out.append(("empty", value, attrs) if kind == "open" else ("text", " ", ""))
+        elif kind == "text":
+            out.append(("mute" if i < quiet else "text", value, attrs))
         else:
-            out.append((kind, value, attrs) if kind in ("text", "empty") else ("tag", "/" * (kind == "close") + value, attrs))
+            out.append((kind, value, attrs) if kind == "empty" else ("tag", "/" * (kind == "close") + value, attrs))
         i += 1
     return out
 
@@ -265,7 +322,7 @@ def sightings(page: str) -> Counter:
             out[f".{w}", inside] += 1
     depth = 0
     for kind, value, _ in parse(page, {}):
-        if kind == "text":
+        if kind in ("text", "mute", "quiet"):
             continue
         if value in CONTENT:
             depth += 1
@@ -281,7 +338,7 @@ def weights_of(counts: dict[tuple[str, bool], int]) -> dict[str, float]:
     out = {}
     for key in {k for k, _ in counts}:
         listed = _listed(key[1:]) if key[0] == "." else 0
-        out[key] = cost((WITHIN if listed > 0 else 1) * counts.get((key, True), 0) + SEEN * (listed < 0), counts.get((key, False), 0) + SEEN * (listed > 0))
+        out[key] = cost((WITHIN if listed > 0 else 1) * counts.get((key, True), 0) + SEEN * (listed < 0), counts.get((key, False), 0) + SEEN * (listed > 0), 1 if key[0] in ".!" else SEEN)
     return out
 
 
@@ -290,26 +347,35 @@ def fit_weights(pages: list[str]) -> dict[str, float]:
     return weights_of(sum((sightings(p) for p in pages), Counter()))
 
 
-#: what a tag costs that no labelled page has: little for inline tags and those that text is set in, more for items and links, most for other blocks
+#: what a tag costs that no labelled page has: little for inline tags, those that text is set in and what a content element holds, more for items and links, most for other blocks
 TEXTUAL = INLINE | frozenset("h1 h2 h3 h4 h5 h6 p br hr img blockquote pre figure figcaption table caption thead tbody tr wbr".split())
 ITEMS = frozenset("a li td th dt dd ul ol dl".split())
 
 
-def default(name: str) -> float:
-    return -0.6 if name == "a" else -0.3 if name in ITEMS else -LEAST if name in TEXTUAL else -1.0
+def default(name: str, inside: bool = False) -> float:
+    return -0.6 if name == "a" else -0.3 if name in ITEMS else -LEAST if inside or name in TEXTUAL else -1.0
 
 
 def extract(page: str | None, weights: dict[str, float]) -> str:
     """The best region's text."""
     tokens = parse(page or "", weights)
-    best, best_at, run, head = 0.0, (0, 0), 0.0, 0
+    best, best_at, run, head, depth = 0.0, (0, 0), 0.0, 0, 0
     for i, (kind, value, attrs) in enumerate(tokens):
+        if kind == "tag" and value.lstrip("/") in CONTENT:
+            depth = max(0, depth + (-1 if value[0] == "/" else 1))
         if kind == "text":
             score = float(len(entities.unescape(value).split()))
         elif kind == "tag":
-            score = w if (w := weights.get(value)) is not None else default(value.lstrip("/"))
+            name, w = value.lstrip("/"), weights.get(value)
+            score = w if w is not None else default(name)
+            if depth and name not in CONTENT:  # the labels' own sign of content outweighs where else the tag stands
+                score = max(score, default(name, True))
             if attrs and value not in INLINE:
                 score = min([score, *(w for x in class_words(attrs) if (w := weights.get(f".{x}")) is not None and w < -COST / 2)])
+        elif kind == "mute":
+            score = 0.0
+        elif kind == "quiet":
+            score = -float(value)
         else:
             score = max(-BARRIER, weights.get(f"!{value}", -BARRIER))
         if run <= 0:
@@ -319,8 +385,10 @@ def extract(page: str | None, weights: dict[str, float]) -> str:
             best, best_at = run, (head, i + 1)
     parts = []
     for kind, value, _ in tokens[best_at[0] : best_at[1]]:
-        if kind == "text":
+        if kind in ("text", "mute"):
             parts.append(entities.unescape(value))
+        elif kind == "quiet":
+            continue
         elif kind == "empty" or value.lstrip("/") not in INLINE:
             parts.append(" ")
     return " ".join("".join(parts).split())

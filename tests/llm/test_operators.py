@@ -548,7 +548,8 @@ def test_class_words_are_learned():
     assert htmltext.extract(other, weights) == "a b c d e f"
     # the labelled pages outvote the lists
     kept = htmltext.fit_weights([f"<article><div class='comment'><p>{i} said</p></div></article>" for i in range(30)])
-    assert not htmltext.is_outside("div", " class='comment'", kept) and htmltext.is_outside("div", " class='comment'", {})
+    few = (3, 0, 0, 100)
+    assert htmltext.judged("div", " class='comment'", kept, size=few) == htmltext.PLAIN and htmltext.judged("div", " class='comment'", {}, size=few) == htmltext.OUT
 
 
 def test_html_takes_linear_time():
