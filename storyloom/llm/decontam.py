@@ -1,7 +1,7 @@
 """Operator 6: benchmark decontamination by the q-gram lemma.
 
-A passage is a window of ``window`` bytes of an item (the whole item if it is shorter), at every start. A document
-holds it if some stretch of the document is within ``edits`` single-byte edits of it. Texts are compared lower-cased (A-Z) with white
+A passage is a window of ``window`` characters (code points) of an item (the whole item if it is shorter), at every start. A document
+holds it if some stretch of the document is within ``edits`` single-character edits of it. Texts are compared lower-cased (A-Z) with white
 space as one space.
 
 An alignment within the budget keeps at least window + 1 - q * (edits + 1) of the window's q-grams, all on
@@ -13,19 +13,22 @@ Memory is bounded whatever the texts: a long text is scanned in overlapping piec
 bounded number at a time; and where a text or item repeats a period of up to ``window`` bytes for longer than eight windows, it is searched with the
 repetition shortened to about eight windows, which holds the same windows.
 
-The benchmark goes to the executors in blocks of at most ``block_bytes``, so what is broadcast never grows with it. One block is one scan. More
-are taken in groups of ``group_bytes``: one scan with a bit table of the group's q-grams writes the documents that have a dense
-stretch, and only these are read again for each block.
+The benchmark goes to the executors in blocks of at most ``block_bytes``, so what is broadcast never grows with it. One block is one scan; a worker keeps
+the index of the block that it used last. More blocks are taken in groups of ``group_bytes``: one scan with a bit table of the group's q-grams writes the texts that have a dense
+stretch, and only these are read again for each block. A match depends on the text alone, so ``decontaminate`` gathers the digests of
+matching texts from all blocks and leaves them out by one join; no task holds two indexes, and no scan reads through an earlier one.
 
 Defined results: null or empty texts and items match nothing, as do items shorter than q; rows and items with null ids are
 searched and reported with their null id; repeated rows and items are reported each; an item longer than a block is cut into pieces that share a
-window less one byte, reported each; a table without rows gives none; other columns are ignored by ``contaminated`` and
+window less one character, reported each; a table without rows gives none; other columns are ignored by ``contaminated`` and
 kept by ``decontaminate``.
 """
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -39,13 +42,14 @@ Q = 10
 #: pairs of a text's and an item's place with one q-gram that are expanded at once
 PAIRS = 1 << 18
 _QGRAM = Poly(71)
-_VALUES = stream(81, 256)
+#: a value for each code point, and what stands beyond a text
+_VALUES, BEYOND = stream(81, 0x110000), 0x110000
 _HITS = pa.schema([("doc_id", pa.int64()), ("item_id", pa.int64()), ("edits", pa.int64()), ("start", pa.int64()), ("end", pa.int64()), ("n_windows", pa.int64())])
 DDL = "doc_id long, item_id long, edits long, start long, end long, n_windows long"
 
 
 def normal(buf: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Lower-case bytes with runs of white space as one space, and the new offsets."""
+    """Lower-case code points with runs of white space as one space, and the new offsets."""
     space = SPACE[buf]
     first = np.zeros(len(buf), bool)
     first[off[:-1][off[:-1] < len(buf)]] = True
@@ -54,7 +58,16 @@ def normal(buf: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     drop[:1] = False
     drop &= ~first
     out = np.where(space, np.uint8(32), LOWER[buf])[~drop]
-    return out, np.concatenate([[0], np.cumsum(~drop)])[off]
+    off = np.concatenate([[0], np.cumsum(~drop)])[off]
+    if len(out) and out.max() > 127:  # bytes are code points otherwise
+        heads = np.concatenate([[0], np.cumsum((out & 0xC0) != 0x80)])
+        return points(out.tobytes()), heads[off]
+    return out, off
+
+
+def points(text: bytes) -> np.ndarray:
+    """The code points of UTF-8."""
+    return np.frombuffer(text, np.uint8) if text.isascii() else np.frombuffer(text.decode().encode("utf-32-le"), np.uint32)
 
 
 def budget(size: int, q: int = Q) -> int:
@@ -80,7 +93,7 @@ def align(windows: np.ndarray, texts: np.ndarray, edits: int) -> tuple[np.ndarra
 
 
 def shortened(x: np.ndarray, window: int) -> tuple[np.ndarray, np.ndarray]:
-    """Bytes with periodic stretches of over eight windows cut down to about eight, and where each byte left was. Every stretch of up to four windows remains."""
+    """Characters with periodic stretches of over eight windows cut down to about eight, and where each byte left was. Every stretch of up to four windows remains."""
     keep, where = 8 * window, np.arange(len(x))
     for d in range(1, window + 1):
         if len(x) <= keep + d:
@@ -103,7 +116,7 @@ class Index:
     def __init__(self, items: list[tuple[list, bytes]], window: int, q: int = Q) -> None:
         self.window, self.q = window, q
         self.ids = [i for i, _ in items]
-        self.items = [shortened(np.frombuffer(t, np.uint8), window)[0] if len(t) > 8 * window else np.frombuffer(t, np.uint8) for _, t in items]
+        self.items = [shortened(points(t), window)[0] if len(t) > 8 * window else points(t) for _, t in items]
         self.head = np.concatenate([[0], np.cumsum([len(t) for t in self.items])]).astype(np.int64)
         flat_ = np.concatenate(self.items) if items else np.zeros(0, np.uint8)
         keys, at = grams(flat_, self.head, q)
@@ -217,7 +230,7 @@ class Index:
             cells = 2 * self.most_edits + 2 * e + 1
             for x in range(0, len(windows), 1024):
                 part = windows[x : x + 1024]
-                texts = np.full((len(part), size + cells), 255, np.uint8)  # no byte of UTF-8
+                texts = np.full((len(part), size + cells), BEYOND, np.uint32)
                 heads = []
                 for n, (r_, _, s, low) in enumerate(part):
                     a = s - (low + 2 * self.most_edits + e)
@@ -304,11 +317,13 @@ def _blocks(items: DataFrame, block_bytes: int, window: int) -> Iterator[list[tu
     block: dict[bytes, list] = {}
     size = 0
     for r in items.toLocalIterator():
-        x = normal(*flat(pa.array([r["text"]])))[0].tobytes().strip()
-        for s in range(0, max(1, len(x) - window + 1), block_bytes):
-            part = x[s : s + block_bytes + window - 1]
-            if len(part) < Q:
+        x = normal(*flat(pa.array([r["text"]])))[0]
+        x = "".join(map(chr, x.tolist())).strip(" ") if x.dtype != np.uint8 else x.tobytes().decode().strip(" ")
+        step = max(1, block_bytes // (1 if x.isascii() else 4))
+        for s in range(0, max(1, len(x) - window + 1), step):
+            if len(cut := x[s : s + step + window - 1]) < Q:
                 continue
+            part = cut.encode()
             more = 16 + (0 if part in block else len(part))
             if block and size + more > block_bytes:
                 yield list(zip(block.values(), block, strict=True))
@@ -319,31 +334,74 @@ def _blocks(items: DataFrame, block_bytes: int, window: int) -> Iterator[list[tu
         yield list(zip(block.values(), block, strict=True))
 
 
-def _search(holder, filtering: bool, text_col: str):
-    """Matches of each batch, or (when filtering) its rows without a match."""
+_kept: dict[str, Index] = {}
+
+
+def _index(holder) -> Index:
+    """The index of a broadcast block, kept by the worker until it gets another block."""
+    if holder.id not in _kept:
+        _kept.clear()
+        _kept[holder.id] = Index(*holder.value)
+    return _kept[holder.id]
+
+
+class _Block:
+    """A broadcast block with a number of its own."""
+
+    def __init__(self, spark, items: list, window: int) -> None:
+        self.held = spark.sparkContext.broadcast((items, window))
+        self.id = uuid.uuid4().hex
+
+    @property
+    def value(self) -> tuple[list, int]:
+        return self.held.value
+
+
+def _hits(block: _Block):
+    """Matches of each batch."""
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        index = Index(*holder.value)
+        index = _index(block)
+        for b in chunks(batches):
+            got = [(g, i) for g in index.search(b.column("text")) for i in index.ids[g[1]]]
+            ids = b.column("doc_id").take(pa.array([g[0] for g, _ in got], pa.int64()))
+            cols = {k: [g[i] for g, _ in got] for i, k in enumerate(("edits", "start", "end", "n_windows"), 2)}
+            yield record(_HITS, doc_id=ids, item_id=[i for _, i in got], **cols)
+
+    return emit
+
+
+def _clean(block: _Block, text_col: str):
+    """Rows without a match."""
+
+    def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        index = _index(block)
         for b in chunks(batches, text_col):
-            got = index.search(b.column(text_col))
-            if filtering:
-                mask = np.ones(b.num_rows, bool)
-                mask[[g[0] for g in got]] = False
-                yield b.filter(pa.array(mask))
-            else:
-                got = [(g, i) for g in got for i in index.ids[g[1]]]
-                ids = b.column("doc_id").take(pa.array([g[0] for g, _ in got], pa.int64()))
-                cols = {k: [g[i] for g, _ in got] for i, k in enumerate(("edits", "start", "end", "n_windows"), 2)}
-                yield record(_HITS, doc_id=ids, item_id=[i for _, i in got], **cols)
+            mask = np.ones(b.num_rows, bool)
+            mask[[g[0] for g in index.search(b.column(text_col))]] = False
+            yield b.filter(pa.array(mask))
+
+    return emit
+
+
+def _matching(block: _Block):
+    """The rows of a table of texts that match."""
+
+    def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        index = _index(block)
+        for b in chunks(batches):
+            mask = np.zeros(b.num_rows, bool)
+            mask[[g[0] for g in index.search(b.column("text"))]] = True
+            yield b.filter(pa.array(mask)).select(["digest"])
 
     return emit
 
 
-def _dense_rows(holder, text_col: str, wanted: bool):
+def _dense_rows(holder):
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = holder.value
-        for b in chunks(batches, text_col):
-            yield b.filter(pa.array(table.matches(b.column(text_col)) == wanted))
+        for b in chunks(batches):
+            yield b.filter(pa.array(table.matches(b.column("text"))))
 
     return emit
 
@@ -374,9 +432,9 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
     src = source(docs, doc_id=(id_col, "long"), text=(text_col, "string"))
     out = None
     for table, blocks in _groups(_items(benchmark, item_col, item_text), block_bytes, group_bytes, window):
-        rows = src if table is None else write_table(src.mapInArrow(_dense_rows(spark.sparkContext.broadcast(table), "text", True), "doc_id long, text string"), "dense")
+        rows = src if table is None else write_table(src.mapInArrow(_dense_rows(spark.sparkContext.broadcast(table)), "doc_id long, text string"), "dense")
         for items in blocks:
-            part = rows.mapInArrow(_search(spark.sparkContext.broadcast((items, window)), False, "text"), DDL)
+            part = rows.mapInArrow(_hits(_Block(spark, items, window)), DDL)
             out = part if out is None else out.unionByName(part)
     return out if out is not None else spark.createDataFrame([], DDL)
 
@@ -385,14 +443,16 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, text_col: str = "text",
     """The rows of ``docs`` that hold no passage, with all their columns."""
     spark = docs.sparkSession
     small_batches(spark)
+    digest = F.md5(F.col(text_col).cast("string").cast("binary"))
+    texts = docs.where(F.col(text_col).isNotNull()).select(digest.alias("digest"), F.col(text_col).cast("string").alias("text"))
+    bad: list[DataFrame] = []
     for table, blocks in _groups(_items(benchmark, item_col, item_text), block_bytes, group_bytes, window):
-        clear = None
-        if table is not None:
-            holder = spark.sparkContext.broadcast(table)
-            clear = docs.mapInArrow(_dense_rows(holder, text_col, False), docs.schema)
-            docs = write_table(docs.mapInArrow(_dense_rows(holder, text_col, True), docs.schema), "dense")
-        for items in blocks:
-            docs = docs.mapInArrow(_search(spark.sparkContext.broadcast((items, window)), True, text_col), docs.schema)
-        if clear is not None:
-            docs = clear.unionByName(docs)
-    return docs
+        if table is None:
+            return docs.mapInArrow(_clean(_Block(spark, blocks[0], window), text_col), docs.schema) if blocks else docs
+        rows = write_table(texts.mapInArrow(_dense_rows(spark.sparkContext.broadcast(table)), "digest string, text string"), "dense")
+        bad += [write_table(rows.mapInArrow(_matching(_Block(spark, items, window)), "digest string").distinct(), "hits") for items in blocks]
+    if not bad:
+        return docs
+    name = f"gone_{uuid.uuid4().hex}"  # no column of the rows' own
+    gone = write_table(reduce(DataFrame.unionByName, bad).distinct().withColumnRenamed("digest", name), "hits")
+    return docs.join(gone, digest == F.col(name), "left_anti")

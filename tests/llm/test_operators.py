@@ -314,9 +314,9 @@ def test_passages_at_any_start(spark):
 def test_passages_of_any_alphabet_and_period():
     rng = random.Random(21)
     letters = lambda n, of: "".join(rng.choice(of) for _ in range(n))
-    plain = lambda x: decontam.normal(*decontam.flat(pa.array([x])))[0].tobytes()
-    for _ in range(12):
-        of = rng.choice(["ab", "abcdef", "-= ", "abcdefghijklmnop"])
+    plain = lambda x: "".join(map(chr, decontam.normal(*decontam.flat(pa.array([x])))[0].tolist()))
+    for _ in range(16):
+        of = rng.choice(["ab", "abcdef", "-= ", "abcdefghijklmnop", "的一是不了人我在有他这", "éüßçñ a", "\U0001f600\U0001f601ab"])
         items = [letters(rng.randint(5, 300), of) for _ in range(4)] + ["-" * rng.randint(20, 900), "=-" * rng.randint(20, 400)]
         texts = []
         for _ in range(10):
@@ -328,11 +328,39 @@ def test_passages_of_any_alphabet_and_period():
                 cut[q : q + rng.randint(0, 1)] = rng.choice(["", "z"])
             texts.append(letters(rng.randint(0, 200), "uvwxyz" + of) + "".join(cut) + letters(rng.randint(0, 200), "uvwxyz"))
         known = [(j, x) for j, x in enumerate(plain(i).strip() for i in items) if len(x) >= decontam.Q]
-        index = decontam.Index([([j], x) for j, x in known], 64)
+        index = decontam.Index([([j], x.encode()) for j, x in known], 64)
         want = {(i, j) for i, t in enumerate(map(plain, texts)) for j, x in known for n in [min(64, len(x))] if any(brute.within(x[s : s + n], t, decontam.budget(n)) for s in range(len(x) - n + 1))}
         assert {(g[0], index.ids[g[1]][0]) for g in index.search(pa.array(texts))} == want
 
 
+def test_a_passage_is_counted_in_characters(spark):
+    rng = random.Random(31)
+    letters = lambda n, low=0x4E00: "".join(chr(low + rng.randrange(5000)) for _ in range(n))
+    item = letters(300)
+    rows = [(n, letters(50) + item[100 : 100 + n] + letters(50)) for n in (20, 22, 40, 59, 64, 80)]
+    for start in range(0, 236, 7):
+        cut = list(item[start : start + 64])
+        for k in (9, 25, 41, 57):
+            cut[k] = "x"
+        rows.append((1000 + start, letters(30) + "".join(cut) + letters(30)))
+    bench = spark.createDataFrame([(1, item)], "item_id long, text string")
+    want = {64, 80, *(d for d, _ in rows if d >= 1000)}
+    assert {r.doc_id for r in decontam.contaminated(frame(spark, rows), bench).collect()} == want
+    assert {r.doc_id for r in decontam.decontaminate(frame(spark, rows), bench).collect()} == {20, 22, 40, 59}
+    # an item in pieces: cut at characters, at every start
+    many = decontam.contaminated(frame(spark, rows), bench, block_bytes=400, group_bytes=900)
+    assert {r.doc_id for r in many.collect()} == want
+
+
+def test_blocks_are_read_one_by_one(spark):
+    rng = random.Random(32)
+    bench = spark.createDataFrame([(i, prose(rng, 40)) for i in range(40)], "item_id long, text string")
+    docs = frame(spark, [(i, prose(rng, 50)) for i in range(20)]).withColumn("digest", F.lit("own"))
+    kept = decontam.decontaminate(docs, bench, block_bytes=600, group_bytes=2400)
+    plan = kept._jdf.queryExecution().optimizedPlan().toString()
+    assert "MapInArrow" not in plan and kept.columns == docs.columns and kept.count() == 20
+
+
 def test_long_repetitions_take_little_memory():
     tracemalloc.start()
     index = decontam.Index([([1], b"-" * 10_000), ([2], b"=-" * 3000)], 64)
