@@ -9,6 +9,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from storyloom.functions.ordered import stream_fold
 from storyloom.functions.text import strip
 
 # fixed values: words that are no names
@@ -209,10 +210,11 @@ def formal_names(names: Column | str, alias_map: DataFrame, rows: DataFrame, key
     return long.groupBy(key).agg(F.array_distinct(F.transform(packed, lambda v: v["n"])).alias("characters"))
 
 
-def decorated(rows: DataFrame, key: str, names: str, aliases: DataFrame) -> DataFrame:
-    """(key, text): names with their aliases in brackets, joined; a fixed text where there are none. ``aliases``: (name, alias array)."""
+def decorated(rows: DataFrame, key: str, names: str, aliases: DataFrame, within: list[str] | None = None) -> DataFrame:
+    """(key, text): names with their aliases in brackets, joined; a fixed text where there are none. ``aliases``: (name, alias array), by the columns ``within`` where names hold inside one book only."""
     # fixed values: the bracket text and the text for no characters
-    long = rows.select(key, F.posexplode_outer(names).alias("pos", "name")).join(aliases, "name", "left")
+    own = within or []
+    long = rows.select(key, *own, F.posexplode_outer(names).alias("pos", "name")).join(aliases, [*own, "name"], "left")
     shown = F.when(F.size("alias") > 0, F.concat("name", F.lit("（别称："), F.array_join("alias", "、"), F.lit("）"))).otherwise(F.col("name"))
     packed = F.array_sort(F.collect_list(F.when(F.col("name").isNotNull(), F.struct("pos", shown.alias("v")))))
     return long.groupBy(key).agg(F.when(F.size(packed) > 0, F.array_join(F.transform(packed, lambda v: v["v"]), "、")).otherwise("无明确出场角色").alias("text"))
@@ -262,30 +264,27 @@ def pov_fill(segments: DataFrame, book: str, order: str, groups: bool = False) -
         rows = rows.withColumn("_fwd", F.last("_k", ignorenulls=True).over(w)).withColumn("_back", F.first("_k", ignorenulls=True).over(w.rowsBetween(0, Window.unboundedFollowing)))
         return rows.select(book, order, F.when(F.col("is_first_person"), F.coalesce("_fwd", "_back")).otherwise(F.nullif("first_person_name", F.lit(""))).alias("pov"))
 
-    def fold(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(order)
-        out: list[str | None] = []
-        cur, waiting = None, []
-        for i, row in enumerate(pdf.itertuples(index=False)):
-            name = row.first_person_name or None
-            if row.is_first_person and name:
-                if cur is None:
-                    cur = name
-                    for k in waiting:
-                        out[k] = cur
-                else:
-                    same = any(cur in list(g) and name in list(g) for g in (row.aliases if row.aliases is not None else []))
-                    cur = cur if same else name
-                name, waiting = cur, []
-            elif row.is_first_person:
-                name = cur
-                if cur is None:
-                    waiting.append(i)
-            out.append(name)
-        return pd.DataFrame({book: pdf[book], order: pdf[order], "pov": out})
+    def step(state: dict, row: dict) -> list[tuple]:
+        key, name = (row[book], row[order]), row["first_person_name"] or None
+        if not row["is_first_person"]:
+            return [(*key, name)]
+        if not name:
+            if state["cur"] is None:
+                state["waiting"].append(key)
+                return []
+            return [(*key, state["cur"])]
+        told = []
+        if state["cur"] is None:
+            told = [(*k, name) for k in state["waiting"]]
+            state["waiting"] = []
+        elif any(state["cur"] in list(g) and name in list(g) for g in (row["aliases"] if row["aliases"] is not None else [])):
+            name = state["cur"]
+        state["cur"] = name
+        return [*told, (*key, name)]
 
     kinds = dict(segments.dtypes)
-    return segments.select(book, order, "is_first_person", "first_person_name", "aliases").groupBy(book).applyInPandas(fold, f"{book} {kinds[book]}, {order} {kinds[order]}, pov string")
+    rows = segments.select(book, order, F.coalesce("is_first_person", F.lit(False)).alias("is_first_person"), "first_person_name", "aliases")
+    return stream_fold(rows, [book], [order], f"{book} {kinds[book]}, {order} {kinds[order]}, pov string", lambda: {"cur": None, "waiting": []}, step, lambda state, _: [(*k, None) for k in state["waiting"]])
 
 
 def scene_blocks(facts: DataFrame, main: DataFrame, book: str = "book", stem: str = "stem") -> DataFrame:

@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from storyloom.functions.ordered import stream_fold
 from storyloom.operators.messages import ordered_join
 
 UPDATES = ("scene_change", "status_update", "relationship_update", "item_update")
@@ -115,16 +115,13 @@ def context_accumulate(rows: DataFrame, part: str, order: str, text: str, limit:
 def carry_forward(rows: DataFrame, part: str, order: str, text: str, summarise) -> DataFrame:
     """(part, order, preface, summary): each row's summary is the next one's preface; ``summarise(preface, text)`` is called in order, book by book."""
 
-    def fold(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf, preface, out = pdf.sort_values(order), "", []
-        for t in pdf[text]:
-            summary = summarise(preface, t or "")
-            out.append((preface, summary))
-            preface = summary
-        return pd.DataFrame({part: pdf[part], order: pdf[order], "preface": [p for p, _ in out], "summary": [s for _, s in out]})
+    def step(state: list[str], row: dict) -> list[tuple]:
+        preface = state[0]
+        state[0] = summarise(preface, row[text] or "")
+        return [(row[part], row[order], preface, state[0])]
 
     kinds = dict(rows.dtypes)
-    return rows.select(part, order, text).groupBy(part).applyInPandas(fold, f"{part} {kinds[part]}, {order} {kinds[order]}, preface string, summary string")
+    return stream_fold(rows.select(part, order, text), [part], [order], f"{part} {kinds[part]}, {order} {kinds[order]}, preface string, summary string", lambda: [""], step)
 
 
 def session_gaps(events: DataFrame, part: str, ts: str, gap: int = 7200, tie: str | None = None) -> DataFrame:

@@ -16,6 +16,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 
 from storyloom.functions.fuzzy import dump
+from storyloom.functions.ordered import columns_of, stream_fold
 
 TASKS = (
     "augment", "annotate_novel", "scene_segments", "data_blocks", "scene_summary", "style_prompt", "speakers", "line_labels",
@@ -147,8 +148,15 @@ class RuleModel:
         return "Given: " + x["history"][-80:]
 
 
+def as_inputs(row: dict[str, Any], decoded: set[str]) -> dict[str, Any]:
+    """A row's inputs as a model takes them: arrays as lists, the ``decoded`` columns parsed."""
+    return {k: json.loads(v) if k in decoded and isinstance(v, str) else (list(v) if hasattr(v, "tolist") else v) for k, v in row.items()}
+
+
 def call_rows(rows: DataFrame, model: LanguageModel, task: str, inputs: list[str], output: str = "reply", parse: list[str] | None = None) -> DataFrame:
-    """``rows`` with the model's reply to each row's inputs. ``parse``: input columns that hold JSON."""
+    """``rows`` with the model's reply to each row's inputs. ``parse``: input columns that hold JSON. A model that remembers (``plans.replies``) is asked once for equal requests."""
+    if hasattr(model, "rows"):
+        return model.rows(rows, task, inputs, output, parse)
     schema = rows.drop(output).schema.add(output, "string")
     decoded = set(parse or ())
 
@@ -156,21 +164,21 @@ def call_rows(rows: DataFrame, model: LanguageModel, task: str, inputs: list[str
         for f in frames:
             replies = []
             for row in f[inputs].to_dict("records"):
-                replies.append(model(task, {k: json.loads(v) if k in decoded and isinstance(v, str) else (list(v) if hasattr(v, "tolist") else v) for k, v in row.items()}))
+                replies.append(model(task, as_inputs(row, decoded)))
             yield f.assign(**{output: replies})
 
     return rows.drop(output).mapInPandas(apply, schema)
 
 
 def fold_rows(rows: DataFrame, model: LanguageModel, part: str, order: str, step: Callable[[LanguageModel, dict, dict], dict], start: dict, schema: str) -> DataFrame:
-    """Ordered calls per part whose inputs depend on earlier answers. ``step(model, state, row)`` changes the state and returns an output row."""
+    """Ordered calls per part whose inputs depend on earlier answers. ``step(model, state, row)`` changes the state and returns an output row; the state alone is held."""
+    names = columns_of(schema)
 
-    def apply(pdf: pd.DataFrame) -> pd.DataFrame:
-        state = json.loads(json.dumps(start))
-        out = [step(model, state, row) for row in pdf.sort_values(order).to_dict("records")]
-        return pd.DataFrame(out)
+    def one(state: dict, row: dict) -> list[tuple]:
+        out = step(model, state, row)
+        return [tuple(out.get(n) for n in names)]
 
-    return rows.groupBy(part).applyInPandas(apply, schema)
+    return stream_fold(rows, [part], [order], schema, lambda: json.loads(json.dumps(start)), one)
 
 
 def system_prompt_or_canned(model: LanguageModel, inputs: dict, first_line: str, tries: int = 4) -> str:

@@ -12,10 +12,11 @@ from pyspark.sql import functions as F
 
 from storyloom.functions.arrays import explode_once
 from storyloom.functions.fuzzy import quote_pieces
+from storyloom.functions.ordered import stream_fold
 from storyloom.functions.text import split_dialogue, strip
 from storyloom.operators import characters, chunking, mapping, messages, ordering, relational, state
 from storyloom.plans.lineage import cut
-from storyloom.plans.modelcalls import CATEGORIES, LanguageModel, RuleModel, call_rows, parse_reply, summarise_once, system_prompt_or_canned
+from storyloom.plans.modelcalls import CATEGORIES, LanguageModel, Retrying, RuleModel, call_rows, parse_reply, summarise_once, system_prompt_or_canned
 from storyloom.sources import readers, writers
 
 RULES = RuleModel()
@@ -42,13 +43,38 @@ def segment_scenes(docs: DataFrame, doc: str = "doc_id", text: str = "text", mod
     return chunking.scenes(rows, doc, "bounds", text)
 
 
+def ask_characters(chunks: DataFrame, model: LanguageModel, book: str, stem: str) -> DataFrame:
+    """(book, stem, chunk, text, reply): the names of each chunk, asked in order with the characters and the narrator that a book's earlier chunks have shown.
+
+    A name that a known character has adds the others to that one. Only a book's known names are held.
+    """
+
+    def step(state: dict, row: dict) -> list[tuple]:
+        reply = model("characters", {"text": row["text"], "known_characters": [list(g) for g in state["known"]], "known_narrator": state["narrator"]})
+        got = parse_reply(reply)
+        if isinstance(got, dict):
+            for names in got.get("characters") or []:
+                at = next((state["where"][n] for n in names if n in state["where"]), len(state["known"]))
+                if at == len(state["known"]):
+                    state["known"].append([])
+                new = [n for n in names if n not in state["where"]]
+                state["known"][at] += new
+                state["where"] |= dict.fromkeys(new, at)
+            state["narrator"] = (got.get("is_first_person") and got.get("first_person_name")) or state["narrator"]
+        return [(row[book], row[stem], row["chunk"], row["text"], reply)]
+
+    kinds = dict(chunks.dtypes)
+    schema = f"{book} {kinds[book]}, {stem} {kinds[stem]}, chunk {kinds['chunk']}, text string, reply string"
+    return stream_fold(chunks.select(book, stem, "chunk", "text"), [book], [stem, "chunk"], schema, lambda: {"known": [], "where": {}, "narrator": ""}, step)
+
+
 def consolidate_characters(segments: DataFrame, model: LanguageModel = RULES, book: str = "book", stem: str = "stem", text: str = "text") -> tuple[DataFrame, DataFrame]:
     """(characters, segment characters) of books: names per chunk, groups, formal names, points of view."""
     chunks = segments.select(book, stem, text).withColumn("_ids", chunking.line_chunks_loose(text, 2000))
     parts = explode_once(chunks, F.arrays_zip(F.split(F.col(text), "\n").alias("line"), F.col("_ids").alias("chunk")), book, stem, value="z")
     packed = parts.groupBy(book, stem, F.col("z.chunk").alias("chunk")).agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("pos", "z.line"))), lambda x: x["line"]), "\n").alias("text"))
     reply = F.from_json("reply", "characters array<array<string>>, character_frequencies array<map<string,int>>, is_first_person boolean, first_person_name string")
-    asked = cut(call_rows(packed, model, "characters", ["text"]).withColumn("r", reply))  # asked once, used for names and points of view
+    asked = cut(ask_characters(packed, model, book, stem).withColumn("r", reply))  # asked once, used for names and points of view
     mentions = asked.select(book, F.col(stem).alias("segment"), "chunk", "r", F.posexplode("r.characters").alias("pos", "names"))
     mentions = mentions.select(book, "segment", F.struct("chunk", "pos").alias("pos"), "names", F.get("r.character_frequencies", F.col("pos")).alias("freqs"))
     groups = characters.name_groups(mentions, book)
@@ -58,7 +84,8 @@ def consolidate_characters(segments: DataFrame, model: LanguageModel = RULES, bo
     name = F.when(F.array_contains("names", F.col("f.name")), F.col("f.name")).otherwise(F.get("names", F.lit(0)))
     chars = cut(named.withColumn("name", name).select(book, "name", F.filter("names", lambda n: n != F.col("name")).alias("alias"), "frequencies", "consecutive_over_limit"))
     pov = asked.groupBy(book, F.col(stem).alias("segment")).agg(F.bool_or("r.is_first_person").alias("is_first_person"), F.max_by(F.nullif("r.first_person_name", F.lit("")), F.when(F.coalesce("r.first_person_name", F.lit("")) != "", F.col("chunk"))).alias("first_person_name"))
-    filled = characters.pov_fill(pov, book, "segment").withColumnRenamed("pov", "pov_name")
+    aliases = chars.groupBy(book).agg(F.collect_list(F.array_append("alias", F.col("name"))).alias("aliases"))
+    filled = characters.pov_fill(pov.join(aliases, book, "left"), book, "segment", groups=True).withColumnRenamed("pov", "pov_name")
     alias = chars.select(book, F.col("name").alias("formal"), F.explode(F.array_append("alias", F.col("name"))).alias("alias"))
     names = mentions.select(book, "segment", "pos", F.posexplode(characters.name_set("names")).alias("k", "alias")).join(alias.dropDuplicates([book, "alias"]), [book, "alias"], "left")
     own = names.groupBy(book, "segment").agg(F.array_distinct(F.transform(F.array_sort(F.collect_list(F.struct("pos", "k", F.coalesce("formal", "alias").alias("n")))), lambda x: x["n"])).alias("characters"))
@@ -72,7 +99,7 @@ def scene_facts(segments: DataFrame, people: DataFrame, chars: DataFrame, done:
     todo = readers.not_done(todo, done, ["book", "stem"]) if done is not None else todo
     listed = todo.withColumn("characters", characters.with_pov("characters", "pov_name"))
     key = F.concat_ws("\x1f", "book", "stem")
-    shown = characters.decorated(listed.withColumn("_k", key), "_k", "characters", chars.select("name", "alias").dropDuplicates(["name"])).withColumnRenamed("text", "cast_text")
+    shown = characters.decorated(listed.withColumn("_k", key), "_k", "characters", chars.select("book", "name", "alias").dropDuplicates(["book", "name"]), within=["book"]).withColumnRenamed("text", "cast_text")
     asked = call_rows(listed.withColumn("_k", key).join(shown, "_k").select("book", "stem", "text", "characters", "cast_text"), model, "scene_facts", ["text", "characters", "cast_text"])
     facts = F.from_json("reply", "environment_facts array<string>, character_facts array<struct<name: string, facts: array<string>, representative_quote: string>>, summary string")
     return asked.select("book", "stem", facts.alias("f")).where("f.summary is not null").select("book", "stem", "f.*")
@@ -93,10 +120,16 @@ def profiles(facts: DataFrame, people: DataFrame, chars: DataFrame, percent: int
     return world, cards
 
 
-def annotate_dialogue(segments: DataFrame, people: DataFrame, facts: DataFrame, chars: DataFrame, model: LanguageModel = RULES, batch: int = 50) -> DataFrame:
+def labels_fit(value: object, lines: int) -> bool:
+    """Whether a reply labels lines of a batch of so many."""
+    found = value.get("speakers") if isinstance(value, dict) else None
+    return isinstance(found, list) and all(isinstance(x, dict) and isinstance(x.get("line_number"), int) and 1 <= x["line_number"] <= lines and isinstance(x.get("speaker"), str) for x in found)
+
+
+def annotate_dialogue(segments: DataFrame, people: DataFrame, facts: DataFrame, chars: DataFrame, model: LanguageModel = RULES, batch: int = 50, tries: int = 10) -> DataFrame:
     """(book, stem, context_summary, messages): speakers of quote-split lines, batch by batch, runs of one speaker merged.
 
-    Earlier batches are context for later ones, so a segment is one call chain; segments run in parallel.
+    A reply that names no speakers, or lines that the batch does not have, is asked for again, up to ``tries`` times; a segment with a batch that fails is left out whole. Earlier batches are context for later ones, so a segment is one call chain; segments run in parallel.
     """
     rows = segments.join(people, ["book", "stem"]).join(facts.select("book", "stem", "summary"), ["book", "stem"])
     context = state.context_accumulate(rows, "book", "stem", "summary", summarise=lambda c: F.substr(c, F.lit(1), F.lit(500)))
@@ -108,10 +141,12 @@ def annotate_dialogue(segments: DataFrame, people: DataFrame, facts: DataFrame,
             for r in f.itertuples(index=False):
                 lines, known, fine = quote_pieces(r.text), {}, True
                 for s in range(0, len(lines), batch):
-                    got = parse_reply(model("speaker_labels", {"lines": lines[s : s + batch], "characters": list(r.characters), "context": r.context, "before": lines[:s]}))
-                    fine &= isinstance(got, dict)
-                    for x in got.get("speakers", []) if isinstance(got, dict) else []:
-                        known[s + x["line_number"] - 1] = x["speaker"]
+                    part = lines[s : s + batch]
+                    got = Retrying(model, tries, 0)("speaker_labels", {"lines": part, "characters": list(r.characters), "context": r.context, "before": lines[:s]}, lambda v, n=len(part): labels_fit(v, n))
+                    fine = got is not None
+                    if not fine:
+                        break
+                    known |= {s + x["line_number"] - 1: x["speaker"] for x in got["speakers"]}
                 if fine:
                     out += [(r.book, r.stem, r.context, i, known.get(i, ""), line) for i, line in enumerate(lines)]
             yield pd.DataFrame(out, columns=["book", "stem", "context_summary", "pos", "speaker", "content"])
@@ -215,15 +250,22 @@ def structure_story(lines: DataFrame, story: str = "story", order: str = "line_n
     """(story, pos, dataType, line_count, content, speaker, ...): data blocks of a story's lines, batch by batch in order."""
     kind = dict(lines.dtypes)[story]
 
-    def fold(pdf: pd.DataFrame) -> pd.DataFrame:
-        rows, out, summary = pdf.sort_values(order)[line].tolist(), [], ""
-        for s in range(0, len(rows), batch):
-            got = parse_reply(model("data_blocks", {"lines": rows[s : s + batch], "plot_summary": summary}))
-            summary = got["updated_plot_summary"]
-            out += [(b["dataType"], b.get("line_count", 1), b.get("content"), b.get("speaker"), b.get("actor"), b.get("character")) for b in got["data_blocks"]]
-        return pd.DataFrame([(pdf[story].iloc[0], i, *b) for i, b in enumerate(out)], columns=[story, "pos", "dataType", "line_count", "content", "speaker", "actor", "character"])
+    def ask(state: dict, key: object) -> list[tuple]:
+        got = parse_reply(model("data_blocks", {"lines": state["lines"], "plot_summary": state["summary"]}))
+        state["lines"], state["summary"] = [], got["updated_plot_summary"]
+        out = [(key, state["n"] + i, b["dataType"], b.get("line_count", 1), b.get("content"), b.get("speaker"), b.get("actor"), b.get("character")) for i, b in enumerate(got["data_blocks"])]
+        state["n"] += len(out)
+        return out
+
+    def step(state: dict, row: dict) -> list[tuple]:
+        state["lines"].append(row[line])
+        return ask(state, row[story]) if len(state["lines"]) == batch else []
+
+    def finish(state: dict, key: tuple) -> list[tuple]:
+        return ask(state, key[0]) if state["lines"] else []
 
-    return lines.select(story, order, line).groupBy(story).applyInPandas(fold, f"{story} {kind}, pos bigint, dataType string, line_count int, content string, speaker string, actor string, character string")
+    schema = f"{story} {kind}, pos bigint, dataType string, line_count int, content string, speaker string, actor string, character string"
+    return stream_fold(lines.select(story, order, line), [story], [order], schema, lambda: {"lines": [], "summary": "", "n": 0}, step, finish)
 
 
 def convert_dataset(rows: DataFrame, path: str, name: str, order: str, start: int = 0, with_classes: bool = False, model: LanguageModel = RULES) -> None:

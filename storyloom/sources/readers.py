@@ -12,13 +12,18 @@ CORRUPT = "_corrupt_record"
 
 
 def read_jsonl(spark: SparkSession, path: str | list[str], schema: str = TEXT_ROW, recursive: bool = False, suffix: str | None = None) -> tuple[DataFrame, DataFrame]:
-    """(rows, rejects): blank lines are skipped, malformed ones go to the rejects with their file."""
+    """(rows, rejects): lines of white space are skipped; those that are not one whole JSON object go to the rejects with their file."""
     # read as text first: rejects then need no cache of a parsed scan
     text = spark.read.option("recursiveFileLookup", str(recursive).lower())
-    text = (text.option("pathGlobFilter", f"*{suffix}") if suffix else text).text(path).where(F.trim("value") != "")
-    parsed = text.withColumn("r", F.from_json("value", f"{schema}, {CORRUPT} string", {"columnNameOfCorruptRecord": CORRUPT}))
-    good = parsed.where(f"r.{CORRUPT} is null").select("r.*").drop(CORRUPT)
-    bad = parsed.where(f"r.{CORRUPT} is not null").select(F.col("_metadata.file_name").alias("file"), F.col("value").alias("line"))
+    text = (text.option("pathGlobFilter", f"*{suffix}") if suffix else text).text(path).withColumn("_line", strip("value")).where("_line <> ''")
+    parsed = text.withColumn("r", F.from_json("_line", f"{schema}, {CORRUPT} string", {"columnNameOfCorruptRecord": CORRUPT}))
+    # the parser stops behind the first value, so a mark behind the line, which no line can hold itself, shows that all of it was read
+    mark = F.md5("_line")
+    read = F.from_json(F.concat(F.lit('{"x":'), "_line", F.lit(',"mark":"'), mark, F.lit('"}')), "x string, mark string")["mark"]
+    whole = F.col("_line").startswith("{") & F.coalesce(read == mark, F.lit(False))
+    fine = whole & F.col("r").isNotNull() & F.col(f"r.{CORRUPT}").isNull()
+    good = parsed.where(fine).select("r.*").drop(CORRUPT)
+    bad = parsed.where(~F.coalesce(fine, F.lit(False))).select(F.col("_metadata.file_name").alias("file"), F.col("value").alias("line"))
     return good, bad
 
 
