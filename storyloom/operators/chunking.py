@@ -1,9 +1,10 @@
-"""Size-bounded packing of lines, scene boundaries and scenes: ordered folds inside the JVM, one document at a time; shards are folded as streams."""
+"""Size-bounded packing of lines, scene boundaries and scenes, one document at a time: chunks by pointers over running sums of lengths; shards are folded as streams."""
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -11,55 +12,72 @@ from pyspark.sql import functions as F
 from storyloom.functions.arrays import explode_once
 from storyloom.functions.text import let, strip
 
-BLOCK = 64
+def _sums(lengths: object) -> np.ndarray:
+    """What lies before each place, and all."""
+    out = np.zeros(len(lengths) + 1, np.int64)
+    np.cumsum(np.asarray(lengths, np.int64), out=out[1:])
+    return out
 
 
-def _numbered(lines: Column, start: dict[str, Column], step: Callable[[Column, Column], tuple[dict[str, Column], Column]]) -> Column:
-    """A number for each line from a fold. ``step``: the new state's fields and the line's number.
+def chunk_numbers(lengths: object, size: int, loose: bool = False) -> np.ndarray:
+    """A chunk number for each line from the lines' lengths, newlines not counted.
 
-    An append copies its array, so numbers are gathered in blocks of ``BLOCK`` and the blocks' arrays in one of their own: long texts take nearly linear time.
+    Where a chunk that opens at each line would end is one binary search in the running sums; the numbers follow these pointers from the first line.
+    ``loose``: the newline counts neither in the test nor where a chunk opens (but for the first one), and a text of at most ``size`` is one chunk.
     """
-    names = list(start)
-    none, nested = F.array().cast("array<int>"), F.array().cast("array<array<int>>")
-
-    def one(a: Column, line: Column) -> Column:
-        state, number = step(a, line)
-        return F.struct(*[state[n].alias(n) for n in names], F.array_append(a["ids"], number).alias("ids"))
-
-    def block(a: Column, part: Column) -> Column:
-        inner = F.aggregate(part, F.struct(*[a[n].alias(n) for n in names], none.alias("ids")), one)
-        return let(inner, lambda x: F.struct(*[x[n].alias(n) for n in names], F.array_append(a["all"], x["ids"]).alias("all")))
-
-    def whole(x: Column) -> Column:
-        parts = F.transform(F.sequence(F.lit(0), F.floor((F.greatest(F.size(x), F.lit(1)) - 1) / BLOCK).cast("int")), lambda b: F.slice(x, b * BLOCK + 1, F.lit(BLOCK)))
-        return F.aggregate(parts, F.struct(*[start[n].alias(n) for n in names], nested.alias("all")), block, lambda a: F.flatten(a["all"]))
-
-    return let(lines, whole)
+    n = len(lengths)
+    out = np.zeros(n, np.int32)
+    before = _sums(np.asarray(lengths, np.int64) + 1)
+    if loose and before[-1] - 1 <= size:
+        return out
+    start = chunk = 0
+    while start < n:
+        free = size + (1 + (start > 0) if loose else 0)
+        end = max(start + 1, int(np.searchsorted(before, before[start] + free, "right")) - 1)
+        out[start:end] = chunk
+        start, chunk = end, chunk + 1
+    return out
+
+
+def segment_bounds(lengths: object, low: int, high: int, targets: object) -> list[tuple[int, int]]:
+    """(first line, line behind the last) of each segment from the lengths of lines, newlines counted; ``targets``: the size that each segment aims at."""
+    before, n = _sums(lengths), len(lengths)
+    out: list[tuple[int, int]] = []
+    start, first = 0, 0  # the first line that is tested: behind ``start`` where that line was kept from the segment before
+    while first < n:
+        # the line with which the target is reached
+        k = max(first, int(np.searchsorted(before, before[start] + int(targets[len(out)]), "left")) - 1)
+        if k >= n:
+            break
+        if before[k + 1] - before[start] > high and before[k] - before[start] >= low:
+            out.append((start, k))
+            start, first = k, k + 1
+        else:
+            out.append((start, k + 1))
+            start = first = k + 1
+    if start < n:
+        out.append((start, n))
+    return out
+
+
+def _numbers(lengths: Column, size: int, loose: bool) -> Column:
+    @F.pandas_udf("array<int>")
+    def numbers(x: pd.Series) -> pd.Series:
+        return x.map(lambda v: None if v is None else chunk_numbers(v, size, loose))
+
+    return numbers(lengths)
 
 
 def line_chunks(lines: Column | str, size: int) -> Column:
-    """A chunk number for each line: a new chunk where the line and its newline no longer fit."""
-
-    def step(a: Column, line: Column) -> tuple[dict[str, Column], Column]:
-        n = (F.length(line) + 1).cast("long")
-        new = (a["size"] + n > size) & (a["size"] > 0)
-        chunk = F.when(new, a["chunk"] + 1).otherwise(a["chunk"])
-        return {"size": F.when(new, n).otherwise(a["size"] + n), "chunk": chunk}, chunk
-
-    return _numbered(F.col(lines) if isinstance(lines, str) else lines, {"size": F.lit(0).cast("long"), "chunk": F.lit(0)}, step)
+    """A chunk number for each line: a new chunk where the line and its newline no longer fit. Only lengths leave the JVM."""
+    x = F.col(lines) if isinstance(lines, str) else lines
+    return _numbers(F.transform(x, lambda v: F.length(v)), size, False)
 
 
 def line_chunks_loose(text: Column | str, size: int) -> Column:
     """The variant for long texts: one chunk unless the text is longer than ``size``; the newline does not count against the limit when tested or when a chunk opens."""
     t = F.col(text) if isinstance(text, str) else text
-
-    def step(a: Column, line: Column) -> tuple[dict[str, Column], Column]:
-        n = F.length(line).cast("long")
-        new = (a["size"] + n > size) & (a["lines"] > 0) & (a["total"] > size)
-        chunk = F.when(new, a["chunk"] + 1).otherwise(a["chunk"])
-        return {"size": F.when(new, n).otherwise(a["size"] + n + 1), "lines": F.when(new, 1).otherwise(a["lines"] + 1), "chunk": chunk, "total": a["total"]}, chunk
-
-    return _numbered(F.split(t, "\n"), {"size": F.lit(0).cast("long"), "lines": F.lit(0), "chunk": F.lit(0), "total": F.length(t)}, step)
+    return _numbers(F.transform(F.split(t, "\n"), lambda v: F.length(v)), size, True)
 
 
 def pack_lines(rows: DataFrame, doc: str, ids: Column, text: str = "text") -> DataFrame:
@@ -78,25 +96,23 @@ def split_segments(text: Column | str, low: int = 2000, high: int = 4000, key: C
     """
     t = F.col(text) if isinstance(text, str) else text
     k = F.lit("") if key is None else (F.col(key) if isinstance(key, str) else key).cast("string")
-    parts = F.split(t, "\n")
-    lines = F.transform(parts, lambda x, i: F.when(i < F.size(parts) - 1, F.concat(x, F.lit("\n"))).otherwise(x))
-    lines = F.filter(lines, lambda x: x != "")
-    target = (lambda n: F.lit(low)) if low == high else (lambda n: F.lit(low) + F.pmod(F.xxhash64(F.lit(seed), k, n), F.lit(high - low + 1)).cast("int"))
-    zero = F.struct(F.lit("").alias("buf"), F.array().cast("array<string>").alias("out"))
-
-    def step(a: Column, line: Column) -> Column:
-        both = F.concat(a["buf"], line)
-        n = F.length(both)
-        keep = (n > high) & (F.length(a["buf"]) >= low)
-        emit = (n > high) | (n >= target(F.size(a["out"])))
-        return (
-            F.when(keep, F.struct(line.alias("buf"), F.array_append(a["out"], strip(a["buf"])).alias("out")))
-            .when(emit, F.struct(F.lit("").alias("buf"), F.array_append(a["out"], strip(both)).alias("out")))
-            .otherwise(F.struct(both.alias("buf"), a["out"].alias("out")))
-        )
-
-    done = F.aggregate(lines, zero, step, lambda a: F.when(strip(a["buf"]) != "", F.array_append(a["out"], strip(a["buf"]))).otherwise(a["out"]))
-    return F.filter(done, lambda x: x != "")
+    # every segment but the last has at least ``low`` characters; without a bound, a line may close one and be the next
+    most = (F.ceil(F.length(t) / low).cast("int") if low else 2 * F.length(t)) + 1
+    draw = (lambda n: F.lit(low)) if low == high else (lambda n: F.lit(low) + F.pmod(F.xxhash64(F.lit(seed), k, n), F.lit(high - low + 1)).cast("int"))
+    targets = F.transform(F.sequence(F.lit(0), most), draw)
+
+    # a slice of a JVM array reads all of it, so a long text's segments are cut where its lines are
+    @F.pandas_udf("array<string>")
+    def cut(texts: pd.Series, aims: pd.Series) -> pd.Series:
+        out = []
+        for x, y in zip(texts, aims, strict=True):
+            *heads, last = (x or "").split("\n")
+            lines = [f"{h}\n" for h in heads] + ([last] if last else [])
+            parts = ["".join(lines[s:e]).strip() for s, e in segment_bounds([len(v) for v in lines], low, high, y if y is not None else ())]
+            out.append(None if x is None else [p for p in parts if p])
+        return pd.Series(out)
+
+    return cut(t, targets)
 
 
 def valid_boundaries(raw: Column | str) -> Column:
