@@ -2,7 +2,7 @@
 
 Edges go from a larger to a smaller node. The large star of an edge's smaller end is read from a table of each node's smallest
 neighbour, so that the join is one between two tables, which Spark splits where a node has very many edges. A
-round's tables are deleted once the next round is written.
+round's tables are deleted once the next round is written; where all edges are stars already, no further round is.
 """
 
 from __future__ import annotations
@@ -21,8 +21,8 @@ def _small_star(edges: DataFrame) -> DataFrame:
 
 
 def _large_star(edges: DataFrame, least: DataFrame) -> DataFrame:
-    """Each node links its larger neighbours to the smallest of its neighbours and itself; ``least``: (x, m), the smallest neighbour of nodes that have a smaller one."""
-    return edges.join(least, edges["v"] == least["x"], "left").select("u", F.coalesce("m", "v").alias("v")).distinct()
+    """Each node links its larger neighbours to the smallest of its neighbours and itself; ``least``: (x, m), the smallest neighbour of nodes that have a smaller one. Equal edges fall together in the small star."""
+    return edges.join(least, edges["v"] == least["x"], "left").select("u", F.coalesce("m", "v").alias("v"))
 
 
 def _written(edges: DataFrame, path: str) -> tuple[DataFrame, tuple]:
@@ -41,7 +41,11 @@ def connected_components(edges: DataFrame, a: str = "a", b: str = "b", most_roun
         if not mark[0]:
             break
         side, after = new_path(spark, "least"), new_path(spark, "edges")
-        least = write_table(cur.groupBy(F.col("u").alias("x")).agg(F.min("v").alias("m")), "least", side)
+        seen = Observation()
+        least = write_table(cur.groupBy(F.col("u").alias("x")).agg(F.min("v").alias("m")).observe(seen, F.count(F.lit(1)).alias("n")), "least", side)
+        if seen.get["n"] == mark[0] and cur.join(least, cur["v"] == least["x"], "left_semi").isEmpty():
+            remove(spark, side)
+            break  # every node has one edge, to a node that has none: these are stars
         nxt, now = _written(_small_star(_large_star(cur, least)), after)
         remove(spark, side)
         if now == mark:
