@@ -11,12 +11,13 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from storyloom.functions.arrays import explode_once
-from storyloom.functions.fuzzy import quote_pieces
+from storyloom.functions.fuzzy import dump, quote_pieces
 from storyloom.functions.ordered import stream_fold
 from storyloom.functions.text import split_dialogue, strip
 from storyloom.operators import characters, chunking, mapping, messages, ordering, relational, state
 from storyloom.plans.lineage import cut
 from storyloom.plans.modelcalls import CATEGORIES, LanguageModel, Retrying, RuleModel, call_rows, parse_reply, summarise_once, system_prompt_or_canned
+from storyloom.plans.progress import Progress
 from storyloom.sources import readers, writers
 
 RULES = RuleModel()
@@ -173,11 +174,19 @@ def to_chatml(dialogue: DataFrame, people: DataFrame, world: DataFrame, cards: D
     merged = messages.merge_adjacent_roles(messages.assign_roles(long, F.col("user_role")), "k")
     talk = messages.convert(messages.to_arrays(merged, "k"), "k", mode, min_chars).select("k.*", (F.col("pos") + 1).alias("pos"), "role", "content")
     whole = prompt.select("book", "stem", F.lit(0).cast("long").alias("pos"), F.lit("system").alias("role"), "content").unionByName(talk)
-    before = Window.partitionBy("book", "stem").orderBy("pos").rowsBetween(Window.unboundedPreceding, -1)
-    told = whole.withColumn("history", F.array_join(F.collect_list("content").over(before), "\n"))
-    reasoned = call_rows(told.where("role = 'assistant'"), model, "reasoning", ["history", "content"])
-    out = reasoned.withColumn("reasoning_content", F.coalesce(F.try_variant_get(F.try_parse_json("reply"), "$", "string"), F.lit(""))).drop("reply")
-    return told.where("role <> 'assistant'").withColumn("reasoning_content", F.lit(None).cast("string")).unionByName(out).drop("history")
+
+    def reason(told: list[str], row: dict) -> list[tuple]:
+        why = None
+        if row["role"] == "assistant":
+            got = parse_reply(model("reasoning", {"history": "\n".join(told), "content": row["content"]}))
+            why = got if isinstance(got, str) else dump(got)
+        if row["content"] is not None:
+            told.append(row["content"])
+        return [(row["book"], row["stem"], row["pos"], row["role"], row["content"], why)]
+
+    # the history is built where it is asked with, so no row carries the rows before it
+    kinds = dict(whole.dtypes)
+    return stream_fold(whole, ["book", "stem"], ["pos"], f"book {kinds['book']}, stem {kinds['stem']}, pos bigint, role string, content string, reasoning_content string", list, reason)
 
 
 def split_reasoning(chat: DataFrame) -> DataFrame:
@@ -338,12 +347,21 @@ def run_step(step: str, *inputs: DataFrame, **settings: Any) -> Any:
     return STEPS[step].run(*inputs, **(STEPS[step].defaults | settings))
 
 
-def run_story_pipeline(spark: SparkSession, texts: DataFrame, mode: str = "paraphrase", least: int = 0) -> DataFrame:
-    """From (book, text) to reasoning variants; each step's result is kept for the next ones."""
-    scenes = run_step("1_1", texts.withColumnRenamed("book", "doc_id"), least=least)
-    seg = cut(scenes.select(F.col("doc_id").cast("string").alias("book"), F.col("scene_id").alias("stem"), F.col("content").alias("text")))
-    chars, people = (cut(x) for x in run_step("1_2", seg))
-    facts = cut(run_step("1_3", seg, people, chars))
-    world, cards = (cut(x) for x in run_step("1_4", facts, people, chars))
-    talk = cut(run_step("1_5", seg, people, facts, chars))
-    return run_step("2_2", cut(run_step("2_1", talk, people, world, cards, mode=mode)))
+def run_story_pipeline(spark: SparkSession, texts: DataFrame, mode: str = "paraphrase", least: int = 0, progress: Progress | None = None) -> DataFrame:
+    """From (book, text) to reasoning variants; each step's result is kept for the next ones. ``progress`` gets the events of each step."""
+    progress = progress or Progress(spark)
+    with progress.stage("1_1"):
+        scenes = run_step("1_1", texts.withColumnRenamed("book", "doc_id"), least=least)
+        seg = cut(scenes.select(F.col("doc_id").cast("string").alias("book"), F.col("scene_id").alias("stem"), F.col("content").alias("text")))
+    with progress.stage("1_2"):
+        chars, people = (cut(x) for x in run_step("1_2", seg))
+    with progress.stage("1_3"):
+        facts = cut(run_step("1_3", seg, people, chars))
+    with progress.stage("1_4"):
+        world, cards = (cut(x) for x in run_step("1_4", facts, people, chars))
+    with progress.stage("1_5"):
+        talk = cut(run_step("1_5", seg, people, facts, chars))
+    with progress.stage("2_1"):
+        chat = cut(run_step("2_1", talk, people, world, cards, mode=mode))
+    with progress.stage("2_2"):
+        return cut(run_step("2_2", chat))

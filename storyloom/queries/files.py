@@ -12,8 +12,10 @@ from storyloom.operators import characters as ca
 from storyloom.operators import relational as rl
 from storyloom.plans import steps
 from storyloom.plans.lineage import new_path
+from storyloom.plans.progress import Progress
 from storyloom.queries.common import table
 from storyloom.sources import named, readers, writers
+from storyloom.sources.store import Store
 from storyloom.streaming import streams
 
 QUERIES: dict = {}
@@ -208,6 +210,37 @@ def stream_progress(spark: SparkSession, d: str) -> DataFrame:
     return spark.range(1).select(F.lit(streams.progress(run)["stage"]).alias("stage"), F.lit(n).cast("long").alias("progress"))
 
 
+@query("SELECT 'documents' AS stage, count(*) AS done, count(*) AS total, 'done' AS message FROM documents")
+def stream_events(spark: SparkSession, d: str) -> DataFrame:
+    """The last event of a stream of three triggers, as a query listener has told it."""
+    path, out, mark = new_path(spark, "in"), new_path(spark, "out"), new_path(spark, "mark")
+    _docs(spark, d).repartition(3).write.json(path)
+    progress = Progress(spark)
+    with progress.streams():
+        stream = streams.read_jsonl_stream(spark, path, "doc_id long, text string", files_per_trigger=1)
+        stream.writeStream.queryName("documents").format("parquet").option("path", out).option("checkpointLocation", mark).trigger(availableNow=True).start().awaitTermination()
+    last = F.max_by(F.struct("stage", "done", "total", "message"), "n").alias("e")
+    return progress.rows().where("stage = 'documents'").agg(last).select("e.*")
+
+
+@query("SELECT 'records' AS name, count(*) AS n, 0::BIGINT AS n_open FROM documents UNION ALL SELECT 'queue_items', count(*) FILTER (WHERE doc_id % 2 = 0), count(*) FILTER (WHERE doc_id % 2 = 0 AND doc_id % 4 <> 0) FROM documents UNION ALL SELECT 'annotations', count(*) FILTER (WHERE doc_id % 4 = 0), 0 FROM documents")
+def stored_tables(spark: SparkSession, d: str) -> DataFrame:
+    """The annotation tables on disk: documents as records, the even ones queued, every fourth one annotated; each is inserted twice and counts once."""
+    store, docs = Store(spark, new_path(spark, "store")), table(spark, d, "documents")
+    even = docs.where("doc_id % 2 = 0")
+    item = [F.col("doc_id").alias("id"), F.lit(1).cast("long").alias("queue_id"), F.col("doc_id").cast("string").alias("record_id")]
+    store.insert("annotation_schemas", spark.range(1, 2).select("id", F.lit("s").alias("name")), "id")
+    store.insert("queues", spark.range(1, 2).select("id", F.lit("q").alias("name"), F.col("id").alias("schema_id")), "id")
+    for _ in range(2):
+        store.insert("records", docs.select(F.col("doc_id").cast("string").alias("id"), F.col("source").alias("name"), F.col("text").alias("input")), "name")
+    store.insert("queue_items", even.select(*item, F.lit("pending").alias("status")), "id")
+    done = docs.where("doc_id % 4 = 0")
+    store.insert("annotations", done.select(F.col("doc_id").alias("id"), F.col("doc_id").alias("queue_item_id"), F.lit("{}").alias("values")), "id")
+    store.upsert("queue_items", done.select(*item, F.lit("annotated").alias("status")))
+    count = lambda name, still: store.table(name).agg(F.count("*").alias("n"), F.count_if(still).alias("n_open")).select(F.lit(name).alias("name"), "n", "n_open")
+    return count("records", F.lit(False)).unionByName(count("queue_items", F.col("status") == "pending")).unionByName(count("annotations", F.lit(False)))
+
+
 @query("SELECT doc_id, lang, list_filter(list_transform(string_split(' a, ' || lang || ' ,,b ', ','), lambda x: trim(x)), lambda x: x <> '') AS options FROM documents")
 def options_list(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "documents").select("doc_id", "lang", tx.options_list(F.concat(F.lit(" a, "), "lang", F.lit(" ,,b "))).alias("options"))

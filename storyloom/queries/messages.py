@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from storyloom.operators import masks
 from storyloom.operators import mapping as mp
 from storyloom.operators import messages as ms
 from storyloom.queries.common import DERIVED_ROLE, SQL_LINES, chats, derived, doc_lines, exploded, table, turns
@@ -231,3 +232,12 @@ def system_prompt_assembly(spark: SparkSession, d: str) -> DataFrame:
     rows = table(spark, d, "documents").select("doc_id", "source", "lang").join(table(spark, d, "labels"), "doc_id")
     cast = F.when(F.col("quality") == 1, F.array(F.struct(F.lit("Q").alias("name"), F.lit("good").alias("profile")))).otherwise(F.array().cast("array<struct<name:string,profile:string>>"))
     return rows.select("doc_id", ms.system_prompt(F.col("source"), F.when(F.col("lang") != "en", F.col("lang")), cast, F.when(F.col("toxic") == 1, "toxic")).alias("prompt"))
+
+
+@query()
+def reply_masks(spark: SparkSession, d: str) -> DataFrame:
+    """Each token of each conversation's rendered text, and whether a model is trained on it."""
+    import public_tokenizers
+
+    text = chats(spark, d).select("conv_id", ms.render_template("messages", "</s>").alias("text"))
+    return masks.reply_masks(text, "conv_id", public_tokenizers.path("word_bpe_49k.json"))

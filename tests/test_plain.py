@@ -12,7 +12,7 @@ from storyloom.operators import characters
 DATA = "/root/testdata/sf0.001"
 TESTED = {
     "split_segments_random", "scenes_merged", "scene_segmentation", "split_by_quotes", "roleplay_conversion", "style_conversion", "fetch_and_shard", "augment_catalog",
-    "chain_links_fuzzy", "chain_merge", "system_dedup", "system_merge", "rewrite_counts", "name_group_fold", "carried_summaries", "story_structure", "story_pipeline",
+    "chain_links_fuzzy", "chain_merge", "system_dedup", "system_merge", "rewrite_counts", "name_group_fold", "carried_summaries", "story_structure", "story_pipeline", "reply_masks",
 }
 
 
@@ -44,18 +44,20 @@ def test_split_by_quotes(run, docs):
                 raise AssertionError(p)  # a bracketed part and what follows it stay together
 
 
-def test_split_segments_random(run, docs):
-    got = defaultdict(list)
-    rows = run("split_segments_random").collect()
-    for r in rows:
-        got[r.doc_id].append(r)
-    squeeze = lambda s: "".join((s or "").split())
-    texts = [c for c in rows[0].__fields__ if c not in ("doc_id", "n", "pos", "k", "i")]
-    order = next(c for c in ("n", "pos", "k", "i") if c in rows[0].__fields__)
-    for doc, parts in got.items():
-        parts.sort(key=lambda r: r[order])
-        assert squeeze("".join(p[texts[0]] for p in parts)) == squeeze(docs[doc].text)
-    assert {d for d, r in docs.items() if squeeze(r.text)} == set(got)
+def test_split_segments_random(spark, run, docs):
+    """Line by line, with the targets that the seed draws."""
+    from pyspark.sql import functions as F
+
+    from tests.test_packing import plain_segments
+
+    draw = F.transform(F.sequence(F.lit(0), F.lit(80)), lambda n: F.lit(2000) + F.pmod(F.xxhash64(F.lit(7), F.col("doc_id").cast("string"), n), F.lit(2001)).cast("int"))
+    aims = {r.doc_id: r.aims for r in spark.read.parquet(f"{DATA}/documents.parquet").select("doc_id", draw.alias("aims")).collect()}
+    want = []
+    for doc, r in docs.items():
+        *heads, last = (r.text or "").split("\n")
+        lines = [f"{h}\n" for h in heads] + ([last] if last else [])
+        want += [(doc, i, s) for i, s in enumerate(plain_segments(lines, 2000, 4000, aims[doc].__getitem__))]
+    assert sorted((r.doc_id, r.n, r.segment) for r in run("split_segments_random").collect()) == sorted(want)
 
 
 def chains_of(spark):
@@ -205,46 +207,97 @@ def test_scenes_cover_their_documents(run, docs):
                 assert all(p.char_count >= least for p in parts[1:-1])
 
 
-def test_role_and_style_conversions(run, docs):
-    from storyloom.plans.modelcalls import RuleModel  # noqa: F401
+def clean(text):
+    return [x.strip() for x in (text or "").splitlines() if x.strip()]
 
-    style, role = defaultdict(list), defaultdict(list)
-    for out, name in ((style, "style_conversion"), (role, "roleplay_conversion")):
-        for r in run(name).orderBy("doc_id", "pos").collect():
-            out[r.doc_id].append(r)
-    clean = lambda t: [x.strip() for x in (t or "").splitlines() if x.strip()]
-    for doc, rows in style.items():
-        assert [r.role for r in rows][:2] == ["system", "user"] and rows[0].content.startswith("Continue in this style: ")
-    for doc, rows in role.items():
-        assert rows[0].role == "system"
-        said = "\n".join(r.content for r in rows[1:])
-        assert sorted(clean(said)) == sorted(clean(docs[doc].text)) or len(rows) > 1
-    assert set(role) == {d for d, r in docs.items() if clean(r.text)}
 
+def test_style_conversion(run, docs):
+    want = set()
+    for doc, r in docs.items():
+        if r.text:
+            lines = r.text.splitlines()
+            first, rest = "\n".join(lines[:10]), "\n".join(lines[10:])
+            want |= {(doc, 0, "system", f"Continue in this style: {rest[:300]}"), (doc, 1, "user", first), (doc, 2, "assistant", rest)}
+    assert {(r.doc_id, r.pos, r.role, r.content) for r in run("style_conversion").collect()} == want
+
+
+def test_roleplay_conversion(run, docs):
+    from storyloom.plans.modelcalls import RuleModel
+
+    rule, want = RuleModel(), []
+    for doc, r in docs.items():
+        lines = clean(r.text)
+        if not lines:
+            continue
+        who = rule._speakers({"text": "\n".join(lines)[:2000]})
+        labels = [x for s in range(0, len(lines), 5) for x in rule._line_labels({"lines": lines[s : s + 5]})]
+        mine = [bool(x["is_dialogue"]) and x["speaker"] == who["protagonist"] for x in labels]
+        blocks = []
+        for line, own in zip(lines, mine, strict=True):
+            if blocks and blocks[-1][0] == own:
+                blocks[-1][1].append(line)
+            else:
+                blocks.append((own, [line]))
+        talk = [("user" if own else "assistant", "\n".join(x)) for own, x in blocks]
+        if len(talk) <= 1:  # two lines to the user, five to the assistant, in turn
+            talk, at = [], 0
+            while at < len(lines):
+                n = (2, 5)[len(talk) % 2]
+                talk.append((("user", "assistant")[len(talk) % 2], "\n".join(lines[at : at + n])))
+                at += n
+        want += [(doc, i, *m) for i, m in enumerate([("system", rule._roleplay_prompt({**who})), *talk])]
+    assert sorted((r.doc_id, r.pos, r.role, r.content) for r in run("roleplay_conversion").collect()) == sorted(want)
+
+
+def test_fetched_rows_in_greedy_shards(spark, run, docs):
+    from pyspark.sql import functions as F
 
-def test_fetched_rows_are_all_there(run, docs):
     rows = run("fetch_and_shard").collect()
     assert sorted(r.doc_id for r in rows) == sorted(docs)
-    size = Counter()
-    for r in rows:
-        size[r.lane, r.shard] += 1
-    assert all(any((lane, s - 1) in size for _ in [0]) or s == 1 for lane, s in size)
+    table = spark.read.parquet(f"{DATA}/documents.parquet")
+    known = {r.doc_id: r for r in table.select("doc_id", F.xxhash64(F.lit(3253), "doc_id").alias("at"), F.pmod(F.xxhash64(F.lit(3252), "doc_id"), F.lit(64)).alias("lane"), (F.octet_length(F.to_json(F.struct("text"))) + 1).alias("size")).collect()}
+    lanes = defaultdict(list)
+    for doc, r in known.items():
+        lanes[r.lane].append((r.at, doc, r.size))
+    want = {}
+    for lane, own in lanes.items():
+        cur, shard = 0, 1
+        for _, doc, size in sorted(own):
+            if cur and cur + size > 100_000:
+                cur, shard = 0, shard + 1
+            cur += size
+            want[doc] = (lane, shard)
+    assert {r.doc_id: (r.lane, r.shard) for r in rows} == want
 
 
-def test_catalogue_and_summaries(run):
-    rows = run("augment_catalog").collect()
-    assert rows and all(r.unknown is not None for r in rows)
-    told = run("carried_summaries").collect()
-    assert told and run("carried_summaries").exceptAll(run("carried_summaries")).count() == 0
+def test_augmented_catalogue(run, docs):
+    want = [(str(d), r.source, "novel", ",".join(sorted(set(r.source.lower().split()))[:3]), r.source, False) for d, r in docs.items()]
+    assert sorted((r.Uid, r.Title, r.genre, r.tags, r.summary, r.unknown) for r in run("augment_catalog").collect()) == sorted(want)
+
+
+def test_carried_summaries(spark, run):
+    want = []
+    for conv, turns in chains_of(spark).items():
+        before = ""
+        for t in turns:
+            summary = ((t.text or "")[:20] + "/" + before)[:60]
+            want.append((conv, t.turn, before, summary))
+            before = summary
+    assert sorted((r.conv_id, r.turn, r.preface, r.summary) for r in run("carried_summaries").collect()) == sorted(want)
 
 
 def test_story_structure(run, docs):
-    rows = run("story_structure").collect()
-    assert rows and {r.dataType for r in rows} <= {"narration", "dialogue", "scene_change"}
-    at = defaultdict(list)
-    for r in rows:
-        at[r[0]].append(r.pos)
-    assert all(sorted(p) == list(range(len(p))) for p in at.values())
+    from storyloom.plans.modelcalls import RuleModel
+
+    rule, want = RuleModel(), []
+    for doc, r in docs.items():
+        lines, summary, blocks = clean(r.text), "", []
+        for s in range(0, len(lines), 20):
+            got = rule._data_blocks({"lines": lines[s : s + 20], "plot_summary": summary})
+            summary = got["updated_plot_summary"]
+            blocks += got["data_blocks"]
+        want += [(doc, i, b["dataType"], b["line_count"], b["content"]) for i, b in enumerate(blocks)]
+    assert sorted((r.doc_id, r.pos, r.dataType, r.line_count, r.content) for r in run("story_structure").collect()) == sorted(want)
 
 
 def test_story_pipeline(run):
