@@ -16,7 +16,7 @@ from storyloom.functions.ordered import stream_fold
 from storyloom.functions.text import split_dialogue, strip
 from storyloom.operators import characters, chunking, mapping, messages, ordering, relational, state
 from storyloom.plans.lineage import cut
-from storyloom.plans.modelcalls import CATEGORIES, LanguageModel, Retrying, RuleModel, call_rows, parse_reply, summarise_once, system_prompt_or_canned
+from storyloom.plans.modelcalls import CATEGORIES, LanguageModel, Retrying, RuleModel, call_rows, parse_reply, system_prompt_or_canned
 from storyloom.plans.progress import Progress
 from storyloom.sources import readers, writers
 
