@@ -73,7 +73,7 @@ def row_part_files(spark: SparkSession, d: str) -> DataFrame:
 @query("""WITH RECURSIVE s AS (SELECT lang, doc_id, row_number() OVER (PARTITION BY lang ORDER BY doc_id) AS i, strlen(coalesce(text, '')) AS n FROM documents),
 f AS (SELECT lang, doc_id, i, 1 AS shard, n AS cur FROM s WHERE i = 1 UNION ALL
   SELECT s.lang, s.doc_id, s.i, CASE WHEN f.cur + s.n > 20000 AND f.cur > 0 THEN f.shard + 1 ELSE f.shard END, CASE WHEN f.cur + s.n > 20000 AND f.cur > 0 THEN s.n ELSE f.cur + s.n END FROM f JOIN s ON s.lang = f.lang AND s.i = f.i + 1)
-SELECT lang, 'shard_' || lpad(CAST(shard AS VARCHAR), 3, '0') || '.jsonl' AS file, doc_id FROM f""")
+SELECT lang, 'shard_' || lpad(CAST(shard AS VARCHAR), CAST(greatest(3, length(CAST(shard AS VARCHAR))) AS INTEGER), '0') || '.jsonl' AS file, doc_id FROM f""")
 def byte_shard_files(spark: SparkSession, d: str) -> DataFrame:
     """``shard_001.jsonl`` and so on in a folder for each language, of at most 20,000 bytes of text."""
     path = new_path(spark, "shards")
