@@ -310,3 +310,26 @@ def test_story_pipeline(run):
         assert [v for v, _ in variants] == list(range(len(variants)))
         lengths = [n for v, n in variants if v]
         assert all(a < b for a, b in zip(lengths, lengths[1:], strict=False)) and all(n >= 2 for _, n in variants)
+
+
+def test_previews_of_texts_that_only_begin_with_json(spark):
+    from storyloom.functions.text import preview
+
+    cases = ["123 and more", '{"a": 1} {"b": 2}', "1, 2", "1] x", '"a" b', '{"a": [1, 2]}', " 17 ", "true", '"a b"', "", None, "null", '{"a": 1', "x" * 200]
+    want = ["123 and more", '{"a": 1} {"b": 2}', "1, 2", "1] x", '"a" b', '{"a":[1,2]}', "17", "true", '"a b"', "", "", "null", '{"a": 1', "x" * 100]
+    rows = spark.createDataFrame(list(enumerate(cases)), "i int, t string")
+    assert [r.p for r in rows.select("i", preview("t").alias("p")).orderBy("i").collect()] == want
+
+
+def test_shard_names_beyond_999_in_sql_and_files(spark, tmp_path):
+    import duckdb
+
+    from storyloom.queries import outputs
+
+    docs = [(i, "en", "x" * 20_000) for i in range(1001)]
+    spark.createDataFrame(docs, "doc_id long, lang string, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    got = sorted(tuple(r) for r in outputs.byte_shard_files(spark, str(tmp_path)).select("lang", "file", "doc_id").collect())
+    con = duckdb.connect()
+    con.sql(f"create view documents as select * from '{tmp_path}/documents.parquet/*.parquet'")
+    assert got == sorted(con.sql(outputs.SQL["byte_shard_files"]).fetchall())
+    assert ("en", "shard_1000.jsonl", 999) in got and ("en", "shard_007.jsonl", 6) in got
