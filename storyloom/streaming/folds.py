@@ -29,7 +29,7 @@ def _at(value: Any) -> int:
 
 
 class RelationshipState(StatefulProcessor):
-    """The last opinion that says something with its order, and a list of events to which each update adds."""
+    """The last opinion that says something with its order (null before there is one), and a list of events to which each update adds."""
 
     def __init__(self, key: list[str], order: str) -> None:
         self.key, self.order = key, order
@@ -42,12 +42,19 @@ class RelationshipState(StatefulProcessor):
         if not self.opinion.exists() or at >= self.opinion.get()[0]:
             self.opinion.update((at, opinion))
 
+    def _known(self) -> str | None:
+        """The opinion; a pair of which nothing is said is kept without one, so that the state names it."""
+        if not self.opinion.exists():
+            self.opinion.update((FIRST, None))
+        return self.opinion.get()[1]
+
     def handleInitialState(self, key: Any, initialState: pd.DataFrame, timerValues: Any) -> None:
         for r in initialState.itertuples(index=False):
             if isinstance(r.opinion, str) and r.opinion:
                 self._say(_at(r.opinion_at), r.opinion)
             for e in r.events if r.events is not None else ():
                 self.events.appendValue((_at(e["at"]), e["event"]))
+        self._known()
 
     def handleInputRows(self, key: Any, rows: Iterator[pd.DataFrame], timerValues: Any) -> Iterator[pd.DataFrame]:
         for pdf in rows:
@@ -59,7 +66,7 @@ class RelationshipState(StatefulProcessor):
                     new.append((_at(at), event))
             if new:
                 self.events.appendList(new)
-        opinion = self.opinion.get()[1] if self.opinion.exists() else None
+        opinion = self._known()
         yield pd.DataFrame({**{k: [v] for k, v in zip(self.key, key, strict=True)}, "opinion": [opinion]})
 
     def close(self) -> None:
@@ -153,7 +160,7 @@ def relationships_of(spark: SparkSession, checkpoint: str, story: list[str]) ->
     """(story, character, target, opinion, opinion_at, events): the state of a query's last trigger."""
     key = [*story, "character", "target"]
     own = [F.col(f"key.{k}").alias(k) for k in key]
-    said = _state(spark, checkpoint, "opinion").select(*own, F.col("value.at").alias("opinion_at"), F.col("value.opinion").alias("opinion"))
+    said = _state(spark, checkpoint, "opinion").select(*own, F.when(F.col("value.opinion").isNotNull(), F.col("value.at")).alias("opinion_at"), F.col("value.opinion").alias("opinion"))
     told = _state(spark, checkpoint, "events").select(*own, F.struct(F.col("list_element.at").alias("at"), F.col("list_element.event").alias("event")).alias("e"))
     listed = told.groupBy(*key).agg(F.array_sort(F.collect_list("e")).alias("events"))
     return said.join(listed, key, "full").select(*key, "opinion", "opinion_at", F.coalesce("events", F.array().cast("array<struct<at:bigint,event:string>>")).alias("events"))

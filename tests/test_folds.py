@@ -92,3 +92,21 @@ def test_statuses_in_three_parts(spark, tmp_path):
     got = spark.read.format("statestore").option("path", mark).option("stateVarName", "status").load()
     want = state.status_fold(spark.createDataFrame(rows, BLOCKS), ["story"], "pos", ["mood", "opinion"])
     assert key(got.select(F.col("key.story"), "value.mood", "value.opinion")) == key(want)
+
+
+def test_a_pair_of_which_nothing_is_said_is_kept(spark, tmp_path):
+    said = [(0, 1, "Ann", "Cy", None, "", None, None, None, None), (1, 1, "Bo", "Cy", "", None, None, None, None, None), (2, 1, "Ann", "Di", "fond", "e", None, None, None, None)]
+    later = [(3, 1, "Bo", "Cy", "cold", "f", None, None, None, None), (-5, 2, "Ann", "Cy", None, None, None, None, None, None)]
+    mark, source, cols = f"{tmp_path}/mark", f"{tmp_path}/in", ["story", "character", "target", "opinion", "events"]
+    for rows in (said, later):
+        spark.createDataFrame(rows, BLOCKS).write.mode("append").json(source)
+        folds.drain(folds.relationship_stream(streams.read_jsonl_stream(spark, source, BLOCKS), ["story"], "pos"), mark).awaitTermination()
+    snapshot = folds.relationships_of(spark, mark, ["story"])
+    want = state.relationship_fold(spark.createDataFrame([*said, *later], BLOCKS), ["story"], "pos")
+    assert key(folds.relationships(snapshot).select(*cols)) == key(want.select(*cols))
+    assert snapshot.where("opinion is null and opinion_at is null").count() == 2
+
+    # and so is one with which a stream begins
+    folds.drain(folds.relationship_stream(streams.read_jsonl_stream(spark, source, BLOCKS), ["story"], "pos", folds.from_relationships(spark.createDataFrame([(9, "Ed", "Fay", None, [])], "story long, character string, target string, opinion string, events array<string>"))), f"{tmp_path}/b").awaitTermination()
+    begun = folds.relationships(folds.relationships_of(spark, f"{tmp_path}/b", ["story"])).where("story = 9").select(*cols).collect()
+    assert [tuple(r) for r in begun] == [(9, "Ed", "Fay", None, [])]
