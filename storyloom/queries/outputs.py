@@ -29,7 +29,7 @@ def numbered_files(spark: SparkSession, d: str) -> DataFrame:
     """``{book}/{n}.txt`` of each source's documents."""
     path = new_path(spark, "numbered")
     named.write_numbered(table(spark, d, "documents"), path, "source", ["doc_id"], "text")
-    return readers.read_whole_text(spark, path).select("book", "file", "text")
+    return readers.read_named_texts(spark, path).select("book", "file", "text")
 
 
 @query("""WITH s AS (SELECT source, doc_id, string_split(coalesce(text, ''), chr(10)) AS x FROM documents),
@@ -54,8 +54,8 @@ def segment_files(spark: SparkSession, d: str) -> DataFrame:
     named.write_texts(docs.select(F.concat("book", F.lit("/"), "stem", F.lit(".txt")).alias("file"), "text"), path)
     named.write_json_files(docs.where("lang = 'en'").select("book", "stem", F.array("lang").alias("characters")), path, suffix="_characters.json")
     named.write_json_files(docs.where("n_chars > 500").select("book", "stem", F.lit("s").alias("summary")), path, suffix="_facts.json")
-    companions = [readers.read_json_documents(spark, path, "summary string", f) for f in ("_characters.json", "_facts.json")]
-    return readers.segments(readers.read_whole_text(spark, path), *companions).select("book", "stem", "text")
+    companions = [readers.read_named_documents(spark, path, "summary string", f) for f in ("_characters.json", "_facts.json")]
+    return readers.segments(readers.read_named_texts(spark, path), *companions).select("book", "stem", "text")
 
 
 @query("""WITH n AS (SELECT *, row_number() OVER (ORDER BY doc_id) - 1 AS i FROM documents)

@@ -1,8 +1,10 @@
 """Files under names that the rows give: one text, JSON or Parquet file for each name, written in parallel and shown all at once.
 
 ``NamedFiles`` is a data source writer. Rows come clustered and ordered by file, so a task has one file open and holds a batch, whatever a
-file's size. A task writes under a folder of its attempt and lists what it has finished; the commit renames the files of the
-attempts that count, and only theirs, so a task that failed, ran twice or was lost leaves nothing behind, and a job that fails leaves the folder as it was.
+file's size. A task writes under a folder of its attempt and lists what it has finished; once all have, the files of the attempts that count, and only
+theirs, are renamed, so a task that failed, ran twice or was lost leaves nothing behind, and a job whose writing fails leaves the folder as it was.
+``write_named`` lets tasks rename, each the files of an attempt, so the driver knows attempts and no files; rows written through the format alone are renamed by its commit.
+``written`` and ``read_files`` list and read in tasks, too.
 
 Defined results: a null value is an empty line; a null name, an empty one, an absolute one or one with ``..`` is refused; a name that two tasks have
 written is refused (rows must come clustered, as ``write_named`` makes them); existing files of other names stay unless the mode is overwrite, those of the
@@ -17,6 +19,7 @@ import uuid
 from collections.abc import Iterator
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
+from functools import reduce
 from typing import Any
 
 import pyarrow as pa
@@ -34,6 +37,8 @@ ATTEMPTS = "_attempts"
 BUFFER, RENAMES = 1 << 18, 16
 #: bytes of a Parquet row group before compression
 GROUP = 32 << 20
+#: rows of a listing's batch, files that a task reads, and bytes of a batch of contents
+ROWS, FILES, BATCH = 10_000, 4_000, 4 << 20
 
 
 @dataclass
@@ -113,7 +118,7 @@ def _runs(names: list) -> Iterator[tuple[int, int]]:
 class _Writer(DataSourceArrowWriter):
     def __init__(self, options: dict, overwrite: bool) -> None:
         self.options = {"kind": "text", "between": "\n", "end": "\n", "exists": "replace", **options}
-        self.overwrite, self.job = overwrite, f"{ATTEMPTS}/{uuid.uuid4().hex}"
+        self.overwrite, self.job = overwrite, f"{ATTEMPTS}/{options.get('job') or uuid.uuid4().hex}"
 
     def store(self) -> tuple[Any, str]:
         """The file system of the path: any that Arrow knows by its address (a shared folder, HDFS, an object store)."""
@@ -144,6 +149,10 @@ class _Writer(DataSourceArrowWriter):
         from pyarrow import fs
 
         store, root = self.store()
+        if self.options.get("job"):  # tasks rename
+            with store.open_output_stream(f"{root}/{self.job}/done") as out:
+                out.write(json.dumps([m.folder for m in messages if m is not None and m.files]).encode())
+            return
         moves: dict[str, str] = {}
         for m in (m for m in messages if m is not None):
             for i, name in enumerate(json.loads(store.open_input_stream(f"{m.folder}/names").read())):
@@ -153,8 +162,7 @@ class _Writer(DataSourceArrowWriter):
                 moves[name] = f"{m.folder}/{i}"
         with ThreadPoolExecutor(RENAMES) as pool:
             if self.overwrite:
-                old = store.get_file_info(fs.FileSelector(root, allow_not_found=True))
-                list(pool.map(lambda f: store.delete_dir(f.path) if f.type == fs.FileType.Directory else store.delete_file(f.path), [f for f in old if f.base_name != ATTEMPTS]))
+                self.clear(store, root)
             elif self.options["exists"] == "skip":
                 moves = {n: p for n, p in moves.items() if store.get_file_info(f"{root}/{n}").type == fs.FileType.NotFound}
             list(pool.map(lambda d: store.create_dir(d, recursive=True), {posixpath.dirname(f"{root}/{n}") for n in moves}))
@@ -162,6 +170,52 @@ class _Writer(DataSourceArrowWriter):
         store.delete_dir(f"{root}/{self.job}")
         self._empty(store, root)
 
+    def clear(self, store: Any, root: str) -> None:
+        """Remove what was there before."""
+        from pyarrow import fs
+
+        old = store.get_file_info(fs.FileSelector(root, allow_not_found=True))
+        with ThreadPoolExecutor(RENAMES) as pool:
+            list(pool.map(lambda f: store.delete_dir(f.path) if f.type == fs.FileType.Directory else store.delete_file(f.path), [f for f in old if f.base_name != ATTEMPTS]))
+
+    def publish(self, spark: SparkSession) -> None:
+        """Give the files of the attempts that count their names: a task for each attempt, which may run again."""
+        store, root = self.store()
+        folders = json.loads(store.open_input_stream(f"{root}/{self.job}/done").read())
+        if self.overwrite:
+            self.clear(store, root)
+        address, skip = self.options["path"], self.options["exists"] == "skip" and not self.overwrite
+
+        def rename(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            from pyarrow import fs
+
+            store, root = fs.FileSystem.from_uri(address)
+            exists = lambda p: store.get_file_info(p).type != fs.FileType.NotFound
+            for b in batches:
+                for folder in b.column("folder").to_pylist():
+                    made: set[str] = set()
+                    for i, name in enumerate(json.loads(store.open_input_stream(f"{folder}/names").read())):
+                        old, new = f"{folder}/{i}", f"{root}/{name}"
+                        if skip and exists(new):
+                            continue
+                        if (parent := posixpath.dirname(new)) not in made:
+                            store.create_dir(parent, recursive=True)
+                            made.add(parent)
+                        try:
+                            store.move(old, new)
+                        except OSError:
+                            if exists(old) or not exists(new):  # else an earlier attempt of this task has renamed it
+                                raise
+                    yield pa.RecordBatch.from_pydict({"folder": [folder]})
+
+        try:
+            if folders:
+                rows = spark.createDataFrame([(f,) for f in folders], "folder string").repartition(len(folders))
+                rows.mapInArrow(rename, "folder string").write.format("noop").mode("overwrite").save()
+        finally:
+            store.delete_dir(f"{root}/{self.job}")
+            self._empty(store, root)
+
     def abort(self, messages: list[WriterCommitMessage | None]) -> None:
         from pyarrow import fs
 
@@ -204,14 +258,61 @@ def write_named(rows: DataFrame, path: str, file: Column | str, value: Column |
     named = rows.select(name.alias("file"), *content, *[c.alias(k) for k, c in keys.items()])
     kept = [c for c in named.columns if c not in keys]
     rows.sparkSession.dataSource.register(NamedFiles)
-    named.repartition("file").sortWithinPartitions("file", *keys).select(*kept).write.format(FORMAT).mode(mode).options(path=path, **options).save()
+    options = {**options, "path": path, "job": uuid.uuid4().hex}
+    named.repartition("file").sortWithinPartitions("file", *keys).select(*kept).write.format(FORMAT).mode(mode).options(**options).save()
+    _Writer(options, mode == "overwrite").publish(rows.sparkSession)
 
 
 def written(spark: SparkSession, path: str, suffix: str = "") -> DataFrame:
-    """(file, bytes): what is under ``path``, names relative to it; no contents are read."""
-    found = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", f"*{suffix}").load(path)
-    base = F.regexp_replace(F.lit(path), "^file:/+", "/")
-    return found.select(F.substr(F.regexp_replace("path", "^file:/+", "/"), F.length(base) + 2).alias("file"), F.col("length").alias("bytes"))
+    """(file, bytes): what is under ``path``, names relative to it; no contents are read. Tasks list, a folder each, level by level; names that begin with ``_`` or ``.`` are left out, as Spark does."""
+    from storyloom.plans.lineage import cut
+
+    def listed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from pyarrow import fs
+
+        store, root = fs.FileSystem.from_uri(path)
+        for b in batches:
+            for folder in b.column("folder").to_pylist():
+                found = store.get_file_info(fs.FileSelector(f"{root}/{folder}" if folder else root, allow_not_found=True))
+                for s in range(0, len(found), ROWS):
+                    own = [f for f in found[s : s + ROWS] if not (f.base_name.startswith(".") or f.base_name.startswith("_") and "=" not in f.base_name)]
+                    sizes = [None if f.type == fs.FileType.Directory else f.size for f in own]
+                    yield pa.RecordBatch.from_arrays([pa.array([f"{folder}/{f.base_name}" if folder else f.base_name for f in own], pa.string()), pa.array(sizes, pa.int64())], names=["file", "bytes"])
+
+    level, levels = spark.range(1).select(F.lit("").alias("folder")), []
+    while n := level.count():
+        levels.append(cut(level.repartition(min(n, 1000)).mapInArrow(listed, "file string, bytes long"), "listing"))
+        level = levels[-1].where("bytes is null").select(F.col("file").alias("folder"))
+    return reduce(DataFrame.unionByName, levels).where(F.col("bytes").isNotNull() & F.col("file").endswith(suffix))
+
+
+def read_files(spark: SparkSession, path: str, suffix: str = "") -> DataFrame:
+    """(file, content): the whole content of each file under ``path`` as text. Tasks read, each some thousand files or some MB; a batch holds ``BATCH`` bytes, or one file."""
+    files = written(spark, path, suffix)
+    total = files.agg(F.count("*").alias("n"), F.coalesce(F.sum("bytes"), F.lit(0)).alias("bytes")).first()
+    parts = max(1, -(-total["n"] // FILES), -(-total["bytes"] // GROUP))
+
+    def contents(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from pyarrow import fs
+
+        store, root = fs.FileSystem.from_uri(path)
+        names: list[str] = []
+        held: list[bytes] = []
+        size = 0
+        batch = lambda: pa.RecordBatch.from_arrays([pa.array(names, pa.string()), pa.array(held, pa.binary())], names=["file", "content"])
+        for b in batches:
+            for name in b.column("file").to_pylist():
+                with store.open_input_stream(f"{root}/{name}") as f:
+                    held.append(f.read())
+                names.append(name)
+                size += len(held[-1])
+                if size >= BATCH:
+                    yield batch()
+                    names, held, size = [], [], 0
+        yield batch()
+
+    read = files.select("file").repartition(parts, "file").mapInArrow(contents, "file string, content binary")
+    return read.select("file", F.col("content").cast("string").alias("content"))
 
 
 # what the engine writes

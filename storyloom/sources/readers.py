@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import posixpath
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from storyloom.functions.text import strip
 from storyloom.schemas import CHATML_ROW, TEXT_ROW
+from storyloom.sources import named
 
 CORRUPT = "_corrupt_record"
 
@@ -48,6 +51,19 @@ def read_whole_text(spark: SparkSession, path: str, suffix: str = ".txt", recurs
     return _named(files.withColumnRenamed("value", "text"), suffix)
 
 
+def read_named_texts(spark: SparkSession, path: str, suffix: str = ".txt") -> DataFrame:
+    """``read_whole_text`` of very many files, as ``named`` writes them: they are listed by tasks, so the driver holds none of their names. (book, file, stem, text)."""
+    at = F.split("file", "/")
+    file = F.element_at(at, -1)
+    book = F.when(F.size(at) > 1, F.element_at(at, -2)).otherwise(posixpath.basename(path.rstrip("/")))
+    return named.read_files(spark, path, suffix).select(book.alias("book"), file.alias("file"), F.left(file, F.length(file) - len(suffix)).alias("stem"), F.col("content").alias("text"))
+
+
+def read_named_documents(spark: SparkSession, path: str, schema: str, suffix: str) -> DataFrame:
+    """``read_json_documents`` of very many files. (book, file, stem) and the fields, null in unreadable ones."""
+    return read_named_texts(spark, path, suffix).select("book", "file", "stem", F.from_json("text", schema).alias("d")).select("book", "file", "stem", "d.*")
+
+
 def _named(files: DataFrame, suffix: str) -> DataFrame:
     # the metadata's address is that of a URI: spaces and percent signs are escaped, plus signs aren't
     at = F.url_decode(F.replace("_metadata.file_path", F.lit("+"), F.lit("%2B")))

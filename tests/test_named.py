@@ -126,3 +126,18 @@ def test_columns_of_clashing_names(spark, tmp_path):
     rows = spark.createDataFrame([(1, "a", "own", "x", 5), (2, "b", "own", "y", 4)], "id int, value string, file string, _file string, _order0 int")
     named.write_named(rows, str(tmp_path), F.concat("value", F.lit(".parquet")), None, ["id"])
     assert sorted(map(tuple, spark.read.parquet(str(tmp_path)).select("id", "value", "_file").collect())) == [(1, "a", "x"), (2, "b", "y")]
+
+
+def test_the_driver_lists_no_files_that_are_written_and_read(spark, tmp_path):
+    from storyloom.queries import outputs
+
+    for name in ("numbered_files", "scene_files", "segment_files"):
+        got = getattr(outputs, name)(spark, "/root/testdata/sf0.001")
+        assert not [f for f in got.inputFiles() if f.endswith((".txt", ".json"))]
+
+
+def test_files_are_read_whole_with_spark_rules_for_names(spark, tmp_path):
+    data = [("a/é 1+%.txt", "x\ny\r\n"), ("a/b.json", "{}"), ("_hidden.txt", "no"), (".dot.txt", "no"), ("top.txt", ""), ("_k=1/in.txt", "part")]
+    named.write_texts(spark.createDataFrame(data, "file string, text string"), f"file://{tmp_path}")
+    got = sorted(map(tuple, named.read_files(spark, f"file://{tmp_path}", ".txt").collect()))
+    assert got == [("_k=1/in.txt", "part"), ("a/é 1+%.txt", "x\ny\r\n"), ("top.txt", "")]
