@@ -1,4 +1,4 @@
-"""What the operators share: tables in the shared folder, batches of bounded size, bounded samples for fits."""
+"""What the operators share: tables in the shared folder, batches of bounded size."""
 
 from __future__ import annotations
 
@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from storyloom.plans.lineage import cut, new_path, remove, shared_dir
 
-__all__ = ["BATCH_ROWS", "bounded_sample", "new_path", "remove", "shared_dir", "source", "write_table"]
+__all__ = ["BATCH_ROWS", "new_path", "remove", "shared_dir", "source", "write_table"]
 
 #: rows that travel to a Python worker at once; Spark's own limit is of 10,000 rows, whatever their length
 BATCH_ROWS = 256
@@ -28,12 +28,3 @@ def small_batches(spark: SparkSession) -> None:
 def write_table(df: DataFrame, name: str, path: str | None = None) -> DataFrame:
     """Write ``df`` as Parquet in the shared folder and read it back. Removed when the application ends, or by ``remove``."""
     return cut(df, name, path)
-
-
-def bounded_sample(rows: DataFrame, key: str, most: int) -> DataFrame:
-    """At most ``most`` rows by the hash of ``key``; all if there are no more. Rows are taken where they are read, so no task or driver sorts or gathers more than these."""
-    n = rows.count()
-    if n > most:
-        share = int(0.9 * most / n * (1 << 31))
-        rows = rows.where(F.pmod(F.xxhash64(key), F.lit(1 << 31)) < share)
-    return rows.limit(most)

@@ -1,3 +1,4 @@
+import math
 import random
 import time
 import tracemalloc
@@ -669,3 +670,18 @@ def test_expectation_maximisation_finds_the_unreliable_labeler():
 
 def test_crc_of_no_ids():
     assert zlib.crc32(b"") == brute.crc([])
+
+
+def test_bands_come_from_all_labelled_documents(spark):
+    rng = random.Random(21)
+    word = lambda: "".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(rng.randint(3, 7)))
+    vocab = [word() for _ in range(3000)]
+    rows = [(i, " ".join(rng.choice(vocab) for _ in range(40))[: rng.randint(128, 159)]) for i in range(30_000)]
+    docs = frame(spark, rows).repartition(4)
+    labels = spark.createDataFrame([(i, 1, 0) for i, _ in rows], "doc_id long, quality int, toxic int").repartition(2)
+    bands, chunk = quality.fit_bands(docs, labels)
+    report = quality.quality_report(docs, labels).collect()
+    ratios = sorted(r.ratio for r in report if not r.base_failed)
+    at = lambda q: ratios[math.ceil(q * len(ratios)) - 1]
+    assert bands[0] == (128, max(0.35, 0.98 * at(0.002)), min(1.0, 1.02 * at(0.998))) and bands[0] != quality.BANDS[0]
+    assert all(r.kept == (not r.base_failed and quality.verdict(r.n_bytes, r.ratio, r.min_chunk, r.max_chunk, bands, chunk)) for r in report)
