@@ -214,10 +214,11 @@ def stream_progress(spark: SparkSession, d: str) -> DataFrame:
 def stream_events(spark: SparkSession, d: str) -> DataFrame:
     """The last event of a stream of three triggers, as a query listener has told it."""
     path, out, mark = new_path(spark, "in"), new_path(spark, "out"), new_path(spark, "mark")
-    _docs(spark, d).repartition(3).write.json(path)
+    each = int(spark.conf.get("spark.sql.shuffle.partitions"))  # files of a trigger, so that no task has a third of all
+    _docs(spark, d).repartition(3 * each).write.json(path)
     progress = Progress(spark)
     with progress.streams():
-        stream = streams.read_jsonl_stream(spark, path, "doc_id long, text string", files_per_trigger=1)
+        stream = streams.read_jsonl_stream(spark, path, "doc_id long, text string", files_per_trigger=each)
         stream.writeStream.queryName("documents").format("parquet").option("path", out).option("checkpointLocation", mark).trigger(availableNow=True).start().awaitTermination()
     last = F.max_by(F.struct("stage", "done", "total", "message"), "n").alias("e")
     return progress.rows().where("stage = 'documents'").agg(last).select("e.*")

@@ -333,3 +333,16 @@ def test_shard_names_beyond_999_in_sql_and_files(spark, tmp_path):
     con.sql(f"create view documents as select * from '{tmp_path}/documents.parquet/*.parquet'")
     assert got == sorted(con.sql(outputs.SQL["byte_shard_files"]).fetchall())
     assert ("en", "shard_1000.jsonl", 999) in got and ("en", "shard_007.jsonl", 6) in got
+
+
+def test_no_file_of_the_event_stream_has_a_third_of_the_documents(spark, monkeypatch):
+    from pyspark.sql import functions as F
+
+    from storyloom.plans.lineage import new_path
+    from storyloom.queries import files
+
+    seen = []
+    monkeypatch.setattr(files, "new_path", lambda s, name: seen.append(new_path(s, name)) or seen[-1])
+    files.stream_events(spark, "/root/testdata/sf0.001").collect()
+    rows = spark.read.json(seen[0]).groupBy(F.input_file_name()).count().collect()
+    assert len(rows) > 3 and max(r["count"] for r in rows) < 200 / 3
