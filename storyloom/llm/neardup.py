@@ -10,9 +10,9 @@
 4. In the buckets that are still open, members of different components meet by their signatures. Buckets that share members form a
    group (components of member-to-smallest-member edges); its members meet once, all together, or bucket by bucket, each pair
    in its first shared bucket only, whichever moves fewer rows. They meet by like size (cells of neighbouring size classes), those of the
-   cell's main component with the rest, and the rest with each other, dealt by hash into blocks of about ``SIGNED`` texts, two blocks a
-   task. A task returns a spanning forest of the pairs that may link. These forests make groups, which meet once more in the same way, now in
-   blocks of about ``block`` texts with their full sets; links are confirmed, and a task returns a spanning forest of them.
+   cell's main component with the rest, and the rest with each other, dealt by hash into blocks of about ``block`` texts, two blocks a
+   task. A task returns a spanning forest of the pairs that may link. These forests make groups, which meet once more in the same way, now with
+   their full sets, and in smaller blocks where these hold more than ``BYTES``; links are confirmed, and a task returns a spanning forest of them.
 5. Large-star and small-star join the components that these links connect.
 
 With 40 bands of 6 rows a pair at similarity 0.85 is missed with a chance under 1e-8. Signatures drop a pair only
@@ -42,8 +42,8 @@ from storyloom.llm.vectext import GRAM, U, Words, chunks, mix, record, stream
 
 #: rounds in which the members of open buckets meet one that their bucket picks
 PIVOTS = 1
-#: texts of a block that meet by their signatures
-SIGNED = 256
+#: texts of a block (some 450 bytes each without their sets), and bytes of a block's sets
+BLOCK, BYTES = 2048, 16 << 20
 #: minima of which the low byte is kept as a text's signature
 SIGNATURE = 128
 _SKETCH = pa.schema([("doc_id", pa.int64()), ("digest", pa.binary()), ("n_shingles", pa.int64()), ("bands", pa.list_(pa.int64())), ("sig", pa.binary())])
@@ -250,16 +250,17 @@ def _each_task(rows: DataFrame, percent: int, what: str) -> DataFrame:
     return keyed.repartition("task").sortWithinPartitions("task").mapInArrow(emit, "a binary, b binary")
 
 
-def _tasks(rows: DataFrame, percent: int, block: int) -> DataFrame:
-    """``rows`` (place, key, digest, n, comp) dealt to tasks: with ``cell``, ``upper``, ``block`` and a task's blocks ``lo`` and ``hi``."""
+def _tasks(rows: DataFrame, percent: int, block: int, full: bool = False) -> DataFrame:
+    """``rows`` (place, key, digest, n, comp) dealt to tasks: with ``cell``, ``upper``, ``block`` and a task's blocks ``lo`` and ``hi``. ``full``: sets come along, and a block holds ``BYTES`` of them at most, or one text."""
     step = 1.001 * math.log(100 / percent) if percent < 100 else 1e-9
     size_class = F.floor(F.log(F.col("n")) / step)
     # cell c compares texts of size class c with each other and with those of class c + 1
     two = F.array(F.struct(size_class.alias("cell"), F.lit(False).alias("upper")), F.struct((size_class - 1).alias("cell"), F.lit(True).alias("upper")))
     cells = write_table(rows.select("place", "key", "digest", "comp", "n", F.explode(two).alias("x")).select("place", "key", "digest", "comp", "n", "x.*"), "cells")
-    each = cells.groupBy("place", "cell", "comp").agg(F.count("*").alias("size"))
-    sizes = each.groupBy("place", "cell").agg(F.max(F.struct("size", "comp")).alias("main"), F.sum("size").alias("all")).where("all > main.size")
-    sizes = write_table(sizes.select("place", "cell", F.col("main.comp").alias("main"), F.ceil(F.col("main.size") / block).cast("int").alias("main_blocks"), F.ceil((F.col("all") - F.col("main.size")) / block).cast("int").alias("rest_blocks")), "sizes")
+    each = cells.groupBy("place", "cell", "comp").agg(F.count("*").alias("size"), F.max("n").alias("n"))
+    sizes = each.groupBy("place", "cell").agg(F.max(F.struct("size", "comp")).alias("main"), F.sum("size").alias("all"), F.max("n").alias("n")).where("all > main.size")
+    texts = F.least(F.lit(block), F.greatest(F.lit(1), F.floor(F.lit(BYTES // 8) / F.col("n")))) if full else F.lit(block)
+    sizes = write_table(sizes.select("place", "cell", F.col("main.comp").alias("main"), F.ceil(F.col("main.size") / texts).cast("int").alias("main_blocks"), F.ceil((F.col("all") - F.col("main.size")) / texts).cast("int").alias("rest_blocks")), "sizes")
     dealt = cells.join(sizes, ["place", "cell"]).withColumn("is_main", F.expr("comp = main"))
     dealt = dealt.withColumn("block", F.expr("case when is_main then rest_blocks + pmod(xxhash64(digest), main_blocks) else pmod(xxhash64(digest), rest_blocks) end").cast("int"))
     # the rest meets all blocks, the main component's blocks meet the rest's
@@ -281,13 +282,13 @@ def _open(members: DataFrame, near: DataFrame) -> DataFrame:
     return write_table(placed.join(write_table(several, "open"), "key"), "members")
 
 
-def _places(members: DataFrame) -> DataFrame:
+def _places(members: DataFrame, block: int) -> DataFrame:
     """(place, key, digest, n, comp): the members of each group of open buckets that share members, once (key null) or once for each bucket, whichever is fewer rows in blocks."""
     heads = write_table(members.groupBy("key").agg(F.min("digest").alias("head"), F.count("*").alias("size")), "open_heads")
     grp = write_table(connected_components(members.join(heads, "key").select(F.col("digest").alias("a"), F.col("head").alias("b")).distinct()), "buckets")
     own = write_table(members.join(grp, F.col("digest") == F.col("node")).select("key", "digest", "n", "comp", F.col("component").alias("grp")), "grouped")
     once = own.select("grp", "digest", "n", "comp").distinct()
-    blocks = lambda n: F.col(n) * F.ceil(F.col(n) / SIGNED)
+    blocks = lambda n: F.col(n) * F.ceil(F.col(n) / block)
     apart = own.groupBy("grp", "key").agg(F.count("*").alias("m")).groupBy("grp").agg(F.sum(blocks("m")).alias("apart"))
     together = once.groupBy("grp").agg(F.count("*").alias("m")).select("grp", blocks("m").alias("together"))
     split = write_table(apart.join(together, "grp").where("apart < together").select(F.col("grp").alias("g")), "split")
@@ -304,7 +305,7 @@ def _pivot_links(members: DataFrame, one: DataFrame, sets: DataFrame, percent: i
     return _confirmed(write_table(signed.mapInArrow(_similar(percent), "digest binary, p binary"), "similar"), sets, percent)
 
 
-def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = 85, shingle: int = 5, bands: int = 40, rows: int = 6, block: int = 128) -> DataFrame:
+def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = 85, shingle: int = 5, bands: int = 40, rows: int = 6, block: int = BLOCK) -> DataFrame:
     """(doc_id, n_shingles, component_id, kept) for each row of ``docs``."""
     src = source(docs, doc_id=(id_col, "long"), text=(text_col, "string"))
     sketch = write_table(src.mapInArrow(_sketch(shingle, bands, rows), "doc_id long, digest binary, n_shingles long, bands array<long>, sig binary"), "sketch")
@@ -330,10 +331,10 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
     comp = F.coalesce("component", "digest").alias("comp")
     marks = one.select("digest", "bands", "sig")
-    likely_pairs = _each_task(_tasks(_places(left), percent, SIGNED).join(marks, "digest"), percent, "candidates")
+    likely_pairs = _each_task(_tasks(_places(left, block), percent, block).join(marks, "digest"), percent, "candidates")
     groups = connected_components(likely_pairs).select(F.col("node").alias("digest"), F.hex("component").alias("place"), F.lit(None).cast("long").alias("key"))
     groups = groups.join(near.withColumnRenamed("component", "_c"), F.col("digest") == F.col("node"), "left").join(one.select("digest", "n"), "digest").select("place", "key", "digest", "n", F.coalesce("_c", "digest").alias("comp"))
-    links = _each_task(_tasks(write_table(groups, "groups"), percent, block).join(marks, "digest").join(sets, "digest"), percent, "links")
+    links = _each_task(_tasks(write_table(groups, "groups"), percent, block, full=True).join(marks, "digest").join(sets, "digest"), percent, "links")
 
     where = write_table(one.select("digest", "rep").join(near, F.col("digest") == F.col("node"), "left").select("digest", "rep", comp), "where")
     # an id with several texts links the components of all of them

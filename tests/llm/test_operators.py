@@ -100,6 +100,30 @@ def test_near_duplicates_in_a_large_group_with_blocks(spark):
     assert key((r.doc_id, r.n_shingles, r.component_id, r.kept) for r in got) == key(brute.near_duplicates(rows))
 
 
+def test_rows_dealt_to_blocks_follow_the_members_of_a_large_group(spark, monkeypatch):
+    """700 copies with 0 to 4 edits each: a member is dealt some four times, not once for each few hundred others."""
+    rng = random.Random(5)
+    base = [f"w{rng.randrange(1000)}" for _ in range(110)]
+    rows = []
+    for i in range(700):
+        w = list(base)
+        for _ in range(rng.randint(0, 4)):
+            w[rng.randrange(110)] = f"e{rng.randrange(10**6)}"
+        rows.append((i, " ".join(w)))
+    seen, tasks = [], neardup._tasks
+    monkeypatch.setattr(neardup, "_tasks", lambda r, *a, **k: seen.append((r.count(), (out := tasks(r, *a, **k)).count())) or out)
+    got = neardup.near_duplicates(frame(spark, rows)).collect()
+    assert len(seen) == 2 and seen[0][0] > 256 and all(dealt <= 4 * n for n, dealt in seen)
+    assert key((r.doc_id, r.n_shingles, r.component_id, r.kept) for r in got) == key(brute.near_duplicates(rows))
+
+
+def test_blocks_of_long_texts_hold_their_sets_within_bytes(spark):
+    long = neardup.BYTES // 8 // 10
+    rows = spark.range(100).select(F.lit("p").alias("place"), F.lit(None).cast("long").alias("key"), F.col("id").cast("string").cast("binary").alias("digest"), F.lit(long).cast("long").alias("n"), F.col("id").cast("string").cast("binary").alias("comp"))
+    texts = lambda **k: neardup._tasks(rows, 85, neardup.BLOCK, **k).where("lo = hi").groupBy("cell", "lo").count().agg(F.max("count")).first()[0]
+    assert texts() == 99 and texts(full=True) < 30
+
+
 def test_near_duplicates_of_ids_with_several_texts(spark):
     rng = random.Random(12)
     near = lambda t: " ".join("edited" if i == 30 else w for i, w in enumerate(t.split(" ")))
