@@ -13,8 +13,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 from typing import Any
 
-import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 from pyspark.sql.streaming.query import StreamingQuery
@@ -25,7 +24,7 @@ ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvi
 
 
 def _at(value: Any) -> int:
-    return FIRST if pd.isna(value) else int(value)
+    return FIRST if value is None else int(value)
 
 
 class RelationshipState(StatefulProcessor):
@@ -38,81 +37,67 @@ class RelationshipState(StatefulProcessor):
         self.opinion = handle.getValueState("opinion", "at long, opinion string")
         self.events = handle.getListState("events", "at long, event string")
 
-    def _say(self, at: int, opinion: str) -> None:
-        if not self.opinion.exists() or at >= self.opinion.get()[0]:
-            self.opinion.update((at, opinion))
-
-    def _known(self) -> str | None:
-        """The opinion; a pair of which nothing is said is kept without one, so that the state names it."""
-        if not self.opinion.exists():
-            self.opinion.update((FIRST, None))
-        return self.opinion.get()[1]
-
-    def handleInitialState(self, key: Any, initialState: pd.DataFrame, timerValues: Any) -> None:
-        for r in initialState.itertuples(index=False):
-            if isinstance(r.opinion, str) and r.opinion:
-                self._say(_at(r.opinion_at), r.opinion)
-            for e in r.events if r.events is not None else ():
-                self.events.appendValue((_at(e["at"]), e["event"]))
-        self._known()
-
-    def handleInputRows(self, key: Any, rows: Iterator[pd.DataFrame], timerValues: Any) -> Iterator[pd.DataFrame]:
-        for pdf in rows:
-            new = []
-            for at, opinion, event in zip(pdf[self.order], pdf["opinion"], pdf["new_event"], strict=True):
-                if isinstance(opinion, str) and opinion:
-                    self._say(_at(at), opinion)
-                if isinstance(event, str) and event:
-                    new.append((_at(at), event))
-            if new:
-                self.events.appendList(new)
-        opinion = self._known()
-        yield pd.DataFrame({**{k: [v] for k, v in zip(self.key, key, strict=True)}, "opinion": [opinion]})
+    def _add(self, said: list[tuple[int, str | None]], told: list[tuple[int, str]]) -> str | None:
+        """The opinion that counts now; a pair of which nothing is said is kept without one, so that the state names it."""
+        known = self.opinion.get()
+        now = known or (FIRST, None)
+        for at, opinion in said:
+            if opinion and (now[1] is None or at >= now[0]):
+                now = (at, opinion)
+        if known is None or tuple(known) != tuple(now):
+            self.opinion.update(tuple(now))
+        if told:
+            self.events.appendList(told)
+        return now[1]
+
+    def handleInitialState(self, key: Any, initialState: Row, timerValues: Any) -> None:
+        self._add([(_at(initialState["opinion_at"]), initialState["opinion"])], [(_at(e["at"]), e["event"]) for e in initialState["events"] or ()])
+
+    def handleInputRows(self, key: Any, rows: Iterator[Row], timerValues: Any) -> Iterator[Row]:
+        said, told = [], []
+        for r in rows:
+            said.append((_at(r[self.order]), r["opinion"]))
+            if r["new_event"]:
+                told.append((_at(r[self.order]), r["new_event"]))
+        yield Row(**dict(zip(self.key, key, strict=True)), opinion=self._add(said, told))
 
     def close(self) -> None:
         pass
 
 
 class ItemState(StatefulProcessor):
-    """An item's updates since its last removal, by order: what has gone before a removal no longer counts and is dropped."""
+    """An item's updates since its last removal, by order: what has gone before a removal no longer counts and is dropped.
+
+    All of it is one value, read and written once a trigger, so the talk with the state store goes by items, not by updates.
+    """
 
     def __init__(self, key: list[str], order: str) -> None:
         self.key, self.order = key, order
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.updates = handle.getMapState("updates", "at long, action string, new_state string", "n int")
-        self.removed = handle.getValueState("removed", "at long")
-
-    def _add(self, at: int, action: str, new: str) -> None:
-        last = self.removed.get()[0] if self.removed.exists() else None
-        if last is not None and at <= last:  # of one order the removal comes last
-            return
-        if action != "remove":
-            self.updates.updateValue((at, action, new), (1,))
-            return
-        for k in [tuple(k) for k in self.updates.keys()]:
-            if k[0] <= at:
-                self.updates.removeKey(k)
-        self.removed.update((at,))
-
-    def handleInitialState(self, key: Any, initialState: pd.DataFrame, timerValues: Any) -> None:
-        for r in initialState.itertuples(index=False):
-            if not pd.isna(r.removed):
-                self._add(int(r.removed), "remove", "")
-            for u in r.updates if r.updates is not None else ():
-                self._add(_at(u["at"]), u["action"], u["new_state"] or "")
-
-    def handleInputRows(self, key: Any, rows: Iterator[pd.DataFrame], timerValues: Any) -> Iterator[pd.DataFrame]:
-        for pdf in rows:
-            for at, action, new in zip(pdf[self.order], pdf["action"], pdf["new_state"], strict=True):
-                self._add(_at(at), action, new if isinstance(new, str) else "")
+        self.item = handle.getValueState("item", "removed long, at array<long>, action array<string>, new_state array<string>")
+
+    def _put(self, more: list[tuple[int, str, str]]) -> list[tuple[int, str, str]]:
+        """Add updates; those that count, in order."""
+        last, *columns = self.item.get() or (None, [], [], [])
+        updates = {*zip(*columns, strict=True), *(u for u in more if u[1] != "remove")}
+        last = max((at for at in (last, *(u[0] for u in more if u[1] == "remove")) if at is not None), default=None)
+        left = sorted(u for u in updates if last is None or u[0] > last)  # of one order the removal comes last
+        self.item.update((last, *([u[i] for u in left] for i in range(3))))
+        return left
+
+    def handleInitialState(self, key: Any, initialState: Row, timerValues: Any) -> None:
+        gone = initialState["removed"]
+        self._put([*([] if gone is None else [(int(gone), "remove", "")]), *((_at(u["at"]), u["action"], u["new_state"] or "") for u in initialState["updates"] or ())])
+
+    def handleInputRows(self, key: Any, rows: Iterator[Row], timerValues: Any) -> Iterator[Row]:
         held, state = False, ""
-        for _, action, new in sorted(tuple(k) for k in self.updates.keys()):
+        for _, action, n in self._put([(_at(r[self.order]), r["action"], r["new_state"] or "") for r in rows]):
             if not held:
-                held, state = True, new
-            elif action == "modify" and new:
-                state = new
-        yield pd.DataFrame({**{k: [v] for k, v in zip(self.key, key, strict=True)}, "held": [held], "state": [state]})
+                held, state = True, n
+            elif action == "modify" and n:
+                state = n
+        yield Row(**dict(zip(self.key, key, strict=True)), held=held, state=state)
 
     def close(self) -> None:
         pass
@@ -122,7 +107,7 @@ def _stream(blocks: DataFrame, processor: StatefulProcessor, key: list[str], out
     kinds = dict(blocks.dtypes)
     schema = ", ".join(f"{k} {kinds[k]}" for k in key) + f", {out}"
     begun = initial.groupBy(*key) if initial is not None else None
-    return blocks.groupBy(*key).transformWithStateInPandas(statefulProcessor=processor, outputStructType=schema, outputMode="Update", timeMode="None", initialState=begun)
+    return blocks.groupBy(*key).transformWithState(statefulProcessor=processor, outputStructType=schema, outputMode="Update", timeMode="None", initialState=begun)
 
 
 def relationship_stream(blocks: DataFrame, story: list[str], order: str, initial: DataFrame | None = None) -> DataFrame:
@@ -170,10 +155,8 @@ def items_of(spark: SparkSession, checkpoint: str, story: list[str]) -> DataFram
     """(story, character, item_name, removed, updates): the state of a query's last trigger."""
     key = [*story, "character", "item_name"]
     own = [F.col(f"key.{k}").alias(k) for k in key]
-    gone = _state(spark, checkpoint, "removed").select(*own, F.col("value.at").alias("removed"))
-    each = _state(spark, checkpoint, "updates").select(*own, F.struct(*[F.col(f"user_map_key.{c}").alias(c) for c in ("at", "action", "new_state")]).alias("u"))
-    listed = each.groupBy(*key).agg(F.array_sort(F.collect_list("u")).alias("updates"))
-    return gone.join(listed, key, "full").select(*key, "removed", F.coalesce("updates", F.array().cast("array<struct<at:bigint,action:string,new_state:string>>")).alias("updates"))
+    updates = F.arrays_zip(*[F.col(f"value.{c}").alias(c) for c in ("at", "action", "new_state")])
+    return _state(spark, checkpoint, "item").select(*own, F.col("value.removed").alias("removed"), updates.alias("updates"))
 
 
 def relationships(snapshot: DataFrame) -> DataFrame:

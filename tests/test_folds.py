@@ -3,6 +3,7 @@
 import random
 
 import pytest
+from pyspark.sql import Row
 from pyspark.sql import functions as F
 
 from storyloom.operators import state
@@ -110,3 +111,26 @@ def test_a_pair_of_which_nothing_is_said_is_kept(spark, tmp_path):
     folds.drain(folds.relationship_stream(streams.read_jsonl_stream(spark, source, BLOCKS), ["story"], "pos", folds.from_relationships(spark.createDataFrame([(9, "Ed", "Fay", None, [])], "story long, character string, target string, opinion string, events array<string>"))), f"{tmp_path}/b").awaitTermination()
     begun = folds.relationships(folds.relationships_of(spark, f"{tmp_path}/b", ["story"])).where("story = 9").select(*cols).collect()
     assert [tuple(r) for r in begun] == [(9, "Ed", "Fay", None, [])]
+
+
+def test_an_item_is_read_and_written_once_a_trigger():
+    class Value:
+        def __init__(self):
+            self.now, self.calls = None, []
+
+        def get(self):
+            self.calls.append("get")
+            return self.now
+
+        def update(self, v):
+            self.calls.append("update")
+            self.now = v
+
+    held = Value()
+    item = folds.ItemState(["story", "character", "item_name"], "pos")
+    item.init(type("Handle", (), {"getValueState": lambda self, *a: held})())
+    rows = [Row(pos=i, action=a, new_state=n) for i, a, n in ((5, "add", "x"), (9, "modify", "y"), (7, "remove", None), (9, "modify", "y"), (8, "add", "z"), (None, "add", "w"))]
+    assert [tuple(r) for r in item.handleInputRows((1, "c", "key"), iter(rows), None)] == [(1, "c", "key", True, "y")]
+    assert held.calls == ["get", "update"] and held.now == (7, [8, 9], ["add", "modify"], ["z", "y"])
+    assert [tuple(r) for r in item.handleInputRows((1, "c", "key"), iter([Row(pos=8, action="remove", new_state=None)]), None)] == [(1, "c", "key", True, "y")]
+    assert held.calls == ["get", "update"] * 2 and held.now == (8, [9], ["modify"], ["y"])
