@@ -6,6 +6,10 @@ theirs, are renamed, so a task that failed, ran twice or was lost leaves nothing
 ``write_named`` lets tasks rename, each the files of an attempt, so the driver knows attempts and no files; rows written through the format alone are renamed by its commit.
 ``written`` and ``read_files`` list and read in tasks, too.
 
+With ``spread`` a file may be many tasks': rows are dealt by ranges of name and order, each task writes pieces, and tasks copy the pieces to their places in
+the whole file, which gets its name once all of it is there. Of Parquet pieces the row groups are copied as they are; the driver joins their
+footers, some bytes a row group, and no rows. Other stores than a shared folder can't be written in the middle: there a file stays one task's.
+
 Defined results: a null value is an empty line; a null name, an empty one, an absolute one or one with ``..`` is refused; a name that two tasks have
 written is refused (rows must come clustered, as ``write_named`` makes them); existing files of other names stay unless the mode is overwrite, those of the
 same name are replaced, or kept with ``exists="skip"``; no rows give no files.
@@ -14,6 +18,7 @@ same name are replaced, or kept with ``exists="skip"``; no rows give no files.
 from __future__ import annotations
 
 import json
+import os
 import posixpath
 import uuid
 from collections.abc import Iterator
@@ -24,7 +29,7 @@ from typing import Any
 
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.datasource import DataSource, DataSourceArrowWriter, WriterCommitMessage
@@ -39,6 +44,8 @@ BUFFER, RENAMES = 1 << 18, 16
 GROUP = 32 << 20
 #: rows of a listing's batch, files that a task reads, and bytes of a batch of contents
 ROWS, FILES, BATCH = 10_000, 4_000, 4 << 20
+#: what a Parquet file begins and ends with
+MAGIC = b"PAR1"
 
 
 @dataclass
@@ -61,7 +68,7 @@ class _Sink:
     def __init__(self, store: Any, folder: str, options: dict) -> None:
         self.store, self.folder, self.options = store, folder, options
         self.names: list[str] = []
-        self.seen: set[int] = set()
+        self.sizes: list[int] = []  # of pieces: bytes of text, or of row groups
         self.out: Any = None
         self.parquet: Any = None
 
@@ -72,7 +79,8 @@ class _Sink:
         if self.options["kind"] == "parquet":
             import pyarrow.parquet as pq
 
-            self.parquet, self.held = pq.ParquetWriter(path, schema, filesystem=self.store, compression="zstd"), []
+            self.file = self.store.open_output_stream(path)
+            self.parquet, self.held = pq.ParquetWriter(self.file, schema, compression="zstd"), []
         else:
             self.out, self.first = self.store.open_output_stream(path, buffer_size=BUFFER), True
 
@@ -94,9 +102,13 @@ class _Sink:
         if self.parquet is not None:
             if self.held:
                 self.parquet.write_table(pa.Table.from_batches(self.held))
+            self.sizes.append(self.file.tell() - len(MAGIC))
             self.parquet.close()
+            self.file.close()
         elif self.out is not None:
-            self.out.write(self.options["end"].encode())
+            if not self.options.get("pieces"):
+                self.out.write(self.options["end"].encode())
+            self.sizes.append(self.out.tell())
             self.out.close()
         self.out = self.parquet = None
 
@@ -104,6 +116,9 @@ class _Sink:
         self.close()
         with self.store.open_output_stream(f"{self.folder}/names") as out:
             out.write(json.dumps(self.names).encode())
+        if self.options.get("pieces"):
+            with self.store.open_output_stream(f"{self.folder}/sizes") as out:
+                out.write(json.dumps(self.sizes).encode())
         return _Done(self.folder, len(self.names))
 
 
@@ -209,13 +224,83 @@ class _Writer(DataSourceArrowWriter):
                     yield pa.RecordBatch.from_pydict({"folder": [folder]})
 
         try:
-            if folders:
+            if folders and self.options.get("pieces"):
+                self._assemble(spark, folders)
+            elif folders:
                 rows = spark.createDataFrame([(f,) for f in folders], "folder string").repartition(len(folders))
                 rows.mapInArrow(rename, "folder string").write.format("noop").mode("overwrite").save()
         finally:
             store.delete_dir(f"{root}/{self.job}")
             self._empty(store, root)
 
+    def _assemble(self, spark: SparkSession, folders: list[str]) -> None:
+        """Put pieces together: a task for each piece copies it to its place, then one for each file ends and names it. Both may run again."""
+        from storyloom.plans.lineage import cut
+
+        store, root = self.store()
+        parquet, between, end = self.options["kind"] == "parquet", self.options["between"].encode(), self.options["end"].encode()
+        skip, job, address = self.options["exists"] == "skip" and not self.overwrite, f"{root}/{self.job}", self.options["path"]
+        gap, first = (0, len(MAGIC)) if parquet else (len(between), 0)
+
+        def listed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            from pyarrow import fs
+
+            store, _ = fs.FileSystem.from_uri(address)
+            for b in batches:
+                for folder in b.column("folder").to_pylist():
+                    part = int(posixpath.basename(folder).split("-")[0])
+                    names, sizes = (json.loads(store.open_input_stream(f"{folder}/{x}").read()) for x in ("names", "sizes"))
+                    n = len(names)
+                    yield pa.RecordBatch.from_pydict({"file": names, "part": [part] * n, "piece": [f"{folder}/{i}" for i in range(n)], "bytes": sizes}, schema=pa.schema([("file", pa.string()), ("part", pa.int64()), ("piece", pa.string()), ("bytes", pa.int64())]))
+
+        def copy(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for b in batches:
+                for p in b.to_pylist():
+                    whole = f"{job}/whole-{p['whole']}"
+                    with open(p["piece"], "rb") as src, os.fdopen(os.open(whole, os.O_WRONLY | os.O_CREAT, 0o644), "wb") as dst:
+                        src.seek(first)
+                        dst.seek(first + p["at"] - (gap if p["at"] else 0))
+                        dst.write(between if gap and p["at"] else b"")
+                        left = p["bytes"]
+                        while left:
+                            data = src.read(min(left, BATCH))
+                            if not data:
+                                raise OSError(f"{p['piece']} is shorter than it was")
+                            dst.write(data)
+                            left -= len(data)
+                yield b.select(["whole"])
+
+        own = Window.partitionBy("file").orderBy("part")
+        pieces = spark.createDataFrame([(f,) for f in folders], "folder string").repartition(len(folders)).mapInArrow(listed, "file string, part long, piece string, bytes long")
+        placed = pieces.withColumn("at", F.sum(F.col("bytes") + gap).over(own) - F.col("bytes") - gap).withColumn("whole", F.sha1("file"))
+        table = cut(placed, "pieces")
+        table.select("piece", "at", "bytes", "whole").repartition(len(folders), "piece").mapInArrow(copy, "whole string").write.format("noop").mode("overwrite").save()
+        ends = {}
+        if parquet:
+            for f in table.groupBy("file", "whole").agg(F.array_sort(F.collect_list(F.struct("part", "piece", "at", "bytes"))).alias("pieces")).toLocalIterator():
+                ends[f["whole"]] = _footer(spark, [(p["piece"], p["at"]) for p in f["pieces"]])
+        files = table.groupBy("file", "whole").agg((F.sum(F.col("bytes") + gap) - gap).alias("size"))
+
+        def name(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for b in batches:
+                for f in b.to_pylist():
+                    old, new = f"{job}/whole-{f['whole']}", f"{root}/{f['file']}"
+                    if os.path.exists(new) and (skip or not os.path.exists(old)):  # or an earlier attempt of this task has named it
+                        continue
+                    if os.path.getsize(old) < first + f["size"]:
+                        raise OSError(f"{f['file']} is not whole")
+                    with open(old, "r+b") as out:
+                        if parquet:
+                            out.write(MAGIC)
+                        out.seek(first + f["size"])
+                        out.write(ends.get(f["whole"], end))
+                        out.truncate()
+                    os.makedirs(posixpath.dirname(new), exist_ok=True)
+                    os.replace(old, new)
+                yield b.select(["file"])
+
+        files.repartition("file").mapInArrow(name, "file string").write.format("noop").mode("overwrite").save()
+
     def abort(self, messages: list[WriterCommitMessage | None]) -> None:
         from pyarrow import fs
 
@@ -233,6 +318,38 @@ class _Writer(DataSourceArrowWriter):
                 store.delete_dir(f"{root}/{ATTEMPTS}")
 
 
+def _footer(spark: SparkSession, pieces: list[tuple[str, int]]) -> bytes:
+    """The end of a Parquet file whose row groups are those of ``pieces`` (path and by how many bytes it moves), by Parquet's own library."""
+    jvm = spark._jvm
+    util, whole = jvm.org.apache.parquet.format.Util, None
+    for path, at in pieces:
+        with open(path, "rb") as f:
+            f.seek(-8, os.SEEK_END)
+            size = int.from_bytes(f.read(4), "little")
+            f.seek(-8 - size, os.SEEK_END)
+            meta = util.readFileMetaData(jvm.java.io.ByteArrayInputStream(f.read(size)))
+        for g in meta.getRow_groups():
+            g.unsetOrdinal()
+            if g.isSetFile_offset() and g.getFile_offset():
+                g.setFile_offset(g.getFile_offset() + at)
+            for c in g.getColumns():
+                m = c.getMeta_data()
+                m.setData_page_offset(m.getData_page_offset() + at)
+                if m.isSetDictionary_page_offset():
+                    m.setDictionary_page_offset(m.getDictionary_page_offset() + at)
+                if c.getFile_offset():
+                    c.setFile_offset(c.getFile_offset() + at)
+        if whole is None:
+            whole = meta
+        else:
+            whole.setNum_rows(whole.getNum_rows() + meta.getNum_rows())
+            whole.getRow_groups().addAll(meta.getRow_groups())
+    out = jvm.java.io.ByteArrayOutputStream()
+    util.writeFileMetaData(whole, out)
+    body = bytes(out.toByteArray())
+    return body + len(body).to_bytes(4, "little") + MAGIC
+
+
 class NamedFiles(DataSource):
     """Writes the column ``file``'s names under option ``path``: ``value`` as text (options ``between`` rows and ``end``), or the other columns as Parquet (option ``kind``)."""
 
@@ -244,10 +361,10 @@ class NamedFiles(DataSource):
         return _Writer(dict(self.options), overwrite)
 
 
-def write_named(rows: DataFrame, path: str, file: Column | str, value: Column | str | None = "value", order: list[str] | None = None, mode: str = "append", **options: str) -> None:
+def write_named(rows: DataFrame, path: str, file: Column | str, value: Column | str | None = "value", order: list[str] | None = None, mode: str = "append", spread: bool = False, **options: str) -> None:
     """Write ``rows`` to the files they name, each file's rows in order; without ``value`` as Parquet of the other columns.
 
-    A file is written by one task; its rows stream by. Give no file more than one task should write.
+    A file is written by one task; its rows stream by. Give no file more than one task should write, or ``spread`` it: then all tasks write all files, by ranges of the order (any, if none is given).
     """
     name = F.col(file) if isinstance(file, str) else file
     keys = {f"__order{i}": F.col(c) for i, c in enumerate(order or [])}
@@ -259,7 +376,14 @@ def write_named(rows: DataFrame, path: str, file: Column | str, value: Column |
     kept = [c for c in named.columns if c not in keys]
     rows.sparkSession.dataSource.register(NamedFiles)
     options = {**options, "path": path, "job": uuid.uuid4().hex}
-    named.repartition("file").sortWithinPartitions("file", *keys).select(*kept).write.format(FORMAT).mode(mode).options(**options).save()
+    if spread and (path.startswith("file:") or "://" not in path):
+        options["pieces"] = "yes"
+        if not keys:  # any order will do, so rows are dealt by where they come from
+            named, keys = named.withColumn("__order0", F.monotonically_increasing_id()), {"__order0": None}
+        dealt = named.repartitionByRange("file", *keys)
+    else:
+        dealt = named.repartition("file")
+    dealt.sortWithinPartitions("file", *keys).select(*kept).write.format(FORMAT).mode(mode).options(**options).save()
     _Writer(options, mode == "overwrite").publish(rows.sparkSession)
 
 
@@ -345,7 +469,7 @@ def write_row_parts(rows: DataFrame, path: str, stem: str, order: str, most: int
     single = most <= 0 or rows.limit(most + 1).count() <= most
     sharded = rows.withColumn("_shard", F.lit(0)) if single else row_shards(rows, most, order, "_shard")
     name = F.lit(f"{stem}.jsonl") if single else F.concat(F.lit(f"{stem}_part"), F.col("_shard").cast("string"), F.lit(".jsonl"))
-    write_named(sharded, path, name, F.to_json(F.struct(*rows.columns)), [order])
+    write_named(sharded, path, name, F.to_json(F.struct(*rows.columns)), [order], spread=single)
 
 
 def write_byte_shards(sharded: DataFrame, path: str, order: list[str], shard: str = "shard", part: str | None = None) -> None:
@@ -360,7 +484,7 @@ def write_train_files(rows: DataFrame, path: str, files: int = 1, order: list[st
     """``train-00000-of-00001.parquet``: rows dealt evenly to so many files."""
     number = F.pmod(F.monotonically_increasing_id(), F.lit(files)) if files > 1 else F.lit(0)
     name = F.concat(F.lit("train-"), F.lpad(number.cast("string"), 5, "0"), F.lit(f"-of-{files:05d}.parquet"))
-    write_named(rows, path, name, None, order, mode)
+    write_named(rows, path, name, None, order, mode, spread=True)
 
 
 def annotation_files(annotations: DataFrame) -> DataFrame:

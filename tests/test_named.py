@@ -6,6 +6,7 @@ import sys
 import textwrap
 from pathlib import Path
 
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
@@ -141,3 +142,37 @@ def test_files_are_read_whole_with_spark_rules_for_names(spark, tmp_path):
     named.write_texts(spark.createDataFrame(data, "file string, text string"), f"file://{tmp_path}")
     got = sorted(map(tuple, named.read_files(spark, f"file://{tmp_path}", ".txt").collect()))
     assert got == [("_k=1/in.txt", "part"), ("a/é 1+%.txt", "x\ny\r\n"), ("top.txt", "")]
+
+
+@pytest.mark.parametrize("kind", ["text", "parquet"])
+def test_one_file_is_many_tasks_work(spark, tmp_path, monkeypatch, kind):
+    """A spread file is written in pieces, none of which holds half of it, and reads like one that a task has written; a second, smaller one lies beside it."""
+    folders, assemble = [], named._Writer._assemble
+    monkeypatch.setattr(named._Writer, "_assemble", lambda self, s, f: folders.extend((p.stat().st_size for x in f for p in Path(x).iterdir() if p.name.isdigit())) or assemble(self, s, f))
+    before = spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    rows = spark.range(20_000).repartition(7).select(F.when(F.col("id") % 10 == 3, "b/x").otherwise("a").alias("name"), "id", F.when(F.col("id") % 7 > 0, F.concat(F.lit("é "), F.md5(F.col("id").cast("string")))).alias("value"), F.array("id", F.lit(None)).alias("list"))
+    try:
+        for spread in (False, True):
+            named.write_named(rows, f"file://{tmp_path}/{spread}", "name", None if kind == "parquet" else "value", ["id"], spread=spread)
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", before)
+    assert len(folders) >= 3 and max(folders) < sum(folders) / 2
+    for name in ("a", "b/x"):
+        one, many = (tmp_path / str(s) / name for s in (False, True))
+        if kind == "text":
+            assert one.read_bytes() == many.read_bytes()
+        else:
+            assert pq.read_table(one).equals(pq.read_table(many)) and pq.ParquetFile(many).num_row_groups > (name == "a")
+            got = spark.read.parquet(f"file://{many}").select("id", "value", F.col("_metadata.row_index").alias("n")).orderBy("n").collect()
+            assert [r.n for r in got] == list(range(len(got))) and [r.id for r in got] == sorted(r.id for r in got)
+    assert sorted(p.name for p in (tmp_path / "True").iterdir()) == ["a", "b"]
+
+
+def test_a_spread_file_keeps_the_modes(spark, tmp_path):
+    path = f"file://{tmp_path}/set"
+    for n, options in ((3, {}), (5, {"exists": "skip"}), (4, {"mode": "append"})):
+        named.write_named(spark.range(n).select(F.lit("f").alias("name"), F.col("id").cast("string").alias("value")), path, "name", order=["value"], spread=True, **options)
+        assert (tmp_path / "set/f").read_text().split() == [str(i) for i in range(4 if n == 4 else 3)]
+    named.write_named(spark.range(0).select(F.lit("f").alias("name"), F.col("id").cast("string").alias("value")), path, "name", mode="overwrite", spread=True)
+    assert not (tmp_path / "set/f").exists()
