@@ -14,6 +14,9 @@ def stream_fold(rows: DataFrame, part: list[str], order: list[str], schema: str,
 
     A key is one ordered chain, so it is one task's; its rows go by in Arrow batches.
     """
+    from storyloom.plans.lineage import small_batches
+
+    small_batches(rows.sparkSession)
     names = columns_of(schema)
 
     def apply(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:

@@ -5,12 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from storyloom.plans.lineage import cut, new_path, remove, shared_dir
+from storyloom.plans.lineage import BATCH_ROWS, cut, new_path, remove, shared_dir, small_batches
 
-__all__ = ["BATCH_ROWS", "new_path", "remove", "shared_dir", "source", "write_table"]
-
-#: rows that travel to a Python worker at once; Spark's own limit is of 10,000 rows, whatever their length
-BATCH_ROWS = 256
+__all__ = ["BATCH_ROWS", "new_path", "remove", "shared_dir", "small_batches", "source", "write_table"]
 
 
 def source(rows: DataFrame, **columns: tuple[str, str]) -> DataFrame:
@@ -19,12 +16,6 @@ def source(rows: DataFrame, **columns: tuple[str, str]) -> DataFrame:
     return rows.select(*[F.col(c).cast(kind).alias(name) for name, (c, kind) in columns.items()])
 
 
-def small_batches(spark: SparkSession) -> None:
-    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
-    if int(spark.conf.get(key)) > BATCH_ROWS or int(spark.conf.get(key)) <= 0:
-        spark.conf.set(key, str(BATCH_ROWS))
-
-
 def write_table(df: DataFrame, name: str, path: str | None = None) -> DataFrame:
     """Write ``df`` as Parquet in the shared folder and read it back. Removed when the application ends, or by ``remove``."""
     return cut(df, name, path)

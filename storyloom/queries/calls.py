@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from storyloom.plans.modelcalls import CANNED_PROMPT, Retrying, RuleModel, call_rows, summarise_once, system_prompt_or_canned
+from storyloom.plans.lineage import small_batches
 from storyloom.queries.common import table
 
 QUERIES: dict = {}
@@ -120,6 +121,7 @@ def call_summarise(spark: SparkSession, d: str) -> DataFrame:
         for f in frames:
             yield f.assign(summary=[summarise_once(RuleModel(), t) for t in f["text"]])[["doc_id", "summary"]]
 
+    small_batches(spark)
     return table(spark, d, "documents").select("doc_id", _text().alias("text")).mapInPandas(one, "doc_id long, summary string")
 
 
