@@ -193,7 +193,7 @@ def bounded_stream(spark: SparkSession, d: str) -> DataFrame:
     number = F.pmod("doc_id", F.lit(4))
     for part, prefix in enumerate(("m", "a")):
         own = _docs(spark, d).where(F.floor(number / 2) == part)
-        named.write_named(own, path, F.concat(F.lit(prefix), number.cast("string"), F.lit(".parquet")), None, ["doc_id"])
+        named.write_named(own, path, F.concat(F.lit(prefix), number.cast("string"), F.lit(".parquet")), None, ["doc_id"], spread=True)
         size = named.written(spark, path).agg(F.sum("bytes")).first()[0]
         streams.drain_bounded(spark, path, out, mark, "doc_id bigint, text string", max(1, size // 2))
     return spark.read.schema("doc_id long, text string").parquet(out).groupBy("doc_id", "text").agg(F.count("*").alias("n"))

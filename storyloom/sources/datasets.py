@@ -99,22 +99,24 @@ class _FileReader:
         yield from shuffled(rows, size, int(self.options.get("seed", 0)) * 1_000_003 + partition.number) if size > 0 else rows
 
 
+def _split(options: dict, file: str, size: int, groups: list[int] | None = None) -> list[tuple[str, list[int] | None]]:
+    """A file, or some row groups of it, as one partition; where they may hold more, one for each ``SPLIT`` bytes of row groups."""
+    if size <= SPLIT:
+        return [(file, groups)]
+    out, held, total, sizes = [], [], 0, _groups(options, file)
+    for i in range(len(sizes)) if groups is None else groups:
+        if held and total + sizes[i] > SPLIT:
+            out.append((file, held))
+            held, total = [], 0
+        held.append(i)
+        total += sizes[i]
+    return [*out, (file, held)]
+
+
 class _BatchReader(_FileReader, DataSourceReader):
     def partitions(self) -> list[InputPartition]:
         """A partition a file; a large file has one for each ``SPLIT`` bytes of row groups."""
-        out: list[tuple[str, list[int] | None]] = []
-        for file, size in _files(self.options).items():
-            if size <= SPLIT:
-                out.append((file, None))
-                continue
-            held, total = [], 0
-            for i, n in enumerate(_groups(self.options, file)):
-                if held and total + n > SPLIT:
-                    out.append((file, held))
-                    held, total = [], 0
-                held.append(i)
-                total += n
-            out.append((file, held))
+        out = [x for file, size in _files(self.options).items() for x in _split(self.options, file, size)]
         return [_Parts(i, f, g) for i, (f, g) in enumerate(out)]
 
 
@@ -129,7 +131,8 @@ class _NamesReader(_FileReader, DataSourceStreamReader):
 
     def partitions(self, start: dict, end: dict) -> list[InputPartition]:
         _unchanged(start["files"], end["files"])
-        return [_Parts(i, f) for i, f in enumerate(end["files"]) if f not in start["files"]]
+        new = [x for f, size in end["files"].items() if f not in start["files"] for x in _split(self.options, f, size)]
+        return [_Parts(i, f, g) for i, (f, g) in enumerate(new)]
 
     def commit(self, end: dict) -> None:
         pass
@@ -242,7 +245,8 @@ class _LogReader(_FileReader, DataSourceStreamReader):
         return {"number": log.last}
 
     def partitions(self, start: dict, end: dict) -> list[InputPartition]:
-        return [_Parts(i, e["file"], e["groups"]) for i, e in enumerate(TakenLog(self.options["log"]).between(start["number"], end["number"]))]
+        taken = [x for e in TakenLog(self.options["log"]).between(start["number"], end["number"]) for x in _split(self.options, e["file"], e["size"], e["groups"])]
+        return [_Parts(i, f, g) for i, (f, g) in enumerate(taken)]
 
     def commit(self, end: dict) -> None:
         pass
