@@ -37,13 +37,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from storyloom.llm.components import connected_components
-from storyloom.llm.runtime import source, write_table
+from storyloom.llm.runtime import counted, few, source, write_table
 from storyloom.llm.vectext import GRAM, U, Words, chunks, mix, record, stream
 
 #: rounds in which the members of open buckets meet one that their bucket picks
 PIVOTS = 1
 #: texts of a block (some 450 bytes each without their sets), and bytes of a block's sets
 BLOCK, BYTES = 2048, 16 << 20
+#: a row with a set counts as so many rows where tasks are dealt
+SET_ROWS = 20
 #: minima of which the low byte is kept as a text's signature
 SIGNATURE = 128
 _SKETCH = pa.schema([("doc_id", pa.int64()), ("digest", pa.binary()), ("n_shingles", pa.int64()), ("bands", pa.list_(pa.int64())), ("sig", pa.binary())])
@@ -250,17 +252,17 @@ def _each_task(rows: DataFrame, percent: int, what: str) -> DataFrame:
     return keyed.repartition("task").sortWithinPartitions("task").mapInArrow(emit, "a binary, b binary")
 
 
-def _tasks(rows: DataFrame, percent: int, block: int, full: bool = False) -> DataFrame:
-    """``rows`` (place, key, digest, n, comp) dealt to tasks: with ``cell``, ``upper``, ``block`` and a task's blocks ``lo`` and ``hi``. ``full``: sets come along, and a block holds ``BYTES`` of them at most, or one text."""
+def _tasks(rows: DataFrame, n_rows: int, percent: int, block: int, full: bool = False) -> DataFrame:
+    """``rows`` (place, key, digest, n, comp), at most ``n_rows``, dealt to tasks: with ``cell``, ``upper``, ``block`` and a task's blocks ``lo`` and ``hi``. ``full``: sets come along, and a block holds ``BYTES`` of them at most, or one text."""
     step = 1.001 * math.log(100 / percent) if percent < 100 else 1e-9
     size_class = F.floor(F.log(F.col("n")) / step)
     # cell c compares texts of size class c with each other and with those of class c + 1
     two = F.array(F.struct(size_class.alias("cell"), F.lit(False).alias("upper")), F.struct((size_class - 1).alias("cell"), F.lit(True).alias("upper")))
     cells = write_table(rows.select("place", "key", "digest", "comp", "n", F.explode(two).alias("x")).select("place", "key", "digest", "comp", "n", "x.*"), "cells")
-    each = cells.groupBy("place", "cell", "comp").agg(F.count("*").alias("size"), F.max("n").alias("n"))
+    each = few(cells.groupBy("place", "cell", "comp").agg(F.count("*").alias("size"), F.max("n").alias("n")), 2 * n_rows)
     sizes = each.groupBy("place", "cell").agg(F.max(F.struct("size", "comp")).alias("main"), F.sum("size").alias("all"), F.max("n").alias("n")).where("all > main.size")
     texts = F.least(F.lit(block), F.greatest(F.lit(1), F.floor(F.lit(BYTES // 8) / F.col("n")))) if full else F.lit(block)
-    sizes = write_table(sizes.select("place", "cell", F.col("main.comp").alias("main"), F.ceil(F.col("main.size") / texts).cast("int").alias("main_blocks"), F.ceil((F.col("all") - F.col("main.size")) / texts).cast("int").alias("rest_blocks")), "sizes")
+    sizes = write_table(few(sizes, 2 * n_rows).select("place", "cell", F.col("main.comp").alias("main"), F.ceil(F.col("main.size") / texts).cast("int").alias("main_blocks"), F.ceil((F.col("all") - F.col("main.size")) / texts).cast("int").alias("rest_blocks")), "sizes")
     dealt = cells.join(sizes, ["place", "cell"]).withColumn("is_main", F.expr("comp = main"))
     dealt = dealt.withColumn("block", F.expr("case when is_main then rest_blocks + pmod(xxhash64(digest), main_blocks) else pmod(xxhash64(digest), rest_blocks) end").cast("int"))
     # the rest meets all blocks, the main component's blocks meet the rest's
@@ -268,82 +270,86 @@ def _tasks(rows: DataFrame, percent: int, block: int, full: bool = False) -> Dat
     return dealt.select("place", "key", "cell", "digest", "comp", "n", "upper", "block", F.explode(pairs).alias("p")).select("place", "key", "cell", "digest", "comp", "n", "upper", "block", "p.*")
 
 
-def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """(a, b): the pairs (digest, p) that link on full sets."""
-    first = write_table(pairs.join(sets, "digest").select("digest", "p", F.col("shingles").alias("x")), "pairs")
+def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int, rows: int) -> DataFrame:
+    """(a, b): the pairs (digest, p), ``rows`` at most, that link on full sets."""
+    first = write_table(few(pairs.join(sets, "digest").select("digest", "p", F.col("shingles").alias("x")), SET_ROWS * rows), "pairs")
     both = first.join(sets.select(F.col("digest").alias("p"), F.col("shingles").alias("y")), "p").withColumn("both", F.size(F.array_intersect("x", "y")))
-    return both.where(f"100 * both >= {percent} * (size(x) + size(y) - both)").select(F.col("digest").alias("a"), F.col("p").alias("b"))
+    return few(both.where(f"100 * both >= {percent} * (size(x) + size(y) - both)").select(F.col("digest").alias("a"), F.col("p").alias("b")), SET_ROWS * rows)
 
 
-def _open(members: DataFrame, near: DataFrame) -> DataFrame:
-    """(key, digest, n, comp): members of buckets that hold several components."""
-    placed = write_table(members.join(near, F.col("digest") == F.col("node"), "left").select("key", "digest", "n", F.coalesce("component", "digest").alias("comp")), "placed")
-    several = placed.groupBy("key").agg((F.min("comp") < F.max("comp")).alias("open")).where("open").select("key")
-    return write_table(placed.join(write_table(several, "open"), "key"), "members")
+def _open(members: DataFrame, near: DataFrame, rows: int) -> tuple[DataFrame, int]:
+    """(key, digest, n, comp): members of buckets that hold several components, and their number; ``rows``: ``members`` at most."""
+    placed = write_table(few(members.join(near, F.col("digest") == F.col("node"), "left").select("key", "digest", "n", F.coalesce("component", "digest").alias("comp")), rows), "placed")
+    several = few(placed.groupBy("key").agg((F.min("comp") < F.max("comp")).alias("open")).where("open").select("key"), rows)
+    return counted(few(placed.join(write_table(several, "open"), "key"), rows), "members")
 
 
-def _places(members: DataFrame, block: int) -> DataFrame:
+def _places(members: DataFrame, block: int, rows: int) -> DataFrame:
     """(place, key, digest, n, comp): the members of each group of open buckets that share members, once (key null) or once for each bucket, whichever is fewer rows in blocks."""
-    heads = write_table(members.groupBy("key").agg(F.min("digest").alias("head"), F.count("*").alias("size")), "open_heads")
-    grp = write_table(connected_components(members.join(heads, "key").select(F.col("digest").alias("a"), F.col("head").alias("b")).distinct()), "buckets")
-    own = write_table(members.join(grp, F.col("digest") == F.col("node")).select("key", "digest", "n", "comp", F.col("component").alias("grp")), "grouped")
-    once = own.select("grp", "digest", "n", "comp").distinct()
+    heads = write_table(few(members.groupBy("key").agg(F.min("digest").alias("head"), F.count("*").alias("size")), rows), "open_heads")
+    grp = write_table(connected_components(members.join(heads, "key").select(F.col("digest").alias("a"), F.col("head").alias("b")).distinct(), rows=rows), "buckets")
+    own = write_table(few(members.join(grp, F.col("digest") == F.col("node")).select("key", "digest", "n", "comp", F.col("component").alias("grp")), rows), "grouped")
+    once = few(own.select("grp", "digest", "n", "comp").distinct(), rows)
     blocks = lambda n: F.col(n) * F.ceil(F.col(n) / block)
-    apart = own.groupBy("grp", "key").agg(F.count("*").alias("m")).groupBy("grp").agg(F.sum(blocks("m")).alias("apart"))
+    apart = few(own.groupBy("grp", "key").agg(F.count("*").alias("m")), rows).groupBy("grp").agg(F.sum(blocks("m")).alias("apart"))
     together = once.groupBy("grp").agg(F.count("*").alias("m")).select("grp", blocks("m").alias("together"))
-    split = write_table(apart.join(together, "grp").where("apart < together").select(F.col("grp").alias("g")), "split")
+    split = write_table(few(few(apart, rows).join(few(together, rows), "grp").where("apart < together").select(F.col("grp").alias("g")), rows), "split")
     whole = once.join(split, F.col("grp") == F.col("g"), "left_anti").select(F.hex("grp").alias("place"), F.lit(None).cast("long").alias("key"), "digest", "n", "comp")
-    return whole.unionByName(own.join(split, F.col("grp") == F.col("g"), "left_semi").select(F.concat(F.lit("bucket "), F.col("key").cast("string")).alias("place"), "key", "digest", "n", "comp"))
+    return few(whole.unionByName(own.join(split, F.col("grp") == F.col("g"), "left_semi").select(F.concat(F.lit("bucket "), F.col("key").cast("string")).alias("place"), "key", "digest", "n", "comp")), rows)
 
 
-def _pivot_links(members: DataFrame, one: DataFrame, sets: DataFrame, percent: int, seed: int) -> DataFrame:
+def _pivot_links(members: DataFrame, one: DataFrame, sets: DataFrame, percent: int, seed: int, rows: int) -> DataFrame:
     """(a, b): members that link with the one of another component that their bucket picks."""
     pick = F.min(F.struct(F.xxhash64("digest", "key", F.lit(seed)).alias("h"), F.col("digest").alias("p"), F.col("n").alias("p_n"), F.col("comp").alias("p_comp")))
-    picked = write_table(members.groupBy("key").agg(pick.alias("x")).select("key", "x.*").drop("h"), "picked")
+    picked = write_table(few(members.groupBy("key").agg(pick.alias("x")).select("key", "x.*").drop("h"), rows), "picked")
     pairs = members.join(picked, "key").where("comp <> p_comp").where(f"100 * least(n, p_n) >= {percent} * greatest(n, p_n)").select("digest", "p").distinct()
-    signed = pairs.join(one.select("digest", "sig"), "digest").join(one.select(F.col("digest").alias("p"), F.col("sig").alias("p_sig")), "p")
-    return _confirmed(write_table(signed.mapInArrow(_similar(percent), "digest binary, p binary"), "similar"), sets, percent)
+    signed = few(pairs, rows).join(one.select("digest", "sig"), "digest").join(one.select(F.col("digest").alias("p"), F.col("sig").alias("p_sig")), "p")
+    likely, n = counted(few(signed, rows).mapInArrow(_similar(percent), "digest binary, p binary"), "similar")
+    return _confirmed(likely, sets, percent, n)
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = 85, shingle: int = 5, bands: int = 40, rows: int = 6, block: int = BLOCK) -> DataFrame:
     """(doc_id, n_shingles, component_id, kept) for each row of ``docs``."""
     src = source(docs, doc_id=(id_col, "long"), text=(text_col, "string"))
-    sketch = write_table(src.mapInArrow(_sketch(shingle, bands, rows), "doc_id long, digest binary, n_shingles long, bands array<long>, sig binary"), "sketch")
+    sketch, n_docs = counted(src.mapInArrow(_sketch(shingle, bands, rows), "doc_id long, digest binary, n_shingles long, bands array<long>, sig binary"), "sketch")
     named = sketch.where("digest is not null and doc_id is not null")
-    one = write_table(named.groupBy("digest").agg(F.min("doc_id").alias("rep"), F.first("n_shingles").alias("n"), F.first("bands").alias("bands"), F.first("sig").alias("sig")), "texts")
+    one = named.groupBy("digest").agg(F.min("doc_id").alias("rep"), F.first("n_shingles").alias("n"), F.first("bands").alias("bands"), F.first("sig").alias("sig"))
+    one, n_texts = counted(few(one, SET_ROWS * n_docs), "texts")
     members = one.select("digest", "n", F.explode("bands").alias("key"))
     least = F.min(F.struct("digest", "n"))
     heads = members.groupBy("key").agg(least.alias("x"), F.count("*").alias("size")).where("size > 1").select("key", F.col("x.digest").alias("head"), F.col("x.n").alias("head_n"), "size")
-    heads = write_table(heads, "heads")
-    shared = write_table(members.join(heads.select("key"), "key"), "members")
-    reps = shared.select("digest").distinct().join(one.select("digest", "rep"), "digest").select(F.col("rep").alias("doc_id")).distinct()
+    heads = write_table(few(heads, bands * n_texts), "heads")
+    shared, n_shared = counted(few(members.join(heads.select("key"), "key"), bands * n_texts), "members")
+    reps = few(few(shared.select("digest").distinct(), n_texts).join(one.select("digest", "rep"), "digest").select(F.col("rep").alias("doc_id")).distinct(), n_texts)
     # an id's other texts come along, and repeated rows; one set for each text
-    sets = src.join(reps, "doc_id", "left_semi").mapInArrow(_sets(shingle), "digest binary, shingles array<long>")
-    sets = write_table(sets.where("size(shingles) > 0").groupBy("digest").agg(F.first("shingles").alias("shingles")), "sets")
-    stars = shared.join(heads, "key").where("digest <> head").where(f"100 * least(n, head_n) >= {percent} * greatest(n, head_n)").select("digest", F.col("head").alias("p")).distinct()
-    near = write_table(connected_components(_confirmed(stars, sets, percent)), "near")
+    sets = few(src.join(reps, "doc_id", "left_semi"), SET_ROWS * n_docs).mapInArrow(_sets(shingle), "digest binary, shingles array<long>")
+    sets = write_table(few(sets.where("size(shingles) > 0").groupBy("digest").agg(F.first("shingles").alias("shingles")), SET_ROWS * n_docs), "sets")
+    stars = shared.join(heads, "key").where("digest <> head").where(f"100 * least(n, head_n) >= {percent} * greatest(n, head_n)").select("digest", F.col("head").alias("p"))
+    stars = few(few(stars, n_shared).distinct(), n_shared)
+    near = write_table(connected_components(_confirmed(stars, sets, percent, n_shared), rows=n_shared), "near")
     # pairs with a bucket's smallest member are done
-    left = _open(shared.join(heads.where("size > 2"), "key").where("digest <> head").select("key", "digest", "n"), near)
+    left, n_left = _open(few(shared.join(heads.where("size > 2"), "key").where("digest <> head").select("key", "digest", "n"), n_shared), near, n_shared)
     for seed in range(PIVOTS):
-        more = _pivot_links(left, one, sets, percent, seed)
-        near = write_table(connected_components(more.unionByName(near.select(F.col("node").alias("a"), F.col("component").alias("b")))), "near")
-        left = _open(left.drop("comp"), near)
+        more = _pivot_links(left, one, sets, percent, seed, n_left)
+        near = write_table(connected_components(more.unionByName(near.select(F.col("node").alias("a"), F.col("component").alias("b"))), rows=n_left + n_texts), "near")
+        left, n_left = _open(left.drop("comp"), near, n_left)
 
     comp = F.coalesce("component", "digest").alias("comp")
     marks = one.select("digest", "bands", "sig")
-    likely_pairs = _each_task(_tasks(_places(left, block), percent, block).join(marks, "digest"), percent, "candidates")
+    likely_pairs = _each_task(_tasks(_places(left, block, n_left), n_left, percent, block).join(marks, "digest"), percent, "candidates")
     groups = connected_components(likely_pairs).select(F.col("node").alias("digest"), F.hex("component").alias("place"), F.lit(None).cast("long").alias("key"))
-    groups = groups.join(near.withColumnRenamed("component", "_c"), F.col("digest") == F.col("node"), "left").join(one.select("digest", "n"), "digest").select("place", "key", "digest", "n", F.coalesce("_c", "digest").alias("comp"))
-    links = _each_task(_tasks(write_table(groups, "groups"), percent, block, full=True).join(marks, "digest").join(sets, "digest"), percent, "links")
+    groups = few(groups.join(near.withColumnRenamed("component", "_c"), F.col("digest") == F.col("node"), "left").join(one.select("digest", "n"), "digest").select("place", "key", "digest", "n", F.coalesce("_c", "digest").alias("comp")), n_texts)
+    groups, n_groups = counted(groups, "groups")
+    links = _each_task(_tasks(groups, n_groups, percent, block, full=True).join(marks, "digest").join(sets, "digest"), percent, "links")
 
-    where = write_table(one.select("digest", "rep").join(near, F.col("digest") == F.col("node"), "left").select("digest", "rep", comp), "where")
+    where = write_table(few(one.select("digest", "rep").join(near, F.col("digest") == F.col("node"), "left").select("digest", "rep", comp), n_texts), "where")
     # an id with several texts links the components of all of them
-    several = named.groupBy("doc_id").agg(F.min("digest").alias("x"), F.max("digest").alias("y")).where("x <> y").select("doc_id")
-    own = write_table(named.select("doc_id", "digest").join(several, "doc_id").join(where.select("digest", "comp"), "digest").select("doc_id", "comp").distinct(), "own")
-    own = own.join(own.groupBy("doc_id").agg(F.min("comp").alias("b")), "doc_id").select(F.col("comp").alias("a"), "b")
-    wide = connected_components(links.unionByName(own))
-    joined = write_table(where.join(wide, F.col("comp") == F.col("node"), "left").select("digest", "rep", F.coalesce("component", "comp").alias("comp")), "joined")
-    least_id = write_table(joined.groupBy("comp").agg(F.min("rep").alias("component_id")), "least")
-    named_by = write_table(joined.join(least_id, "comp").select("digest", "component_id"), "named")
+    several = few(named.groupBy("doc_id").agg(F.min("digest").alias("x"), F.max("digest").alias("y")).where("x <> y").select("doc_id"), n_docs)
+    own = write_table(few(named.select("doc_id", "digest").join(several, "doc_id").join(where.select("digest", "comp"), "digest").select("doc_id", "comp").distinct(), n_docs), "own")
+    own = own.join(few(own.groupBy("doc_id").agg(F.min("comp").alias("b")), n_docs), "doc_id").select(F.col("comp").alias("a"), "b")
+    wide = connected_components(links.unionByName(few(own, n_docs)))
+    joined = write_table(few(where.join(wide, F.col("comp") == F.col("node"), "left").select("digest", "rep", F.coalesce("component", "comp").alias("comp")), n_texts), "joined")
+    least_id = write_table(few(joined.groupBy("comp").agg(F.min("rep").alias("component_id")), n_texts), "least")
+    named_by = write_table(few(joined.join(least_id, "comp").select("digest", "component_id"), n_texts), "named")
     out = sketch.join(named_by, "digest", "left").select("doc_id", "n_shingles", F.when(F.col("digest").isNull(), F.col("doc_id")).when(F.col("doc_id").isNotNull(), F.col("component_id")).alias("component_id"))
     return out.withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))

@@ -709,3 +709,25 @@ def test_bands_come_from_all_labelled_documents(spark):
     at = lambda q: ratios[math.ceil(q * len(ratios)) - 1]
     assert bands[0] == (128, max(0.35, 0.98 * at(0.002)), min(1.0, 1.02 * at(0.998))) and bands[0] != quality.BANDS[0]
     assert all(r.kept == (not r.base_failed and quality.verdict(r.n_bytes, r.ratio, r.min_chunk, r.max_chunk, bands, chunk)) for r in report)
+
+
+def test_tasks_of_near_duplicates_follow_the_rows_and_not_the_shuffle_partitions(spark):
+    conf = {"spark.sql.shuffle.partitions": "97", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {k: spark.conf.get(k) for k in conf}
+    words = [f"w{i}" for i in range(60)]
+    docs = [(i, " ".join([*words, f"x{i}"])) for i in range(140)]
+    frame = spark.createDataFrame(docs, "doc_id long, text string")
+    sc = spark.sparkContext
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        sc.setJobGroup("near-dup-tasks", "")
+        got = {r.doc_id: r.component_id for r in neardup.near_duplicates(frame).collect()}
+        stages = [sc.statusTracker().getStageInfo(s) for j in sc.statusTracker().getJobIdsForGroup("near-dup-tasks") for s in sc.statusTracker().getJobInfo(j).stageIds]
+    finally:
+        sc.setLocalProperty("spark.jobGroup.id", None)
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert got == {i: 0 for i in range(140)}
+    # a stage that only counts, joins or writes does not take the 97 tasks
+    assert sum(s.numCompletedTasks >= 97 for s in stages if s) <= 20
