@@ -80,7 +80,7 @@ FROM lines WHERE doc_id NOT IN (SELECT doc_id FROM many) GROUP BY doc_id, pos //
 def fallback_trigger(spark: SparkSession, d: str) -> DataFrame:
     """Islands of lines, but 2/5 blocks where they give a single block."""
     rows = doc_lines(spark, d).withColumn("is_dialogue", F.length("line") % 5 == 0).withColumn("speaker", F.lit("P"))
-    return ms.with_fallback(ms.roleplay_blocks(rows, "doc_id", "P"), ms.fallback_blocks(doc_lines(spark, d), "doc_id"), "doc_id")
+    return ms.roleplay_or_fallback(rows, "doc_id", "P")
 
 
 @query(f"""WITH {_D}, k AS (SELECT *, CASE WHEN role = 'system' AND lag(role) OVER w = 'system' THEN 0 ELSE 1 END AS n FROM t WINDOW w AS (PARTITION BY conv_id ORDER BY pos)),

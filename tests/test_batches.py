@@ -30,3 +30,16 @@ def test_a_processor_sees_few_rows_at_once(spark, ten_thousand):
     assert steps.process_rows(rows, lambda r: r).count() == 3000
     seen = steps.process_rows(rows, lambda r: r).mapInPandas(lambda frames: (f[:1].assign(doc_id=len(f)) for f in frames), rows.schema)
     assert max(r.doc_id for r in seen.collect()) <= BATCH_ROWS
+
+
+def test_blocks_with_their_fallback_read_the_lines_once(spark, tmp_path):
+    from __spark_entry__ import queries
+    from storyloom.operators import messages as ms
+
+    rows = [(1, p, f"a{p}", p % 3 == 0, "P") for p in range(16)] + [(2, p, f"b{p}", False, None) for p in range(16)] + [(3, 0, "c", True, "P")] + [(4, p, f"d{p}", True, "P" if p else None) for p in range(3)]
+    lines = spark.createDataFrame(rows, "doc_id long, pos long, line string, is_dialogue boolean, speaker string")
+    apart = ms.with_fallback(ms.roleplay_blocks(lines, "doc_id", "P").select("doc_id", "pos", "role", "content"), ms.fallback_blocks(lines, "doc_id").select("doc_id", "pos", "role", "content"), "doc_id")
+    assert sorted(map(tuple, ms.roleplay_or_fallback(lines, "doc_id", "P").select("doc_id", "pos", "role", "content").collect())) == sorted(map(tuple, apart.collect()))
+    spark.createDataFrame([(1, "a\nbb\nccccc")], "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    plan = queries()["fallback_trigger"](spark, str(tmp_path))._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Relation") == 1
