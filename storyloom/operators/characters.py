@@ -2,15 +2,16 @@
 
 from __future__ import annotations
 
-from collections import Counter, defaultdict
+from collections import defaultdict
 from collections.abc import Iterator
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from storyloom.functions.ordered import stream_fold
 from storyloom.functions.text import strip
+from storyloom.plans.lineage import BATCH_ROWS
 
 # fixed values: words that are no names
 PRONOUNS = (
@@ -29,13 +30,16 @@ VAGUE = (
     "夫人",
 )
 MOST_ALIASES, PATIENCE = 6, 5
+#: a longer text is none of the words above, with a mark before it or behind
+LONGEST_WORD = max(map(len, (*PRONOUNS, *KINSHIP, *VAGUE))) + 3
 
 
 def is_name(c: Column) -> Column:
     """Whether a trimmed text is a name: no pronoun, no bare kinship term, no vague description."""
     words = lambda w: F.array(*[F.lit(x) for x in w])
-    vague = F.exists(words(VAGUE), lambda k: F.contains(c, k) & (F.length(c) <= F.length(k) + 1))
-    return (c != "") & ~c.isin(*PRONOUNS) & ~c.rlike(f"^[的之]?({'|'.join(KINSHIP)})$") & ~vague
+    vague = (F.length(c) <= max(map(len, VAGUE)) + 1) & F.exists(words(VAGUE), lambda k: F.contains(c, k) & (F.length(c) <= F.length(k) + 1))
+    fit = ~c.isin(*PRONOUNS) & ~c.rlike(f"^[的之]?({'|'.join(KINSHIP)})$") & ~vague
+    return (c != "") & ((F.length(c) > LONGEST_WORD) | fit)
 
 
 def valid_names(names: Column | str) -> Column:
@@ -83,35 +87,43 @@ class Groups:
         self.over: list[int] = []
         self.large: set[int] = set()
         self.whole: dict[str, set[int]] = defaultdict(set)
-        self.part: dict[str, Counter] = defaultdict(Counter)
+        self.part: dict[str, dict[int, int]] = {}
         self.long: dict[str, set[int]] = defaultdict(set)
 
-    def _scores(self, new: list[str]) -> Counter:
-        """``share_score`` of the groups that have any."""
-        out: Counter = Counter()
+    def _scores(self, new: list[str], stretches: dict[str, set[str]]) -> dict[int, int]:
+        """``share_score`` of the groups that have any. ``stretches``: the parts of each short name."""
+        out: dict[int, int] = {}
         for y in new:
-            short = len(y) <= PARTS
             if len(y) == 1:
-                out.update(dict.fromkeys(self.whole.get(y, ()), 1))
+                for g in self.whole.get(y, ()):
+                    out[g] = out.get(g, 0) + 1
                 continue
-            out.update(self.part.get(y, {}))  # names that hold y, itself too
+            for g, n in self.part.get(y, {}).items():  # names that hold y, itself too
+                out[g] = out.get(g, 0) + n
             for x, groups in self.long.items():
                 if y in x or x in y:
-                    out.update(dict.fromkeys(groups, 1))
-            stretches = parts(y) if short else {y[i : i + n] for n in range(2, PARTS + 1) for i in range(len(y) - n + 1)}
-            for x in stretches:
-                if x != y and x in self.whole and len(x) <= PARTS:
-                    out.update(dict.fromkeys(self.whole[x], 1))
+                    for g in groups:
+                        out[g] = out.get(g, 0) + 1
+            own = stretches[y] if len(y) <= PARTS else {y[i : i + n] for n in range(2, PARTS + 1) for i in range(len(y) - n + 1)}
+            # the parts that are names: found without a step of Python for each part
+            for x in own & self.whole.keys():
+                if x != y and len(x) > 1:
+                    for g in self.whole[x]:
+                        out[g] = out.get(g, 0) + 1
         return out
 
-    def _enter(self, g: int, name: str) -> None:
+    def _enter(self, g: int, name: str, stretches: dict[str, set[str]]) -> None:
         self.names[g][name] = None
         if len(name) > PARTS:
             self.long[name].add(g)
             return
         self.whole[name].add(g)
-        for x in parts(name):
-            self.part[x][g] += 1
+        for x in stretches[name]:
+            held = self.part.get(x)
+            if held is None:
+                self.part[x] = {g: 1}
+            else:
+                held[g] = held.get(g, 0) + 1
 
     def _leave(self, g: int, name: str) -> None:
         del self.names[g][name], self.freq[g][name]
@@ -120,14 +132,18 @@ class Groups:
             return
         self.whole[name].discard(g)
         for x in parts(name):
-            self.part[x][g] -= 1
-            if not self.part[x][g]:
-                del self.part[x][g]
+            held = self.part[x]
+            held[g] -= 1
+            if not held[g]:
+                del held[g]
+            if not held:
+                del self.part[x]
 
     def add(self, new: list[str], freq: dict[str, int]) -> None:
         if not new:
             return
-        best = max(self._scores(new).items(), key=lambda x: (x[1], -x[0]), default=None)
+        stretches = {n: parts(n) for n in new if len(n) <= PARTS}
+        best = max(self._scores(new, stretches).items(), key=lambda x: (x[1], -x[0]), default=None)
         if best is None:
             self.names.append({})
             self.freq.append({})
@@ -136,7 +152,7 @@ class Groups:
         for n in new:
             self.freq[g][n] = self.freq[g].get(n, 0) + freq.get(n, 1)
             if n not in self.names[g]:
-                self._enter(g, n)
+                self._enter(g, n, stretches)
         if len(self.names[g]) > MOST_ALIASES:
             self.large.add(g)
 
@@ -154,38 +170,58 @@ class Groups:
                 self.large.discard(g)
 
 
-def name_groups(mentions: DataFrame, book: str = "book", segment: str = "segment", pos: str = "pos") -> DataFrame:
-    """(book, grp, name, freq, over): character groups of each book from mentions (segment, pos, names, freqs map).
+def group_lists(mentions: DataFrame, book: str = "book", segment: str = "segment", pos: str = "pos") -> DataFrame:
+    """(book, grp, names, freqs, over): character groups of each book from mentions (segment, pos, names, freqs map), a row for each group. Names are valid ones, each once in a mention.
 
-    The best match depends on the groups so far, so each book is one ordered fold. Its mentions stream by in order and only its groups are held;
-    names are cleaned before, in the JVM.
+    The best match depends on the groups so far, so each book is one ordered fold. Its mentions stream by in order and only its groups are held.
     """
 
-    def fold(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        g, key, last = Groups(), None, None
+    def lists(column: pa.ListArray) -> list[list]:
+        at, values = column.offsets.to_pylist(), column.values.to_pylist()
+        return [values[i:j] for i, j in zip(at, at[1:], strict=False)]
+
+    def fold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        g, key, last, kind = Groups(), None, None, None
+        out: list[tuple] = []
+
+        def table(rows: list[tuple]) -> pa.RecordBatch:
+            kinds = (kind, pa.int32(), pa.list_(pa.string()), pa.list_(pa.int32()), pa.int32())
+            return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), kinds, strict=True)], [book, "grp", "names", "freqs", "over"])
 
-        def rows() -> pd.DataFrame:
-            found = [(key, i, n, g.freq[i].get(n, 0), g.over[i]) for i, names in enumerate(g.names) for n in names]
-            return pd.DataFrame(found, columns=[book, "grp", "name", "freq", "over"])
+        def end_book() -> None:
+            out.extend((key, i, list(names), [g.freq[i].get(n, 0) for n in names], g.over[i]) for i, names in enumerate(g.names))
 
-        for f in frames:
-            for b, seg, names, freqs in zip(f[book], f[segment], f["names"], f["freqs"], strict=True):
+        for x in batches:
+            kind = x.schema.field(book).type
+            for b, seg, names, freqs in zip(x.column(book).to_pylist(), x.column(segment).to_pylist(), lists(x.column("names")), lists(x.column("freqs")), strict=True):
                 if last is not None and (b != key or seg != last):
                     g.end_segment()
                 if b != key:
                     if last is not None:
-                        yield rows()
+                        end_book()
                     g, key = Groups(), b
                 last = seg
-                g.add(list(names), dict(freqs) if freqs is not None else {})
+                g.add(names, dict(zip(names, freqs, strict=True)))
+            while len(out) >= BATCH_ROWS:
+                yield table(out[:BATCH_ROWS])
+                del out[:BATCH_ROWS]
         if last is not None:
             g.end_segment()
-            yield rows()
+            end_book()
+        for i in range(0, len(out), BATCH_ROWS):
+            yield table(out[i : i + BATCH_ROWS])
 
-    clean = mentions.where(F.col(book).isNotNull()).select(book, segment, pos, name_set("names").alias("names"), "freqs")
-    kind = dict(mentions.dtypes)[book]
-    ordered = clean.repartition(book).sortWithinPartitions(book, segment, pos).drop(pos)
-    return ordered.mapInPandas(fold, f"{book} {kind}, grp int, name string, freq int, over int")
+    freqs = F.transform("names", lambda n: F.coalesce(F.try_element_at("freqs", n), F.lit(1)))
+    rows = mentions.where(F.col(book).isNotNull() & F.col("names").isNotNull()).select(book, segment, pos, "names", F.when(F.col("freqs").isNull(), F.transform("names", lambda n: F.lit(1))).otherwise(freqs).alias("freqs"))
+    ordered = rows.repartition(book).sortWithinPartitions(book, segment, pos).drop(pos)
+    return ordered.mapInArrow(fold, f"{book} {dict(mentions.dtypes)[book]}, grp int, names array<string>, freqs array<int>, over int")
+
+
+def name_groups(mentions: DataFrame, book: str = "book", segment: str = "segment", pos: str = "pos") -> DataFrame:
+    """(book, grp, name, freq, over): ``group_lists`` of the valid names, a row for each."""
+    clean = mentions.withColumn("names", F.coalesce(name_set("names"), F.array().cast("array<string>")))
+    each = group_lists(clean, book, segment, pos).select(book, "grp", F.explode(F.arrays_zip(F.col("names").alias("name"), F.col("freqs").alias("freq"))).alias("z"), "over")
+    return each.select(book, "grp", "z.name", "z.freq", "over")
 
 
 def alias_prune(names: DataFrame, group: str, most: int = MOST_ALIASES) -> DataFrame:
@@ -292,8 +328,10 @@ def scene_blocks(facts: DataFrame, main: DataFrame, book: str = "book", stem: st
     # fixed values: labels of the blocks
     entry = facts.select(book, stem, "environment_facts", F.posexplode("character_facts").alias("pos", "c"))
     entry = entry.select(book, stem, "environment_facts", "pos", strip("c.name").alias("name"), "c.facts", "c.representative_quote")
-    w = Window.partitionBy(book, stem, "name").orderBy("pos")
-    first = entry.withColumn("_n", F.row_number().over(w)).where("_n = 1").join(main.select(book, "name"), [book, "name"])
+    # a scene's first entry of a name: one order for that and for the scenes' numbers
+    w = Window.partitionBy(book, "name").orderBy(stem, "pos")
+    own = entry.join(main.select(book, "name"), [book, "name"])
+    first = own.withColumn("_n", F.row_number().over(w)).withColumn("_before", F.lag(stem).over(w)).where((F.col("_n") == 1) | ~F.col("_before").eqNullSafe(F.col(stem)))
     first = first.withColumn("scene", F.row_number().over(Window.partitionBy(book, "name").orderBy(stem)))
     items = lambda c: F.transform(c, lambda x: F.concat(F.lit("-"), x))
     quote = F.when(F.coalesce("representative_quote", F.lit("")) != "", F.array(F.lit(""), F.concat(F.lit("典型台词："), "representative_quote"))).otherwise(F.array().cast("array<string>"))
